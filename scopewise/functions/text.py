@@ -48,3 +48,8 @@ def flatten_list(col: Column) -> Column:
 def thousands(col: Column) -> Column:
     """An integer with thousands separators."""
     return F.format_number(col, 0)
+
+
+def mentions_name(json_text: Column, name: str) -> Column:
+    """Whether serialised JSON holds a quoted name, in any case."""
+    return F.contains(fold_case(json_text), fold_case(F.lit(f'"{name}"')))

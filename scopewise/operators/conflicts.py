@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.functions.text import LIST_SEPARATOR
+from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
 MAX_LIST_VALUES = 100_000
@@ -31,7 +32,16 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def duplicate_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of all duplicate keys."""
-    return df.join(duplicate_keys(df, key).select(*key), list(key), "left_semi")
+    return df.join(duplicate_keys(df, key).select(*key), list(key), "left_semi").select(*df.columns)
+
+
+def stored_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The members as a stored table, for analyses that read them repeatedly.
+
+    Duplicates are a small part of a sound source, so later steps read this
+    table instead of scanning the source again.
+    """
+    return materialize(duplicate_members(df, key), "members")
 
 
 def exact_dedupe(df: DataFrame) -> DataFrame:
@@ -39,13 +49,11 @@ def exact_dedupe(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
 
 
-def conflict_values(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def conflict_values(members: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The distinct text values of duplicate keys: key, column, value, rows.
 
-    The scalable form of the value lists; rows with a null value are counted
-    but form no value.
+    The scalable form of the value lists, built from the member rows.
     """
-    members = duplicate_members(df.select(*key, *columns), key)
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
@@ -57,13 +65,13 @@ def conflict_values(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -
 
 
 def conflict_lists(
-    df: DataFrame,
+    members: DataFrame,
     key: Sequence[str],
     columns: Sequence[str],
     max_values: int = MAX_LIST_VALUES,
 ) -> DataFrame:
     """Per duplicate key: ``<c>_list`` and ``<c>_values`` (distinct count)."""
-    values = conflict_values(df, key, columns)
+    values = conflict_values(members, key, columns)
     sizes = values.groupBy(*key, "column").agg(F.count("value").alias("distinct_values"))
     short = sizes.where(F.col("distinct_values") <= max_values).drop("distinct_values")
     lists = (
@@ -100,8 +108,9 @@ def key_conflicts(
     max_values: int = MAX_LIST_VALUES,
 ) -> DataFrame:
     """Every duplicate key with its verdict and its scope and entity names."""
-    groups = conflict_groups(df, key, in_scope)
-    names = conflict_lists(df, key, (spec.scope_name, spec.entity_name), max_values)
+    members = stored_members(df, key)
+    groups = conflict_groups(members, key, in_scope)
+    names = conflict_lists(members, key, (spec.scope_name, spec.entity_name), max_values)
     return groups.join(names, list(key)).select(
         *key,
         "row_count",
@@ -112,9 +121,9 @@ def key_conflicts(
     )
 
 
-def conflict_groups(df: DataFrame, key: Sequence[str], in_scope: Column) -> DataFrame:
-    """Every duplicate key with counts and flags of fixed size."""
-    rows = exact_dedupe(duplicate_members(df, key)).withColumn("_in_scope", in_scope)
+def conflict_groups(members: DataFrame, key: Sequence[str], in_scope: Column) -> DataFrame:
+    """Every duplicate key with counts and flags of fixed size, from its members."""
+    rows = exact_dedupe(members).withColumn("_in_scope", in_scope)
     return (
         rows.groupBy(*key)
         .agg(
@@ -134,8 +143,9 @@ def conflict_detail(
     max_values: int = MAX_LIST_VALUES,
 ) -> DataFrame:
     """Verdict per duplicate key with the columns that differ and their values."""
-    groups = conflict_groups(df, key, in_scope)
-    lists = conflict_lists(df, key, columns, max_values)
+    members = stored_members(df, key)
+    groups = conflict_groups(members, key, in_scope)
+    lists = conflict_lists(members, key, columns, max_values)
     changing = F.array_compact(
         F.array(*[F.when(F.col(f"{c}_values") > 1, F.lit(c)) for c in columns])
     )
@@ -151,15 +161,16 @@ def conflict_detail(
     )
 
 
-def conflicting_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+def conflicting_keys(members: DataFrame, key: Sequence[str]) -> DataFrame:
     """Duplicate keys whose rows differ."""
-    groups = exact_dedupe(duplicate_members(df, key)).groupBy(*key).agg(F.count("*").alias("n"))
+    groups = exact_dedupe(members).groupBy(*key).agg(F.count("*").alias("n"))
     return groups.where("n > 1").select(*key)
 
 
 def conflict_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of conflicting keys."""
-    return df.join(conflicting_keys(df, key), list(key), "left_semi")
+    members = stored_members(df, key)
+    return members.join(conflicting_keys(members, key), list(key), "left_semi").select(*df.columns)
 
 
 def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:

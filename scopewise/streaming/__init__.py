@@ -1,0 +1 @@
+"""No streaming operators: the capabilities served here are batch only."""
