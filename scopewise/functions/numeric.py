@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 from scopewise.functions.text import strip_text
 from scopewise.spec import NO_REGISTRATIONS, SHARE_DECIMALS, TIE
 
-# Spark's own cast also takes "5d", "inf" and "NaN", which are no counts.
-_PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Spark's own cast also takes "5d", "0x1p3", "inf" and "NaN", which are no
+# counts; all of those hold a character that a plain number lacks.
+_NOT_IN_NUMBER = r"[^0-9+\-.eE]"
 
 
 def parse_number(col: Column) -> Column:
     """Text to double; null where the text is no plain decimal number."""
-    text = strip_text(col)
-    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
+    return number_of(strip_text(col))
+
+
+def number_of(text: Column) -> Column:
+    """``parse_number`` for text that is already trimmed."""
+    return F.when(~text.rlike(_NOT_IN_NUMBER), text.try_cast("double"))
 
 
 def is_fractional(number: Column) -> Column:
@@ -28,18 +33,21 @@ def is_fractional(number: Column) -> Column:
 
 
 def parse_count(col: Column) -> Column:
-    """Text to bigint; null where the text is no whole number.
+    """Text to bigint; null where the text is no whole number."""
+    text = strip_text(col)
+    return count_of(text, number_of(text))
 
-    The direct cast keeps values above 2**53 exact; the detour over double
-    serves spellings like "7.0" and "1e3".
+
+def count_of(text: Column, number: Column) -> Column:
+    """The whole value of trimmed text, given its number.
+
+    Plain digits are cast directly, which keeps values above 2**53 exact;
+    other spellings ("7.0", "1e3") go through double.  The test before the
+    cast spares Spark the failed attempt, which is far slower than a test.
     """
-    text = strip_text(col)
-    number = text.try_cast("double")
-    whole = F.coalesce(
-        text.try_cast("bigint"),
-        F.when(number == F.floor(number), number.try_cast("bigint")),
-    )
-    return F.when(text.rlike(_PLAIN_NUMBER), whole)
+    other_spelling = text.rlike("[.eE]")
+    whole = F.when(other_spelling, number.try_cast("bigint")).otherwise(text.try_cast("bigint"))
+    return F.when(number == F.floor(number), whole)
 
 
 def round_column(col: Column, decimals: int) -> Column:

@@ -5,24 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip also removes the four ASCII separators 0x1C-0x1F, which
-# the Unicode white-space class of Java leaves alone.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Every character that Python's str.strip removes; Spark's trim alone takes
+# only the blank.
+WHITE_SPACE = "".join(filter(str.isspace, map(chr, range(0x3001))))
 
-# Rows without any non-printing or wide edge character take the cheap path.
-_ODD_EDGE = r"(?U)^[\s\x1c-\x1f]|[\s\x1c-\x1f]$"
+# Most text starts and ends with printable ASCII and needs no trimming.
+_UNSURE_EDGE = r"^[^!-~]|[^!-~]$"
 
 LIST_SEPARATOR = " | "
 
 
 def strip_text(col: Column) -> Column:
-    """Trim every kind of Unicode white space, not just the blank."""
-    return F.when(col.rlike(_ODD_EDGE), F.regexp_replace(col, _EDGE_SPACE, "")).otherwise(col)
+    """Trim every kind of Unicode white space."""
+    return F.when(col.rlike(_UNSURE_EDGE), F.btrim(col, F.lit(WHITE_SPACE))).otherwise(col)
 
 
 def is_blank(col: Column) -> Column:
     """True for null, empty and white-space-only text."""
-    return F.coalesce(col.rlike(r"(?U)^[\s\x1c-\x1f]*$"), F.lit(True))
+    return F.coalesce(F.ltrim(col, F.lit(WHITE_SPACE)), F.lit("")) == ""
 
 
 def fold_case(col: Column) -> Column:

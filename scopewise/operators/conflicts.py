@@ -3,12 +3,13 @@
 A key that occurs more than once is *conflicting* when its rows differ in any
 column, and an *exact duplicate* otherwise.  Finding the duplicate keys moves
 only keys and counters; everything else then runs on the members of those
-keys.  Copies of a row collapse before a shuffle, so a key that holds a large
-part of the table does not pile up in one task.
+keys, which are a small part of a sound source.
 
-The value lists of a key are single cells.  A key with more than
-``MAX_LIST_VALUES`` distinct values in a column gets no list there; its values
-are all in ``conflict_values``, one per row.
+The value lists of a key are single cells.  Keys of up to ``MAX_GROUP_ROWS``
+rows are profiled in one grouping.  Larger ones are first collapsed to their
+distinct rows and values, spread over all tasks; such a key gets a list only
+for columns with at most ``MAX_GROUP_ROWS`` distinct values, and
+``conflict_values`` has all of them, one per row.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from scopewise.functions.text import LIST_SEPARATOR
 from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
-MAX_LIST_VALUES = 100_000
+MAX_GROUP_ROWS = 100_000
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -36,12 +37,12 @@ def duplicate_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def stored_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The members as a stored table, for analyses that read them repeatedly.
+    """The members, each with the row count of its key, as a stored table.
 
-    Duplicates are a small part of a sound source, so later steps read this
-    table instead of scanning the source again.
+    Later steps read this table instead of scanning the source again.
     """
-    return materialize(duplicate_members(df, key), "members")
+    counted = df.join(duplicate_keys(df, key), list(key)).select(*df.columns, "row_count")
+    return materialize(counted, "members")
 
 
 def exact_dedupe(df: DataFrame) -> DataFrame:
@@ -64,40 +65,100 @@ def conflict_values(members: DataFrame, key: Sequence[str], columns: Sequence[st
     return long_form.groupBy(*key, "column", "value").agg(F.count("*").alias("rows"))
 
 
-def conflict_lists(
+def conflict_profile(
+    df: DataFrame,
+    key: Sequence[str],
+    columns: Sequence[str],
+    in_scope: Column,
+    max_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Every duplicate key with its verdict and the values of ``columns``.
+
+    Columns: the key, ``row_count``, ``distinct_full_row_count``,
+    ``conflicting``, ``contains_scope``, and per column ``<c>_values`` (number
+    of distinct values) and ``<c>_list``.
+    """
+    members = stored_members(df, key)
+    flagged = members.withColumn("_in_scope", F.coalesce(in_scope, F.lit(False)))
+    small = _profile_small(flagged.where(F.col("row_count") <= max_rows), df.columns, key, columns)
+    large = flagged.where(F.col("row_count") > max_rows)
+    if large.isEmpty():
+        return small
+    return small.unionByName(_profile_large(large, df.columns, key, columns, max_rows))
+
+
+def _profile_small(
+    members: DataFrame, row: Sequence[str], key: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
+    """One grouping; no group is larger than the limit."""
+    found = members.groupBy(*key).agg(
+        F.count("*").alias("row_count"),
+        F.size(F.collect_set(F.struct(*row))).cast("bigint").alias("distinct_full_row_count"),
+        F.bool_or("_in_scope").alias("contains_scope"),
+        *[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"{c}_list") for c in columns],
+    )
+    return found.select(
+        *_verdict(key),
+        *[F.size(f"{c}_list").cast("bigint").alias(f"{c}_values") for c in columns],
+        *[f"{c}_list" for c in columns],
+    )
+
+
+def _profile_large(
     members: DataFrame,
+    row: Sequence[str],
     key: Sequence[str],
     columns: Sequence[str],
-    max_values: int = MAX_LIST_VALUES,
+    max_values: int,
 ) -> DataFrame:
-    """Per duplicate key: ``<c>_list`` and ``<c>_values`` (distinct count)."""
-    values = conflict_values(members, key, columns)
-    sizes = values.groupBy(*key, "column").agg(F.count("value").alias("distinct_values"))
-    short = sizes.where(F.col("distinct_values") <= max_values).drop("distinct_values")
-    lists = (
-        values.where(F.col("value").isNotNull())
-        .join(short, [*key, "column"], "left_semi")
-        .groupBy(*key)
-        .agg(*[_sorted_values(c).alias(f"{c}_list") for c in columns])
+    """Copies collapse before any key is gathered; long lists stay out."""
+    rows = members.groupBy(*row).agg(
+        F.count("*").alias("_copies"), F.bool_or("_in_scope").alias("_in_scope")
     )
+    groups = rows.groupBy(*key).agg(
+        F.sum("_copies").alias("row_count"),
+        F.count("*").alias("distinct_full_row_count"),
+        F.bool_or("_in_scope").alias("contains_scope"),
+    )
+    values = conflict_values(members, key, columns).where(F.col("value").isNotNull())
+    sizes = values.groupBy(*key, "column").agg(F.count("*").alias("_size"))
+    short = sizes.where(F.col("_size") <= max_values).drop("_size")
     counts = sizes.groupBy(*key).agg(
-        *[_pick(c, F.col("distinct_values")).alias(f"{c}_values") for c in columns]
+        *[F.coalesce(_pick(c, "_size"), F.lit(0)).alias(f"{c}_values") for c in columns]
     )
-    too_long = [
-        F.when(F.col(f"{c}_values") <= max_values, F.col(f"{c}_list")).alias(f"{c}_list")
-        for c in columns
-    ]
-    return counts.join(lists, list(key), "left").select(
-        *key, *[f"{c}_values" for c in columns], *too_long
+    lists = (
+        values.join(short, [*key, "column"], "left_semi")
+        .groupBy(*key)
+        .agg(
+            *[
+                F.sort_array(
+                    F.collect_list(F.when(F.col("column") == c, F.col("value")))
+                ).alias(f"{c}_list")
+                for c in columns
+            ]
+        )
+    )
+    joined = groups.join(counts, list(key), "left").join(lists, list(key), "left")
+    return joined.select(
+        *_verdict(key),
+        *[f"{c}_values" for c in columns],
+        *[F.when(F.col(f"{c}_values") <= max_values, F.col(f"{c}_list")).alias(f"{c}_list") for c in columns],
     )
 
 
-def _pick(column: str, value: Column) -> Column:
-    return F.max(F.when(F.col("column") == column, value))
+def _pick(column: str, value: str) -> Column:
+    return F.max(F.when(F.col("column") == column, F.col(value)))
 
 
-def _sorted_values(column: str) -> Column:
-    return F.sort_array(F.collect_list(F.when(F.col("column") == column, F.col("value"))))
+def _verdict(key: Sequence[str]) -> list[Column | str]:
+    distinct = F.col("distinct_full_row_count")
+    return [
+        *key,
+        "row_count",
+        "distinct_full_row_count",
+        (distinct > 1).alias("conflicting"),
+        "contains_scope",
+    ]
 
 
 def key_conflicts(
@@ -105,13 +166,11 @@ def key_conflicts(
     key: Sequence[str],
     in_scope: Column,
     spec: FactSpec = DEFAULT_SPEC,
-    max_values: int = MAX_LIST_VALUES,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every duplicate key with its verdict and its scope and entity names."""
-    members = stored_members(df, key)
-    groups = conflict_groups(members, key, in_scope)
-    names = conflict_lists(members, key, (spec.scope_name, spec.entity_name), max_values)
-    return groups.join(names, list(key)).select(
+    names = (spec.scope_name, spec.entity_name)
+    return conflict_profile(df, key, names, in_scope, max_rows).select(
         *key,
         "row_count",
         F.col(f"{spec.scope_name}_list").alias("scope_names"),
@@ -121,35 +180,18 @@ def key_conflicts(
     )
 
 
-def conflict_groups(members: DataFrame, key: Sequence[str], in_scope: Column) -> DataFrame:
-    """Every duplicate key with counts and flags of fixed size, from its members."""
-    rows = exact_dedupe(members).withColumn("_in_scope", in_scope)
-    return (
-        rows.groupBy(*key)
-        .agg(
-            F.sum("copies").cast("bigint").alias("row_count"),
-            F.count("*").alias("distinct_full_row_count"),
-            F.bool_or(F.coalesce("_in_scope", F.lit(False))).alias("contains_scope"),
-        )
-        .withColumn("conflicting", F.col("distinct_full_row_count") > 1)
-    )
-
-
 def conflict_detail(
     df: DataFrame,
     key: Sequence[str],
     columns: Sequence[str],
     in_scope: Column,
-    max_values: int = MAX_LIST_VALUES,
+    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Verdict per duplicate key with the columns that differ and their values."""
-    members = stored_members(df, key)
-    groups = conflict_groups(members, key, in_scope)
-    lists = conflict_lists(members, key, columns, max_values)
     changing = F.array_compact(
         F.array(*[F.when(F.col(f"{c}_values") > 1, F.lit(c)) for c in columns])
     )
-    return groups.join(lists, list(key)).select(
+    return conflict_profile(df, key, columns, in_scope, max_rows).select(
         *key,
         "row_count",
         "distinct_full_row_count",
@@ -162,42 +204,58 @@ def conflict_detail(
 
 
 def conflicting_keys(members: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Duplicate keys whose rows differ."""
-    groups = exact_dedupe(members).groupBy(*key).agg(F.count("*").alias("n"))
-    return groups.where("n > 1").select(*key)
+    """Keys whose rows differ: their smallest and largest row are not the same.
+
+    Two rows per key are all that is kept and shuffled, however many it has.
+    """
+    row = F.struct(*members.columns)
+    ends = members.groupBy(*key).agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
+    return ends.where(~F.col("_low").eqNullSafe(F.col("_high"))).select(*key)
 
 
 def conflict_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of conflicting keys."""
-    members = stored_members(df, key)
+    members = stored_members(df, key).select(*df.columns)
     return members.join(conflicting_keys(members, key), list(key), "left_semi").select(*df.columns)
 
 
 def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """What an exact dedupe would and would not solve; one row."""
-    rows = exact_dedupe(df)
-    by_key = rows.groupBy(*key).agg(
-        F.sum("copies").alias("rows"), F.count("*").alias("distinct_rows")
+    """What an exact dedupe would and would not solve; one row.
+
+    Rows outside duplicate keys only enter the row count.
+    """
+    by_key = (
+        exact_dedupe(duplicate_members(df, key))
+        .groupBy(*key)
+        .agg(F.sum("copies").alias("rows"), F.count("*").alias("distinct_rows"))
     )
-    duplicate = F.col("rows") > 1
     conflicting = F.col("distinct_rows") > 1
-    exact = duplicate & ~conflicting
 
-    def total(name: str, condition: Column, alias: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col(name))), F.lit(0)).cast("bigint").alias(alias)
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).cast("bigint")
 
-    summary = by_key.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("source_rows"),
-        F.count_if(duplicate).alias("duplicate_groups"),
-        total("rows", duplicate, "duplicate_rows"),
+    found = by_key.agg(
+        F.count("*").alias("duplicate_groups"),
+        total(F.col("rows")).alias("duplicate_rows"),
         F.count_if(conflicting).alias("conflicting_groups"),
-        total("rows", conflicting, "conflicting_rows"),
-        F.count_if(exact).alias("exact_groups"),
-        total("rows", exact, "exact_rows"),
-        F.coalesce(F.sum("distinct_rows"), F.lit(0)).cast("bigint").alias("rows_after_dedupe"),
-        total("distinct_rows", conflicting, "remaining_duplicate_rows"),
+        total(F.when(conflicting, F.col("rows"))).alias("conflicting_rows"),
+        F.count_if(~conflicting).alias("exact_groups"),
+        total(F.when(~conflicting, F.col("rows"))).alias("exact_rows"),
+        total(F.col("rows") - F.col("distinct_rows")).alias("_dropped"),
+        total(F.when(conflicting, F.col("distinct_rows"))).alias("remaining_duplicate_rows"),
+    ).withColumn("source_rows", df.agg(F.count("*")).scalar())
+    return found.select(
+        "source_rows",
+        "duplicate_groups",
+        "duplicate_rows",
+        "conflicting_groups",
+        "conflicting_rows",
+        "exact_groups",
+        "exact_rows",
+        (F.col("source_rows") - F.col("_dropped")).alias("rows_after_dedupe"),
+        "remaining_duplicate_rows",
+        (F.col("remaining_duplicate_rows") == 0).alias("dedupe_resolves_all"),
     )
-    return summary.withColumn("dedupe_resolves_all", F.col("remaining_duplicate_rows") == 0)
 
 
 def scope_qualification(

@@ -11,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.functions.numeric import is_fractional, parse_count, parse_number, row_sum
-from scopewise.functions.text import is_blank, scope_key
+from scopewise.functions.numeric import count_of, is_fractional, number_of, parse_number, row_sum
+from scopewise.functions.text import is_blank, scope_key, strip_text
 from scopewise.spec import (
     CONTRIBUTION_TOLERANCE,
     DEFAULT_SPEC,
@@ -43,8 +42,29 @@ class Check:
     key: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class Suite:
+    """Checks and the helper columns they read, computed once per row.
+
+    Each step of ``helpers`` may use the columns of the steps before it.
+    """
+
+    checks: tuple[Check, ...]
+    helpers: tuple[dict[str, Column], ...] = ()
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        for step in self.helpers:
+            df = df.withColumns(step)
+        return df
+
+
+def as_suite(checks: Suite | Sequence[Check]) -> Suite:
+    return checks if isinstance(checks, Suite) else Suite(tuple(checks))
+
+
 def violations(condition: Column) -> Column:
-    return F.count_if(F.coalesce(condition, F.lit(False)))
+    """Rows where the condition holds; an unknown condition is no violation."""
+    return F.count_if(condition)
 
 
 # --- schema rules: decided on the driver, no job ------------------------------
@@ -115,6 +135,16 @@ def numeric(column: str) -> Check:
     )
 
 
+def numeric_helpers(columns: Sequence[str]) -> tuple[dict[str, Column], ...]:
+    """Trimmed text of each column, then its number and its whole value."""
+    text = {f"_text_{c}": strip_text(F.col(c).cast("string")) for c in columns}
+    numbers = {f"_number_{c}": number_of(F.col(f"_text_{c}")) for c in columns}
+    counts = {
+        f"_count_{c}": count_of(F.col(f"_text_{c}"), F.col(f"_number_{c}")) for c in columns
+    }
+    return text, numbers, counts
+
+
 def nonnegative(column: str) -> Check:
     return Check(
         "nonnegative",
@@ -177,7 +207,7 @@ def _missing_count(column: str) -> Check:
     )
 
 
-def lenient_row_checks(spec: FactSpec = DEFAULT_SPEC) -> list[Check]:
+def lenient_row_checks(spec: FactSpec = DEFAULT_SPEC) -> Suite:
     """Row rules on text or numbers, without key uniqueness.
 
     Checks per column, in this order: null and blank text; then nonnumeric,
@@ -196,18 +226,39 @@ def lenient_row_checks(spec: FactSpec = DEFAULT_SPEC) -> list[Check]:
             ),
         ]
     for name in spec.count_cols:
-        checks += numeric_class_checks(name, parse_number(F.col(name).cast("string")))
-    counts = {name: parse_count(F.col(name).cast("string")) for name in spec.count_cols}
-    expected = reduce(add, [counts[name] for name in spec.categories])
+        checks += numeric_class_checks(name, F.col(f"_number_{name}"))
+    expected = row_sum([f"_count_{name}" for name in spec.categories])
     checks.append(
         Check(
             "sum_identity",
             spec.total,
             f"Column {spec.total!r} must equal " + " plus ".join(spec.categories) + ".",
-            violations(counts[spec.total] != expected),
+            violations(F.col(f"_count_{spec.total}") != expected),
         )
     )
-    return checks
+    return Suite(tuple(checks), numeric_helpers(spec.count_cols))
+
+
+def parse_checks(spec: FactSpec = DEFAULT_SPEC) -> Suite:
+    """Rules on the text of the counts, before it is parsed."""
+    checks = []
+    for name in spec.count_cols:
+        number = F.col(f"_number_{name}")
+        checks += [
+            Check(
+                "numeric",
+                name,
+                f"Column {name!r} contains {{n}} non-numeric values.",
+                violations(number.isNull()),
+            ),
+            Check(
+                "whole",
+                name,
+                f"Column {name!r} contains {{n}} non-integer values.",
+                violations(is_fractional(number)),
+            ),
+        ]
+    return Suite(tuple(checks), numeric_helpers(spec.count_cols))
 
 
 def numeric_class_checks(name: str, number: Column) -> list[Check]:
@@ -232,23 +283,21 @@ def count_duplicate_rows(df: DataFrame, key: Sequence[str], name: str = "duplica
     return groups.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias(name))
 
 
-def rule_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def rule_report(df: DataFrame, suite: Suite | Sequence[Check]) -> DataFrame:
     """One row per check: ordinal, rule, subject, violations."""
-    counted = [(i, c) for i, c in enumerate(checks, 1) if c.count is not None]
-    keyed = [(i, c) for i, c in enumerate(checks, 1) if c.key]
-    reports = []
+    suite = as_suite(suite)
+    counted = [(i, c) for i, c in enumerate(suite.checks, 1) if c.count is not None]
+    keyed = [(i, c) for i, c in enumerate(suite.checks, 1) if c.key]
+    parts = []
     if counted:
-        one_row = df.agg(*[c.count.cast("bigint").alias(f"c{i}") for i, c in counted])
-        reports.append(
-            one_row.select(F.inline(F.array(*[_line(i, c, F.col(f"c{i}")) for i, c in counted])))
-        )
+        counts = [c.count.cast("bigint").alias(f"c{i}") for i, c in counted]
+        one_row = suite.prepare(df).agg(*counts)
+        lines = [_line(i, c, F.col(f"c{i}")) for i, c in counted]
+        parts.append(one_row.select(F.inline(F.array(*lines))))
     for i, check in keyed:
         duplicates = count_duplicate_rows(df, check.key, "n")
-        reports.append(duplicates.select(F.inline(F.array(_line(i, check, F.col("n"))))))
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+        parts.append(duplicates.select(F.inline(F.array(_line(i, check, F.col("n"))))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _line(ordinal: int, check: Check, count: Column) -> Column:
@@ -260,15 +309,16 @@ def _line(ordinal: int, check: Check, count: Column) -> Column:
     )
 
 
-def broken_rules(df: DataFrame, checks: Sequence[Check]) -> list[str]:
+def broken_rules(df: DataFrame, suite: Suite | Sequence[Check]) -> list[str]:
     """Messages of all broken checks in order; the report has one row per check."""
-    rows = rule_report(df, checks).where("violations > 0").orderBy("ordinal").collect()
+    checks = as_suite(suite).checks
+    rows = rule_report(df, suite).where("violations > 0").orderBy("ordinal").collect()
     return [checks[r["ordinal"] - 1].message.format(n=r["violations"]) for r in rows]
 
 
-def enforce(df: DataFrame, checks: Sequence[Check]) -> None:
+def enforce(df: DataFrame, suite: Suite | Sequence[Check]) -> None:
     """Raise for the first broken check."""
-    messages = broken_rules(df, checks)
+    messages = broken_rules(df, suite)
     if messages:
         raise DataQualityError(messages[0])
 

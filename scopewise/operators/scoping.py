@@ -11,18 +11,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.functions.numeric import is_fractional, parse_count, parse_number
 from scopewise.functions.text import scope_key, scope_label, strip_text
 from scopewise.operators.quality import (
-    Check,
+    broken_rules,
     enforce,
     lenient_row_checks,
     non_empty,
+    numeric_helpers,
+    parse_checks,
     require_columns,
     rule_report,
     strict_checks,
-    violations,
 )
+from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, DataQualityError, FactSpec
 
 
@@ -40,42 +41,28 @@ def project_required(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
 
 def typed_fact(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     """Trim text and parse counts; a count that does not parse becomes null."""
-    raw = project_required(df, spec)
-    return raw.select(
+    parsed = project_required(df, spec)
+    for step in numeric_helpers(spec.count_cols):
+        parsed = parsed.withColumns(step)
+    return parsed.select(
         *spec.snapshot_cols,
         *[strip_text(F.col(c).cast("string")).alias(c) for c in spec.text_cols],
-        *[parse_count(F.col(c).cast("string")).alias(c) for c in spec.count_cols],
+        *[F.col(f"_count_{c}").alias(c) for c in spec.count_cols],
     )
 
 
-def parse_checks(spec: FactSpec = DEFAULT_SPEC) -> list[Check]:
-    """Rules on the text of the counts, before it is parsed."""
-    checks = []
-    for name in spec.count_cols:
-        number = parse_number(F.coalesce(F.col(name).cast("string"), F.lit("")))
-        checks += [
-            Check(
-                "numeric",
-                name,
-                f"Column {name!r} contains {{n}} non-numeric values.",
-                violations(number.isNull()),
-            ),
-            Check(
-                "whole",
-                name,
-                f"Column {name!r} contains {{n}} non-integer values.",
-                violations(is_fractional(number)),
-            ),
-        ]
-    return checks
-
-
 def load_fact(raw: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    """Strict load: parse rules, then the full suite on the typed rows."""
+    """Strict load: the source is parsed once, stored, and checked as stored.
+
+    Only a broken source is parsed again, to tell why a count did not parse:
+    those rules come before all others.
+    """
     required = project_required(raw, spec)
-    enforce(required, parse_checks(spec))
-    fact = typed_fact(required, spec)
-    enforce(fact, strict_checks(spec))
+    fact = materialize(typed_fact(required, spec), "fact")
+    messages = broken_rules(fact, strict_checks(spec))
+    if messages:
+        enforce(required, parse_checks(spec))
+        raise DataQualityError(messages[0])
     return fact
 
 

@@ -160,7 +160,7 @@ def write_bundle(
     fact = load_fact(raw, spec)
     if target is not None:
         fact = validate_then_filter(fact, target, spec)
-    metrics = entity_metrics(materialize(fact, "fact"), spec)
+    metrics = entity_metrics(fact, spec)
     stored = write_data_package(metrics, out, source, spec, limit, fact_format)
     return write_manifest(stored, out, "Data package", source, spec, fact_format)
 
@@ -179,7 +179,7 @@ def write_processed(
     if target is not None:
         fact = validate_then_filter(fact, target, spec)
     stored = write_fact(
-        entity_metrics(materialize(fact, "fact"), spec), fact_path, spec, fact_format
+        entity_metrics(fact, spec), fact_path, spec, fact_format
     )
     enforce_metrics(stored, spec)
     write_json_rows(qualified_provenance(stored, source, fact_path, spec), metadata_path)
