@@ -26,8 +26,12 @@ def is_blank(col: Column) -> Column:
 
 
 def fold_case(col: Column) -> Column:
-    """Case-insensitive form; the detour over upper case also folds sharp s."""
-    return F.lower(F.upper(col))
+    """Case-insensitive form; the detour over upper case also folds sharp s.
+
+    The optimizer would take a plain lower(upper(x)) for lower(x), hence the
+    neutral step between the two.
+    """
+    return F.lower(F.concat(F.upper(col), F.lit("")))
 
 
 def scope_key(col: Column) -> Column:

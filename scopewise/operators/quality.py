@@ -150,7 +150,7 @@ def nonnegative(column: str) -> Check:
         "nonnegative",
         column,
         f"Column {column!r} contains {{n}} negative values.",
-        violations(F.col(column).cast("double") < 0),
+        violations(F.col(column).try_cast("double") < 0),
     )
 
 
