@@ -32,17 +32,18 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def duplicate_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """All rows of all duplicate keys."""
-    return df.join(duplicate_keys(df, key).select(*key), list(key), "left_semi").select(*df.columns)
+    """All rows of all duplicate keys, each with the row count of its key.
 
+    The duplicate keys are stored first: their size is then known when the
+    join is planned, and as long as they are few the source is not shuffled.
+    """
+    keys = materialize(duplicate_keys(df, key), "keys")
+    return df.join(keys, list(key)).select(*df.columns, "row_count")
 
-def stored_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The members, each with the row count of its key, as a stored table.
 
-    Later steps read this table instead of scanning the source again.
-    """
-    counted = df.join(duplicate_keys(df, key), list(key)).select(*df.columns, "row_count")
-    return materialize(counted, "members")
+def stored_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The members as a stored table, read by all later steps."""
+    return materialize(duplicate_members(df, key), "members")
 
 
 def exact_dedupe(df: DataFrame) -> DataFrame:
@@ -225,7 +226,7 @@ def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:
     Rows outside duplicate keys only enter the row count.
     """
     by_key = (
-        exact_dedupe(duplicate_members(df, key))
+        exact_dedupe(duplicate_members(df, key).drop("row_count"))
         .groupBy(*key)
         .agg(F.sum("copies").alias("rows"), F.count("*").alias("distinct_rows"))
     )

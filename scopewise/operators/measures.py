@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.functions.numeric import safe_ratio
+from scopewise.operators.metrics import scope_totals_per_row
 from scopewise.operators.quality import require_allowed
 from scopewise.spec import DEFAULT_SPEC, RANK_CUTOFF, FactSpec
 
@@ -102,7 +103,10 @@ def selected_contribution(
     """Selected total over the total with entity filters removed.
 
     Both sums come from one pass: the entity filter moves into the aggregate.
+    ``tooltip`` serves the grouping by entity itself.
     """
+    if {spec.entity_name, spec.entity_code} & set(by):
+        raise ValueError("Group by other columns than the entity; see tooltip.")
     others, entity = _split(context, spec)
     selected = F.sum(F.when(entity, F.col(spec.total)))
     whole = F.sum(spec.total)
@@ -169,12 +173,11 @@ def tooltip(
     """Hover record per entity: rank, category, totals and contribution.
 
     The contribution divides by the scope total over all entities that pass
-    the other filters; it is summed once per scope and joined back.
+    the other filters.
     """
     others, entity = _split(context, spec)
-    kept = metrics.where(others)
-    whole = kept.groupBy(*spec.scope_keys).agg(F.sum(spec.total).alias("_whole"))
-    return kept.where(entity).join(whole, list(spec.scope_keys)).select(
+    kept = scope_totals_per_row(metrics.where(others), spec)
+    return kept.where(entity).select(
         *spec.scope_keys,
         spec.entity_name,
         spec.entity_code,
@@ -182,7 +185,7 @@ def tooltip(
         "dominant_category",
         F.col(spec.total).alias("total_registered"),
         *[F.col(c).alias(f"{c}_registered") for c in spec.categories],
-        safe_ratio(F.col(spec.total), F.col("_whole")).alias("selected_contribution"),
+        safe_ratio(F.col(spec.total), F.col("scope_total")).alias("selected_contribution"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scopewise.functions.numeric import dominant_category, safe_pct
 from scopewise.operators.ranking import MAX_ROWS_PER_TASK, add_ranks
+from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, RANK_CUTOFF, FactSpec
 
 
@@ -21,13 +22,14 @@ def category_shares(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
 
 
 def scope_totals_per_row(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    """Add ``scope_total`` by joining a pre-aggregated table.
+    """Add ``scope_total`` by joining a pre-aggregated, stored table.
 
     No scope is gathered in one task: the sums combine before the shuffle, and
-    the join side has one row per scope.
+    the stored table (one row per scope) is small enough to be sent to the
+    rows whenever its measured size allows it.
     """
     totals = df.groupBy(*spec.scope_keys).agg(F.sum(spec.total).alias("scope_total"))
-    return df.join(totals, list(spec.scope_keys))
+    return df.join(materialize(totals, "totals"), list(spec.scope_keys))
 
 
 def add_scope_share(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:

@@ -102,12 +102,17 @@ def _ranks_by_range(df: DataFrame, spec: FactSpec, max_rows_per_task: int) -> Da
     )
     by_scope = W.partitionBy(*scope)
     before = by_scope.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = slices.select(
-        *scope,
-        "_slice",
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-        F.sum("_rows").over(by_scope).alias("scope_rows"),
-        F.sum("_total").over(by_scope).alias("scope_total"),
+    # One row per scope and slice.  Stored, its size is known when the join is
+    # planned, so Spark sends it to all tasks and leaves the rows in place.
+    offsets = materialize(
+        slices.select(
+            *scope,
+            "_slice",
+            (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+            F.sum("_rows").over(by_scope).alias("scope_rows"),
+            F.sum("_total").over(by_scope).alias("scope_total"),
+        ),
+        "offsets",
     )
     ranked = placed.join(offsets, [*scope, "_slice"]).withColumn(
         "rank_total", F.col("_place") + F.col("_shift")
@@ -154,8 +159,9 @@ def add_position(
     counts = placed.groupBy("_slice").agg(F.count("*").alias("_rows"))
     # One row per slice: the table is as small as the number of tasks.
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    offsets = materialize(
+        counts.select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")),
+        "offsets",
     )
     return placed.join(offsets, "_slice").select(
         *df.columns, (F.col("_offset") + F.col("_place") + 1).alias(name)

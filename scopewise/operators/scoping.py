@@ -79,6 +79,14 @@ def filter_scope(df: DataFrame, target: str, spec: FactSpec = DEFAULT_SPEC) -> D
     return canonical_scope(df.where(in_scope(target, spec)), spec)
 
 
+def stored_scope(df: DataFrame, target: str, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    """One scope of a stored fact with canonical labels.
+
+    Compares the plain column, so only the folder of the scope is read.
+    """
+    return df.where(F.col(spec.scope_name) == target.strip().upper())
+
+
 def validate_then_filter(df: DataFrame, target: str, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     enforce(df, strict_checks(spec))
     scoped = filter_scope(df, target, spec)

@@ -29,7 +29,7 @@ from scopewise.operators.provenance import (
     release_totals,
 )
 from scopewise.operators.quality import enforce_metrics
-from scopewise.operators.ranking import require_limit
+from scopewise.operators.ranking import pick_strategy, require_limit
 from scopewise.operators.scoping import load_fact, validate_then_filter
 from scopewise.operators.views import ranking_view
 from scopewise.session import materialize
@@ -65,19 +65,30 @@ def data_dictionary(spark: SparkSession, spec: FactSpec = DEFAULT_SPEC) -> DataF
     return spark.createDataFrame(rows, columns)
 
 
-def write_fact(metrics: DataFrame, path: str, spec: FactSpec, fmt: str) -> DataFrame:
-    """Write metrics in rank order inside every file, and read them back."""
+def write_fact(
+    fact: DataFrame, path: str, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet"
+) -> DataFrame:
+    """Compute metrics, write them in rank order per file, and read them back.
+
+    Ranks by window leave every scope in one task.  Ranks by range scatter the
+    scopes; they are brought together for the writer, large ones in several
+    parts.
+    """
+    strategy = pick_strategy(fact, spec)
+    metrics = entity_metrics(fact, spec, strategy)
     ordered = metrics.select(*spec.snapshot_cols, *spec.required, *spec.derived)
+    if strategy == "range":
+        ordered = ordered.hint("rebalance", *spec.scope_keys)
     ordered = ordered.sortWithinPartitions(*spec.scope_keys, "rank_total")
     if fmt == "csv":
         write_csv(ordered, path)
     else:
         write_parquet(ordered, path, spec.scope_keys)
-    return read_metrics(metrics.sparkSession, path, spec, fmt)
+    return read_metrics(fact.sparkSession, path, spec, fmt)
 
 
 def write_data_package(
-    metrics: DataFrame,
+    fact: DataFrame,
     out: str,
     source: Source,
     spec: FactSpec = DEFAULT_SPEC,
@@ -90,8 +101,8 @@ def write_data_package(
     written.
     """
     require_limit(limit)
-    spark = metrics.sparkSession
-    stored = write_fact(metrics, f"{out}/data/fact", spec, fact_format)
+    spark = fact.sparkSession
+    stored = write_fact(fact, f"{out}/data/fact", spec, fact_format)
     enforce_metrics(stored, spec)
     write_csv(ranking_view(stored, limit, spec), f"{out}/data/rankings")
     write_json_rows(qualified_summary(stored, source, spec), f"{out}/data/summary")
@@ -160,8 +171,7 @@ def write_bundle(
     fact = load_fact(raw, spec)
     if target is not None:
         fact = validate_then_filter(fact, target, spec)
-    metrics = entity_metrics(fact, spec)
-    stored = write_data_package(metrics, out, source, spec, limit, fact_format)
+    stored = write_data_package(fact, out, source, spec, limit, fact_format)
     return write_manifest(stored, out, "Data package", source, spec, fact_format)
 
 
@@ -178,9 +188,7 @@ def write_processed(
     fact = load_fact(raw, spec)
     if target is not None:
         fact = validate_then_filter(fact, target, spec)
-    stored = write_fact(
-        entity_metrics(fact, spec), fact_path, spec, fact_format
-    )
+    stored = write_fact(fact, fact_path, spec, fact_format)
     enforce_metrics(stored, spec)
     write_json_rows(qualified_provenance(stored, source, fact_path, spec), metadata_path)
     return raw.sparkSession.read.json(metadata_path)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from scopewise.functions.text import scope_key
 from scopewise.operators.conflicts import scope_qualification
-from scopewise.operators.metrics import entity_metrics
 from scopewise.operators.provenance import Source, release_totals, release_validation
 from scopewise.operators.quality import enforce, enforce_metrics, lenient_row_checks, strict_checks
 from scopewise.operators.ranking import require_limit
@@ -122,8 +121,7 @@ def write_release(
         source_url=record["source_url"],
         licence=record["licence"],
     )
-    metrics = entity_metrics(scoped, spec)
-    stored = write_data_package(metrics, out, source, spec, limit, fact_format)
+    stored = write_data_package(scoped, out, source, spec, limit, fact_format)
     write_json_rows(qualifications, f"{out}/qualification")
     write_json_rows(release_validation(stored, qualification, spec), f"{out}/validation")
     return write_manifest(

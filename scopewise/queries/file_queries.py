@@ -79,7 +79,7 @@ def q_sink_roundtrip(spark, sf_dir):
 def q_release_reread(spark, sf_dir):
     """Metrics as CSV, re-read with text identifiers, doubles and booleans."""
     path = scratch_path(spark, "reread")
-    return write_fact(entity_metrics(B.entity(spark, sf_dir)), path, SPEC, "csv")
+    return write_fact(B.entity(spark, sf_dir), path, SPEC, "csv")
 
 
 @query(
@@ -141,7 +141,7 @@ _FIGURES = " UNION ALL ".join(
 def q_release_reconcile(spark, sf_dir):
     """Figures of the fact beside those recomputed from what was written."""
     fact = B.entity(spark, sf_dir)
-    stored = write_fact(entity_metrics(fact), scratch_path(spark, "release"), SPEC, "parquet")
+    stored = write_fact(fact, scratch_path(spark, "release"))
     return reconcile_release(stored, V.release_totals(fact))
 
 

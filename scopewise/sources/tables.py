@@ -7,7 +7,7 @@ identifiers keep leading zeros and a scan never reads the data twice.
 from __future__ import annotations
 
 import codecs
-from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scopewise.operators.scoping import load_fact, trim_headers
+from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
 # Cell texts that count as missing in a lenient scan.
@@ -107,11 +108,11 @@ def detect_encodings(spark: SparkSession, path) -> DataFrame:
     return found.select("file", encoding.alias("encoding"))
 
 
-def _read_encoded(spark: SparkSession, files: Sequence[str], encoding: str, multiline: bool) -> DataFrame:
+def _read_encoded(spark: SparkSession, path, encoding: str, multiline: bool) -> DataFrame:
     options = {"multiLine": str(multiline).lower()}
     if encoding == UTF8:
-        return _read(spark, list(files), "Aggregate source", **options)
-    df = _read(spark, list(files), "Aggregate source", encoding="ISO-8859-1", **options)
+        return _read(spark, path, "Aggregate source", **options)
+    df = _read(spark, path, "Aggregate source", encoding="ISO-8859-1", **options)
     if encoding == LATIN1:
         return df
     # The code page differs from Latin-1 in a few characters only.
@@ -126,24 +127,24 @@ def read_lenient_text(
 ) -> tuple[DataFrame, list[str]]:
     """Text columns with missing words as null, and the encodings found.
 
-    Files of different encodings may lie in one folder; each group is read in
-    its own encoding.  The file list comes to the driver, which lists the
-    files for every scan anyway.
+    Files of different encodings may lie in one folder; each group is then
+    read in its own encoding, by file name.
     """
-    by_encoding: dict[str, list[str]] = {}
-    for row in detect_encodings(spark, path).collect():
-        by_encoding.setdefault(row["encoding"], []).append(row["file"])
-    parts = [
-        trim_headers(_read_encoded(spark, sorted(files), encoding, multiline))
-        for encoding, files in sorted(by_encoding.items())
-    ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
+    found = materialize(detect_encodings(spark, path), "encodings")
+    encodings = sorted(r["encoding"] for r in found.select("encoding").distinct().collect())
+    if len(encodings) == 1:
+        table = trim_headers(_read_encoded(spark, path, encodings[0], multiline))
+    else:
+        groups = {e: found.where(F.col("encoding") == e).orderBy("file") for e in encodings}
+        parts = [
+            trim_headers(_read_encoded(spark, [r["file"] for r in rows.collect()], e, multiline))
+            for e, rows in groups.items()
+        ]
+        table = reduce(DataFrame.unionByName, parts)
     cleaned = [
         F.when(~_cell(c).isin(*MISSING_WORDS), _cell(c)).alias(c) for c in table.columns
     ]
-    return table.select(*cleaned), sorted(by_encoding)
+    return table.select(*cleaned), encodings
 
 
 def read_metrics(spark: SparkSession, path, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet") -> DataFrame:

@@ -9,6 +9,8 @@ from scopewise.operators import metrics as M
 from scopewise.operators import ranking as R
 from scopewise.operators import summaries as S
 from scopewise.operators.quality import rule_report, strict_checks
+from scopewise.operators.scoping import stored_scope
+from scopewise.plans.bundle import write_fact
 from scopewise.queries import bindings as B
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,11 +33,11 @@ def test_top_n_is_cut_before_the_shuffle(small):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_range_ranks_never_gather_a_scope(spark, small):
+def test_range_ranks_never_gather_a_scope(small):
     text = plan(R.add_ranks(small, strategy="range", max_rows_per_task=2))
     assert "SinglePartition" not in text
-    windows = re.findall(r"Window \[.*", text)
-    assert windows and all("_slice" in w or "_rows" in w for w in windows)
+    assert "Window" not in text
+    assert "BroadcastHashJoin" in text
 
 
 def test_counting_scopes_does_not_read_the_orders(spark):
@@ -63,6 +65,21 @@ def test_duplicate_keys_shuffle_keys_and_counts_only(spark):
     assert "l_returnflag" not in text
 
 
+def test_small_tables_go_to_the_rows(spark):
+    """Offsets, totals and duplicate keys are joined without moving the rows."""
+    fact = B.entity(spark, SF_DIR)
+    assert "BroadcastHashJoin" in plan(M.add_scope_share(fact))
+    lines = B.line_fact(spark, SF_DIR)
+    text = plan(C.duplicate_members(lines, ["scope_id", "entity_code"]))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_stored_scope_reads_one_folder(spark, small, tmp_path):
+    stored = write_fact(small, str(tmp_path / "fact"))
+    text = plan(stored_scope(stored, " gujarat"))
+    assert re.search(r"PartitionFilters: \[[^]]*scope_name[^]]*= GUJARAT", text)
+
+
 def test_no_python_in_the_core(spark, small):
     for df in (
         M.entity_metrics(small), S.executive_summary(small), rule_report(small, strict_checks()),
