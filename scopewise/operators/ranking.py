@@ -30,6 +30,7 @@ from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
 MAX_ROWS_PER_TASK = 2_000_000
+MAX_REPORT_ROWS = 10_000
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 
@@ -178,18 +179,29 @@ def add_top_n(
     """The first ``limit`` rows of every scope, numbered.
 
     The filter on the row number lets Spark cut each scope to ``limit`` rows
-    before the shuffle, so a scope of any size is safe here.
+    before the shuffle, so a scope of any size is safe as long as the limit is
+    one of a report.
     """
     require_limit(limit)
     window = W.partitionBy(*spec.scope_keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= limit)
 
 
+def _top_by_rank(df: DataFrame, limit: int, rank: str, spec: FactSpec) -> DataFrame:
+    """The same for limits beyond a report, from ranks of the whole scope."""
+    ranked = add_ranks(df, spec).where(F.col(rank) <= limit)
+    return ranked.select(*df.columns, F.col(rank).cast("int").alias("ranking_position"))
+
+
 def top_n(df: DataFrame, limit: int, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    if limit > MAX_REPORT_ROWS:
+        return _top_by_rank(df, limit, "rank_total", spec)
     return add_top_n(df, limit, descending_order(spec), spec)
 
 
 def bottom_n(df: DataFrame, limit: int, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    if limit > MAX_REPORT_ROWS:
+        return _top_by_rank(df, limit, "rank_total_ascending", spec)
     return add_top_n(df, limit, ascending_order(spec), spec)
 
 

@@ -45,9 +45,12 @@ _WRONG, _RIGHT, _UNDEFINED = _cp1252_repairs()
 
 
 def _read(spark: SparkSession, path, what: str, **options: str) -> DataFrame:
-    """A header CSV as text columns, with doubled quotes as escape."""
+    """A header CSV as text columns, with doubled quotes as escape.
+
+    The headers of all files must agree.
+    """
     try:
-        reader = spark.read.options(header=True, escape='"', mode="PERMISSIVE", **options)
+        reader = spark.read.options(header=True, escape='"', enforceSchema=False, **options)
         return reader.csv(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
@@ -150,7 +153,7 @@ def read_lenient_text(
 def read_metrics(spark: SparkSession, path, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet") -> DataFrame:
     """Re-read written metrics under their declared schema."""
     schema = spec.metrics_schema()
-    options = {"header": True, "escape": '"'} if fmt == "csv" else {}
+    options = {"header": True, "escape": '"', "enforceSchema": False} if fmt == "csv" else {}
     table = spark.read.schema(schema).options(**options).format(fmt).load(path)
     # Columns that split the folders come last in the scan.
     return table.select(*schema.names)

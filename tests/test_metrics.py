@@ -163,7 +163,9 @@ def test_views(fact):
         R.top_n(metrics, 0)
 
 
-def test_top_n_equals_filtered_ranks(fact):
+@pytest.mark.parametrize("report_rows", [10_000, 1])
+def test_top_n_equals_filtered_ranks(fact, monkeypatch, report_rows):
+    monkeypatch.setattr(R, "MAX_REPORT_ROWS", report_rows)
     df = fact(skewed_rows())
     ranked = R.add_ranks(df)
     for found, rank in ((R.top_n(df, 4), "rank_total"), (R.bottom_n(df, 4), "rank_total_ascending")):

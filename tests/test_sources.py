@@ -50,6 +50,13 @@ def test_strict_fact_rejects(spark, tmp_path, row, message):
         tables.read_strict_fact(spark, path)
 
 
+def test_files_must_share_a_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "x,y\n1,2\n")
+    write(tmp_path / "b.csv", "y,x\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        tables.read_strict_text(spark, str(tmp_path)).collect()
+
+
 def test_missing_inputs(spark, tmp_path):
     missing = str(tmp_path / "none")
     for read in (
