@@ -265,53 +265,71 @@ def scope_qualification(
     scope: str,
     entity_code: str,
     total: str,
+    snapshot_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Which scopes are free of conflicting keys; one row per scope.
 
     ``qualified`` is the verdict on conflicts alone; ``unique_in_scope`` adds
     that no key repeats inside the scope, not even as an exact copy.  A scope
-    passes the release gate with both.
+    passes the release gate with both.  Snapshots are judged one by one.
     """
-    bad_rows = conflict_rows(df, key).groupBy(*key, scope).agg(F.count("*").alias("rows"))
-    touched = bad_rows.groupBy(scope).agg(F.count("*").alias("scope_conflicting_groups"))
-    national = bad_rows.groupBy(*key).agg(F.sum("rows").alias("rows")).agg(
-        F.struct(
-            F.count("*").alias("groups"),
-            F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"),
-        ).alias("national")
-    )
-    in_scope_copies = df.groupBy(*key, scope).agg(F.count("*").alias("rows"))
-    repeats = in_scope_copies.groupBy(scope).agg(
+    scopes = [*snapshot_cols, scope]
+    per_key = list(dict.fromkeys([*key, *scopes]))
+
+    # Rows per key and scope; everything about keys follows from this table.
+    copies = df.groupBy(*per_key).agg(F.count("*").alias("rows"))
+    repeats = copies.groupBy(*scopes).agg(
         F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0))
         .cast("bigint")
         .alias("scope_duplicate_rows")
     )
-    # Entities are counted from per-entity sums, so a large scope is spread
-    # over its entities before its own row is built.
-    entities = df.groupBy(scope, entity_code).agg(
+    # Entities are summed first, so a large scope is spread over its entities
+    # before its own row is built.
+    entities = df.groupBy(*scopes, entity_code).agg(
         F.count("*").alias("rows"), F.sum(total).alias("total")
     )
-    scopes = entities.groupBy(scope).agg(
+    sizes = entities.groupBy(*scopes).agg(
         F.sum("rows").cast("bigint").alias("scope_rows"),
         F.count(entity_code).alias("scope_entities"),
         F.sum("total").alias("scope_total"),
     )
-    groups = F.coalesce("scope_conflicting_groups", F.lit(0)).cast("bigint")
-    return (
-        scopes.join(touched, scope, "left")
-        .join(repeats, scope)
-        .withColumn("_national", national.scalar())
-        .select(
-            scope,
-            df.agg(F.count("*")).scalar().alias("national_rows"),
-            F.col("_national.groups").alias("national_conflicting_groups"),
-            F.col("_national.rows").alias("national_conflicting_rows"),
-            "scope_rows",
-            "scope_entities",
-            groups.alias("scope_conflicting_groups"),
-            "scope_duplicate_rows",
-            "scope_total",
-            (groups == 0).alias("qualified"),
-            (F.col("scope_duplicate_rows") == 0).alias("unique_in_scope"),
+    bad_rows = materialize(
+        conflict_rows(df, key).groupBy(*per_key).agg(F.count("*").alias("rows")), "conflicts"
+    )
+    touched = bad_rows.groupBy(*scopes).agg(F.count("*").alias("scope_conflicting_groups"))
+    found = sizes.join(repeats, scopes).join(touched, scopes, "left")
+
+    bad_keys = bad_rows.groupBy(*key, *[c for c in snapshot_cols if c not in key]).agg(
+        F.sum("rows").alias("rows")
+    )
+    conflicts = bad_keys.groupBy(*snapshot_cols).agg(
+        F.count("*").alias("national_conflicting_groups"),
+        F.sum("rows").alias("national_conflicting_rows"),
+    )
+    rows = df.groupBy(*snapshot_cols).agg(F.count("*").alias("national_rows"))
+    if snapshot_cols:
+        found = found.join(rows, list(snapshot_cols)).join(conflicts, list(snapshot_cols), "left")
+    else:
+        found = found.withColumns(
+            {
+                name: table.select(name).scalar()
+                for table in (rows, conflicts)
+                for name in table.columns
+            }
         )
+    groups = F.coalesce("scope_conflicting_groups", F.lit(0)).cast("bigint")
+    return found.select(
+        *scopes,
+        "national_rows",
+        *[
+            F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
+            for name in ("national_conflicting_groups", "national_conflicting_rows")
+        ],
+        "scope_rows",
+        "scope_entities",
+        groups.alias("scope_conflicting_groups"),
+        "scope_duplicate_rows",
+        "scope_total",
+        (groups == 0).alias("qualified"),
+        (F.col("scope_duplicate_rows") == 0).alias("unique_in_scope"),
     )

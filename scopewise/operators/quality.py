@@ -408,7 +408,10 @@ def metric_checks_per_scope(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> Dat
 
 def _metric_messages(spec: FactSpec) -> list[tuple[str, str]]:
     return [
-        *((f"negative_{p}", f"Column {p!r} contains negative values.") for p in spec.pct_cols),
+        *(
+            (f"negative_{p}", f"Column {p!r} contains missing or negative values.")
+            for p in spec.pct_cols
+        ),
         ("bad_rank_total", "Descending ranks are incomplete or duplicated."),
         ("bad_rank_total_ascending", "Ascending ranks are incomplete or duplicated."),
         *((f"above_100_{p}", f"Column {p!r} contains percentages above 100.") for p in spec.pct_cols),

@@ -118,8 +118,13 @@ def _ranks_by_range(df: DataFrame, spec: FactSpec, max_rows_per_task: int) -> Da
     ranked = placed.join(offsets, [*scope, "_slice"]).withColumn(
         "rank_total", F.col("_place") + F.col("_shift")
     )
-    runs = ranked.groupBy(*scope, spec.total).agg(
-        F.min("rank_total").alias("_run_start"), F.count("*").alias("_run_rows")
+    # Runs of equal totals, stored for the same reason.  A source with more
+    # distinct totals than fit is joined by sorting both sides instead.
+    runs = materialize(
+        ranked.groupBy(*scope, spec.total).agg(
+            F.min("rank_total").alias("_run_start"), F.count("*").alias("_run_rows")
+        ),
+        "runs",
     )
     run_end = F.col("_run_start") + F.col("_run_rows") - 1
     place_in_run = F.col("rank_total") - F.col("_run_start") + 1

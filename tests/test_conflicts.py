@@ -8,7 +8,7 @@ from scopewise.operators import conflicts as C
 from scopewise.operators import scoping
 from scopewise.operators.quality import count_duplicate_rows
 from scopewise.plans.release import check_scope, qualification_of_scopes
-from scopewise.spec import DEFAULT_SPEC, DataQualityError
+from scopewise.spec import DEFAULT_SPEC, DataQualityError, FactSpec
 
 KEY = DEFAULT_SPEC.key
 NATIONAL = [
@@ -130,6 +130,19 @@ def test_scope_qualification(fact):
             check_scope(scopes, target)
 
 
+def test_snapshots_are_judged_one_by_one(fact):
+    spec = FactSpec(snapshot_cols=("as_of",))
+    old = fact(NATIONAL[:3]).withColumn("as_of", F.lit("2025"))
+    new = fact(NATIONAL).withColumn("as_of", F.lit("2026"))
+    df = scoping.canonical_scope(old.unionByName(new))
+    rows = {(r["as_of"], r["scope_name"]): r for r in qualification_of_scopes(df, spec).collect()}
+    assert len(rows) == 5
+    assert rows["2025", "RAJASTHAN"]["qualified"] and rows["2025", "RAJASTHAN"]["national_rows"] == 3
+    assert rows["2025", "GUJARAT"]["unique_in_scope"]
+    assert not rows["2026", "RAJASTHAN"]["qualified"]
+    assert rows["2026", "GUJARAT"]["national_conflicting_rows"] == 2
+
+
 def test_policies_differ(fact, raw):
     df = fact(NATIONAL)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])

@@ -7,7 +7,7 @@ import pytest
 from scopewise.operators.provenance import Source
 from scopewise.plans import bundle, release
 from scopewise.plans.registry import check_registry
-from scopewise.sources.tables import REGISTRY_COLUMNS, read_metrics, read_strict_text
+from scopewise.sources.tables import REGISTRY_COLUMNS, read_metrics, read_qualifications, read_strict_text
 from scopewise.spec import DEFAULT_SPEC, DataQualityError
 
 HEADER = ",".join(DEFAULT_SPEC.required)
@@ -120,6 +120,15 @@ def test_gates(spark, tmp_path, changes, message):
     assert not (tmp_path / "out").exists()
 
 
+def test_a_null_field_is_not_missing(spark, tmp_path):
+    record = qualification(tmp_path / "q.json", write(tmp_path / "n.csv", NATIONAL), licence=None)
+    found = release.check_qualification(read_qualifications(spark, record), "Gujarat")
+    assert found["licence"] is None
+    empty = write(tmp_path / "e.json", "{}")
+    with pytest.raises(ValueError, match="licence, privacy_classification"):
+        release.check_qualification(read_qualifications(spark, empty), "Gujarat")
+
+
 def test_scope_gate(spark, tmp_path):
     source = write(tmp_path / "n.csv", NATIONAL)
     record = qualification(
