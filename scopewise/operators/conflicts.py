@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scopewise.functions.text import LIST_SEPARATOR
@@ -259,6 +260,20 @@ def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def _duplicate_counts(df: DataFrame, key: Sequence[str], per_key: Sequence[str]) -> DataFrame:
+    """Rows of duplicate keys per key and scope, with the verdict on the key.
+
+    The window only meets one row per key and scope.
+    """
+    row = F.struct(*df.columns)
+    parts = duplicate_members(df, key).groupBy(*per_key).agg(
+        F.count("*").alias("rows"), F.min(row).alias("low"), F.max(row).alias("high")
+    )
+    of_key = W.partitionBy(*key)
+    exact = F.min("low").over(of_key).eqNullSafe(F.max("high").over(of_key))
+    return parts.select(*per_key, "rows", (~exact).alias("conflicting"))
+
+
 def scope_qualification(
     df: DataFrame,
     key: Sequence[str],
@@ -274,14 +289,15 @@ def scope_qualification(
     passes the release gate with both.  Snapshots are judged one by one.
     """
     scopes = [*snapshot_cols, scope]
+    per_snapshot_key = list(dict.fromkeys([*snapshot_cols, *key]))
     per_key = list(dict.fromkeys([*key, *scopes]))
 
-    # Rows per key and scope; everything about keys follows from this table.
-    copies = df.groupBy(*per_key).agg(F.count("*").alias("rows"))
-    repeats = copies.groupBy(*scopes).agg(
-        F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0))
-        .cast("bigint")
-        .alias("scope_duplicate_rows")
+    # Only duplicate keys can conflict or repeat in a scope.
+    parts = materialize(_duplicate_counts(df, key, per_key), "duplicates")
+    repeated = F.when(F.col("rows") > 1, F.col("rows"))
+    by_scope = parts.groupBy(*scopes).agg(
+        F.count_if("conflicting").alias("scope_conflicting_groups"),
+        F.sum(repeated).alias("scope_duplicate_rows"),
     )
     # Entities are summed first, so a large scope is spread over its entities
     # before its own row is built.
@@ -293,15 +309,9 @@ def scope_qualification(
         F.count(entity_code).alias("scope_entities"),
         F.sum("total").alias("scope_total"),
     )
-    bad_rows = materialize(
-        conflict_rows(df, key).groupBy(*per_key).agg(F.count("*").alias("rows")), "conflicts"
-    )
-    touched = bad_rows.groupBy(*scopes).agg(F.count("*").alias("scope_conflicting_groups"))
-    found = sizes.join(repeats, scopes).join(touched, scopes, "left")
+    found = sizes.join(by_scope, scopes, "left")
 
-    bad_keys = bad_rows.groupBy(*key, *[c for c in snapshot_cols if c not in key]).agg(
-        F.sum("rows").alias("rows")
-    )
+    bad_keys = parts.where("conflicting").groupBy(*per_snapshot_key).agg(F.sum("rows").alias("rows"))
     conflicts = bad_keys.groupBy(*snapshot_cols).agg(
         F.count("*").alias("national_conflicting_groups"),
         F.sum("rows").alias("national_conflicting_rows"),
@@ -317,19 +327,21 @@ def scope_qualification(
                 for name in table.columns
             }
         )
-    groups = F.coalesce("scope_conflicting_groups", F.lit(0)).cast("bigint")
-    return found.select(
+    counts = (
+        "national_conflicting_groups",
+        "national_conflicting_rows",
+        "scope_conflicting_groups",
+        "scope_duplicate_rows",
+    )
+    whole = found.withColumns({c: F.coalesce(c, F.lit(0)).cast("bigint") for c in counts})
+    return whole.select(
         *scopes,
         "national_rows",
-        *[
-            F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
-            for name in ("national_conflicting_groups", "national_conflicting_rows")
-        ],
+        *counts[:2],
         "scope_rows",
         "scope_entities",
-        groups.alias("scope_conflicting_groups"),
-        "scope_duplicate_rows",
+        *counts[2:],
         "scope_total",
-        (groups == 0).alias("qualified"),
+        (F.col("scope_conflicting_groups") == 0).alias("qualified"),
         (F.col("scope_duplicate_rows") == 0).alias("unique_in_scope"),
     )
