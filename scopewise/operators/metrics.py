@@ -45,11 +45,12 @@ def entity_metrics(
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """All derived columns for every scope at once: base columns plus nine."""
-    base = df.select(*spec.snapshot_cols, *spec.required, *_extra_scope_col(df, spec))
+    base = df.select(*spec.snapshot_cols, *spec.required, *spec.extra_cols)
     ranked = add_ranks(base, spec, strategy, max_rows_per_task)
     shared = category_shares(ranked, spec)
     return shared.select(
-        *base.columns,
+        *spec.snapshot_cols,
+        *spec.required,
         "rank_total",
         "rank_total_ascending",
         *spec.share_cols,
@@ -59,8 +60,5 @@ def entity_metrics(
         (F.col("rank_total_ascending") <= F.least(F.lit(RANK_CUTOFF), "scope_rows")).alias(
             "bottom_10_flag"
         ),
+        *spec.extra_cols,
     )
-
-
-def _extra_scope_col(df: DataFrame, spec: FactSpec) -> list[str]:
-    return [spec.scope_col] if spec.scope_col not in spec.required else []

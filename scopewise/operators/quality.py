@@ -462,10 +462,14 @@ def metric_report(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     return lines[0].unionByName(lines[1])
 
 
-def enforce_metrics(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> None:
-    """The fact suite, then every metric rule; raises for the first broken one."""
+def enforce_metrics(df: DataFrame, spec: FactSpec = DEFAULT_SPEC, with_base: bool = True) -> None:
+    """The fact suite, then every metric rule; raises for the first broken one.
+
+    ``with_base=False`` serves metrics of a fact that was checked before.
+    """
     require_columns(df, [*spec.required, *spec.derived])
-    enforce(df, strict_checks(spec))
+    if with_base:
+        enforce(df, strict_checks(spec))
     messages = dict(_metric_messages(spec))
     broken = metric_report(df, spec).where("scopes > 0").orderBy("ordinal").first()
     if broken:

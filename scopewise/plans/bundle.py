@@ -30,7 +30,7 @@ from scopewise.operators.provenance import (
 )
 from scopewise.operators.quality import enforce_metrics
 from scopewise.operators.ranking import pick_strategy, require_limit
-from scopewise.operators.scoping import load_fact, validate_then_filter
+from scopewise.operators.scoping import canonical_scope, load_fact, validate_then_filter
 from scopewise.operators.views import ranking_view
 from scopewise.session import materialize
 from scopewise.sources.files import inventory
@@ -51,18 +51,19 @@ def data_dictionary(spark: SparkSession, spec: FactSpec = DEFAULT_SPEC) -> DataF
         "top_10_flag": "rank_total <= 10",
         "bottom_10_flag": "rank_total_ascending <= 10",
     }
+    calculations |= dict.fromkeys(spec.extra_cols, "scope name in one spelling")
+    derived = {*spec.derived, *spec.extra_cols}
     kinds = {"bigint": "whole_number", "double": "decimal_number", "string": "text"}
     rows = [
-        (
-            f.name,
-            kinds.get(f.dataType.simpleString(), f.dataType.simpleString()),
-            "derived" if f.name in spec.derived else "source",
-            calculations.get(f.name, ""),
+        F.struct(
+            F.lit(f.name).alias("field_name"),
+            F.lit(kinds.get(f.dataType.simpleString(), f.dataType.simpleString())).alias("data_type"),
+            F.lit("derived" if f.name in derived else "source").alias("field_origin"),
+            F.lit(calculations.get(f.name, "")).alias("calculation"),
         )
         for f in spec.metrics_schema()
     ]
-    columns = "field_name string, data_type string, field_origin string, calculation string"
-    return spark.createDataFrame(rows, columns)
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def write_fact(
@@ -76,7 +77,7 @@ def write_fact(
     """
     strategy = pick_strategy(fact, spec)
     metrics = entity_metrics(fact, spec, strategy)
-    ordered = metrics.select(*spec.snapshot_cols, *spec.required, *spec.derived)
+    ordered = metrics.select(*spec.output_cols)
     if strategy == "range":
         ordered = ordered.hint("rebalance", *spec.scope_keys)
     ordered = ordered.sortWithinPartitions(*spec.scope_keys, "rank_total")
@@ -97,17 +98,17 @@ def write_data_package(
 ) -> DataFrame:
     """Write everything below ``out/data``; returns the stored metrics.
 
-    The metrics are computed once; checks, views and KPIs read what was
-    written.
+    Expects a checked fact.  The metrics are computed once; their rules, views
+    and KPIs read what was written.
     """
     require_limit(limit)
     spark = fact.sparkSession
     stored = write_fact(fact, f"{out}/data/fact", spec, fact_format)
-    enforce_metrics(stored, spec)
+    enforce_metrics(stored, spec, with_base=False)
     write_csv(ranking_view(stored, limit, spec), f"{out}/data/rankings")
     write_json_rows(qualified_summary(stored, source, spec), f"{out}/data/summary")
     write_json_rows(qualified_provenance(stored, source, "fact", spec), f"{out}/data/metadata")
-    write_csv(data_dictionary(spark, spec), f"{out}/data/dictionary", single_file=True)
+    write_csv(data_dictionary(spark, spec), f"{out}/data/dictionary")
     return stored
 
 
@@ -135,6 +136,7 @@ def write_manifest(
         F.lit(name).alias("name"),
         generated_at().alias("generated_at_utc"),
         F.lit(fact_format).alias("fact_format"),
+        F.lit(spec.scope_col).alias("scope_column"),
         F.lit(source.source_id).cast("string").alias("source_id"),
         F.lit(source.file_name).cast("string").alias("source_file_name"),
         F.lit(source.sha256).cast("string").alias("source_sha256"),
@@ -143,7 +145,7 @@ def write_manifest(
         "row_count",
         *[f"{c}_total" for c in (*spec.categories, spec.total)],
         rankings.agg(F.count("*")).scalar().alias("ranking_row_count"),
-        F.lit(len(spec.metrics_schema())).alias("dictionary_row_count"),
+        F.lit(len(spec.output_cols)).alias("dictionary_row_count"),
         size.scalar().alias("file_count"),
         _names(spec.required).alias("base_columns"),
         _names(spec.derived).alias("derived_columns"),
@@ -154,6 +156,14 @@ def write_manifest(
     return spark.read.json(f"{out}/manifest/header")
 
 
+def strict_scopes(raw: DataFrame, target: str | None, spec: FactSpec) -> DataFrame:
+    """All rows checked; then one scope, or all, under canonical labels."""
+    fact = load_fact(raw, spec)
+    if target is None:
+        return canonical_scope(fact, spec)
+    return validate_then_filter(fact, target, spec)
+
+
 def write_bundle(
     raw: DataFrame,
     out: str,
@@ -168,9 +178,7 @@ def write_bundle(
     Without a ``target`` every scope is published.  Returns the header.
     """
     require_limit(limit)
-    fact = load_fact(raw, spec)
-    if target is not None:
-        fact = validate_then_filter(fact, target, spec)
+    fact = strict_scopes(raw, target, spec)
     stored = write_data_package(fact, out, source, spec, limit, fact_format)
     return write_manifest(stored, out, "Data package", source, spec, fact_format)
 
@@ -185,10 +193,8 @@ def write_processed(
     fact_format: str = "csv",
 ) -> DataFrame:
     """The processed pair: metrics and their provenance."""
-    fact = load_fact(raw, spec)
-    if target is not None:
-        fact = validate_then_filter(fact, target, spec)
+    fact = strict_scopes(raw, target, spec)
     stored = write_fact(fact, fact_path, spec, fact_format)
-    enforce_metrics(stored, spec)
+    enforce_metrics(stored, spec, with_base=False)
     write_json_rows(qualified_provenance(stored, source, fact_path, spec), metadata_path)
     return raw.sparkSession.read.json(metadata_path)

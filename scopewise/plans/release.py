@@ -12,7 +12,7 @@ from scopewise.operators.provenance import Source, release_totals, release_valid
 from scopewise.operators.quality import enforce, enforce_metrics, lenient_row_checks, strict_checks
 from scopewise.operators.ranking import require_limit
 from scopewise.operators.reconcile import verify_manifest
-from scopewise.operators.scoping import in_scope, project_required, typed_fact
+from scopewise.operators.scoping import project_required, typed_fact
 from scopewise.plans.bundle import write_data_package, write_manifest
 from scopewise.session import materialize
 from scopewise.sources.files import inventory
@@ -92,6 +92,7 @@ def write_release(
 ) -> DataFrame:
     """Filter-then-validate release of one scope; returns the manifest header.
 
+    Names keep the spelling of the source, so scopes are told apart by key.
     The source is parsed once and hashed once; all later steps read the stored
     columns.
     """
@@ -103,11 +104,13 @@ def write_release(
     text, encodings = read_lenient_text(spark, source_path)
     required = project_required(text, spec)
     enforce(required, lenient_row_checks(spec))
-    national = materialize(typed_fact(required, spec), "national")
+    spec = spec.keyed()
+    key = scope_key(F.col(spec.scope_name)).alias(spec.scope_col)
+    national = materialize(typed_fact(required, spec).select("*", key), "national")
 
     qualification = materialize(qualification_of_scopes(national, spec), "scopes")
     verdict = check_scope(qualification, target, spec)
-    scoped = national.where(in_scope(target, spec))
+    scoped = national.where(F.col(spec.scope_col) == scope_key(F.lit(target)))
     enforce(scoped, strict_checks(spec))
 
     source = Source(
@@ -182,6 +185,8 @@ def verify_release(spark: SparkSession, out: str, spec: FactSpec = DEFAULT_SPEC)
         raise ValueError(f"{kind} mismatch for {path}.")
     header_table = spark.read.json(f"{out}/manifest/header")
     header = header_table.first()
+    if header["scope_column"] != spec.scope_col:
+        spec = spec.keyed()
     stored = read_metrics(spark, f"{out}/data/fact", spec, header["fact_format"])
     enforce_metrics(stored, spec)
     wrong = [r["figure"] for r in reconcile_release(stored, header_table, spec).where("not matches").collect()]

@@ -159,6 +159,7 @@ def read_metrics(spark: SparkSession, path, spec: FactSpec = DEFAULT_SPEC, fmt:
     return table.select(*schema.names)
 
 
+# The names in a qualification record.
 QUALIFICATION_SCHEMA = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -193,6 +194,7 @@ def read_qualifications(spark: SparkSession, path) -> DataFrame:
     return parsed.select("record.*", "fields")
 
 
+# The columns of a source registry.
 REGISTRY_COLUMNS = (
     "source_id",
     "publisher",

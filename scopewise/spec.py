@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -80,6 +80,19 @@ class FactSpec:
             "bottom_10_flag",
         )
 
+    @property
+    def extra_cols(self) -> tuple[str, ...]:
+        """The scope column, where it is none of the required ones."""
+        return () if self.scope_col in self.required else (self.scope_col,)
+
+    @property
+    def output_cols(self) -> tuple[str, ...]:
+        return (*self.snapshot_cols, *self.required, *self.derived, *self.extra_cols)
+
+    def keyed(self) -> FactSpec:
+        """The same fact, grouped by a spelling-independent scope key."""
+        return replace(self, scope_col="scope_key")
+
     @property
     def dominant_labels(self) -> tuple[str, ...]:
         return (*(name.upper() for name in self.categories), TIE, NO_REGISTRATIONS)
@@ -108,6 +121,7 @@ class FactSpec:
             [
                 *self.fact_schema().fields,
                 *(T.StructField(n, kinds.get(n, T.DoubleType())) for n in self.derived),
+                *(T.StructField(n, T.StringType()) for n in self.extra_cols),
             ]
         )
 

@@ -4,15 +4,17 @@ from pathlib import Path
 
 import pytest
 
+from scopewise.operators.metrics import entity_metrics
 from scopewise.operators.provenance import Source
 from scopewise.plans import bundle, release
 from scopewise.plans.registry import check_registry
+from scopewise.session import scratch_path
 from scopewise.sources.tables import REGISTRY_COLUMNS, read_metrics, read_qualifications, read_strict_text
 from scopewise.spec import DEFAULT_SPEC, DataQualityError
 
 HEADER = ",".join(DEFAULT_SPEC.required)
 NATIONAL = (
-    f"{HEADER}\nGujarat,24,ALPHA,101,20,200,30,250\nGujarat,24,BETA,102,20,100,10,130\n"
+    f"{HEADER}\nGujarat,24,ALPHA,101,20,200,30,250\nGUJARAT,24,BETA,102,20,100,10,130\n"
     "RAJASTHAN,8,JAIPUR,102,1,50,5,56\nRAJASTHAN,8,DUDU,102,0,5,1,6\n"
 )
 CLEAN = "\n".join(NATIONAL.split("\n")[:4]) + "\n"
@@ -54,10 +56,12 @@ def test_release(spark, released):
     assert (header["national_conflicting_groups"], header["national_conflicting_rows"]) == (1, 2)
     assert header["publication_allowed"] is False and header["qualified"] is True
     assert header["encodings"] == ["utf-8-sig"]
-    assert (header["ranking_row_count"], header["dictionary_row_count"]) == (4, 17)
+    assert (header["ranking_row_count"], header["dictionary_row_count"]) == (4, 18)
     assert release.verify_release(spark, out)["row_count"] == 2
-    fact = read_metrics(spark, f"{out}/data/fact")
-    assert fact.columns == [*DEFAULT_SPEC.required, *DEFAULT_SPEC.derived]
+    fact = read_metrics(spark, f"{out}/data/fact", DEFAULT_SPEC.keyed())
+    assert fact.columns == [*DEFAULT_SPEC.required, *DEFAULT_SPEC.derived, "scope_key"]
+    # Two spellings of one scope are ranked together and kept as they were.
+    assert {(r["scope_name"], r["rank_total"]) for r in fact.collect()} == {("Gujarat", 1), ("GUJARAT", 2)}
     validation = spark.read.json(f"{out}/validation").first()
     assert validation["mean_share_sum"] == 100.0 and validation["highest_entity_name"] == "ALPHA"
     metadata = spark.read.json(f"{out}/data/metadata").first()
@@ -66,7 +70,7 @@ def test_release(spark, released):
     assert '"source_as_of_date":null' in raw_metadata
 
 
-@pytest.mark.parametrize("folder", ["data/rankings", "data/fact/scope_name=Gujarat", "validation"])
+@pytest.mark.parametrize("folder", ["data/rankings", "data/fact/scope_key=gujarat", "validation"])
 def test_any_changed_file_is_found(spark, released, folder):
     out, _ = released
     victim = next(p for p in sorted(Path(out, folder).iterdir()) if p.name.startswith("part-"))
@@ -151,6 +155,33 @@ def test_bundle(spark, tmp_path, fact_format):
     assert (scoped["row_count"], scoped["total_total"], scoped["ranking_row_count"]) == (2, 380, 4)
 
 
+def test_bundle_joins_spellings_under_one_label(spark, tmp_path):
+    raw = read_strict_text(spark, write(tmp_path / "c.csv", CLEAN))
+    out = str(tmp_path / "b")
+    bundle.write_bundle(raw, out, Source("S", "c.csv"))
+    rows = read_metrics(spark, f"{out}/data/fact").collect()
+    assert {(r["scope_name"], r["entity_name"], r["rank_total"]) for r in rows} == {
+        ("GUJARAT", "ALPHA", 1), ("GUJARAT", "BETA", 2), ("RAJASTHAN", "JAIPUR", 1),
+    }
+
+
+def test_numeric_scope_names_stay_text(fact):
+    df = fact([("024", "024", "X", "001", 1, 0, 0)])
+    scratch = scratch_path(df.sparkSession, "text")
+    row = bundle.write_fact(df, scratch).first()
+    assert (row["scope_name"], row["scope_id"], row["entity_code"]) == ("024", "024", "001")
+
+
+@pytest.mark.parametrize("fact_format", ["parquet", "csv"])
+def test_facts_ranked_by_range_are_written_whole(fact, monkeypatch, fact_format):
+    monkeypatch.setattr(bundle, "pick_strategy", lambda *_: "range")
+    rows = [(f"S{i % 3}", str(i % 3), f"E{i % 11}", str(i), i % 7, 1, 0) for i in range(200)]
+    df = fact(rows)
+    stored = bundle.write_fact(df, scratch_path(df.sparkSession, "range"), fmt=fact_format)
+    expected = entity_metrics(df, strategy="window")
+    assert stored.exceptAll(expected).isEmpty() and expected.exceptAll(stored).isEmpty()
+
+
 def test_bundle_rejects(spark, tmp_path):
     raw = read_strict_text(spark, write(tmp_path / "n.csv", NATIONAL))
     out = str(tmp_path / "b")
