@@ -45,6 +45,17 @@ def _location(uri: str):
     return filesystem, path.rstrip("/")
 
 
+def _qualified(spark: SparkSession, root: str) -> str:
+    """The location as Arrow names it; a bare path lies in the default file system."""
+    scheme, rest = urlparse(root).scheme, root.partition(":")[2]
+    if scheme in ("s3a", "s3n"):
+        return "s3:" + rest
+    if scheme:
+        return root
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return root if default.startswith("file:") else default.rstrip("/") + root
+
+
 def _walk_task(open_location, root: str):
     """Files below each listed first-level entry.
 
@@ -104,6 +115,7 @@ def list_files(spark: SparkSession, root: str, include_hidden: bool = False) ->
     """
     from pyarrow import fs
 
+    root = _qualified(spark, root)
     filesystem, base = _location(root)
     info = filesystem.get_file_info(base)
     if info.type == fs.FileType.NotFound:
@@ -136,6 +148,7 @@ def inventory(spark: SparkSession, root: str, include_hidden: bool = False) -> D
     from pyarrow import fs
 
     listed = list_files(spark, root, include_hidden)
+    root = _qualified(spark, root)
     filesystem, base = _location(root)
     single = filesystem.get_file_info(base).type == fs.FileType.File
     # The list is a few bytes per file, the work behind it is not: a fixed

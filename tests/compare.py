@@ -31,11 +31,23 @@ def rows_of(columns, rows) -> list[tuple]:
     return sorted(plain, key=lambda row: tuple((v is None, str(type(v)), v if v is not None else 0) for v in row))
 
 
-def spark_rows(df) -> tuple[list[str], list[tuple]]:
-    return sorted(df.columns), rows_of(df.columns, df.collect())
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+}
 
 
-def duckdb_rows(connection, sql: str) -> tuple[list[str], list[tuple]]:
+def spark_types(df) -> list[tuple[str, str]]:
+    return sorted((name, SQL_TYPES[kind]) for name, kind in df.dtypes)
+
+
+def duckdb_types(connection, sql: str) -> list[tuple[str, str]]:
+    return sorted(row[:2] for row in connection.execute(f"DESCRIBE {sql}").fetchall())
+
+
+def spark_rows(df) -> list[tuple]:
+    return rows_of(df.columns, df.collect())
+
+
+def duckdb_rows(connection, sql: str) -> list[tuple]:
     result = connection.execute(sql)
-    columns = [d[0] for d in result.description]
-    return sorted(columns), rows_of(columns, result.fetchall())
+    return rows_of([d[0] for d in result.description], result.fetchall())

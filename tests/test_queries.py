@@ -20,9 +20,10 @@ def database():
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
 def test_matches_sql(spark, database, name):
     query = QUERIES[name]
-    columns, rows = compare.spark_rows(query.run(spark, SF_DIR))
-    expected_columns, expected = compare.duckdb_rows(database, query.sql)
-    assert columns == expected_columns
+    result = query.run(spark, SF_DIR)
+    assert compare.spark_types(result) == compare.duckdb_types(database, query.sql)
+    rows = compare.spark_rows(result)
+    expected = compare.duckdb_rows(database, query.sql)
     assert rows == expected
     assert rows
 
