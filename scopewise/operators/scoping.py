@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scopewise.functions.text import scope_key, scope_label, strip_text
 from scopewise.operators.quality import (
+    Suite,
     broken_rules,
     enforce,
     lenient_row_checks,
@@ -40,7 +41,10 @@ def project_required(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
 
 
 def typed_fact(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    """Trim text and parse counts; a count that does not parse becomes null."""
+    """Trim text and parse counts; a count that does not parse becomes null.
+
+    A spec grouped by scope key gets that key as an extra column.
+    """
     parsed = project_required(df, spec)
     for step in numeric_helpers(spec.count_cols):
         parsed = parsed.withColumns(step)
@@ -48,24 +52,35 @@ def typed_fact(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
         *spec.snapshot_cols,
         *[strip_text(F.col(c).cast("string")).alias(c) for c in spec.text_cols],
         *[F.col(f"_count_{c}").alias(c) for c in spec.count_cols],
+        *[scope_key(F.col(spec.scope_name)).alias(c) for c in spec.extra_cols],
     )
 
 
-def load_fact(raw: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    """Strict load: the source is parsed once, stored, and checked as stored.
+def _load(raw: DataFrame, spec: FactSpec, with_key: bool, precise: Suite) -> DataFrame:
+    """Parse the source once, store it, and check what was stored.
 
-    Only a broken source is parsed again, to tell why a count did not parse:
-    those rules come before all others.
+    Only a broken source is parsed again: the ``precise`` rules read its text
+    and tell why a value did not parse.
     """
     required = project_required(raw, spec)
     fact = materialize(typed_fact(required, spec), "fact")
-    messages = broken_rules(fact, strict_checks(spec))
+    messages = broken_rules(fact, strict_checks(spec, with_key))
     if messages:
-        enforce(required, parse_checks(spec))
+        enforce(required, precise)
         raise DataQualityError(messages[0])
     return fact
 
 
+def load_fact(raw: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    """Strict load: parse rules first, then all others, key uniqueness included."""
+    return _load(raw, spec, True, parse_checks(spec))
+
+
+def load_lenient_fact(raw: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    """Lenient load: row rules only, keys may repeat."""
+    return _load(raw, spec, False, lenient_row_checks(spec))
+
+
 def in_scope(target: str, spec: FactSpec = DEFAULT_SPEC) -> Column:
     return scope_key(F.col(spec.scope_name)) == scope_key(F.lit(target))
 
@@ -96,9 +111,7 @@ def validate_then_filter(df: DataFrame, target: str, spec: FactSpec = DEFAULT_SP
 
 
 def filter_then_validate(raw: DataFrame, target: str, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    required = project_required(raw, spec)
-    enforce(required, lenient_row_checks(spec))
-    scoped = typed_fact(required, spec).where(in_scope(target, spec))
+    scoped = load_lenient_fact(raw, spec).where(in_scope(target, spec))
     if scoped.isEmpty():
         raise DataQualityError(f"The source contains no {target} records.")
     enforce(scoped, strict_checks(spec))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from scopewise.functions.text import scope_key
 from scopewise.operators.conflicts import scope_qualification
 from scopewise.operators.provenance import Source, release_totals, release_validation
-from scopewise.operators.quality import enforce, enforce_metrics, lenient_row_checks, strict_checks
+from scopewise.operators.quality import enforce, enforce_metrics, strict_checks
 from scopewise.operators.ranking import require_limit
 from scopewise.operators.reconcile import verify_manifest
-from scopewise.operators.scoping import project_required, typed_fact
+from scopewise.operators.scoping import load_lenient_fact
 from scopewise.plans.bundle import write_data_package, write_manifest
 from scopewise.session import materialize
 from scopewise.sources.files import inventory
@@ -102,11 +102,8 @@ def write_release(
     check_source_hash(spark, source_path, qualifications)
 
     text, encodings = read_lenient_text(spark, source_path)
-    required = project_required(text, spec)
-    enforce(required, lenient_row_checks(spec))
     spec = spec.keyed()
-    key = scope_key(F.col(spec.scope_name)).alias(spec.scope_col)
-    national = materialize(typed_fact(required, spec).select("*", key), "national")
+    national = load_lenient_fact(text, spec)
 
     qualification = materialize(qualification_of_scopes(national, spec), "scopes")
     verdict = check_scope(qualification, target, spec)

@@ -220,11 +220,15 @@ def read_registry(spark: SparkSession, path, multiline: bool = False) -> DataFra
     """
     raw = _read(spark, path, "Source registry", multiLine=str(multiline).lower())
     names = raw.columns
-    blocks = raw.select(
-        *[_cell(c) for c in names],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+    # Stored, because a second scan might split the files differently.
+    blocks = materialize(
+        raw.select(
+            *[F.coalesce(_cell(c), F.lit("")).alias(c.strip()) for c in names],
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
+        ),
+        "registry",
     )
     sizes = blocks.groupBy("_file", "_block").agg(
         F.min("_id").alias("_first"), F.count("*").alias("_rows")
@@ -234,6 +238,5 @@ def read_registry(spark: SparkSession, path, multiline: bool = False) -> DataFra
     shifts = sizes.select("_file", "_block", (before - F.col("_first") + 2).alias("_shift"))
     numbered = blocks.join(shifts, ["_file", "_block"])
     return numbered.select(
-        *[F.coalesce(_cell(c), F.lit("")).alias(c.strip()) for c in names],
-        (F.col("_id") + F.col("_shift")).alias("row_no"),
+        *[_cell(c.strip()) for c in names], (F.col("_id") + F.col("_shift")).alias("row_no")
     )
