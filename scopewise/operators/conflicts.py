@@ -8,7 +8,7 @@ keys, which are a small part of a sound source.
 The value lists of a key are single cells.  Keys of up to ``MAX_GROUP_ROWS``
 rows are profiled in one grouping.  Larger ones are first collapsed to their
 distinct rows and values, spread over all tasks; such a key gets a list only
-for columns with at most ``MAX_GROUP_ROWS`` distinct values, and
+for columns with at most ``MAX_LIST_VALUES`` distinct values, and
 ``conflict_values`` has all of them, one per row.
 """
 
@@ -24,7 +24,8 @@ from scopewise.functions.text import LIST_SEPARATOR
 from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
-MAX_GROUP_ROWS = 100_000
+MAX_GROUP_ROWS = 10_000
+MAX_LIST_VALUES = 100_000
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -73,6 +74,7 @@ def conflict_profile(
     columns: Sequence[str],
     in_scope: Column,
     max_rows: int = MAX_GROUP_ROWS,
+    max_values: int = MAX_LIST_VALUES,
 ) -> DataFrame:
     """Every duplicate key with its verdict and the values of ``columns``.
 
@@ -86,7 +88,7 @@ def conflict_profile(
     large = flagged.where(F.col("row_count") > max_rows)
     if large.isEmpty():
         return small
-    return small.unionByName(_profile_large(large, df.columns, key, columns, max_rows))
+    return small.unionByName(_profile_large(large, df.columns, key, columns, max_values))
 
 
 def _profile_small(
@@ -168,11 +170,10 @@ def key_conflicts(
     key: Sequence[str],
     in_scope: Column,
     spec: FactSpec = DEFAULT_SPEC,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Every duplicate key with its verdict and its scope and entity names."""
     names = (spec.scope_name, spec.entity_name)
-    return conflict_profile(df, key, names, in_scope, max_rows).select(
+    return conflict_profile(df, key, names, in_scope).select(
         *key,
         "row_count",
         F.col(f"{spec.scope_name}_list").alias("scope_names"),
@@ -187,13 +188,12 @@ def conflict_detail(
     key: Sequence[str],
     columns: Sequence[str],
     in_scope: Column,
-    max_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Verdict per duplicate key with the columns that differ and their values."""
     changing = F.array_compact(
         F.array(*[F.when(F.col(f"{c}_values") > 1, F.lit(c)) for c in columns])
     )
-    return conflict_profile(df, key, columns, in_scope, max_rows).select(
+    return conflict_profile(df, key, columns, in_scope).select(
         *key,
         "row_count",
         "distinct_full_row_count",

@@ -15,13 +15,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.functions.numeric import count_of, is_fractional, number_of, parse_number, row_sum
+from scopewise.functions.numeric import (
+    count_of,
+    is_fractional,
+    number_of,
+    parse_number,
+    percentage,
+    row_sum,
+)
 from scopewise.functions.text import is_blank, scope_key, strip_text
+from scopewise.operators.metrics import scope_totals_per_row
 from scopewise.spec import (
     CONTRIBUTION_TOLERANCE,
     DEFAULT_SPEC,
     RANK_CUTOFF,
     ROW_SHARE_TOLERANCE,
+    SHARE_VALUE_TOLERANCE,
     DataQualityError,
     FactSpec,
 )
@@ -406,6 +415,20 @@ def metric_checks_per_scope(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> Dat
     )
 
 
+def contribution_values(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    """Rows per scope whose contribution is not the rounded true value.
+
+    The sum alone says little about a scope of many rows.
+    """
+    exact = percentage(F.col(spec.total), F.col("scope_total"))
+    off = F.abs(F.col("scope_total_share_pct") - exact) > SHARE_VALUE_TOLERANCE
+    return (
+        scope_totals_per_row(df, spec)
+        .groupBy(*spec.scope_keys)
+        .agg(F.count("*").alias("rows"), violations(off).alias("share_value_off"))
+    )
+
+
 def _metric_messages(spec: FactSpec) -> list[tuple[str, str]]:
     return [
         *(
@@ -418,6 +441,7 @@ def _metric_messages(spec: FactSpec) -> list[tuple[str, str]]:
         ("share_sum_off", "Category percentages do not total 100 for every entity."),
         ("zero_row_shares", "Entities without registrations must have zero category shares."),
         ("contribution_off", "Contribution percentages do not total 100."),
+        ("share_value_off", "Contribution percentages do not match the totals."),
         ("bad_category", "Invalid dominant categories are present."),
         ("bad_top_flag", "Top-10 flags do not match the ranks."),
         ("bad_bottom_flag", "Bottom-10 flags do not match the ranks."),
@@ -441,6 +465,9 @@ def metric_report(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
             for r in ("rank_total", "rank_total_ascending")
         ]
     )
+    values = contribution_values(df, spec).agg(
+        violations(F.col("share_value_off") > 0).alias("share_value_off")
+    )
     order = {rule: i for i, (rule, _) in enumerate(messages, 1)}
     lines = [
         table.select(
@@ -457,9 +484,9 @@ def metric_report(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
                 )
             )
         )
-        for table in (sums, ranks)
+        for table in (sums, ranks, values)
     ]
-    return lines[0].unionByName(lines[1])
+    return reduce(DataFrame.unionByName, lines)
 
 
 def enforce_metrics(df: DataFrame, spec: FactSpec = DEFAULT_SPEC, with_base: bool = True) -> None:

@@ -294,6 +294,16 @@ def q_contribution_sum(spark, sf_dir):
     )
 
 
+@query(
+    f"WITH {B.ENTITY}, {B.METRICS}, t AS (SELECT *, sum(total) OVER (PARTITION BY scope_name) AS whole "
+    "FROM metrics) SELECT scope_name, count(*) AS \"rows\", count(*) FILTER (WHERE abs("
+    "scope_total_share_pct - CAST(total AS DOUBLE) / CAST(whole AS DOUBLE) * 100) > 1e-4) "
+    "AS share_value_off FROM t GROUP BY scope_name"
+)
+def q_contribution_values(spark, sf_dir):
+    return Q.contribution_values(entity_metrics(B.entity(spark, sf_dir)))
+
+
 @query(
     f"WITH {B.ENTITY}, {B.METRICS} SELECT scope_name, count(*) AS \"rows\", "
     "count(*) FILTER (WHERE top_10_flag <> (rank_total <= 10)) AS bad_top_flag, "

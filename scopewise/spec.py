@@ -19,6 +19,7 @@ SHARE_DECIMALS = 4
 AVERAGE_DECIMALS = 2
 ROW_SHARE_TOLERANCE = 0.01
 CONTRIBUTION_TOLERANCE = 0.05
+SHARE_VALUE_TOLERANCE = 1e-4
 
 
 @dataclass(frozen=True)

@@ -68,11 +68,14 @@ def brute_force(rows):
     }
 
 
-@pytest.mark.parametrize("max_rows", [100_000, 70, 10])
-def test_small_and_large_groups_equal_brute_force(fact, max_rows):
+@pytest.mark.parametrize(
+    ("max_rows", "max_values"), [(100_000, 100_000), (70, 100_000), (70, 50), (10, 10), (2, 3)]
+)
+def test_small_and_large_groups_equal_brute_force(fact, max_rows, max_values):
     rows = many_rows()
     columns = ("scope_name", "entity_name")
-    found = C.conflict_profile(fact(rows), KEY, columns, IN_GUJARAT("b"), max_rows).collect()
+    profile = C.conflict_profile(fact(rows), KEY, columns, IN_GUJARAT("b"), max_rows, max_values)
+    found = profile.collect()
     expected = brute_force(rows)
     assert {(r["scope_id"], r["entity_code"]) for r in found} == set(expected)
     for r in found:
@@ -81,7 +84,7 @@ def test_small_and_large_groups_equal_brute_force(fact, max_rows):
         assert r["conflicting"] == (distinct > 1)
         assert (r["scope_name_values"], r["entity_name_values"]) == (len(scopes), len(names))
         assert r["scope_name_list"] == scopes
-        long_list = count > max_rows and len(names) > max_rows
+        long_list = count > max_rows and len(names) > max_values
         assert r["entity_name_list"] == (None if long_list else names)
 
 

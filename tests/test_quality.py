@@ -125,6 +125,15 @@ def test_metric_rules(small, column, value, message):
         Q.enforce_metrics(broken)
 
 
+def test_wrong_contributions_that_cancel_out(small):
+    swapped = F.when(F.col("entity_name") == "ALPHA", F.col("scope_total_share_pct") + 0.01).when(
+        F.col("entity_name") == "BETA", F.col("scope_total_share_pct") - 0.01
+    ).otherwise(F.col("scope_total_share_pct"))
+    broken = M.entity_metrics(small).withColumn("scope_total_share_pct", swapped)
+    with pytest.raises(DataQualityError, match="do not match the totals"):
+        Q.enforce_metrics(broken)
+
+
 def test_zero_rows_need_zero_shares(small):
     wrong = F.when(F.col("total") == 0, 1.0).otherwise(F.col("micro_share_pct"))
     broken = M.entity_metrics(small).withColumn("micro_share_pct", wrong)
