@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,20 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once per application; they may have no copy on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="scopewise-")) / "scopewise.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
