@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+
+from scopewise.session import ship_package
 
 #: Text that a task holds at once, in bytes; a longer single text makes a piece of its own.
 PIECE_BYTES = 4 << 20
 
 
+def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` on executors that have this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def pieces(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.llm.batches import factorize, pieces, ragged, texts
+from scopewise.llm.batches import factorize, map_batches, pieces, ragged, texts
 
 #: Words in the transducer.
 LEXICON_SIZE = 100_000
@@ -261,7 +261,7 @@ def build_lexicon(docs: DataFrame, source: bytes, size: int = LEXICON_SIZE) -> b
     shared = docs.sparkSession.sparkContext.broadcast(source)
     rows = (
         docs.select("text")
-        .mapInArrow(lambda batches: _frequent(batches, shared.value), "word string, n long")
+        .transform(map_batches, lambda batches: _frequent(batches, shared.value), "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "word")
@@ -327,7 +327,8 @@ def encode(docs: DataFrame, vocabulary_file: str, lexicon_size: int = LEXICON_SI
     source = Path(vocabulary_file).read_bytes()
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((source, build_lexicon(docs, source, lexicon_size)))
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(
+        map_batches,
         lambda batches: _encode(batches, *shared.value), "doc_id long, n_tokens long, ids binary"
     )
 
@@ -351,4 +352,4 @@ def decode(encoded: DataFrame, vocabulary_file: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(Path(vocabulary_file).read_bytes())
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema]
     kinds[encoded.columns.index("ids")] = "decoded string"
-    return encoded.mapInArrow(lambda batches: _decode(batches, shared.value), ", ".join(kinds))
+    return encoded.transform(map_batches, lambda batches: _decode(batches, shared.value), ", ".join(kinds))

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.llm.batches import pieces, texts
+from scopewise.llm.batches import map_batches, pieces, texts
 from scopewise.llm.bpe import PATTERN
 
 #: Nodes of a task's trie.
@@ -103,6 +103,7 @@ def _count(batches: Iterable[pa.RecordBatch], ranks: bytes, max_nodes: int) -> I
 def token_counts(docs: DataFrame, rank_file: str, max_nodes: int = MAX_NODES) -> DataFrame:
     """doc_id, n_words (pre-tokens) and n_tokens of every row; nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(Path(rank_file).read_bytes())
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(
+        map_batches,
         lambda batches: _count(batches, shared.value, max_nodes), "doc_id long, n_words long, n_tokens long"
     )

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.llm.batches import encoded, pieces
+from scopewise.llm.batches import encoded, map_batches, pieces
 from scopewise.session import materialize
 
 #: Distinct content that a task keeps in memory before it deals it to spill files.
@@ -192,11 +192,11 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFra
     Of equal texts the row with the largest doc_id stays.
     """
     slim = docs.select(F.col("doc_id").cast("long"), "text")
-    collapsed = materialize(slim.mapInArrow(collapse, COLLAPSED), "collapsed")
+    collapsed = materialize(slim.transform(map_batches, collapse, COLLAPSED), "collapsed")
     verdicts = (
         collapsed.where(F.col("copies").isNotNull())
         .repartition("text_sha256")
-        .mapInArrow(lambda batches: grace(batches, table_bytes), VERDICT)
+        .transform(map_batches, lambda batches: grace(batches, table_bytes), VERDICT)
     )
     return (
         collapsed.select("doc_id", "member_of", "text_sha256")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.llm.batches import factorize, pieces, ragged, texts
+from scopewise.llm.batches import factorize, map_batches, pieces, ragged, texts
 
 UNKNOWN = "und"
 #: Hashed trigrams; the model has this many numbers per language.
@@ -112,7 +112,7 @@ def train(labelled: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model:
     picked = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(fine)) < math.ceil(share * fine))
     found = (
         picked.select("text", "lang")
-        .mapInArrow(_count, "lang string, bucket long, n long")
+        .transform(map_batches, _count, "lang string, bucket long, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -225,7 +225,8 @@ def _label(batches: Iterable[pa.RecordBatch], model: Model, switch: float) -> It
 
 def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
     """doc_id, lang_pred, score and labelled spans (code points) of every row; only text is looked at."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(
+        map_batches,
         lambda batches: _label(batches, model, switch), SCHEMA
     )
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.llm.batches import pieces, texts
+from scopewise.llm.batches import map_batches, pieces, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "url", "iban", "account")
@@ -131,7 +131,8 @@ def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id and spans (kind, start, end) of every row, by start and then kind as listed."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(
+        map_batches,
         _scan, "doc_id long, spans array<struct<kind:string,start:long,end:long>>"
     )
 

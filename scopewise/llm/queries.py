@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm import bpe, counts, exact, language, pii, warc
+from scopewise.llm import bpe, counts, decontaminate, exact, language, near, pii, warc
 
 VOCABULARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -59,6 +59,31 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    r"""
+    WITH words AS (
+        SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+        FROM documents
+        UNION ALL
+        SELECT 'i', item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')
+        FROM benchmark),
+    shingles AS (
+        SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 3, least(len(w), 1) + 1)),
+            lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS shingle
+        FROM words),
+    items AS (SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'i')
+    SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_common, any_value(n_item) AS n_item,
+           count(*) / any_value(n_item) AS containment
+    FROM shingles d JOIN items i ON d.kind = 'd' AND d.shingle = i.shingle
+    GROUP BY d.id, i.id HAVING count(*) / any_value(n_item) >= 0.8
+    """
+)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
@@ -68,6 +93,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))

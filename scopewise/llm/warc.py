@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm.batches import encoded, pieces
+from scopewise.llm.batches import encoded, map_batches, pieces
 from scopewise.session import materialize, scratch_path
 
 MAGIC = b"WARC/1.1\r\n"
@@ -92,7 +92,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
     """
     slim = pages.select(F.col("page_id").cast("long"), "url", "html")
     packed = materialize(
-        slim.mapInArrow(
+        slim.transform(
+        map_batches,
             lambda batches: _pack(batches, min_bytes),
             "page_id long, url string, payload_digest string, payload_bytes long, packed binary",
         ),
@@ -112,7 +113,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
     full = decided.withColumn("packed", F.when(~F.col("revisit"), F.col("packed"))).select(
         "page_id", "url", "payload_digest", "payload_bytes", "packed", "revisit", "response_id"
     )
-    records = full.mapInArrow(
+    records = full.transform(
+        map_batches,
         _unpack,
         "page_id long, url string, payload_digest string, payload_bytes long, packed string, "
         "revisit boolean, response_id long",
@@ -275,7 +277,7 @@ def read_archives(
     The digest and size of a response are those of the bytes read.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    found = files.mapInArrow(lambda batches: _scan(batches, range_bytes, with_payload), CANDIDATE)
+    found = files.transform(map_batches, lambda batches: _scan(batches, range_bytes, with_payload), CANDIDATE)
     found = materialize(found, "warc-candidates")
     return found.join(true_records(found, range_bytes), ["path", "offset"], "left_semi").select(
         "path", "offset", "page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"
