@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm import bpe, counts, decontaminate, exact, language, near, pii, warc
+from scopewise.llm import bpe, counts, decontaminate, exact, language, near, phrases, pii, suffix, warc
 
 VOCABULARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(suffix.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.digest(phrases.remove_passages(table(spark, sf_dir, "documents")))
+
+
 @query(
     """
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),

@@ -61,13 +61,23 @@ def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every ``size`` consecutive values, without regard to text ends."""
-    if len(values) < size:
+    """Hash of every ``size`` consecutive values, without regard to text ends.
+
+    Windows of one, two, four ... values are built from halves and put together.
+    """
+    count = len(values) - size + 1
+    if count <= 0:
         return np.zeros(0, np.uint64)
-    total = np.zeros(len(values) - size + 1, np.uint64)
-    for i in range(size):
-        total = total * _STEP + values[i : len(values) - size + 1 + i]
-    return mix(total + np.uint64(size))
+    total, have, block, width = np.zeros(len(values), np.uint64), 0, values, 1
+    while True:
+        factor = np.uint64(pow(int(_STEP), width, 1 << 64))
+        if size & width:
+            total = total[: len(values) - have - width + 1] * factor + block[have : len(values) - width + 1]
+            have += width
+        if 2 * width > size:
+            return mix(total + np.uint64(size))
+        block = block[:-width] * factor + block[width:]
+        width *= 2
 
 
 def shingle_sets(contents: list[bytes], size: int = SHINGLE_WORDS) -> list[np.ndarray]:
