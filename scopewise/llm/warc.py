@@ -47,7 +47,7 @@ def base32_sha1(data: bytes) -> str:
 def _pack(batches: Iterable[pa.RecordBatch], min_bytes: int) -> Iterator[pa.RecordBatch]:
     """Digest and size of every page; of equal payloads in a piece the page of largest id has the packed one.
 
-    Payloads below ``min_bytes`` stay with every page.
+    Payloads below ``min_bytes`` stay with every page. The shuffle of packed payloads is a third of their size.
     """
     packer = zstandard.ZstdCompressor(3)
     for piece in pieces(batches, "html", 16 << 20):
@@ -64,11 +64,12 @@ def _pack(batches: Iterable[pa.RecordBatch], min_bytes: int) -> Iterator[pa.Reco
             [
                 piece.column("page_id"),
                 piece.column("url"),
+                piece.column("sha1"),
                 pa.array(digests),
                 pa.array([len(payload) for payload in payloads], pa.int64()),
                 pa.array([packer.compress(p) if c else None for p, c in zip(payloads, carries, strict=True)], pa.binary()),
             ],
-            ["page_id", "url", "payload_digest", "payload_bytes", "packed"],
+            ["page_id", "url", "sha1", "payload_digest", "payload_bytes", "packed"],
         )
 
 
@@ -91,23 +92,20 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
     Of equal payloads of at least ``min_bytes`` the largest page_id is a response, the others revisit it.
     """
     slim = pages.select(F.col("page_id").cast("long"), "url", "html")
-    packed = materialize(
-        slim.transform(
+    payload = F.coalesce("html", F.lit("")).cast("binary")
+    packed = slim.withColumn("sha1", F.sha1(payload)).transform(
         map_batches,
-            lambda batches: _pack(batches, min_bytes),
-            "page_id long, url string, payload_digest string, payload_bytes long, packed binary",
-        ),
-        "packed-pages",
+        lambda batches: _pack(batches, min_bytes),
+        "page_id long, url string, sha1 string, payload_digest string, payload_bytes long, packed binary",
     )
     shared = (
-        packed.where(F.col("payload_bytes") >= min_bytes)
-        .groupBy("payload_digest")
+        slim.where(F.octet_length(payload) >= min_bytes)
+        .groupBy(F.sha1(payload).alias("sha1"))
         .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
         .where("n > 1")
-        .drop("n")
-        .withColumn("is_shared", F.lit(True))
+        .select("sha1", "response_id", F.lit(True).alias("is_shared"))
     )
-    decided = packed.join(shared, "payload_digest", "left").withColumn(
+    decided = packed.join(shared, "sha1", "left").withColumn(
         "revisit", F.coalesce("is_shared", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     )
     full = decided.withColumn("packed", F.when(~F.col("revisit"), F.col("packed"))).select(
@@ -240,32 +238,32 @@ def _reachable(group: pd.DataFrame) -> pd.DataFrame:
         while at in after and at not in reached:
             reached.add(at)
             at = after[at]
-    return group.loc[group["offset"].isin(reached), ["path", "offset"]]
+    return group.loc[group["offset"].isin(reached), ["file", "offset"]]
 
 
 def true_records(found: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(path, offset) of the candidates that the start of their file reaches."""
-    edges = found.select("path", "offset", "leaves_to")
+    """(file, offset) of the candidates that the start of their file reaches."""
+    edges = found.select("file", "offset", "leaves_to")
     longest = found.agg(F.max("file_bytes")).first()[0] or 1
-    entries = edges.where("offset = 0").select("path", F.col("offset").alias("entry"))
-    jumps = edges.select("path", F.col("offset").alias("entry"), F.col("leaves_to").alias("goal"))
+    entries = edges.where("offset = 0").select("file", F.col("offset").alias("entry"))
+    jumps = edges.select("file", F.col("offset").alias("entry"), F.col("leaves_to").alias("goal"))
     for _ in range(math.ceil(math.log2(math.ceil(longest / range_bytes))) if longest > range_bytes else 0):
-        ahead = jumps.join(entries, ["path", "entry"]).select("path", F.col("goal").alias("entry"))
+        ahead = jumps.join(entries, ["file", "entry"]).select("file", F.col("goal").alias("entry"))
         entries = materialize(
-            entries.union(ahead.join(edges, [ahead["path"] == edges["path"], ahead["entry"] == edges["offset"]], "left_semi")).distinct(),
+            entries.union(ahead.join(edges, [ahead["file"] == edges["file"], ahead["entry"] == edges["offset"]], "left_semi")).distinct(),
             "warc-entries",
         )
-        second = jumps.select("path", F.col("entry").alias("goal"), F.col("goal").alias("further"))
+        second = jumps.select("file", F.col("entry").alias("goal"), F.col("goal").alias("further"))
         jumps = materialize(
-            jumps.join(second, ["path", "goal"]).select("path", "entry", F.col("further").alias("goal")), "warc-jumps"
+            jumps.join(second, ["file", "goal"]).select("file", "entry", F.col("further").alias("goal")), "warc-jumps"
         )
-    marked = found.select("path", "part", "offset", "successor").join(
-        entries.select("path", F.col("entry").alias("offset"), F.lit(True).alias("entry")), ["path", "offset"], "left"
+    marked = found.select("file", "part", "offset", "successor").join(
+        entries.select("file", F.col("entry").alias("offset"), F.lit(True).alias("entry")), ["file", "offset"], "left"
     )
     return (
         marked.withColumn("entry", F.coalesce("entry", F.lit(False)))
-        .groupBy("path", "part")
-        .applyInPandas(_reachable, "path string, offset long")
+        .groupBy("file", "part")
+        .applyInPandas(_reachable, "file long, offset long")
     )
 
 
@@ -279,7 +277,8 @@ def read_archives(
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     found = files.transform(map_batches, lambda batches: _scan(batches, range_bytes, with_payload), CANDIDATE)
     found = materialize(found, "warc-candidates")
-    return found.join(true_records(found, range_bytes), ["path", "offset"], "left_semi").select(
+    found = found.withColumn("file", F.xxhash64("path"))
+    return found.join(true_records(found, range_bytes), ["file", "offset"], "left_semi").select(
         "path", "offset", "page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"
     )
 
