@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -50,7 +51,19 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    _stored[stored] = path
+    return stored
+
+
+_stored: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(*stored: DataFrame) -> None:
+    """Empty tables that ``materialize`` returned and that nothing will read again."""
+    for df in stored:
+        if path := _stored.pop(df, None):
+            df.sparkSession.range(0).write.mode("overwrite").parquet(path)
 
 
 _shipped: set[str] = set()
