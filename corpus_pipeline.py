@@ -1,7 +1,9 @@
 """A corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next one.
 
-Every stage takes (spark, docs, sf_dir); all but the last return the columns of documents. A row without
-doc_id is kept or dropped by its text like any other.
+Every stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns their columns;
+the last one returns token figures. Extra columns pass through. Defined cases: a text that is null or has
+no letter goes in the first stage; a row without doc_id cannot be named by a verdict and passes the
+filters that need one; repeated rows of a document become one row in the exact stage.
 """
 
 from __future__ import annotations
@@ -9,31 +11,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm import bpe, exact, language
+from scopewise.llm import bpe, decontaminate, exact, language, near
 from scopewise.llm.queries import VOCABULARY_FILE
-from scopewise.session import materialize
+from scopewise.session import discard, materialize
 
 #: A document must have this share of its letters in one language.
 MIN_LANGUAGE_SHARE = 0.5
 
 
-def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in ``kept``, one row per document."""
-    ids = kept.select(F.col("doc_id").alias("kept_doc_id"))
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_doc_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select(docs.columns)
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is not in ``dropped``."""
+    ids = dropped.select(F.col("doc_id").alias("dropped_doc_id"))
+    return docs.join(ids, docs["doc_id"] == ids["dropped_doc_id"], "left_anti")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those where no language has half of the letters."""
-    model = language.train(docs.where(~language.held_out()))
-    found = language.identify(docs, model)
-    return only(docs, found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)))
+    return language.keep_identified(docs, language.train(docs.where(~language.held_out())), MIN_LANGUAGE_SHARE)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts keep the document with the largest doc_id."""
-    return only(docs, exact.exact_duplicates(docs).where("kept"))
+    """Of equal texts keep the document with the largest doc_id, in one row."""
+    found = exact.exact_duplicates(docs)
+    dropped = materialize(found.where(~F.col("kept")).select("doc_id"), "exact-dropped")
+    rows = without(docs, dropped)
+    if found.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rows
+    named = rows.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return named.union(rows.where(F.col("doc_id").isNull()))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near duplicates keep the document with the smallest doc_id."""
+    found = near.near_duplicates(docs)
+    return without(docs, materialize(found.where(~F.col("kept")).select("doc_id"), "near-dropped"))
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_items(docs, items)
+    return without(docs, materialize(found.select("doc_id").distinct(), "contaminated"))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,6 +65,8 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [
     ("language", language_stage),
     ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("decontaminate", decontaminate_stage),
     ("bpe", encode_stage),
 ]
 
@@ -57,5 +77,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        stored = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(docs)
+        docs = stored
     return STAGES[-1][1](spark, docs, sf_dir)

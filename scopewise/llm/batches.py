@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from scopewise.session import ship_package
 
@@ -15,7 +16,7 @@ from scopewise.session import ship_package
 PIECE_BYTES = 4 << 20
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` on executors that have this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)

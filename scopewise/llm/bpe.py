@@ -34,13 +34,15 @@ from pyspark.sql import functions as F
 from scopewise.llm.batches import factorize, map_batches, pieces, ragged, texts
 
 #: Words in the transducer.
-LEXICON_SIZE = 100_000
+LEXICON_SIZE = 200_000
 #: Counters of a task's heavy-hitter summary.
 COUNTERS = 1 << 17
+#: Text, or ids, that a worker encodes or decodes at once.
+PIECE = 1 << 20
 #: Longest word, in bytes, that may enter the lexicon.
 MAX_WORD = 48
 #: Merged words that a worker remembers.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 #: Fixed value: the pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -244,7 +246,7 @@ def lexicon(blob: bytes) -> Lexicon:
 def _frequent(batches: Iterable[pa.RecordBatch], source: bytes) -> Iterator[pa.RecordBatch]:
     """Heavy hitters of a task: when counters run out, all sink by the same count."""
     vocab, counts = vocabulary(source), Counter()
-    for piece in pieces(batches):
+    for piece in pieces(batches, limit=PIECE):
         for text in texts(piece):
             counts.update(vocab.split(text))
         if len(counts) > COUNTERS:
@@ -302,15 +304,18 @@ def encode_texts(whole: list[str], vocab: Vocabulary, frequent: Lexicon, merged:
     sizes[known] = frequent.first[numbers[known] + 1] - first[known]
     sizes[~known] = np.fromiter(map(len, rest), np.int64, len(rest))
     first[~known] = len(frequent.ids) + np.cumsum(sizes[~known]) - sizes[~known]
-    table = np.r_[frequent.ids, new].astype("<u4")
-    flat = table[ragged(first[codes], sizes[codes])]
+    place = ragged(first[codes], sizes[codes])
+    old = place < len(frequent.ids)
+    flat = np.empty(len(place), "<u4")
+    flat[old] = frequent.ids[place[old]]
+    flat[~old] = new[place[~old] - len(frequent.ids)]
     ends = np.cumsum(np.r_[0, sizes[codes]])[np.cumsum(lengths)]
     return np.split(flat, ends[:-1])
 
 
 def _encode(batches: Iterable[pa.RecordBatch], source: bytes, blob: bytes) -> Iterator[pa.RecordBatch]:
     vocab, frequent, merged = vocabulary(source), lexicon(blob), {}
-    for piece in pieces(batches):
+    for piece in pieces(batches, limit=PIECE):
         ids = encode_texts(texts(piece), vocab, frequent, merged)
         yield pa.RecordBatch.from_arrays(
             [
@@ -338,7 +343,7 @@ def _decode(batches: Iterable[pa.RecordBatch], source: bytes) -> Iterator[pa.Rec
     sizes = np.fromiter(map(len, vocab.bytes), np.int64)
     first = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(vocab.bytes), np.uint8)
-    for piece in pieces(batches, "ids"):
+    for piece in pieces(batches, "ids", PIECE):
         decoded = []
         for own in piece.column("ids").to_pylist():
             ids = np.frombuffer(own or b"", "<u4")

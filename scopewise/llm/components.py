@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scopewise.session import materialize
+from scopewise.session import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,6 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
         target = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         jumped = nearer.join(target, "label").select("node", "old", F.least("label", "further").alias("label"))
         stored = materialize(jumped, "labels")
-        labels = stored.select("node", "label")
+        discard(labels)
         if stored.where("old <> label").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
+            discard(both)
+            return stored.select("node", F.col("label").alias("component"))
+        labels = stored

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.llm.batches import encoded, map_batches, pieces
-from scopewise.session import materialize
+from scopewise.session import discard, materialize
 
 #: Distinct content that a task keeps in memory before it deals it to spill files.
 TABLE_BYTES = 64 << 20
@@ -198,7 +198,7 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFra
         .repartition("text_sha256")
         .transform(map_batches, lambda batches: grace(batches, table_bytes), VERDICT)
     )
-    return (
+    found = (
         collapsed.select("doc_id", "member_of", "text_sha256")
         .join(verdicts, "member_of")
         .select(
@@ -209,3 +209,6 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFra
             "text_sha256",
         )
     )
+    found = materialize(found, "exact")
+    discard(collapsed)
+    return found

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -231,6 +232,20 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
     )
 
 
+def _keep(batches: Iterable[pa.RecordBatch], model: Model, switch: float, min_share: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in pieces([batch]):
+            slim = pa.RecordBatch.from_arrays([pa.nulls(piece.num_rows, pa.int64()), piece.column("text")], ["doc_id", "text"])
+            found = pa.Table.from_batches(_label([slim], model, switch))
+            known = pc.and_(pc.not_equal(found["lang_pred"], UNKNOWN), pc.greater_equal(found["score"], min_share))
+            yield piece.filter(known.combine_chunks())
+
+
+def keep_identified(docs: DataFrame, model: Model, min_share: float, switch: float = SWITCH) -> DataFrame:
+    """The rows of docs, all columns, where one language has ``min_share`` of the letters; no shuffle."""
+    return map_batches(docs, lambda batches: _keep(batches, model, switch, min_share), docs.schema)
+
+
 def held_out():
     """Rows that no model learns from: crc32 of doc_id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))

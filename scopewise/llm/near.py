@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from scopewise.llm.batches import encoded, map_batches, pieces
 from scopewise.llm.components import components
 from scopewise.llm.shingles import mix, shingle_sets
-from scopewise.session import materialize
+from scopewise.session import discard, materialize
 
 #: Bands, and permutations per band (each gives a minimum and a maximum).
 BANDS = 26
@@ -219,6 +219,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more = materialize(confirm(rest, packed, reps).where("linked"), "near-rest")
     if not more.isEmpty():
         labels = components(links.union(more))
+    discard(crowded, tested, open_rows, more, reps)
     return (
         signed.select("doc_id", "n_shingles", "set_hash")
         .join(groups, "set_hash", "left")
