@@ -29,7 +29,7 @@ from scopewise.llm.batches import map_batches, pieces, texts
 from scopewise.llm.bpe import PATTERN
 
 #: Nodes of a task's trie.
-MAX_NODES = 200_000
+MAX_NODES = 1_000_000
 
 
 def piece_scores(ranks: bytes) -> dict[bytes, float]:
@@ -40,7 +40,7 @@ def piece_scores(ranks: bytes) -> dict[bytes, float]:
 
 
 class SharedTrie:
-    """Forward scores of all prefixes seen; a node is (children, score, tokens, next suffixes to try)."""
+    """Best score and tokens of all prefixes seen, by node; edges lead from 256 * node + byte to a node."""
 
     def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES):
         self.scores, self.max_nodes = scores, max_nodes
@@ -48,7 +48,7 @@ class SharedTrie:
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[int, int]] = [{}]
+        self.edges: dict[int, int] = {}
         self.best, self.tokens = [0.0], [0]
         self.terminal: dict[str, int] = {}
 
@@ -59,10 +59,11 @@ class SharedTrie:
         if len(self.best) > self.max_nodes:
             self.clear()
         data, scores, suffixes = word.encode(), self.scores, self.suffixes
-        children, best, tokens = self.children, self.best, self.tokens
+        edges, best, tokens = self.edges, self.best, self.tokens
         path = [0]
         for end, byte in enumerate(data, 1):
-            node = children[path[-1]].get(byte)
+            edge = path[-1] << 8 | byte
+            node = edges.get(edge)
             if node is None:
                 top, count = -math.inf, 0
                 for begin in range(end - 1, -1, -1):
@@ -72,8 +73,7 @@ class SharedTrie:
                         top, count = total, tokens[path[begin]] + 1
                     if piece not in suffixes:
                         break
-                node = children[path[-1]][byte] = len(best)
-                children.append({})
+                node = edges[edge] = len(best)
                 best.append(top)
                 tokens.append(count)
             path.append(node)
