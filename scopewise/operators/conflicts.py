@@ -3,20 +3,20 @@
 A key that occurs more than once is *conflicting* when its rows differ in any
 column, and an *exact duplicate* otherwise.  Finding the duplicate keys moves
 only keys and counters; everything else then runs on the members of those
-keys, which are a small part of a sound source.
+keys, which are a small part of a sound source.  Nulls are equal to each other,
+in keys as in values.
 
-The value lists of a key are single cells.  Keys of up to ``MAX_GROUP_ROWS``
-rows are profiled in one grouping.  Larger ones are first collapsed to their
-distinct rows and values, spread over all tasks; such a key gets a list only
-for columns with at most ``MAX_LIST_VALUES`` distinct values, and
-``conflict_values`` has all of them, one per row.
+The values of a key are rows, not lists, so a key of any size is reported in
+full: copies collapse first, then every distinct value is one row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,8 +24,14 @@ from scopewise.functions.text import LIST_SEPARATOR
 from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
-MAX_GROUP_ROWS = 10_000
-MAX_LIST_VALUES = 100_000
+
+def join_on_key(
+    left: DataFrame, right: DataFrame, key: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on a key whose nulls are equal; the key columns of ``left`` stay."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in key})
+    same = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in key]
+    return left.join(renamed, reduce(and_, same), how).drop(*[f"_right_{k}" for k in key])
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -40,7 +46,7 @@ def duplicate_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
     join is planned, and as long as they are few the source is not shuffled.
     """
     keys = materialize(duplicate_keys(df, key), "keys")
-    return df.join(keys, list(key)).select(*df.columns, "row_count")
+    return join_on_key(df, keys, key).select(*df.columns, "row_count")
 
 
 def stored_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -54,10 +60,7 @@ def exact_dedupe(df: DataFrame) -> DataFrame:
 
 
 def conflict_values(members: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The distinct text values of duplicate keys: key, column, value, rows.
-
-    The scalable form of the value lists, built from the member rows.
-    """
+    """The distinct text values of duplicate keys: key, column, value, rows."""
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
@@ -68,101 +71,38 @@ def conflict_values(members: DataFrame, key: Sequence[str], columns: Sequence[st
     return long_form.groupBy(*key, "column", "value").agg(F.count("*").alias("rows"))
 
 
-def conflict_profile(
-    df: DataFrame,
-    key: Sequence[str],
-    columns: Sequence[str],
-    in_scope: Column,
-    max_rows: int = MAX_GROUP_ROWS,
-    max_values: int = MAX_LIST_VALUES,
+def conflict_verdicts(
+    members: DataFrame, key: Sequence[str], columns: Sequence[str], in_scope: Column
 ) -> DataFrame:
-    """Every duplicate key with its verdict and the values of ``columns``.
+    """One row per duplicate key.
 
-    Columns: the key, ``row_count``, ``distinct_full_row_count``,
-    ``conflicting``, ``contains_scope``, and per column ``<c>_values`` (number
-    of distinct values) and ``<c>_list``.
+    Columns: the key, ``row_count``, ``distinct_full_row_count``, ``conflicting``,
+    ``contains_scope`` and ``changing``, the ``columns`` that differ.  Copies
+    collapse before a key is gathered, and a key keeps counters and two values
+    per column only.
     """
-    members = stored_members(df, key)
-    flagged = members.withColumn("_in_scope", F.coalesce(in_scope, F.lit(False)))
-    small = _profile_small(flagged.where(F.col("row_count") <= max_rows), df.columns, key, columns)
-    large = flagged.where(F.col("row_count") > max_rows)
-    if large.isEmpty():
-        return small
-    return small.unionByName(_profile_large(large, df.columns, key, columns, max_values))
-
-
-def _profile_small(
-    members: DataFrame, row: Sequence[str], key: Sequence[str], columns: Sequence[str]
-) -> DataFrame:
-    """One grouping; no group is larger than the limit."""
-    found = members.groupBy(*key).agg(
-        F.count("*").alias("row_count"),
-        F.size(F.collect_set(F.struct(*row))).cast("bigint").alias("distinct_full_row_count"),
-        F.bool_or("_in_scope").alias("contains_scope"),
-        *[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"{c}_list") for c in columns],
-    )
-    return found.select(
-        *_verdict(key),
-        *[F.size(f"{c}_list").cast("bigint").alias(f"{c}_values") for c in columns],
-        *[f"{c}_list" for c in columns],
-    )
-
-
-def _profile_large(
-    members: DataFrame,
-    row: Sequence[str],
-    key: Sequence[str],
-    columns: Sequence[str],
-    max_values: int,
-) -> DataFrame:
-    """Copies collapse before any key is gathered; long lists stay out."""
+    row = [c for c in members.columns if c != "row_count"]
     rows = members.groupBy(*row).agg(
-        F.count("*").alias("_copies"), F.bool_or("_in_scope").alias("_in_scope")
+        F.count("*").alias("_copies"),
+        F.bool_or(F.coalesce(in_scope, F.lit(False))).alias("_in_scope"),
     )
+    # Structs order null before all values, so null is one more value.
+    ends = [f(F.struct(c)).alias(f"_{side}_{c}") for c in columns for f, side in ((F.min, "low"), (F.max, "high"))]
     groups = rows.groupBy(*key).agg(
-        F.sum("_copies").alias("row_count"),
+        F.sum("_copies").cast("bigint").alias("row_count"),
         F.count("*").alias("distinct_full_row_count"),
         F.bool_or("_in_scope").alias("contains_scope"),
+        *ends,
     )
-    values = conflict_values(members, key, columns).where(F.col("value").isNotNull())
-    sizes = values.groupBy(*key, "column").agg(F.count("*").alias("_size"))
-    short = sizes.where(F.col("_size") <= max_values).drop("_size")
-    counts = sizes.groupBy(*key).agg(
-        *[F.coalesce(_pick(c, "_size"), F.lit(0)).alias(f"{c}_values") for c in columns]
-    )
-    lists = (
-        values.join(short, [*key, "column"], "left_semi")
-        .groupBy(*key)
-        .agg(
-            *[
-                F.sort_array(
-                    F.collect_list(F.when(F.col("column") == c, F.col("value")))
-                ).alias(f"{c}_list")
-                for c in columns
-            ]
-        )
-    )
-    joined = groups.join(counts, list(key), "left").join(lists, list(key), "left")
-    return joined.select(
-        *_verdict(key),
-        *[f"{c}_values" for c in columns],
-        *[F.when(F.col(f"{c}_values") <= max_values, F.col(f"{c}_list")).alias(f"{c}_list") for c in columns],
-    )
-
-
-def _pick(column: str, value: str) -> Column:
-    return F.max(F.when(F.col("column") == column, F.col(value)))
-
-
-def _verdict(key: Sequence[str]) -> list[Column | str]:
-    distinct = F.col("distinct_full_row_count")
-    return [
+    differs = [F.when(~F.col(f"_low_{c}").eqNullSafe(F.col(f"_high_{c}")), F.lit(c)) for c in columns]
+    return groups.select(
         *key,
         "row_count",
         "distinct_full_row_count",
-        (distinct > 1).alias("conflicting"),
+        (F.col("distinct_full_row_count") > 1).alias("conflicting"),
         "contains_scope",
-    ]
+        F.array_compact(F.array(*differs)).alias("changing"),
+    )
 
 
 def key_conflicts(
@@ -171,16 +111,15 @@ def key_conflicts(
     in_scope: Column,
     spec: FactSpec = DEFAULT_SPEC,
 ) -> DataFrame:
-    """Every duplicate key with its verdict and its scope and entity names."""
+    """Every duplicate key with its verdict, and each scope and entity name it has.
+
+    One row per key, column and distinct name; ``rows`` have the name.
+    """
     names = (spec.scope_name, spec.entity_name)
-    return conflict_profile(df, key, names, in_scope).select(
-        *key,
-        "row_count",
-        F.col(f"{spec.scope_name}_list").alias("scope_names"),
-        F.col(f"{spec.entity_name}_list").alias("entity_names"),
-        "conflicting",
-        "contains_scope",
-    )
+    members = stored_members(df, key)
+    verdicts = conflict_verdicts(members, key, names, in_scope)
+    found = join_on_key(conflict_values(members, key, names), verdicts, key)
+    return found.select(*key, "row_count", "conflicting", "contains_scope", "column", "value", "rows")
 
 
 def conflict_detail(
@@ -189,19 +128,24 @@ def conflict_detail(
     columns: Sequence[str],
     in_scope: Column,
 ) -> DataFrame:
-    """Verdict per duplicate key with the columns that differ and their values."""
-    changing = F.array_compact(
-        F.array(*[F.when(F.col(f"{c}_values") > 1, F.lit(c)) for c in columns])
-    )
-    return conflict_profile(df, key, columns, in_scope).select(
+    """Verdict per duplicate key, the columns that differ, and every value of ``columns``.
+
+    One row per key, column and distinct value.
+    """
+    members = stored_members(df, key)
+    verdicts = conflict_verdicts(members, key, columns, in_scope)
+    found = join_on_key(conflict_values(members, key, columns), verdicts, key)
+    return found.select(
         *key,
         "row_count",
         "distinct_full_row_count",
         (~F.col("conflicting")).alias("exact_duplicate_group"),
         F.col("conflicting").alias("conflicting_group"),
-        F.array_join(changing, LIST_SEPARATOR).alias("changing_columns"),
-        *[F.array_join(f"{c}_list", LIST_SEPARATOR).alias(f"{c}_values") for c in columns],
+        F.array_join("changing", LIST_SEPARATOR).alias("changing_columns"),
         "contains_scope",
+        "column",
+        "value",
+        "rows",
     )
 
 
@@ -218,16 +162,20 @@ def conflicting_keys(members: DataFrame, key: Sequence[str]) -> DataFrame:
 def conflict_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of conflicting keys."""
     members = stored_members(df, key).select(*df.columns)
-    return members.join(conflicting_keys(members, key), list(key), "left_semi").select(*df.columns)
+    return join_on_key(members, conflicting_keys(members, key), key, "left_semi").select(*df.columns)
 
 
 def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """What an exact dedupe would and would not solve; one row.
 
-    Rows outside duplicate keys only enter the row count.
+    Rows outside duplicate keys only enter the row count, which the search for
+    the duplicate keys takes along.
     """
+    counted = Observation()
+    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    keys = materialize(duplicate_keys(observed, key), "keys")
     by_key = (
-        exact_dedupe(duplicate_members(df, key).drop("row_count"))
+        exact_dedupe(join_on_key(df, keys, key).select(*df.columns))
         .groupBy(*key)
         .agg(F.sum("copies").alias("rows"), F.count("*").alias("distinct_rows"))
     )
@@ -245,7 +193,7 @@ def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:
         total(F.when(~conflicting, F.col("rows"))).alias("exact_rows"),
         total(F.col("rows") - F.col("distinct_rows")).alias("_dropped"),
         total(F.when(conflicting, F.col("distinct_rows"))).alias("remaining_duplicate_rows"),
-    ).withColumn("source_rows", df.agg(F.count("*")).scalar())
+    ).withColumn("source_rows", F.lit(counted.get["rows"]).cast("bigint"))
     return found.select(
         "source_rows",
         "duplicate_groups",
@@ -304,21 +252,25 @@ def scope_qualification(
     entities = df.groupBy(*scopes, entity_code).agg(
         F.count("*").alias("rows"), F.sum(total).alias("total")
     )
-    sizes = entities.groupBy(*scopes).agg(
-        F.sum("rows").cast("bigint").alias("scope_rows"),
-        F.count(entity_code).alias("scope_entities"),
-        F.sum("total").alias("scope_total"),
+    sizes = materialize(
+        entities.groupBy(*scopes).agg(
+            F.sum("rows").cast("bigint").alias("scope_rows"),
+            F.count(entity_code).alias("scope_entities"),
+            F.sum("total").alias("scope_total"),
+        ),
+        "scope-sizes",
     )
-    found = sizes.join(by_scope, scopes, "left")
+    found = join_on_key(sizes, by_scope, scopes, "left")
 
     bad_keys = parts.where("conflicting").groupBy(*per_snapshot_key).agg(F.sum("rows").alias("rows"))
     conflicts = bad_keys.groupBy(*snapshot_cols).agg(
         F.count("*").alias("national_conflicting_groups"),
         F.sum("rows").alias("national_conflicting_rows"),
     )
-    rows = df.groupBy(*snapshot_cols).agg(F.count("*").alias("national_rows"))
+    rows = sizes.groupBy(*snapshot_cols).agg(F.sum("scope_rows").alias("national_rows"))
     if snapshot_cols:
-        found = found.join(rows, list(snapshot_cols)).join(conflicts, list(snapshot_cols), "left")
+        found = join_on_key(found, rows, snapshot_cols)
+        found = join_on_key(found, conflicts, snapshot_cols, "left")
     else:
         found = found.withColumns(
             {

@@ -77,8 +77,13 @@ LINE_SPEC = FactSpec(scope_name="l_returnflag", entity_name="l_linestatus", scop
 
 
 def line_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.select(*LINE_KEY, "l_returnflag", "l_linestatus")
+    """Line items with holes in the key and in the values."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_suppkey") % 10 != 3, F.col("l_orderkey")).alias("l_orderkey"),
+        F.nullif(F.col("l_linenumber"), F.lit(7)).alias("l_linenumber"),
+        "l_returnflag",
+        F.when(F.col("l_quantity") != 13, F.col("l_linestatus")).alias("l_linestatus"),
+    )
 
 
 def line_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +129,11 @@ WORLD = (
     f"place AS ({_place_sql('c_name', 'c_custkey', '')}), "
     "entity AS (SELECT * REPLACE ('WORLD' AS scope_name, '0' AS scope_id) FROM place)"
 )
-LINES = "line AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem)"
+LINES = (
+    "line AS (SELECT CASE WHEN l_suppkey % 10 <> 3 THEN l_orderkey END AS l_orderkey, "
+    "nullif(l_linenumber, 7) AS l_linenumber, l_returnflag, "
+    "CASE WHEN l_quantity <> 13 THEN l_linestatus END AS l_linestatus FROM lineitem)"
+)
 
 
 def pct(numerator: str, denominator: str) -> str:
