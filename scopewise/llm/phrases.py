@@ -65,7 +65,7 @@ def _confirm(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     smallest: dict[tuple, int] = {}
     per_slice: list[list[tuple[int, int]]] = []
     for row in group.itertuples():
-        ends = np.cumsum(np.frombuffer(row.sizes, "<i8")).tolist()
+        ends = np.cumsum(np.frombuffer(row.sizes, "<i4")).tolist()
         least, most = np.frombuffer(row.least, "<i8").tolist(), np.frombuffer(row.most, "<i8").tolist()
         own = []
         for a, b, low, high in zip([0, *ends], ends, least, most, strict=False):
@@ -172,11 +172,12 @@ def remove_passages(docs: DataFrame, hot_docs: int = windows.HOT_DOCS) -> DataFr
     """
     slices = materialize(windows.slice_rows(docs, UNITS), "slices")
     bins = windows.number_of_bins(slices)
-    flags = windows.flag_grams(slices, bins, hot_docs)
-    runs = windows.candidate_runs(slices, flags, UNITS, bins).where("bin >= 0")
-    confirmed = runs.select("slice", "bin", "data", "sizes", "least", "most").groupBy("bin").applyInPandas(_confirm, VERDICT)
+    flags = materialize(windows.flag_grams(slices, bins, hot_docs), "gram-flags")
+    flagged = windows.flagged_slices(slices, flags)
+    runs = windows.candidate_runs(flagged, UNITS, bins).select("slice", "bin", "data", "sizes", "least", "most")
+    confirmed = runs.groupBy("bin").applyInPandas(_confirm, VERDICT)
     verdicts = confirmed.groupBy("slice").agg(F.collect_list(F.struct("passages", "least")).alias("verdicts"))
-    whole = slices.select("slice", "ids", "sizes", "packed").join(verdicts, "slice", "left")
+    whole = flagged.join(verdicts, "slice", "left")
     return map_batches(whole, _locate, DEDUPED)
 
 

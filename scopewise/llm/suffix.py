@@ -215,7 +215,7 @@ def _arrays(group: pd.DataFrame, column: str, kind: str) -> np.ndarray:
 
 def group_strings(group: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
     """The distinct strings of a bin, the number of each row's string, and the strings' anchors and least."""
-    sizes = _arrays(group, "sizes", "<i8")
+    sizes = _arrays(group, "sizes", "<i4")
     ends = np.cumsum(sizes).tolist()
     whole = b"".join(group["data"])
     number: dict[bytes, int] = {}
@@ -270,7 +270,7 @@ def _cover(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             contents = windows.unpack(row["packed"], row["sizes"])
             ids = np.frombuffer(row["ids"], "<i8")
             lengths = np.fromiter(map(len, contents), np.int64, len(contents))
-            covered = _covered(row, ids, int(lengths.sum()))
+            covered = _covered(contents, ids, row, int(lengths.sum()))
             ends = np.cumsum(lengths)
             out = []
             for doc_id, content, end in zip(ids.tolist(), contents, ends.tolist(), strict=True):
@@ -286,26 +286,24 @@ def _cover(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def _covered(row: dict, ids: np.ndarray, size: int) -> np.ndarray:
+def _covered(contents: list[bytes], ids: np.ndarray, row: dict, size: int) -> np.ndarray:
     """Which bytes of a slice lie in a removed window."""
-    change = np.zeros(size + 1, np.int64)
-    if row["strings"] and row["verdicts"]:
-        strings, run_doc, run_start = (
-            np.frombuffer(row[c], k) for c, k in (("strings", "<i4"), ("run_doc", "<i4"), ("run_start", "<i8"))
-        )
+    change = np.zeros(size + 1, np.int32)
+    if row["verdicts"]:
+        runs = windows.slice_candidates(contents, ids, row["flags"], UNITS)
         string, first, last, least = (
             np.frombuffer(b"".join(v[c] for v in row["verdicts"]), k)
             for c, k in (("string", "<i4"), ("first", "<i4"), ("last", "<i4"), ("least", "<i8"))
         )
         order = np.argsort(string, kind="stable")
-        begin = np.searchsorted(string[order], strings, "left")
-        count = np.searchsorted(string[order], strings, "right") - begin
+        begin = np.searchsorted(string[order], runs.string, "left")
+        count = np.searchsorted(string[order], runs.string, "right") - begin
         stretch = order[ragged(begin, count)]
-        run = np.repeat(np.arange(len(strings)), count)
-        smaller = least[stretch] < ids[run_doc[run]]
+        run = np.repeat(np.arange(len(runs.string)), count)
+        smaller = least[stretch] < ids[runs.doc[run]]
         run, stretch = run[smaller], stretch[smaller]
-        np.add.at(change, run_start[run] + first[stretch], 1)
-        np.add.at(change, run_start[run] + last[stretch] + WINDOW, -1)
+        np.add.at(change, runs.start[run] + first[stretch], 1)
+        np.add.at(change, runs.start[run] + last[stretch] + WINDOW, -1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -316,16 +314,11 @@ def remove_repeats(docs: DataFrame, hot_docs: int = windows.HOT_DOCS) -> DataFra
     """
     slices = materialize(windows.slice_rows(docs, UNITS), "slices")
     bins = windows.number_of_bins(slices)
-    flags = windows.flag_grams(slices, bins, hot_docs)
-    runs = materialize(windows.candidate_runs(slices, flags, UNITS, bins), "runs")
-    judged = runs.where("bin >= 0").groupBy("bin").applyInPandas(_judge, VERDICT)
+    flags = materialize(windows.flag_grams(slices, bins, hot_docs), "gram-flags")
+    flagged = windows.flagged_slices(slices, flags)
+    judged = windows.candidate_runs(flagged, UNITS, bins).groupBy("bin").applyInPandas(_judge, VERDICT)
     verdicts = judged.groupBy("slice").agg(F.collect_list(F.struct("string", "first", "last", "least")).alias("verdicts"))
-    places = runs.where("bin < 0").select("slice", "strings", "run_doc", "run_start")
-    whole = (
-        slices.select("slice", "ids", "sizes", "packed")
-        .join(places, "slice", "left")
-        .join(verdicts, "slice", "left")
-    )
+    whole = flagged.join(verdicts, "slice", "left")
     return map_batches(whole, _cover, DEDUPED)
 
 

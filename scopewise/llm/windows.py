@@ -8,7 +8,7 @@ windows share one. So documents are compared in runs of windows with one anchor:
    anchor grams of the slice.
 2. ``flag_grams`` deals the grams to bins and finds those that occur in at least two documents. A slice
    contributes a gram once, however many of its documents have it.
-3. ``candidate_runs`` cuts the runs with such grams out of the documents: one string per distinct run of a
+3. ``slice_candidates`` cuts the runs with such grams out of the documents: one string per distinct run of a
    slice with its smallest and largest document, dealt to bins again. The windows of a gram that occurs in
    more than ``hot_docs`` documents travel alone and are dealt by their own hash, as one bin would
    otherwise have to take all surroundings of a very frequent passage.
@@ -33,9 +33,11 @@ from scopewise.llm.batches import encoded, map_batches, pieces, ragged
 from scopewise.llm.shingles import window_hashes
 
 #: Text per slice, in bytes; a longer document makes a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Documents of one gram whose runs may meet in one bin.
 HOT_DOCS = 4096
+#: Slices whose grams one bin would hold, if each had only its share.
+SLICES_PER_BIN = 4
 #: Bins at most.
 MAX_BINS = 1 << 16
 #: Windows whose anchors are found at once.
@@ -69,38 +71,47 @@ class Runs:
 
 
 def anchors(values: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place and gram hash of the anchor of every window."""
-    count = max(0, len(values) - size + 1)
-    place, hashed = np.empty(count, np.int64), np.empty(count, np.uint64)
+    """Place and gram hash of the anchor of every window; meant for one block of text."""
     width = size - gram + 1
-    for begin in range(0, count, _BLOCK):
-        end = min(count, begin + _BLOCK)
-        grams = window_hashes(values[begin : end + size - 1], gram)
-        least = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
-        span = 1
-        while 2 * span <= width:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if span < width:
-            least = np.minimum(least[: len(grams) - width + 1], least[width - span :])
-        at = (least & _PLACE).astype(np.int64)
-        place[begin:end] = at + begin
-        hashed[begin:end] = grams[at]
-    return place, hashed
+    grams = window_hashes(values, gram)
+    count = len(grams) - width + 1
+    if count <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    least = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
+    span = 1
+    while 2 * span <= width:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < width:
+        least = np.minimum(least[:count], least[width - span :])
+    place = (least & _PLACE).astype(np.int64)
+    return place, grams[place]
 
 
 def find_runs(values: np.ndarray, counts: np.ndarray, units: Units) -> Runs:
-    """Runs of the windows inside the texts, whose units stand one after another in ``values``."""
-    place, hashed = anchors(values, units.size, units.gram)
-    windows = np.maximum(0, counts - units.size + 1)
-    begins = np.cumsum(counts) - counts
-    start = ragged(begins, windows)
-    doc = np.repeat(np.arange(len(counts)), windows)
-    place, hashed = place[start], hashed[start]
-    if not len(start):
-        return Runs(doc, start, start, place, hashed)
-    new = np.flatnonzero(np.r_[True, (np.diff(place) != 0) | (np.diff(doc) != 0)])
-    return Runs(doc[new], start[new], np.diff(np.r_[new, len(start)]), place[new], hashed[new])
+    """Runs of the windows inside the texts, whose units stand one after another in ``values``.
+
+    Goes block by block, so that little more than the runs is held.
+    """
+    ends = np.cumsum(counts)
+    parts = [Runs(*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, np.uint64))]
+    for begin in range(0, max(0, len(values) - units.size + 1), _BLOCK):
+        place, hashed = anchors(values[begin : begin + _BLOCK + units.size - 1], units.size, units.gram)
+        start = np.arange(begin, begin + len(place))
+        doc = np.searchsorted(ends, start, side="right")
+        inside = start + units.size <= ends[doc]
+        place, hashed, start, doc = place[inside] + begin, hashed[inside], start[inside], doc[inside]
+        if len(start):
+            new = np.flatnonzero(np.r_[True, (np.diff(place) != 0) | (np.diff(doc) != 0)])
+            parts.append(Runs(doc[new], start[new], np.diff(np.r_[new, len(start)]), place[new], hashed[new]))
+    doc, start, windows, anchor, gram = (
+        np.concatenate([getattr(part, name) for part in parts]) for name in ("doc", "start", "windows", "anchor", "gram")
+    )
+    if not len(doc):
+        return parts[0]
+    # a run that a block end has cut
+    new = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(doc) != 0)])
+    return Runs(doc[new], start[new], np.add.reduceat(windows, new), anchor[new], gram[new])
 
 
 def _keys(hashed: np.ndarray) -> np.ndarray:
@@ -173,7 +184,7 @@ def slice_rows(docs: DataFrame, units: Units) -> DataFrame:
 
 
 def number_of_bins(slices: DataFrame) -> int:
-    return min(MAX_BINS, max(8, slices.count()))
+    return min(MAX_BINS, max(8, slices.count() // SLICES_PER_BIN))
 
 
 def _deal_keys(batches: Iterable[pa.RecordBatch], bins: int) -> Iterator[pa.RecordBatch]:
@@ -223,35 +234,34 @@ def flag_grams(slices: DataFrame, bins: int, hot_docs: int = HOT_DOCS) -> DataFr
     return parts.select("slice", F.col("parts.flags").alias("flags"))
 
 
-RUNS = (
-    "slice string, bin long, data binary, sizes binary, unit_sizes binary, anchors binary, "
-    "least binary, most binary, strings binary, run_doc binary, run_start binary"
-)
+RUNS = "slice string, bin long, data binary, sizes binary, anchors binary, least binary, most binary, strings binary"
 _RUNS = pa.schema(
     [("slice", pa.string()), ("bin", pa.int64())]
     + [(name.split()[0], pa.binary()) for name in RUNS.split(", ")[2:]]
 )
 
 
-def _candidates(batches: Iterable[pa.RecordBatch], units: Units, bins: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(batch.num_rows):
-            (row,) = batch.slice(at, 1).to_pylist()
-            flags = np.concatenate(
-                [np.zeros(0, np.uint8), *(np.frombuffer(_unpacker().decompress(f), np.uint8) for f in row["flags"] or [])]
-            )
-            rows = list(_slice_candidates(row, flags, units, bins))
-            for begin in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_pylist(rows[begin : begin + 256], _RUNS)
+@dataclass(frozen=True)
+class Candidates:
+    """The distinct strings of a slice's flagged runs, and where each run stands."""
+
+    texts: list[bytes]
+    keys: np.ndarray
+    anchors: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
+    string: np.ndarray
+    doc: np.ndarray
+    start: np.ndarray
 
 
-def _slice_candidates(row: dict, flags: np.ndarray, units: Units, bins: int) -> Iterator[dict]:
-    contents = unpack(row["packed"], row["sizes"])
-    ids = np.frombuffer(row["ids"], "<i8")
+def slice_candidates(contents: list[bytes], ids: np.ndarray, flags: list[bytes] | None, units: Units) -> Candidates:
+    """Cut out the runs whose gram is flagged; the same slice and flags give the same numbers."""
+    flag = np.concatenate([np.zeros(0, np.uint8), *(np.frombuffer(_unpacker().decompress(f), np.uint8) for f in flags or [])])
     values, counts, first_byte, last_byte, data = units.split(contents)
     runs = find_runs(values, counts, units)
-    keys, _ = _distinct(runs)
-    flag = flags[np.searchsorted(keys, _keys(runs.gram))] if len(keys) else np.zeros(0, np.uint8)
+    if len(runs.doc):
+        flag = flag[np.searchsorted(_distinct(runs)[0], _keys(runs.gram))]
     cold, hot = np.flatnonzero(flag == 1), np.flatnonzero(flag == 2)
     # runs of very frequent grams become one run per window
     singles = ragged(runs.start[hot], runs.windows[hot])
@@ -260,48 +270,61 @@ def _slice_candidates(row: dict, flags: np.ndarray, units: Units, bins: int) ->
     doc = np.r_[runs.doc[cold], runs.doc[own]]
     windows = np.r_[runs.windows[cold], np.ones(len(singles), np.int64)]
     anchor = np.r_[runs.anchor[cold], runs.anchor[own]] - start
-    key = _keys(np.r_[runs.gram[cold], window_hashes(values, units.size)[singles] if len(singles) else np.zeros(0, np.uint64)])
-    length = windows + units.size - 1
-    begin, end = first_byte[start], last_byte[start + length - 1] if len(start) else start
+    alone = np.concatenate(
+        [np.zeros(0, np.uint64), *(window_hashes(values[i : i + units.size], units.size) for i in singles.tolist())]
+    )
+    key = _keys(np.r_[runs.gram[cold], alone])
+    begin, end = first_byte[start], last_byte[start + windows + units.size - 2]
     number: dict[bytes, int] = {}
     whole = data.tobytes()
-    strings = np.fromiter(
-        (number.setdefault(whole[a:b], len(number)) for a, b in zip(begin.tolist(), end.tolist(), strict=True)), np.int64, len(start)
+    string = np.fromiter(
+        (number.setdefault(whole[a:b], len(number)) for a, b in zip(begin.tolist(), end.tolist(), strict=True)),
+        np.int64,
+        len(start),
     )
     least = np.full(len(number), NO_ID, np.int64)
     most = np.full(len(number), np.iinfo(np.int64).min, np.int64)
-    np.minimum.at(least, strings, ids[doc])
-    np.maximum.at(most, strings, ids[doc])
-    texts = list(number)
+    np.minimum.at(least, string, ids[doc])
+    np.maximum.at(most, string, ids[doc])
     where = np.empty(len(number), np.int64)
-    where[strings] = np.arange(len(strings))
-    bin_of = _bins(key[where], bins)
+    where[string] = np.arange(len(string))
+    return Candidates(list(number), key[where], anchor[where], least, most, string, doc, start)
+
+
+def _candidates(batches: Iterable[pa.RecordBatch], units: Units, bins: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(batch.num_rows):
+            (row,) = batch.slice(at, 1).to_pylist()
+            contents, ids = unpack(row["packed"], row["sizes"]), np.frombuffer(row["ids"], "<i8")
+            rows = list(_by_bin(row["slice"], slice_candidates(contents, ids, row["flags"], units), bins))
+            for begin in range(0, len(rows), 256):
+                yield pa.RecordBatch.from_pylist(rows[begin : begin + 256], _RUNS)
+
+
+def _by_bin(name: str, found: Candidates, bins: int) -> Iterator[dict]:
+    bin_of = _bins(found.keys, bins)
     order = np.argsort(bin_of, kind="stable")
     edges = np.searchsorted(bin_of[order], np.arange(bins + 1))
     for i in np.flatnonzero(np.diff(edges)).tolist():
         mine = order[edges[i] : edges[i + 1]]
+        texts = [found.texts[m] for m in mine.tolist()]
         yield {
-            "slice": row["slice"],
+            "slice": name,
             "bin": i,
-            "data": b"".join([texts[m] for m in mine.tolist()]),
-            "sizes": np.fromiter((len(texts[m]) for m in mine.tolist()), "<i8").tobytes(),
-            "unit_sizes": length[where[mine]].astype("<i4").tobytes(),
-            "anchors": anchor[where[mine]].astype("<i4").tobytes(),
-            "least": least[mine].astype("<i8").tobytes(),
-            "most": most[mine].astype("<i8").tobytes(),
+            "data": b"".join(texts),
+            "sizes": np.fromiter(map(len, texts), "<i4", len(texts)).tobytes(),
+            "anchors": found.anchors[mine].astype("<i4").tobytes(),
+            "least": found.least[mine].astype("<i8").tobytes(),
+            "most": found.most[mine].astype("<i8").tobytes(),
             "strings": mine.astype("<i4").tobytes(),
         }
-    if len(start):
-        yield {
-            "slice": row["slice"],
-            "bin": -1,
-            "strings": strings.astype("<i4").tobytes(),
-            "run_doc": doc.astype("<i4").tobytes(),
-            "run_start": start.astype("<i8").tobytes(),
-        }
 
 
-def candidate_runs(slices: DataFrame, flags: DataFrame, units: Units, bins: int) -> DataFrame:
-    """Rows with the distinct run strings per slice and bin; the row of bin -1 says where they occur."""
-    joined = slices.select("slice", "ids", "sizes", "packed").join(flags, "slice")
-    return map_batches(joined, lambda batches: _candidates(batches, units, bins), RUNS)
+def flagged_slices(slices: DataFrame, flags: DataFrame) -> DataFrame:
+    """Slices with their flags. What reads this twice shares the shuffle of the packed texts."""
+    return slices.select("slice", "ids", "sizes", "packed").join(flags, "slice", "left")
+
+
+def candidate_runs(flagged: DataFrame, units: Units, bins: int) -> DataFrame:
+    """Rows with the distinct run strings per slice and bin, and their smallest and largest document."""
+    return map_batches(flagged, lambda batches: _candidates(batches, units, bins), RUNS)

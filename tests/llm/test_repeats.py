@@ -111,3 +111,15 @@ def test_equal_windows_have_equal_anchors():
     place, hashed = windows.anchors(text, 50, 16)
     again, also = windows.anchors(text[777:], 50, 16)
     assert (place[777:] == again + 777).all() and (hashed[777:] == also).all()
+
+
+def test_runs_do_not_depend_on_blocks(monkeypatch):
+    rnd = np.random.default_rng(2)
+    values = rnd.integers(0, 2, 9000).astype(np.uint64)
+    counts = np.array([0, 4000, 30, 49, 50, 4871])
+    whole = windows.find_runs(values, counts, suffix.UNITS)
+    monkeypatch.setattr(windows, "_BLOCK", 64)
+    cut = windows.find_runs(values, counts, suffix.UNITS)
+    for name in ("doc", "start", "windows", "anchor", "gram"):
+        assert (getattr(whole, name) == getattr(cut, name)).all()
+    assert whole.windows.sum() == np.maximum(0, counts - 49).sum()
