@@ -5,7 +5,7 @@ confirmed word by word and joined to passages (maximal stretches of windows with
 document). Every slice of documents gets the passages that recur in it, as shards of ``SHARD`` passages;
 each shard is compiled into an Aho-Corasick automaton over word numbers, and all documents of the slice
 are streamed through it to locate every occurrence. A word goes if an occurrence of a passage that a
-smaller document has covers it.
+smaller document has covers it. Words are numbered by 64-bit hashes.
 
 Defined cases: a null text has no words; texts of fewer words lose nothing; a null doc_id is larger than
 any other and removes nothing; repeated rows of a document remove nothing from each other; other columns
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.llm import windows
-from scopewise.llm.batches import map_batches
+from scopewise.llm.batches import map_batches, ragged
 from scopewise.llm.shingles import joined, words
 from scopewise.session import materialize
 
@@ -33,11 +33,9 @@ WINDOW = 13
 #: Words of an anchor.
 GRAM = 4
 #: Passages of one automaton.
-SHARD = 20_000
-#: First character of word numbers behind the surrogates.
-_SURROGATES = (0xD800, 0xE000)
-#: Stands for every word that no passage of the shard has.
-_OTHER = "\x00"
+SHARD = 10_000
+#: Characters per word in an automaton.
+WIDTH = 3
 
 
 def _split(contents: list[bytes]) -> tuple:
@@ -100,24 +98,33 @@ def _confirm(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["slice", "passages", "least"])
 
 
-def _characters(numbers: np.ndarray) -> str:
-    """One character per word number."""
-    codes = numbers + np.where(numbers >= _SURROGATES[0], _SURROGATES[1] - _SURROGATES[0], 0)
-    return codes.astype("<u4").tobytes().decode("utf-32-le")
+def _characters(numbers: np.ndarray, known: int) -> str:
+    """``WIDTH`` characters per word number, each place with letters of its own.
 
+    Few letters keep the nodes of an automaton narrow: it looks through the edges of a node one by one.
+    """
+    base = 1
+    while base**WIDTH <= known:
+        base += 1
+    digits = numbers[:, None] // base ** np.arange(WIDTH) % base + base * np.arange(WIDTH)
+    return (digits + 1).astype("<u4").tobytes().decode("utf-32-le")
+
+
+def shards(passages: list[bytes]) -> Iterator[tuple[ahocorasick.Automaton, np.ndarray, np.ndarray]]:
+    """Automata over word numbers, with the word hashes in order of number and the passages' lengths.
 
-def shards(passages: dict[bytes, int]) -> Iterator[tuple[ahocorasick.Automaton, dict[bytes, int]]]:
-    """Automata over word numbers with the length and smallest document of each passage, and the numbers."""
-    items = list(passages.items())
-    for begin in range(0, len(items), SHARD):
-        numbers: dict[bytes, int] = {}
+    Word numbers begin at 1; a match gives the place of its passage among those of the shard.
+    """
+    for begin in range(0, len(passages), SHARD):
+        data, begins = joined(passages[begin : begin + SHARD])
+        _, _, hashed, counts = words(data, begins)
+        known, numbers = np.unique(hashed, return_inverse=True)
+        line, ends = _characters(numbers + 1, len(known)), (WIDTH * np.cumsum(counts)).tolist()
         found = ahocorasick.Automaton()
-        for passage, low in items[begin : begin + SHARD]:
-            own = passage.split(b" ")
-            codes = np.fromiter((numbers.setdefault(w, len(numbers) + 1) for w in own), np.int64, len(own))
-            found.add_word(_characters(codes), (len(own), low))
+        for i, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
+            found.add_word(line[a:b], i)
         found.make_automaton()
-        yield found, numbers
+        yield found, known, counts
 
 
 DEDUPED = "doc_id long, n_words long, n_removed long, kept binary, removed array<struct<start:long,end:long>>"
@@ -141,28 +148,42 @@ def _locate(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stream(contents: list[bytes], ids: list[int], passages: dict[bytes, int]) -> Iterator[tuple]:
     """Rows of ``DEDUPED`` of all documents of a slice."""
-    found = [split_words(content) for content in contents]
-    ends = np.cumsum([0, *map(len, found)]).tolist()
-    change = np.zeros(ends[-1] + 1, np.int64)
-    flat = [word for own in found for word in own]
-    begin, end = [], []
-    for automaton, numbers in shards(passages):
-        line = _characters(np.fromiter((numbers.get(word, 0) for word in flat), np.int64, len(flat)))
-        for a, b, doc_id in zip(ends[:-1], ends[1:], ids, strict=True):
-            if b - a >= WINDOW:
-                for last, (length, low) in automaton.iter(line, a, b):
-                    if low < doc_id:
-                        begin.append(last + 1 - length)
-                        end.append(last + 1)
-    np.add.at(change, np.array(begin, np.int64), 1)
-    np.add.at(change, np.array(end, np.int64), -1)
-    covered = np.cumsum(change[:-1]) > 0
-    for doc_id, own, a, b in zip(ids, found, ends[:-1], ends[1:], strict=True):
-        gone = covered[a:b]
-        edge = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
-        kept = [w for w, g in zip(own, gone.tolist(), strict=True) if not g] if len(edge) else own
+    data, begins = joined(contents)
+    start, end, hashed, counts = words(data, begins)
+    covered = _covered(hashed, counts, np.array(ids, np.int64), passages)
+    # kept words with the byte behind each, which becomes the space between them
+    left = np.flatnonzero(~covered)
+    sizes = end[left] - start[left] + 1
+    text = data[ragged(start[left], sizes)]
+    stops = np.cumsum(sizes)
+    text[stops - 1] = 32
+    kept_ends = np.r_[0, stops][np.searchsorted(left, np.cumsum(counts))].tolist()
+    ends = np.cumsum(counts).tolist()
+    for doc_id, a, b, c, d in zip(ids, [0, *ends], ends, [0, *kept_ends], kept_ends, strict=False):
+        edge = np.flatnonzero(np.diff(np.r_[False, covered[a:b], False].astype(np.int8)))
         spans = [{"start": i, "end": j} for i, j in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True)]
-        yield (None if doc_id == windows.NO_ID else doc_id, len(own), int(gone.sum()), b" ".join(kept), spans)
+        gone = int(covered[a:b].sum())
+        yield (None if doc_id == windows.NO_ID else doc_id, b - a, gone, text[c : max(c, d - 1)].tobytes(), spans)
+
+
+def _covered(hashed: np.ndarray, counts: np.ndarray, ids: np.ndarray, passages: dict[bytes, int]) -> np.ndarray:
+    """Which words of a slice lie in a passage that a smaller document has."""
+    change = np.zeros(len(hashed) + 1, np.int32)
+    # a place without a word between documents keeps matches inside them
+    place = np.arange(len(hashed)) + np.repeat(np.arange(len(counts)), counts)
+    owner = np.repeat(ids, counts)
+    texts, least = list(passages), np.array(list(passages.values()), np.int64)
+    for begin, (automaton, known, lengths) in zip(range(0, len(texts), SHARD), shards(texts), strict=True):
+        at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+        line = np.zeros(len(hashed) + len(counts), np.int64)
+        line[place] = np.where(known[at] == hashed, at + 1, 0)
+        found = np.array(list(automaton.iter(_characters(line, len(known)))), np.int64).reshape(-1, 2)
+        last, passage = np.searchsorted(place, found[:, 0] // WIDTH), found[:, 1]
+        smaller = least[begin + passage] < owner[last]
+        last, passage = last[smaller], passage[smaller]
+        np.add.at(change, last + 1 - lengths[passage], 1)
+        np.add.at(change, last + 1, -1)
+    return np.cumsum(change[:-1]) > 0
 
 
 def remove_passages(docs: DataFrame, hot_docs: int = windows.HOT_DOCS) -> DataFrame:

@@ -181,8 +181,10 @@ def _classes(order: np.ndarray, shared: np.ndarray, reach: int) -> np.ndarray:
     return numbers
 
 
-def least_documents(strings: list[bytes], anchor: np.ndarray, least: np.ndarray, size: int = WINDOW) -> list[np.ndarray]:
-    """For every window of every string, the smallest document that has the window.
+def least_documents(
+    strings: list[bytes], anchor: np.ndarray, least: np.ndarray, size: int = WINDOW
+) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of every string, the smallest document that has it; and each string's first window.
 
     ``anchor`` is the place of a string's anchor, ``least`` the smallest document that has the string.
     """
@@ -203,7 +205,7 @@ def least_documents(strings: list[bytes], anchor: np.ndarray, least: np.ndarray,
         first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
         smallest = np.minimum.reduceat(least[mine][order], first)
         found[begins[mine[order]] + start[mine[order]]] = np.repeat(smallest, np.diff(np.r_[first, len(mine)]))
-    return np.split(found, begins[1:])
+    return found, begins
 
 
 VERDICT = "slice string, string binary, first binary, last binary, least binary"
@@ -229,33 +231,32 @@ def group_strings(group: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndar
     return list(number), of, anchor, least
 
 
-def _segments(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last place of every run of equal values."""
-    first = np.flatnonzero(np.r_[True, np.diff(values) != 0])
-    return first, np.r_[first[1:], len(values)] - 1
-
-
 def _judge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Per slice, the stretches of windows of its strings that a smaller document has."""
     strings, of, anchor, least = group_strings(group)
-    found = least_documents(strings, anchor, least)
-    runs = [_segments(values) for values in found]
-    most = _arrays(group, "most", "<i8")
-    names = _arrays(group, "strings", "<i4")
-    per_slice = np.fromiter((len(s) // 4 for s in group["strings"]), np.int64, len(group))
-    rows, at = [], 0
-    for name, count in zip(group["slice"], per_slice.tolist(), strict=True):
-        own: list[tuple[int, int, int, int]] = []
-        for i in range(at, at + count):
-            number = of[i]
-            first, last = runs[number]
-            for a, b in zip(first.tolist(), last.tolist(), strict=True):
-                if (smallest := int(found[number][a])) < most[i]:
-                    own.append((int(names[i]), a, b, smallest))
-        at += count
-        if own:
-            string, first, last, smallest = (np.array(c) for c in zip(*own, strict=True))
-            rows.append((name, string.astype("<i4").tobytes(), first.astype("<i4").tobytes(), last.astype("<i4").tobytes(), smallest.astype("<i8").tobytes()))
+    found, begins = least_documents(strings, anchor, least)
+    # stretches of one string with one smallest document
+    new = np.r_[True, np.diff(found) != 0]
+    new[begins] = True
+    at = np.flatnonzero(new)
+    owner = np.searchsorted(begins, at, side="right") - 1
+    first, last = at - begins[owner], np.r_[at[1:], len(found)] - 1 - begins[owner]
+    begin = np.searchsorted(owner, np.arange(len(strings)))
+    count = np.diff(np.r_[begin, len(owner)])
+    # the same for every string of every slice
+    stretch = ragged(begin[of], count[of])
+    entry = np.repeat(np.arange(len(of)), count[of])
+    smaller = found[at[stretch]] < _arrays(group, "most", "<i8")[entry]
+    stretch, entry = stretch[smaller], entry[smaller]
+    ends = np.cumsum([len(s) // 4 for s in group["strings"]])
+    cuts = np.searchsorted(entry, np.r_[0, ends])
+    names = _arrays(group, "strings", "<i4")[entry]
+    columns = [(names, "<i4"), (first[stretch], "<i4"), (last[stretch], "<i4"), (found[at[stretch]], "<i8")]
+    rows = [
+        (name, *(values[a:b].astype(kind).tobytes() for values, kind in columns))
+        for name, a, b in zip(group["slice"], cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+        if b > a
+    ]
     return pd.DataFrame(rows, columns=["slice", "string", "first", "last", "least"])
 
 
