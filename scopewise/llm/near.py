@@ -10,7 +10,9 @@ Links are confirmed on the full shingle sets, and no pair within a component is
 1. Documents with equal sets collapse to the smallest doc_id.
 2. In every bucket each document is compared with the smallest one only. This joins nearly all groups.
 3. Where a bucket still holds several components, the documents outside its largest component are
-   compared with all others of the bucket, so that no link between components is missed.
+   compared with all others of the bucket, so that no link between components is missed. Blocks of both
+   sides meet in tasks, which look at a pair in the first bucket that its documents share, skip what is
+   connected already, and return links only, never pairs.
 
 A pair whose signatures agree in less than ``MIN_AGREEMENT`` of the values is not compared. At the
 threshold of 0.85 the chance to miss a pair in all bands is below 5e-6, to miss it by this agreement
@@ -173,6 +175,84 @@ def confirm(pairs: DataFrame, packed: DataFrame, signed: DataFrame) -> DataFrame
     )
 
 
+def _rows(packed: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches and band keys of the documents of a block, as matrices."""
+    sketch = np.frombuffer(b"".join(packed["sketch"]), np.uint16).reshape(len(packed), -1)
+    return sketch, np.array(packed["bands"].tolist(), np.int64).reshape(len(packed), -1)
+
+
+def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Links between documents of two blocks of a bucket that join different components."""
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": [], "b": []}).astype(int)
+    bucket = key[0]
+    (one, one_bands), (two, two_bands) = _rows(left), _rows(right)
+    x, y = left["doc_id"].to_numpy(), right["doc_id"].to_numpy()
+    cx, cy = left["component"].to_numpy(), right["component"].to_numpy()
+    n, m = left["n"].to_numpy(), right["n"].to_numpy()
+    in_main = (right["component"] == right["main"]).to_numpy()
+    pairs: list[tuple[float, int, int]] = []
+    for i in range(len(left)):
+        agreement = (one[i] == two).mean(axis=1)
+        shared = one_bands[i] == two_bands
+        first = one_bands[i][shared.argmax(axis=1)] == bucket
+        fits = 100 * np.minimum(n[i], m) >= PERCENT * np.maximum(n[i], m)
+        wanted = first & fits & (cx[i] != cy) & (in_main | (y > x[i])) & (agreement >= MIN_AGREEMENT)
+        pairs += [(-agreement[j], i, j) for j in np.flatnonzero(wanted).tolist()]
+    unpacker = zstandard.ZstdDecompressor()
+    sets: dict[tuple[int, int], np.ndarray] = {}
+    above: dict[int, int] = {}
+
+    def root(label: int) -> int:
+        while above.get(label, label) != label:
+            label = above[label]
+        return label
+
+    def shingles(side: int, i: int) -> np.ndarray:
+        if (side, i) not in sets:
+            (sets[side, i],) = _sets([(left, right)[side]["packed"].iat[i]], unpacker)
+        return sets[side, i]
+
+    links = []
+    for _, i, j in sorted(pairs):  # the likeliest first
+        if root(cx[i]) != root(cy[j]):
+            common = len(np.intersect1d(shingles(0, i), shingles(1, j), assume_unique=True))
+            if 100 * common >= PERCENT * (n[i] + m[j] - common):
+                above[root(cx[i])] = root(cy[j])
+                links.append((x[i], y[j]))
+    return pd.DataFrame(links, columns=["a", "b"]).astype(int)
+
+
+def link_open_buckets(rows: DataFrame, signed: DataFrame, packed: DataFrame) -> DataFrame:
+    """(a, b) links between the components of buckets.
+
+    ``rows`` are (bucket, doc_id, n, component, main) of buckets that hold more than their main component.
+    """
+    outside = F.col("component") != F.col("main")
+    sizes = rows.groupBy("bucket").agg(
+        F.ceil(F.count_if(outside) / BLOCK).alias("left_blocks"), F.ceil(F.count("*") / BLOCK).alias("right_blocks")
+    )
+    sized = rows.join(sizes, "bucket")
+    content = signed.select("doc_id", "bands", "sketch").join(packed, "doc_id")
+
+    def dealt(part: DataFrame, own: str, other: str, blocks: str, others: str) -> DataFrame:
+        return (
+            part.withColumn(own, F.pmod(F.xxhash64("doc_id"), F.col(blocks)))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)))
+            .select("bucket", "i", "j", "doc_id", "n", "component", "main")
+            .join(content, "doc_id")
+        )
+
+    left = dealt(sized.where(outside), "i", "j", "left_blocks", "right_blocks")
+    right = dealt(sized, "j", "i", "right_blocks", "left_blocks")
+    right = right.toDF(*right.columns)
+    return (
+        left.groupBy("bucket", "i", "j")
+        .cogroup(right.groupBy("bucket", "i", "j"))
+        .applyInPandas(_link_blocks, "a long, b long")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
@@ -204,19 +284,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
     mixed = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
     open_rows = materialize(placed.join(mixed.where("parts > 1").drop("parts"), "bucket"), "near-open")
-    outside = open_rows.where("component <> main").select(
-        "bucket", F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx")
-    )
-    fits = 100 * F.least("n", "nx") >= PERCENT * F.greatest("n", "nx")
-    once = (F.col("component") == F.col("main")) | (F.col("doc_id") > F.col("x"))
-    rest = (
-        outside.join(open_rows, "bucket")
-        .where((F.col("component") != F.col("cx")) & fits & once)
-        .select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b"))
-        .distinct()
-        .join(tested, ["a", "b"], "left_anti")
-    )
-    more = materialize(confirm(rest, packed, reps).where("linked"), "near-rest")
+    more = materialize(link_open_buckets(open_rows, reps, packed).distinct(), "near-rest")
     if not more.isEmpty():
         labels = components(links.union(more))
     discard(crowded, tested, open_rows, more, reps)
