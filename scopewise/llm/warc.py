@@ -93,17 +93,20 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
     """
     slim = pages.select(F.col("page_id").cast("long"), "url", "html")
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    packed = slim.withColumn("sha1", F.sha1(payload)).transform(
+    sha1 = F.unhex(F.sha1(payload)).alias("sha1")
+    packed = slim.select("*", sha1).transform(
         map_batches,
         lambda batches: _pack(batches, min_bytes),
-        "page_id long, url string, sha1 string, payload_digest string, payload_bytes long, packed binary",
+        "page_id long, url string, sha1 binary, payload_digest string, payload_bytes long, packed binary",
     )
-    shared = (
+    # Stored, so that its size is known: while few payloads repeat, the pages need no shuffle.
+    shared = materialize(
         slim.where(F.octet_length(payload) >= min_bytes)
-        .groupBy(F.sha1(payload).alias("sha1"))
+        .groupBy(sha1)
         .agg(F.max("page_id").alias("response_id"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("sha1", "response_id", F.lit(True).alias("is_shared"))
+        .select("sha1", "response_id", F.lit(True).alias("is_shared")),
+        "shared-payloads",
     )
     decided = packed.join(shared, "sha1", "left").withColumn(
         "revisit", F.coalesce("is_shared", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("response_id"))
