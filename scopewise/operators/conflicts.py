@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -168,14 +168,10 @@ def conflict_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """What an exact dedupe would and would not solve; one row.
 
-    Rows outside duplicate keys only enter the row count, which the search for
-    the duplicate keys takes along.
+    Rows outside duplicate keys only enter the row count, which reads no column.
     """
-    counted = Observation()
-    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    keys = materialize(duplicate_keys(observed, key), "keys")
     by_key = (
-        exact_dedupe(join_on_key(df, keys, key).select(*df.columns))
+        exact_dedupe(duplicate_members(df, key).drop("row_count"))
         .groupBy(*key)
         .agg(F.sum("copies").alias("rows"), F.count("*").alias("distinct_rows"))
     )
@@ -193,7 +189,7 @@ def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:
         total(F.when(~conflicting, F.col("rows"))).alias("exact_rows"),
         total(F.col("rows") - F.col("distinct_rows")).alias("_dropped"),
         total(F.when(conflicting, F.col("distinct_rows"))).alias("remaining_duplicate_rows"),
-    ).withColumn("source_rows", F.lit(counted.get["rows"]).cast("bigint"))
+    ).withColumn("source_rows", df.agg(F.count("*")).scalar())
     return found.select(
         "source_rows",
         "duplicate_groups",

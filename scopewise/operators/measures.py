@@ -62,11 +62,16 @@ def _split(context: FilterContext, spec: FactSpec) -> tuple[Column, Column]:
 
 def apply_context(df: DataFrame, context: FilterContext, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     """Rows that pass all filters."""
-    require_allowed([*context.outer, *context.inner], df.columns, "fact")
-    others, entity = _split(context, spec)
+    others, entity = _allowed_split(df, context, spec)
     return df.where(others).where(entity)
 
 
+def _allowed_split(df: DataFrame, context: FilterContext, spec: FactSpec) -> tuple[Column, Column]:
+    """``_split`` for filters on fields that the table offers."""
+    require_allowed([*context.outer, *context.inner], df.columns, "fact")
+    return _split(context, spec)
+
+
 def count_measures(spec: FactSpec = DEFAULT_SPEC) -> list[Column]:
     """Totals, distinct entities, average and category shares, as aggregates."""
     total = F.sum(spec.total)
@@ -107,7 +112,7 @@ def selected_contribution(
     """
     if {spec.entity_name, spec.entity_code} & set(by):
         raise ValueError("Group by other columns than the entity; see tooltip.")
-    others, entity = _split(context, spec)
+    others, entity = _allowed_split(df, context, spec)
     selected = F.sum(F.when(entity, F.col(spec.total)))
     whole = F.sum(spec.total)
     return df.where(others).groupBy(*by).agg(
@@ -124,6 +129,7 @@ def measure_extremes(
     spec: FactSpec = DEFAULT_SPEC,
 ) -> DataFrame:
     """Names of the highest and lowest entity over the outer filters."""
+    require_allowed([*context.outer, *context.inner], df.columns, "fact")
     rows = df.where(matches(context.outer))
     name, total = F.col(spec.entity_name), F.col(spec.total)
     return rows.groupBy(*by).agg(
@@ -175,7 +181,7 @@ def tooltip(
     The contribution divides by the scope total over all entities that pass
     the other filters.
     """
-    others, entity = _split(context, spec)
+    others, entity = _allowed_split(metrics, context, spec)
     kept = scope_totals_per_row(metrics.where(others), spec)
     return kept.where(entity).select(
         *spec.scope_keys,

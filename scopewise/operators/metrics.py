@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.functions.numeric import dominant_category, safe_pct
-from scopewise.operators.ranking import MAX_ROWS_PER_TASK, add_ranks
+from scopewise.operators.ranking import add_ranks
 from scopewise.session import materialize
 from scopewise.spec import DEFAULT_SPEC, RANK_CUTOFF, FactSpec
 
@@ -41,12 +41,11 @@ def add_scope_share(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
 def entity_metrics(
     df: DataFrame,
     spec: FactSpec = DEFAULT_SPEC,
-    strategy: str = "auto",
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    strategy: str = "range",
 ) -> DataFrame:
     """All derived columns for every scope at once: base columns plus nine."""
     base = df.select(*spec.snapshot_cols, *spec.required, *spec.extra_cols)
-    ranked = add_ranks(base, spec, strategy, max_rows_per_task)
+    ranked = add_ranks(base, spec, strategy)
     shared = category_shares(ranked, spec)
     return shared.select(
         *spec.snapshot_cols,

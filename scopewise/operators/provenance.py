@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scopewise.operators.summaries import (
     dataset_summary,
-    executive_summary,
+    documented_summary,
     kpi_extremes,
     mean_share_sum,
 )
@@ -18,21 +18,6 @@ from scopewise.spec import DEFAULT_SPEC, FactSpec
 
 SCHEMA_VERSION = "1.0"
 
-TRANSFORMATIONS = (
-    "Read the aggregate source as text.",
-    "Trimmed column names and required text.",
-    "Parsed the counts as whole numbers.",
-    "Checked counts, keys and the sum of categories.",
-    "Restricted the rows to their scope.",
-    "Derived ranks, shares, dominant category and top and bottom flags.",
-)
-LIMITATIONS = (
-    "Registration counts do not show which enterprises are active.",
-    "Registration counts do not show revenue, profit or employment.",
-    "Snapshots with different reporting dates must not be combined.",
-)
-
-
 @dataclass(frozen=True)
 class Source:
     """Identity of a source.
@@ -57,7 +42,7 @@ def generated_at() -> Column:
 
 
 def _texts(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
 def _source_cols(source: Source) -> list[Column]:
@@ -75,9 +60,18 @@ def _qualification_cols(source: Source) -> list[Column]:
 
 
 def provenance(
-    df: DataFrame, source: Source, output_name: str, spec: FactSpec = DEFAULT_SPEC
+    df: DataFrame,
+    source: Source,
+    output_name: str,
+    spec: FactSpec = DEFAULT_SPEC,
+    steps: Sequence[str] = (),
+    limitations: Sequence[str] = (),
 ) -> DataFrame:
-    """Provenance record of every scope of a dataset."""
+    """Provenance record of every scope of a dataset.
+
+    ``steps`` are those that the caller ran, ``limitations`` those that the
+    owner of the source states.
+    """
     derived = [c for c in spec.derived if c in df.columns]
     return dataset_summary(df, spec).select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
@@ -85,26 +79,32 @@ def provenance(
         generated_at().alias("generated_at_utc"),
         F.lit(output_name).alias("output_name"),
         _texts(df.columns).alias("columns"),
-        (_texts(derived) if derived else F.array().cast("array<string>")).alias("derived_columns"),
+        _texts(derived).alias("derived_columns"),
         *spec.scope_keys,
         "row_count",
         "entity_count",
         *[f"{c}_total" for c in (*spec.categories, spec.total)],
-        _texts(TRANSFORMATIONS).alias("transformations"),
-        _texts(LIMITATIONS).alias("limitations"),
+        _texts(steps).alias("transformations"),
+        _texts(limitations).alias("limitations"),
     )
 
 
 def qualified_provenance(
-    df: DataFrame, source: Source, output_name: str, spec: FactSpec = DEFAULT_SPEC
+    df: DataFrame,
+    source: Source,
+    output_name: str,
+    spec: FactSpec = DEFAULT_SPEC,
+    steps: Sequence[str] = (),
+    limitations: Sequence[str] = (),
 ) -> DataFrame:
     """Provenance plus the qualification of the source."""
-    return provenance(df, source, output_name, spec).select("*", *_qualification_cols(source))
+    record = provenance(df, source, output_name, spec, steps, limitations)
+    return record.select("*", *_qualification_cols(source))
 
 
 def qualified_summary(df: DataFrame, source: Source, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     """KPIs of every scope plus source and qualification."""
-    return executive_summary(df, spec).select(
+    return documented_summary(df, spec).select(
         "*",
         *_source_cols(source),
         *_qualification_cols(source),
@@ -134,8 +134,8 @@ def release_validation(
 
 
 def release_totals(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    """Row count and totals over all scopes; one row."""
-    return df.agg(
+    """Row count and totals over all scopes; one row per snapshot."""
+    return df.groupBy(*spec.snapshot_cols).agg(
         F.count("*").alias("row_count"),
         *[
             F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(f"{c}_total")

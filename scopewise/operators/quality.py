@@ -1,9 +1,10 @@
 """Data-quality rules.
 
-A row rule is a boolean column that is true on a violation; all row rules of a
-suite are counted in one pass.  Key uniqueness needs its own shuffle, of keys
-and counters only.  A report lists one line per check in the order in which
-the checks apply; ``enforce`` raises for the first broken one.
+A row rule is a boolean column that is true on a violation.  A report counts all
+rules of a suite in one scan; a suite with a unique key counts them per key
+first, so that uniqueness needs no scan of its own.  A report lists one line per
+check in the order in which the checks apply; ``enforce`` raises for the first
+broken one.
 """
 
 from __future__ import annotations
@@ -26,11 +27,18 @@ from scopewise.functions.numeric import (
 from scopewise.functions.text import is_blank, scope_key, strip_text
 from scopewise.operators.metrics import scope_totals_per_row
 from scopewise.spec import (
+    ABOVE_100_TEXT,
     CONTRIBUTION_TOLERANCE,
     DEFAULT_SPEC,
+    DUPLICATE_ROWS_TEXT,
+    MISSING_COLUMNS_TEXT,
+    MUST_EQUAL_TEXT,
+    NEGATIVE_TEXT,
+    ONLY_SCOPE_TEXT,
     RANK_CUTOFF,
     ROW_SHARE_TOLERANCE,
     SHARE_VALUE_TOLERANCE,
+    TOP_FLAGS_TEXT,
     DataQualityError,
     FactSpec,
 )
@@ -40,14 +48,15 @@ from scopewise.spec import (
 class Check:
     """One line of a rule report.
 
-    ``count`` aggregates the number of violations; ``key`` instead names the
-    columns of a uniqueness check.  ``message`` may use ``{n}``.
+    ``broken`` is true for a row that breaks the rule; ``key`` instead names the
+    columns of a uniqueness check.  A check with neither asks for rows at all.
+    ``message`` may use ``{n}``.
     """
 
     rule: str
     subject: str
     message: str
-    count: Column | None = None
+    broken: Column | None = None
     key: tuple[str, ...] = ()
 
 
@@ -82,7 +91,7 @@ def violations(condition: Column) -> Column:
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [name for name in columns if name not in df.columns]
     if missing:
-        raise DataQualityError("Missing required columns: " + ", ".join(missing))
+        raise DataQualityError(f"{MISSING_COLUMNS_TEXT}: " + ", ".join(missing))
 
 
 def prohibited_columns(df: DataFrame, prohibited: Iterable[str]) -> list[str]:
@@ -94,13 +103,17 @@ def prohibited_columns(df: DataFrame, prohibited: Iterable[str]) -> list[str]:
 def require_no_prohibited(df: DataFrame, prohibited: Iterable[str]) -> None:
     found = prohibited_columns(df, prohibited)
     if found:
-        raise DataQualityError("Prohibited columns are present: " + ", ".join(found))
+        raise DataQualityError("These columns must not be published: " + ", ".join(found))
+
+
+def not_allowed(requested: Iterable[str], allowed: Iterable[str]) -> list[str]:
+    return sorted(set(requested) - set(allowed))
 
 
 def require_allowed(requested: Iterable[str], allowed: Iterable[str], dataset: str) -> None:
-    unknown = sorted(set(requested) - set(allowed))
+    unknown = not_allowed(requested, allowed)
     if unknown:
-        raise DataQualityError(f"Fields not allowed for {dataset}: " + ", ".join(unknown))
+        raise DataQualityError(f"{dataset} does not offer: " + ", ".join(unknown))
 
 
 # --- building blocks -----------------------------------------------------------
@@ -110,8 +123,7 @@ def non_empty() -> Check:
     return Check(
         "non_empty",
         "*",
-        "Dataset must contain at least one row.",
-        F.when(F.count("*") == 0, F.lit(1)).otherwise(F.lit(0)),
+        "There are no rows to work on.",
     )
 
 
@@ -119,8 +131,8 @@ def no_nulls(column: str) -> Check:
     return Check(
         "no_nulls",
         column,
-        f"Null values found in required fields: {column}={{n}}",
-        violations(F.col(column).isNull()),
+        f"{column!r} is missing in {{n}} rows.",
+        F.col(column).isNull(),
     )
 
 
@@ -128,8 +140,8 @@ def not_blank(column: str) -> Check:
     return Check(
         "not_blank",
         column,
-        f"Column {column!r} contains {{n}} blank values.",
-        violations(is_blank(F.col(column))),
+        f"{column!r} is blank in {{n}} rows.",
+        is_blank(F.col(column)),
     )
 
 
@@ -139,8 +151,8 @@ def numeric(column: str) -> Check:
     return Check(
         "numeric",
         column,
-        f"Column {column!r} contains {{n}} non-numeric values.",
-        violations(text.isNotNull() & parse_number(text).isNull()),
+        f"{column!r} is no number in {{n}} rows.",
+        text.isNotNull() & parse_number(text).isNull(),
     )
 
 
@@ -158,16 +170,14 @@ def nonnegative(column: str) -> Check:
     return Check(
         "nonnegative",
         column,
-        f"Column {column!r} contains {{n}} negative values.",
-        violations(F.col(column).try_cast("double") < 0),
+        f"{column!r} has {{n}} {NEGATIVE_TEXT}.",
+        F.col(column).try_cast("double") < 0,
     )
 
 
 def unique(key: Sequence[str]) -> Check:
     name = ", ".join(key)
-    return Check(
-        "unique", name, f"Duplicate rows found for key [{name}]: {{n}}", key=tuple(key)
-    )
+    return Check("unique", name, f"{DUPLICATE_ROWS_TEXT}: {{n}} rows share ({name}).", key=tuple(key))
 
 
 def sum_identity(spec: FactSpec) -> Check:
@@ -175,8 +185,8 @@ def sum_identity(spec: FactSpec) -> Check:
     return Check(
         "sum_identity",
         spec.total,
-        f"The {spec.total} column does not equal {parts} for {{n}} rows.",
-        violations(F.col(spec.total) != row_sum(spec.categories)),
+        f"{spec.total!r} differs from {parts} in {{n}} rows.",
+        F.col(spec.total) != row_sum(spec.categories),
     )
 
 
@@ -211,8 +221,8 @@ def _missing_count(column: str) -> Check:
     return Check(
         "numeric",
         column,
-        f"Column {column!r} contains {{n}} non-numeric values.",
-        violations(F.col(column).isNull()),
+        f"{column!r} is no number in {{n}} rows.",
+        F.col(column).isNull(),
     )
 
 
@@ -226,13 +236,8 @@ def lenient_row_checks(spec: FactSpec = DEFAULT_SPEC) -> Suite:
     for name in spec.text_cols:
         col = F.col(name)
         checks += [
-            Check("null_text", name, f"Column {name!r} contains null values.", violations(col.isNull())),
-            Check(
-                "blank_text",
-                name,
-                f"Column {name!r} contains blank values.",
-                violations(col.isNotNull() & is_blank(col)),
-            ),
+            Check("null_text", name, f"{name!r} is missing in {{n}} rows.", col.isNull()),
+            Check("blank_text", name, f"{name!r} is blank in {{n}} rows.", col.isNotNull() & is_blank(col)),
         ]
     for name in spec.count_cols:
         checks += numeric_class_checks(name, F.col(f"_number_{name}"))
@@ -241,8 +246,8 @@ def lenient_row_checks(spec: FactSpec = DEFAULT_SPEC) -> Suite:
         Check(
             "sum_identity",
             spec.total,
-            f"Column {spec.total!r} must equal " + " plus ".join(spec.categories) + ".",
-            violations(F.col(f"_count_{spec.total}") != expected),
+            f"{spec.total!r} {MUST_EQUAL_TEXT} " + " + ".join(spec.categories) + "; {n} rows differ.",
+            F.col(f"_count_{spec.total}") != expected,
         )
     )
     return Suite(tuple(checks), numeric_helpers(spec.count_cols))
@@ -257,14 +262,14 @@ def parse_checks(spec: FactSpec = DEFAULT_SPEC) -> Suite:
             Check(
                 "numeric",
                 name,
-                f"Column {name!r} contains {{n}} non-numeric values.",
-                violations(number.isNull()),
+                f"{name!r} is no number in {{n}} rows.",
+                number.isNull(),
             ),
             Check(
                 "whole",
                 name,
-                f"Column {name!r} contains {{n}} non-integer values.",
-                violations(is_fractional(number)),
+                f"{name!r} has a fraction in {{n}} rows.",
+                is_fractional(number),
             ),
         ]
     return Suite(tuple(checks), numeric_helpers(spec.count_cols))
@@ -273,13 +278,9 @@ def parse_checks(spec: FactSpec = DEFAULT_SPEC) -> Suite:
 def numeric_class_checks(name: str, number: Column) -> list[Check]:
     """Nonnumeric, negative and fractional values of one parsed column."""
     return [
-        Check(
-            "nonnumeric", name, f"Column {name!r} contains nonnumeric values.", violations(number.isNull())
-        ),
-        Check("negative", name, f"Column {name!r} contains negative values.", violations(number < 0)),
-        Check(
-            "fractional", name, f"Column {name!r} must contain whole numbers.", violations(is_fractional(number))
-        ),
+        Check("nonnumeric", name, f"{name!r} is no number in {{n}} rows.", number.isNull()),
+        Check("negative", name, f"{name!r} has {{n}} {NEGATIVE_TEXT}.", number < 0),
+        Check("fractional", name, f"{name!r} has a fraction in {{n}} rows.", is_fractional(number)),
     ]
 
 
@@ -293,19 +294,36 @@ def count_duplicate_rows(df: DataFrame, key: Sequence[str], name: str = "duplica
 
 
 def rule_report(df: DataFrame, suite: Suite | Sequence[Check]) -> DataFrame:
-    """One row per check: ordinal, rule, subject, violations."""
+    """One row per check: ordinal, rule, subject, violations.
+
+    One scan for all row rules and the first unique key; every further key
+    scans its columns again.
+    """
     suite = as_suite(suite)
-    counted = [(i, c) for i, c in enumerate(suite.checks, 1) if c.count is not None]
-    keyed = [(i, c) for i, c in enumerate(suite.checks, 1) if c.key]
-    parts = []
-    if counted:
-        counts = [c.count.cast("bigint").alias(f"c{i}") for i, c in counted]
-        one_row = suite.prepare(df).agg(*counts)
-        lines = [_line(i, c, F.col(f"c{i}")) for i, c in counted]
-        parts.append(one_row.select(F.inline(F.array(*lines))))
+    numbered = list(enumerate(suite.checks, 1))
+    row_rules = [(i, c) for i, c in numbered if c.broken is not None]
+    keyed = [(i, c) for i, c in numbered if c.key]
+    first = keyed[0][1].key if keyed else ()
+    counted = suite.prepare(df).groupBy(*first).agg(
+        F.count("*").alias("rows"), *[violations(c.broken).alias(f"c{i}") for i, c in row_rules]
+    )
+    totals = counted.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0)).alias("shared"),
+        *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i, _ in row_rules],
+    )
+
+    def count(i: int, check: Check) -> Column:
+        if check.broken is not None:
+            return F.col(f"c{i}")
+        return F.col("shared") if check.key else (F.col("rows") == 0).cast("bigint")
+
+    lines = [_line(i, c, count(i, c)) for i, c in numbered if c.key in ((), first)]
+    parts = [totals.select(F.inline(F.array(*lines)))]
     for i, check in keyed:
-        duplicates = count_duplicate_rows(df, check.key, "n")
-        parts.append(duplicates.select(F.inline(F.array(_line(i, check, F.col("n"))))))
+        if check.key != first:
+            duplicates = count_duplicate_rows(df, check.key, "n")
+            parts.append(duplicates.select(F.inline(F.array(_line(i, check, F.col("n"))))))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -346,46 +364,53 @@ def single_scope(df: DataFrame, target: str, spec: FactSpec = DEFAULT_SPEC) -> D
 
 def require_single_scope(df: DataFrame, target: str, spec: FactSpec = DEFAULT_SPEC) -> None:
     if not single_scope(df, target, spec).first()["single_scope"]:
-        raise DataQualityError(f"Analytical metrics require {target}-only data.")
+        raise DataQualityError(f"These metrics need {target}{ONLY_SCOPE_TEXT} rows.")
+
 
+def rank_domain(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    """Both rank columns per scope: ``complete`` if they cover 1..n once each.
 
-def rank_domain_counts(df: DataFrame, rank: str, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    """Per scope, the shape of a rank column: it must cover 1..n once each."""
-    per_value = df.groupBy(*spec.scope_keys, rank).agg(F.count("*").alias("_copies"))
-    return per_value.groupBy(*spec.scope_keys).agg(
+    The columns become rows, so that both are judged in one grouping.
+    """
+    ranks = F.array(
+        *[
+            F.struct(F.lit(name).alias("rank_column"), F.col(name).alias("rank"))
+            for name in ("rank_total", "rank_total_ascending")
+        ]
+    )
+    keys = [*spec.scope_keys, "rank_column"]
+    per_value = (
+        df.select(*spec.scope_keys, F.inline(ranks)).groupBy(*keys, "rank").agg(F.count("*").alias("_copies"))
+    )
+    shape = per_value.groupBy(*keys).agg(
         F.sum("_copies").cast("bigint").alias("rows"),
-        F.count(rank).alias("distinct_ranks"),
-        F.min(rank).alias("min_rank"),
-        F.max(rank).alias("max_rank"),
+        F.count("rank").alias("_distinct"),
+        F.min("rank").alias("_low"),
+        F.max("rank").alias("_high"),
     )
+    whole = (F.col("_low") == 1) & (F.col("_high") == F.col("rows")) & (F.col("_distinct") == F.col("rows"))
+    return shape.select(*keys, "rows", F.coalesce(whole, F.lit(False)).alias("complete"))
 
 
-def rank_domain(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    """Both rank columns per scope, with ``complete`` telling the verdict."""
-    complete = (
-        (F.col("min_rank") == 1)
-        & (F.col("max_rank") == F.col("rows"))
-        & (F.col("distinct_ranks") == F.col("rows"))
-    )
-    parts = [
-        rank_domain_counts(df, rank, spec).select(
-            *spec.scope_keys, F.lit(rank).alias("rank_column"), "rows", complete.alias("complete")
-        )
-        for rank in ("rank_total", "rank_total_ascending")
-    ]
-    return parts[0].unionByName(parts[1])
+def contribution_tolerance(rows: Column, total: Column) -> Column:
+    """Every row adds up to half a unit of the last digit, so large scopes need more room.
+
+    Shares of an empty scope are exactly zero, so it needs none.
+    """
+    room = F.greatest(F.lit(CONTRIBUTION_TOLERANCE), rows * F.lit(5e-5))
+    return F.when(total == 0, F.lit(ROW_SHARE_TOLERANCE)).otherwise(room)
 
 
-def contribution_tolerance(rows: Column) -> Column:
-    """Every row adds up to half a unit of the last digit, so large scopes need more room."""
-    return F.greatest(F.lit(CONTRIBUTION_TOLERANCE), rows * F.lit(5e-5))
+def contribution_off(spec: FactSpec = DEFAULT_SPEC) -> Column:
+    """Whether the contributions of a group miss 100, or 0 for an empty scope."""
+    total = F.sum(spec.total)
+    expected = F.when(total == 0, F.lit(0.0)).otherwise(F.lit(100.0))
+    return F.abs(F.sum("scope_total_share_pct") - expected) > contribution_tolerance(F.count("*"), total)
 
 
 def metric_checks_per_scope(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     """Counts of broken metric rules, one row per scope, in one pass."""
     share_sum = row_sum(spec.share_cols)
-    scope_sum = F.sum("scope_total_share_pct")
-    expected = F.when(F.sum(spec.total) == 0, F.lit(0.0)).otherwise(F.lit(100.0))
     aggs = [
         violations((F.col(p) < 0) | F.col(p).isNull()).alias(f"negative_{p}") for p in spec.pct_cols
     ]
@@ -399,10 +424,7 @@ def metric_checks_per_scope(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> Dat
         violations(
             (F.col(spec.total) == 0) & (F.abs(share_sum) > ROW_SHARE_TOLERANCE)
         ).alias("zero_row_shares"),
-        F.when(F.abs(scope_sum - expected) > contribution_tolerance(F.count("*")), F.lit(1))
-        .otherwise(F.lit(0))
-        .cast("bigint")
-        .alias("contribution_off"),
+        F.coalesce(contribution_off(spec), F.lit(False)).cast("bigint").alias("contribution_off"),
         violations(
             ~F.coalesce(F.col("dominant_category").isin(*spec.dominant_labels), F.lit(False))
         ).alias("bad_category"),
@@ -431,20 +453,17 @@ def contribution_values(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFra
 
 def _metric_messages(spec: FactSpec) -> list[tuple[str, str]]:
     return [
-        *(
-            (f"negative_{p}", f"Column {p!r} contains missing or negative values.")
-            for p in spec.pct_cols
-        ),
-        ("bad_rank_total", "Descending ranks are incomplete or duplicated."),
-        ("bad_rank_total_ascending", "Ascending ranks are incomplete or duplicated."),
-        *((f"above_100_{p}", f"Column {p!r} contains percentages above 100.") for p in spec.pct_cols),
-        ("share_sum_off", "Category percentages do not total 100 for every entity."),
-        ("zero_row_shares", "Entities without registrations must have zero category shares."),
-        ("contribution_off", "Contribution percentages do not total 100."),
-        ("share_value_off", "Contribution percentages do not match the totals."),
-        ("bad_category", "Invalid dominant categories are present."),
-        ("bad_top_flag", "Top-10 flags do not match the ranks."),
-        ("bad_bottom_flag", "Bottom-10 flags do not match the ranks."),
+        *((f"negative_{p}", f"{p!r} is missing or below 0.") for p in spec.pct_cols),
+        ("bad_rank_total", "rank_total does not count the entities from 1."),
+        ("bad_rank_total_ascending", "rank_total_ascending does not count the entities from 1."),
+        *((f"above_100_{p}", f"{p!r} is {ABOVE_100_TEXT}.") for p in spec.pct_cols),
+        ("share_sum_off", "The category shares of an entity do not add up to 100."),
+        ("zero_row_shares", "An entity without registrations has category shares."),
+        ("contribution_off", "The contributions of a scope do not add up."),
+        ("share_value_off", "A contribution differs from total / scope total."),
+        ("bad_category", "The dominant category has an unknown label."),
+        ("bad_top_flag", f"{TOP_FLAGS_TEXT} contradict the ranks."),
+        ("bad_bottom_flag", "Bottom-10 flags contradict the ranks."),
     ]
 
 

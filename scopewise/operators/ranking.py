@@ -4,22 +4,19 @@ Ranks are unique: entities are ordered by total, then name, then code.  The
 ascending rank is a second order (total up, name and code still up), so it is
 not the mirrored descending rank where totals tie.
 
-Two ways lead to the same numbers:
-
-* ``window`` sorts each scope in one task.  Both ranks come out of one sort:
-  inside a run of equal totals both orders agree, so the ascending rank follows
-  from the number of rows with a total at least as large.
-* ``range`` is for scopes too big for one task.  Rows are range-partitioned by
-  (scope, total, name, code), numbered where they lie, and the numbers are
-  shifted by the row counts of the partitions before them.
-
-``auto`` counts the rows of the largest scope (a pre-aggregated pass) and
-chooses.
+No scope has to fit a task.  Rows are range-partitioned by (scope, total, name,
+code), stored in that order, and numbered where they lie; the numbers are
+shifted by the row counts of the slices before them.  Both ranks come from the
+one order: inside a run of equal totals they agree, so the ascending rank
+follows from the end of the run.  A run is measured inside its slice; the few
+runs that cross a slice border are measured over all slices.
+
+``strategy="window"`` sorts every scope in one task instead.  It gives the same
+numbers with fewer jobs, for callers who know that all scopes are small.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,10 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scopewise.session import materialize
-from scopewise.spec import DEFAULT_SPEC, FactSpec
-
-MAX_ROWS_PER_TASK = 2_000_000
-MAX_REPORT_ROWS = 10_000
+from scopewise.spec import DEFAULT_SPEC, RANKING_LIMIT_TEXT, FactSpec
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, row below
 
@@ -43,35 +37,14 @@ def ascending_order(spec: FactSpec = DEFAULT_SPEC) -> list[Column]:
     return [F.col(spec.total), F.col(spec.entity_name), F.col(spec.entity_code)]
 
 
-def largest_scope_rows(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> int:
-    """Row count of the largest scope; only counters are shuffled."""
-    sizes = df.groupBy(*spec.scope_keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first()["n"]
-
-
-def pick_strategy(
-    df: DataFrame,
-    spec: FactSpec = DEFAULT_SPEC,
-    strategy: str = "auto",
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
-) -> str:
-    if strategy == "auto":
-        return "window" if largest_scope_rows(df, spec) <= max_rows_per_task else "range"
-    if strategy not in ("window", "range"):
-        raise ValueError(f"Unknown ranking strategy: {strategy!r}")
-    return strategy
-
-
 def add_ranks(
-    df: DataFrame,
-    spec: FactSpec = DEFAULT_SPEC,
-    strategy: str = "auto",
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    df: DataFrame, spec: FactSpec = DEFAULT_SPEC, strategy: str = "range"
 ) -> DataFrame:
     """Add both ranks and ``scope_rows``, ``scope_total`` of the row's scope."""
-    if pick_strategy(df, spec, strategy, max_rows_per_task) == "window":
-        return _ranks_by_window(df, spec)
-    return _ranks_by_range(df, spec, max_rows_per_task)
+    ways = {"range": _ranks_by_range, "window": _ranks_by_window}
+    if strategy not in ways:
+        raise ValueError(f"Unknown ranking strategy: {strategy!r}")
+    return ways[strategy](df, spec)
 
 
 def _ranks_by_window(df: DataFrame, spec: FactSpec) -> DataFrame:
@@ -91,58 +64,57 @@ def _ranks_by_window(df: DataFrame, spec: FactSpec) -> DataFrame:
     ).drop("_run_start", "_at_least")
 
 
-def _ranks_by_range(df: DataFrame, spec: FactSpec, max_rows_per_task: int) -> DataFrame:
-    scope = list(spec.scope_keys)
-    order = [*map(F.col, scope), *descending_order(spec)]
-    placed = _place_rows(df, order, max_rows_per_task)
+def _ranks_by_range(df: DataFrame, spec: FactSpec) -> DataFrame:
+    scope, total = list(spec.scope_keys), spec.total
+    placed = _place_rows(df, [*map(F.col, scope), *descending_order(spec)])
 
-    slices = placed.groupBy(*scope, "_slice").agg(
-        F.min("_place").alias("_first"),
-        F.count("*").alias("_rows"),
-        F.sum(spec.total).alias("_total"),
-    )
+    # One row per scope and slice, so this table is small whatever the rows are.
     by_scope = W.partitionBy(*scope)
-    before = by_scope.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    # One row per scope and slice.  Stored, its size is known when the join is
-    # planned, so Spark sends it to all tasks and leaves the rows in place.
-    offsets = materialize(
-        slices.select(
+    in_order = by_scope.orderBy("_slice")
+    before = in_order.rowsBetween(W.unboundedPreceding, -1)
+    slices = materialize(
+        placed.groupBy(*scope, "_slice")
+        .agg(
+            F.min("_place").alias("_first"),
+            F.count("*").alias("_rows"),
+            F.sum(total).alias("_total"),
+            F.max(total).alias("_top"),
+            F.min(total).alias("_low"),
+        )
+        .select(
             *scope,
             "_slice",
             (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
             F.sum("_rows").over(by_scope).alias("scope_rows"),
             F.sum("_total").over(by_scope).alias("scope_total"),
+            F.when(F.lag("_low").over(in_order) == F.col("_top"), F.col("_top")).alias("_crossing"),
         ),
-        "offsets",
+        "slices",
     )
-    ranked = placed.join(offsets, [*scope, "_slice"]).withColumn(
+    ranked = placed.join(slices.drop("_crossing"), [*scope, "_slice"]).withColumn(
         "rank_total", F.col("_place") + F.col("_shift")
     )
-    # Runs of equal totals, stored for the same reason.  A source with more
-    # distinct totals than fit is joined by sorting both sides instead.
-    runs = materialize(
-        ranked.groupBy(*scope, spec.total).agg(
-            F.min("rank_total").alias("_run_start"), F.count("*").alias("_run_rows")
-        ),
-        "runs",
+    # Runs that cross a slice border: at most one per row of the table above.
+    crossing = slices.where(F.col("_crossing").isNotNull()).select(*scope, F.col("_crossing").alias(total))
+    long_runs = materialize(
+        ranked.join(crossing.distinct(), [*scope, total])
+        .groupBy(*scope, total)
+        .agg(F.min("rank_total").alias("_start"), F.count("*").alias("_length")),
+        "long-runs",
     )
-    run_end = F.col("_run_start") + F.col("_run_rows") - 1
-    place_in_run = F.col("rank_total") - F.col("_run_start") + 1
-    return (
-        ranked.join(runs, [*scope, spec.total])
-        .withColumn("rank_total_ascending", F.col("scope_rows") - run_end + place_in_run)
-        .select(*df.columns, "rank_total", "scope_rows", "scope_total", "rank_total_ascending")
+    in_slice = W.partitionBy("_slice", *scope, total)
+    start = F.coalesce("_start", F.min("rank_total").over(in_slice))
+    length = F.coalesce("_length", F.count("*").over(in_slice))
+    # Counted from below: rows after the run, then the place inside it.
+    ascending = F.col("scope_rows") - length + F.col("rank_total") - 2 * start + 2
+    return ranked.join(long_runs, [*scope, total], "left").select(
+        *df.columns, "rank_total", "scope_rows", "scope_total", ascending.alias("rank_total_ascending")
     )
 
 
-def _place_rows(df: DataFrame, order: Sequence[Column], max_rows_per_task: int) -> DataFrame:
+def _place_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Store ``df`` in ``order``, with the slice and the place inside it."""
-    spark = df.sparkSession
-    slices = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        math.ceil(df.count() / max_rows_per_task),
-    )
-    ordered = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     position = F.monotonically_increasing_id()
     return materialize(
         ordered.withColumn("_position", position).select(
@@ -158,10 +130,9 @@ def add_position(
     df: DataFrame,
     order: Sequence[str],
     name: str = "position",
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Number all rows 1..n in ``order`` without a single-task sort."""
-    placed = _place_rows(df, [F.col(c) for c in order], max_rows_per_task)
+    placed = _place_rows(df, [F.col(c) for c in order])
     counts = placed.groupBy("_slice").agg(F.count("*").alias("_rows"))
     # One row per slice: the table is as small as the number of tasks.
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
@@ -183,36 +154,25 @@ def add_top_n(
 ) -> DataFrame:
     """The first ``limit`` rows of every scope, numbered.
 
-    The filter on the row number lets Spark cut each scope to ``limit`` rows
-    before the shuffle, so a scope of any size is safe as long as the limit is
-    one of a report.
+    The filter on the row number lets Spark cut each scope to ``limit`` rows in
+    every task before the shuffle.
     """
     require_limit(limit)
     window = W.partitionBy(*spec.scope_keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= limit)
 
 
-def _top_by_rank(df: DataFrame, limit: int, rank: str, spec: FactSpec) -> DataFrame:
-    """The same for limits beyond a report, from ranks of the whole scope."""
-    ranked = add_ranks(df, spec).where(F.col(rank) <= limit)
-    return ranked.select(*df.columns, F.col(rank).cast("int").alias("ranking_position"))
-
-
 def top_n(df: DataFrame, limit: int, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    if limit > MAX_REPORT_ROWS:
-        return _top_by_rank(df, limit, "rank_total", spec)
     return add_top_n(df, limit, descending_order(spec), spec)
 
 
 def bottom_n(df: DataFrame, limit: int, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
-    if limit > MAX_REPORT_ROWS:
-        return _top_by_rank(df, limit, "rank_total_ascending", spec)
     return add_top_n(df, limit, ascending_order(spec), spec)
 
 
 def require_limit(limit: int) -> None:
     if limit < 1:
-        raise ValueError("Ranking limit must be at least 1.")
+        raise ValueError(f"The number of ranked entities {RANKING_LIMIT_TEXT}.")
 
 
 def canonical_sort(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:

@@ -7,13 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scopewise.spec import DataQualityError
+
 
 def keyed_reorder(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Rows whose key is listed, in the order of the list.
+    """Rows whose key is listed, in the order of the list; a key without rows is an error.
 
     The list is an argument, so its size is that of the call, not of the data.
     Sorting by the other columns too lets a frequent key spread over tasks.
     """
+    missing = missing_order_keys(df, key, order)
+    if missing:
+        raise DataQualityError(f"No rows for these values of {key!r}: " + ", ".join(map(str, missing)))
     place = F.array_position(F.array(*[F.lit(k) for k in order]), F.col(key))
     listed = df.where(F.col(key).isin(*order)).withColumn("ordinal", place)
     return listed.orderBy("ordinal", *df.columns)
@@ -47,26 +52,31 @@ def shared_keys(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFr
 
 
 def values_outside(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
-    """Distinct values that are not allowed."""
-    return df.where(~F.col(column).isin(*allowed)).select(column).distinct()
+    """Distinct values that are not allowed; null is allowed only if listed."""
+    inside = F.lit(False)
+    for value in allowed:
+        inside = inside | F.col(column).eqNullSafe(F.lit(value))
+    return df.where(~inside).select(column).distinct()
 
 
 def verify_manifest(expected: DataFrame, actual: DataFrame, key: str = "relative_path") -> DataFrame:
-    """Status of every listed file: missing, then size, then checksum.
+    """Status of every file of either side: unlisted, missing, then size, then checksum.
 
     Both sides carry ``size_bytes`` and ``sha256``; a null expected size is
     not compared.
     """
+    listed = expected.select(key, "size_bytes", "sha256", F.lit(True).alias("_listed"))
     found = actual.select(
         key, F.col("size_bytes").alias("_size"), F.col("sha256").alias("_sha256")
     )
     status = (
-        F.when(F.col("_sha256").isNull(), F.lit("missing"))
+        F.when(F.col("_listed").isNull(), F.lit("unlisted"))
+        .when(F.col("_sha256").isNull(), F.lit("missing"))
         .when(F.col("size_bytes") != F.col("_size"), F.lit("size_mismatch"))
         .when(F.col("sha256") != F.col("_sha256"), F.lit("checksum_mismatch"))
         .otherwise(F.lit("ok"))
     )
-    return expected.join(found, key, "left").select(key, status.alias("status"))
+    return listed.join(found, key, "full_outer").select(key, status.alias("status"))
 
 
 def qualification_decision(

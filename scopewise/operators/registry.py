@@ -51,7 +51,7 @@ def approved_sources(df: DataFrame, spec: RegistrySpec = RegistrySpec()) -> Data
 
 def unapproved_primaries(df: DataFrame, spec: RegistrySpec = RegistrySpec()) -> DataFrame:
     primary = F.col(spec.priority) == spec.primary
-    return df.where(primary & ~(F.col(spec.status) == spec.approved))
+    return df.where(primary & ~F.col(spec.status).eqNullSafe(F.lit(spec.approved)))
 
 
 def registry_violations(
@@ -109,15 +109,18 @@ def _incomplete_approvals(df: DataFrame, spec: RegistrySpec) -> DataFrame:
     return _row_rule(rows, "incomplete_approval", spec, F.array_join("_missing", ", "))
 
 
-def registry_messages(violations: DataFrame, limit: int = 1000) -> list[str]:
-    """Readable lines for the first ``limit`` violations, for a console."""
+def registry_messages(violations: DataFrame) -> DataFrame:
+    """The violations with a readable ``message`` each."""
+    row_no, key, detail = F.col("row_no"), F.col("key"), F.col("detail")
     texts = {
-        "blank_id": "Blank source_id found on CSV row {row_no}",
-        "duplicate_id": "Duplicate source_id value: {key}",
-        "invalid_priority": "Invalid priority value: {key}",
-        "invalid_status": "Invalid status value: {key}",
-        "incomplete_approval": "Approved source {key!r} on CSV row {row_no} is missing: {detail}",
-        "unapproved_primary": "Primary source {key!r} is not approved (current status: {detail!r}).",
+        "blank_id": F.concat(F.lit("Row "), row_no, F.lit(" names no source.")),
+        "duplicate_id": F.concat(F.lit("Several rows are called "), key, F.lit(".")),
+        "invalid_priority": F.concat(F.lit("Unknown priority: "), key),
+        "invalid_status": F.concat(F.lit("Unknown status: "), key),
+        "incomplete_approval": F.concat(key, F.lit(" (row "), row_no, F.lit(") was approved without "), detail),
+        "unapproved_primary": F.concat(key, F.lit(" is primary but its status is "), detail),
     }
-    rows = violations.orderBy("rule", "row_no", "key").limit(limit).collect()
-    return [texts[r["rule"]].format(**r.asDict()) for r in rows]
+    message = F.lit(None).cast("string")
+    for rule, text in texts.items():
+        message = F.when(F.col("rule") == rule, text).otherwise(message)
+    return violations.withColumn("message", message)

@@ -104,6 +104,32 @@ def executive_summary(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame
     return found.select(*plain, *_flat("highest"), *_flat("lowest"))
 
 
+def kpi_definitions(spec: FactSpec = DEFAULT_SPEC) -> dict[str, str]:
+    """What each KPI of the executive summary means."""
+    shares = {s: f"{c} total / {spec.total} total * 100" for c, s in zip(spec.categories, spec.share_cols)}
+    return {
+        "entity_count": "entities with a row in the scope",
+        **{f"{c}_total": f"sum of {c} over the entities of the scope" for c in (*spec.categories, spec.total)},
+        **shares,
+        "average_per_entity": f"{spec.total} total / entity_count",
+        "highest": f"entity with the largest {spec.total}; ties by name, then code",
+        "lowest": f"entity with the smallest {spec.total}; ties by name, then code",
+    }
+
+
+INTERPRETATION_WARNING = "Counts are registrations. They say nothing about activity, size or success."
+
+
+def documented_summary(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    """The executive summary with the definitions of its figures and a warning."""
+    entries = [F.lit(text) for pair in sorted(kpi_definitions(spec).items()) for text in pair]
+    return executive_summary(df, spec).select(
+        "*",
+        F.create_map(*entries).alias("definitions"),
+        F.lit(INTERPRETATION_WARNING).alias("interpretation_warning"),
+    )
+
+
 def mean_share_sum(df: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     """Mean over entities of the sum of their category shares."""
     mean = F.avg(row_sum(spec.share_cols))

@@ -15,12 +15,13 @@ The manifest is written last, so a package without one is incomplete.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scopewise.operators.metrics import entity_metrics
 from scopewise.operators.provenance import (
-    LIMITATIONS,
     SCHEMA_VERSION,
     Source,
     generated_at,
@@ -29,7 +30,7 @@ from scopewise.operators.provenance import (
     release_totals,
 )
 from scopewise.operators.quality import enforce_metrics
-from scopewise.operators.ranking import pick_strategy, require_limit
+from scopewise.operators.ranking import require_limit
 from scopewise.operators.scoping import canonical_scope, load_fact, validate_then_filter
 from scopewise.operators.views import ranking_view
 from scopewise.session import materialize
@@ -39,6 +40,9 @@ from scopewise.sources.tables import read_metrics
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
 
+METRIC_STEPS = ("derived ranks, shares, dominant categories and flags", "checked the derived columns")
+
+
 def data_dictionary(spark: SparkSession, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
     """Field names, types, origin and calculation, in table order."""
     calculations = {
@@ -66,54 +70,66 @@ def data_dictionary(spark: SparkSession, spec: FactSpec = DEFAULT_SPEC) -> DataF
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
-def write_fact(
-    fact: DataFrame, path: str, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet"
+def write_metrics(
+    metrics: DataFrame, path: str, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet"
 ) -> DataFrame:
-    """Compute metrics, write them in rank order per file, and read them back.
+    """Write metrics in rank order per file, and read them back.
 
-    Ranks by window leave every scope in one task.  Ranks by range scatter the
-    scopes; they are brought together for the writer, large ones in several
-    parts.
+    A scope is brought together for the writer, a large one in several parts.
     """
-    strategy = pick_strategy(fact, spec)
-    metrics = entity_metrics(fact, spec, strategy)
-    ordered = metrics.select(*spec.output_cols)
-    if strategy == "range":
-        ordered = ordered.hint("rebalance", *spec.scope_keys)
-    ordered = ordered.sortWithinPartitions(*spec.scope_keys, "rank_total")
+    ordered = (
+        metrics.select(*spec.output_cols)
+        .hint("rebalance", *spec.scope_keys)
+        .sortWithinPartitions(*spec.scope_keys, "rank_total")
+    )
     if fmt == "csv":
         write_csv(ordered, path)
     else:
         write_parquet(ordered, path, spec.scope_keys)
-    return read_metrics(fact.sparkSession, path, spec, fmt)
+    return read_metrics(metrics.sparkSession, path, spec, fmt)
+
+
+def write_fact(
+    fact: DataFrame, path: str, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet"
+) -> DataFrame:
+    """Compute the metrics of a fact, write them, and read them back."""
+    return write_metrics(entity_metrics(fact, spec), path, spec, fmt)
+
+
+def checked_metrics(fact: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> DataFrame:
+    """Metrics of a checked fact, stored aside and proved before anything is published."""
+    metrics = materialize(entity_metrics(fact, spec), "metrics")
+    enforce_metrics(metrics, spec, with_base=False)
+    return metrics
 
 
 def write_data_package(
-    fact: DataFrame,
+    metrics: DataFrame,
     out: str,
     source: Source,
     spec: FactSpec = DEFAULT_SPEC,
     limit: int = 10,
     fact_format: str = "parquet",
+    steps: Sequence[str] = (),
+    limitations: Sequence[str] = (),
 ) -> DataFrame:
     """Write everything below ``out/data``; returns the stored metrics.
 
-    Expects a checked fact.  The metrics are computed once; their rules, views
-    and KPIs read what was written.
+    Expects checked metrics.  Views and KPIs read what was written.
     """
     require_limit(limit)
-    spark = fact.sparkSession
-    stored = write_fact(fact, f"{out}/data/fact", spec, fact_format)
-    enforce_metrics(stored, spec, with_base=False)
+    spark = metrics.sparkSession
+    steps = (*steps, *METRIC_STEPS)
+    stored = write_metrics(metrics, f"{out}/data/fact", spec, fact_format)
     write_csv(ranking_view(stored, limit, spec), f"{out}/data/rankings")
     write_json_rows(qualified_summary(stored, source, spec), f"{out}/data/summary")
-    write_json_rows(qualified_provenance(stored, source, "fact", spec), f"{out}/data/metadata")
+    write_json_rows(qualified_provenance(stored, source, "fact", spec, steps, limitations), f"{out}/data/metadata")
     write_csv(data_dictionary(spark, spec), f"{out}/data/dictionary")
     return stored
 
 
 def _names(columns) -> Column:
-    return F.array(*[F.lit(c) for c in columns])
+    return F.array(*[F.lit(c) for c in columns]).cast("array<string>")
 
 
 def write_manifest(
@@ -123,15 +139,29 @@ def write_manifest(
     source: Source,
     spec: FactSpec = DEFAULT_SPEC,
     fact_format: str = "parquet",
+    limitations: Sequence[str] = (),
+    figures: DataFrame | None = None,
     **extra: Column,
 ) -> DataFrame:
-    """Hash what was written, then publish files and header of the manifest."""
+    """Hash what was written, then publish files and header of the manifest.
+
+    The header has one row per snapshot; ``figures`` adds columns to it.
+    """
     spark = stored.sparkSession
     rankings = spark.read.option("header", True).csv(f"{out}/data/rankings")
     files = materialize(inventory(spark, out), "inventory")
     write_inventory(files, f"{out}/manifest/files")
     size = files.agg(F.count("*"))
-    header = release_totals(stored, spec).select(
+    totals, added = release_totals(stored, spec), []
+    if figures is not None:
+        added = [c for c in figures.columns if c not in spec.snapshot_cols]
+        if spec.snapshot_cols:
+            totals = totals.join(figures, list(spec.snapshot_cols), "left")
+        else:
+            totals = totals.withColumns({c: figures.select(c).scalar() for c in added})
+    header = totals.select(
+        *spec.snapshot_cols,
+        *added,
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.lit(name).alias("name"),
         generated_at().alias("generated_at_utc"),
@@ -149,7 +179,7 @@ def write_manifest(
         size.scalar().alias("file_count"),
         _names(spec.required).alias("base_columns"),
         _names(spec.derived).alias("derived_columns"),
-        _names(LIMITATIONS).alias("limitations"),
+        _names(limitations).alias("limitations"),
         *[column.alias(field) for field, column in extra.items()],
     )
     write_json_rows(header, f"{out}/manifest/header")
@@ -164,6 +194,12 @@ def strict_scopes(raw: DataFrame, target: str | None, spec: FactSpec) -> DataFra
     return validate_then_filter(fact, target, spec)
 
 
+def strict_steps(target: str | None) -> tuple[str, ...]:
+    """What ``strict_scopes`` does, for the record."""
+    kept = (f"kept the rows of {target}",) if target else ("brought scope names to one spelling",)
+    return ("parsed text and counts", "checked all rows and keys", *kept)
+
+
 def write_bundle(
     raw: DataFrame,
     out: str,
@@ -172,15 +208,18 @@ def write_bundle(
     spec: FactSpec = DEFAULT_SPEC,
     limit: int = 10,
     fact_format: str = "parquet",
+    limitations: Sequence[str] = (),
 ) -> DataFrame:
     """Strict bundle: all rows are validated before any scope is taken.
 
     Without a ``target`` every scope is published.  Returns the header.
     """
     require_limit(limit)
-    fact = strict_scopes(raw, target, spec)
-    stored = write_data_package(fact, out, source, spec, limit, fact_format)
-    return write_manifest(stored, out, "Data package", source, spec, fact_format)
+    metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
+    stored = write_data_package(
+        metrics, out, source, spec, limit, fact_format, strict_steps(target), limitations
+    )
+    return write_manifest(stored, out, "Data package", source, spec, fact_format, limitations)
 
 
 def write_processed(
@@ -191,10 +230,12 @@ def write_processed(
     target: str | None = None,
     spec: FactSpec = DEFAULT_SPEC,
     fact_format: str = "csv",
+    limitations: Sequence[str] = (),
 ) -> DataFrame:
     """The processed pair: metrics and their provenance."""
-    fact = strict_scopes(raw, target, spec)
-    stored = write_fact(fact, fact_path, spec, fact_format)
-    enforce_metrics(stored, spec, with_base=False)
-    write_json_rows(qualified_provenance(stored, source, fact_path, spec), metadata_path)
+    metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
+    stored = write_metrics(metrics, fact_path, spec, fact_format)
+    steps = (*strict_steps(target), *METRIC_STEPS)
+    record = qualified_provenance(stored, source, fact_path, spec, steps, limitations)
+    write_json_rows(record, metadata_path)
     return raw.sparkSession.read.json(metadata_path)

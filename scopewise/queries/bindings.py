@@ -72,6 +72,70 @@ def world(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity(spark, sf_dir).withColumns({"scope_name": F.lit("WORLD"), "scope_id": F.lit("0")})
 
 
+def damaged_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity fact with blank names, repeated codes, negative counts and wrong totals."""
+    code = F.col("entity_code").cast("bigint")
+    return entity(spark, sf_dir).select(
+        F.when(code % 31 == 0, F.lit(" \t")).otherwise(F.col("scope_name")).alias("scope_name"),
+        "scope_id",
+        F.when(code % 37 != 0, F.col("entity_name")).alias("entity_name"),
+        F.when(code % 17 == 0, F.lit("1")).otherwise(F.col("entity_code")).alias("entity_code"),
+        F.when(code % 23 != 0, F.col("medium")).alias("medium"),
+        F.when(code % 19 == 0, -1 - F.col("micro")).otherwise(F.col("micro")).alias("micro"),
+        "small",
+        "total",
+    )
+
+
+DAMAGED_FACT = """t AS (SELECT CASE WHEN entity_code::BIGINT % 31 = 0 THEN '' ELSE scope_name END AS scope_name,
+  scope_id, CASE WHEN entity_code::BIGINT % 37 <> 0 THEN entity_name END AS entity_name,
+  CASE WHEN entity_code::BIGINT % 17 = 0 THEN '1' ELSE entity_code END AS entity_code,
+  CASE WHEN entity_code::BIGINT % 23 <> 0 THEN medium END AS medium,
+  CASE WHEN entity_code::BIGINT % 19 = 0 THEN -1 - micro ELSE micro END AS micro, small, total FROM entity)"""
+
+
+def damaged_metrics(metrics: DataFrame) -> DataFrame:
+    """Metrics that break every rule in some region; Africa stays sound."""
+    scope, code = F.col("scope_name"), F.col("entity_code").cast("bigint")
+    rank, share = F.col("rank_total"), F.col("scope_total_share_pct")
+
+    def patch(name: str, condition, value):
+        return F.when(condition, value).otherwise(F.col(name))
+
+    empty = scope == "MIDDLE EAST"
+    return metrics.withColumns(
+        {
+            "rank_total": patch("rank_total", (scope == "AMERICA") & (rank > 5), rank + 1),
+            "rank_total_ascending": patch("rank_total_ascending", (scope == "ASIA") & (rank == 2), F.lit(1)),
+            "micro_share_pct": patch("micro_share_pct", (scope == "ASIA") & (code % 3 == 0), F.lit(101.0)),
+            "small_share_pct": patch("small_share_pct", (scope == "EUROPE") & (code % 4 == 0), F.lit(-1.0)),
+            "medium_share_pct": F.when((scope != "AMERICA") | (code % 5 != 0), F.col("medium_share_pct")),
+            "scope_total_share_pct": F.when(scope == "EUROPE", share / 2)
+            .when(empty, F.when(rank <= 2, 0.02).otherwise(0.0))
+            .otherwise(share),
+            "total": patch("total", empty, F.lit(0)),
+            "dominant_category": patch("dominant_category", (scope == "EUROPE") & (code % 6 == 0), F.lit("LARGE")),
+            "top_10_flag": patch("top_10_flag", (scope == "ASIA") & (rank == 10), F.lit(False)),
+            "bottom_10_flag": F.when((scope != "AMERICA") | (code % 7 != 0), F.col("bottom_10_flag")),
+        }
+    )
+
+
+DAMAGED_METRICS = """damaged AS (SELECT * REPLACE (
+  CASE WHEN scope_name = 'AMERICA' AND rank_total > 5 THEN rank_total + 1 ELSE rank_total END AS rank_total,
+  CASE WHEN scope_name = 'ASIA' AND rank_total = 2 THEN 1 ELSE rank_total_ascending END AS rank_total_ascending,
+  CASE WHEN scope_name = 'ASIA' AND entity_code::BIGINT % 3 = 0 THEN 101e0 ELSE micro_share_pct END AS micro_share_pct,
+  CASE WHEN scope_name = 'EUROPE' AND entity_code::BIGINT % 4 = 0 THEN -1e0 ELSE small_share_pct END AS small_share_pct,
+  CASE WHEN scope_name <> 'AMERICA' OR entity_code::BIGINT % 5 <> 0 THEN medium_share_pct END AS medium_share_pct,
+  CASE WHEN scope_name = 'EUROPE' THEN scope_total_share_pct / 2
+    WHEN scope_name = 'MIDDLE EAST' THEN CASE WHEN rank_total <= 2 THEN 0.02e0 ELSE 0e0 END
+    ELSE scope_total_share_pct END AS scope_total_share_pct,
+  CASE WHEN scope_name = 'MIDDLE EAST' THEN 0 ELSE total END AS total,
+  CASE WHEN scope_name = 'EUROPE' AND entity_code::BIGINT % 6 = 0 THEN 'LARGE' ELSE dominant_category END AS dominant_category,
+  CASE WHEN scope_name = 'ASIA' AND rank_total = 10 THEN false ELSE top_10_flag END AS top_10_flag,
+  CASE WHEN scope_name <> 'AMERICA' OR entity_code::BIGINT % 7 <> 0 THEN bottom_10_flag END AS bottom_10_flag)
+FROM metrics)"""
+
 LINE_KEY = ("l_orderkey", "l_linenumber")
 LINE_SPEC = FactSpec(scope_name="l_returnflag", entity_name="l_linestatus", scope_col="l_returnflag")
 
@@ -102,6 +166,17 @@ def line_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with negative counts and wrong totals in some rows."""
+    rows = line_fact(spark, sf_dir)
+    return rows.withColumns(
+        {
+            "micro": F.when(F.col("micro") == 50, F.lit(-50)).otherwise(F.col("micro")),
+            "entity_name": F.when(F.col("small") != 6, F.col("entity_name")),
+        }
+    )
+
+
 # --- the same facts in SQL ----------------------------------------------------
 
 _COUNTS = ",\n".join(

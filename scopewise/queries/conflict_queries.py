@@ -153,23 +153,25 @@ def q_scope_qualification(spark, sf_dir):
 
 
 @query(
-    "WITH g AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber), "
-    "v AS (SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS violations FROM g) "
+    "WITH g AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_linenumber = 6) + "
+    "2 * count(*) FILTER (WHERE CAST(l_quantity AS BIGINT) = 50) AS b FROM lineitem GROUP BY l_orderkey, l_linenumber), "
+    "v AS (SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) + sum(b) AS BIGINT) AS violations FROM g) "
     "SELECT l_returnflag AS scope_name, count(*) AS scope_rows, "
     "(SELECT violations FROM v) AS violations, (SELECT violations FROM v) = 0 AS accepted "
     "FROM lineitem GROUP BY l_returnflag"
 )
 def q_validate_then_filter(spark, sf_dir):
-    return scoping.scopes_after_full_check(B.line_fact(spark, sf_dir))
+    return scoping.scopes_after_full_check(B.damaged_lines(spark, sf_dir))
 
 
 @query(
-    "WITH g AS (SELECT l_returnflag, count(*) AS n FROM lineitem "
+    "WITH g AS (SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE l_linenumber = 6) + "
+    "2 * count(*) FILTER (WHERE CAST(l_quantity AS BIGINT) = 50) AS b FROM lineitem "
     "GROUP BY l_returnflag, l_orderkey, l_linenumber) "
     "SELECT l_returnflag AS scope_name, CAST(sum(n) AS BIGINT) AS scope_rows, "
     "CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_rows, "
-    "CAST(0 AS BIGINT) AS row_violations, coalesce(sum(n) FILTER (WHERE n > 1), 0) = 0 AS accepted "
-    "FROM g GROUP BY l_returnflag"
+    "(SELECT CAST(sum(b) AS BIGINT) FROM g) AS row_violations, (SELECT sum(b) FROM g) = 0 "
+    "AND coalesce(sum(n) FILTER (WHERE n > 1), 0) = 0 AS accepted FROM g GROUP BY l_returnflag"
 )
 def q_filter_then_validate(spark, sf_dir):
-    return scoping.scopes_after_scoped_check(B.line_fact(spark, sf_dir))
+    return scoping.scopes_after_scoped_check(B.damaged_lines(spark, sf_dir))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scopewise.functions.text import flatten_list
 from scopewise.operators import provenance as V
 from scopewise.operators.metrics import entity_metrics
-from scopewise.plans.bundle import write_bundle, write_fact
+from scopewise.plans.bundle import write_bundle, write_data_package, write_fact
 from scopewise.plans.release import qualification_of_scopes, reconcile_release
 from scopewise.queries import bindings as B
 from scopewise.queries.registry import query
@@ -15,6 +15,7 @@ from scopewise.session import materialize, scratch_path
 from scopewise.sources import files, tables
 from scopewise.sources.sinks import write_csv, write_json_rows, write_parquet
 from scopewise.spec import DEFAULT_SPEC as SPEC
+from scopewise.spec import FactSpec
 
 _TEXT_COLS = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in SPEC.required if c != "small")
 
@@ -31,26 +32,37 @@ def q_scan_strict(spark, sf_dir):
     return tables.read_strict_text(spark, path).select(*SPEC.required)
 
 
-_ONE_LINE = "regexp_replace(\"text\", '[\\r\\n]+', ' ', 'g')"
+_PART = r"""CASE WHEN regexp_full_match("text", '(?s)[\x00-\x7f\x{a0}-\x{ff}]*') THEN conv_id % 3 ELSE 0 END"""
 
 
-@query(f'SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, {_ONE_LINE} AS "text" FROM conversations')
+@query(
+    f"WITH t AS (SELECT *, {_PART} AS part FROM conversations) "
+    "SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, "
+    "CASE part WHEN 0 THEN chr(8364) || chr(937) WHEN 1 THEN chr(8364) || chr(8217) ELSE chr(129) || chr(233) END "
+    "|| \"text\" AS \"text\", CASE part WHEN 0 THEN 'utf-8-sig' WHEN 1 THEN 'cp1252' ELSE 'latin-1' END AS encoding FROM t"
+)
 def q_scan_encoding(spark, sf_dir):
-    """Texts stored in two encodings in one folder, told apart and read back."""
+    """Texts with line breaks, stored in three encodings in one folder, told apart and read back."""
+    one_byte = F.col("text").rlike(r"(?s)^[\x00-\x7f\xa0-\xff]*$")
+    part = F.when(one_byte, F.col("conv_id") % 3).otherwise(0)
+    # characters that only one of the encodings has: a Greek letter, a curly quote, an undefined byte
+    mark = F.when(part == 0, "\u20ac\u03a9").when(part == 1, "\u20ac\u2019").otherwise("\x81\xe9")
     talks = B.table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.regexp_replace("text", r"[\r\n]+", " ").alias("text")
+        "conv_id", "turn", F.concat(mark, "text").alias("text"), part.alias("part")
     )
-    single_byte = F.col("text").rlike(r"^[\x00-\x7f\xa0-\xff]*$")
     path = scratch_path(spark, "encodings")
-    write_csv(talks.where(single_byte), f"{path}/single", encoding="ISO-8859-1")
-    write_csv(talks.where(~single_byte), f"{path}/multi", encoding="UTF-8")
-    text, _ = tables.read_lenient_text(spark, f"{path}/*")
-    return text
+    for value, encoding in ((0, "UTF-8"), (1, "ISO-8859-1"), (2, "ISO-8859-1")):
+        rows = talks.where(F.col("part") == value).drop("part")
+        if value == 1:  # Spark writes no code page 1252, but its bytes can be spelled in Latin-1
+            rows = rows.withColumn("text", tables.as_cp1252_bytes(F.col("text")))
+        write_csv(rows, f"{path}/{value}", encoding=encoding)
+    return tables.read_lenient_rows(spark, f"{path}/*").withColumnRenamed("_encoding", "encoding")
 
 
 @query(
     "SELECT CAST(c_custkey AS VARCHAR) AS source_id, c_name AS publisher, "
-    "CASE WHEN c_acctbal < 0 THEN '' ELSE c_mktsegment END AS status FROM customer"
+    "CASE WHEN c_acctbal < 0 THEN '' ELSE c_mktsegment END AS status, "
+    "row_number() OVER (ORDER BY c_custkey) + 1 AS row_no FROM customer"
 )
 def q_registry_scan(spark, sf_dir):
     """A registry-like CSV with blank cells, read back as numbered text."""
@@ -60,8 +72,9 @@ def q_registry_scan(spark, sf_dir):
         F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("status"),
     )
     path = scratch_path(spark, "registry")
-    write_csv(customers, path)
-    return tables.read_registry(spark, path).where("row_no >= 2").drop("row_no")
+    # one file in the order of the keys, so that SQL can tell the line of a row
+    write_csv(customers.orderBy("source_id"), path, single_file=True)
+    return tables.read_registry(spark, path)
 
 
 _METRICS_SQL = f"WITH {B.ENTITY}, {B.METRICS} SELECT * FROM metrics"
@@ -111,38 +124,67 @@ def q_manifest_rows(spark, sf_dir):
     return files.manifest_rows(spark.read.schema(schema).json(path), "document")
 
 
-@query()
+@query(
+    "SELECT 'lang=' || lang || '/part.csv' AS relative_path, sum(octet_length(encode(l)))::BIGINT AS size_bytes, "
+    "sha256(string_agg(l, '' ORDER BY doc_id)) AS sha256 FROM (SELECT lang, doc_id, doc_id || ',' || source || chr(10) AS l "
+    "FROM documents WHERE lang IS NOT NULL) GROUP BY lang"
+)
 def q_file_inventory(spark, sf_dir):
-    """Path, size and hash of the table files themselves."""
-    return files.inventory(spark, sf_dir)
+    """Files written per language, listed and hashed from outside."""
+    docs = B.table(spark, sf_dir, "documents").where(F.col("lang").isNotNull())
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), "source")
+    path = scratch_path(spark, "inventory")
+    docs.select("lang", "doc_id", line.alias("value")).repartition(1).sortWithinPartitions("lang", "doc_id").drop(
+        "doc_id"
+    ).write.partitionBy("lang").text(path)
+    found = files.inventory(spark, path).where(F.col("relative_path").contains("lang="))
+    # a writer chooses the names of its files
+    name = F.regexp_replace("relative_path", "part-[^/]*$", "part.csv")
+    return found.select(name.alias("relative_path"), "size_bytes", "sha256")
 
 
-@query()
+@query(
+    f"WITH {B.ENTITY}, r AS (SELECT least(count(*), 10) * 2 AS n FROM entity GROUP BY scope_name) "
+    "SELECT 'Data package' AS name, count(*) AS row_count, (SELECT CAST(sum(n) AS BIGINT) FROM r) AS ranking_row_count, "
+    f"{len((*SPEC.required, *SPEC.derived))} AS dictionary_row_count, CAST(sum(total) AS BIGINT) AS total_total FROM entity"
+)
 def q_bundle_manifest(spark, sf_dir):
-    """A whole data package from text to manifest; returns the manifest header."""
+    """A whole data package from text to manifest; returns the manifest header.
+
+    The number of files follows the tasks of the run and is left out.
+    """
     fact = B.entity(spark, sf_dir)
     raw = fact.select(*[F.col(c).cast("string").alias(c) for c in fact.columns])
     out = scratch_path(spark, "bundle")
     header = write_bundle(raw, out, V.Source("ORDERS", "orders.parquet"))
-    return header.select("name", "row_count", "ranking_row_count", "file_count", "total_total")
+    return header.select(
+        "name", "row_count", "ranking_row_count", F.col("dictionary_row_count").cast("int"), "total_total"
+    )
 
 
+_SNAPSHOT = "CASE WHEN total % 2 = 0 THEN 'even' ELSE 'odd' END AS as_of"
 _FIGURES = " UNION ALL ".join(
-    f"SELECT '{name}' AS figure, CAST({sql} AS BIGINT) AS published, CAST({sql} AS BIGINT) AS actual, "
-    "true AS matches FROM entity"
-    for name, sql in (
-        ("row_count", "count(*)"),
-        *((f"{c}_total", f"sum({c})") for c in (*SPEC.categories, SPEC.total)),
+    f"SELECT as_of, '{name}' AS figure, CAST({sql} AS BIGINT) + {altered} AS published, CAST({sql} AS BIGINT) AS actual, "
+    f"{altered} = 0 AS matches FROM s GROUP BY as_of"
+    for name, sql, altered in (
+        ("row_count", "count(*)", "0"),
+        *((f"{c}_total", f"sum({c})", "0") for c in SPEC.categories),
+        (f"{SPEC.total}_total", f"sum({SPEC.total})", "CASE WHEN as_of = 'odd' THEN 1 ELSE 0 END"),
     )
 )
 
 
-@query(f"WITH {B.ENTITY} {_FIGURES}")
+@query(f"WITH {B.ENTITY}, s AS (SELECT *, {_SNAPSHOT} FROM entity) {_FIGURES}")
 def q_release_reconcile(spark, sf_dir):
-    """Figures of the fact beside those recomputed from what was written."""
-    fact = B.entity(spark, sf_dir)
-    stored = write_fact(fact, scratch_path(spark, "release"))
-    return reconcile_release(stored, V.release_totals(fact))
+    """Published figures, one of them wrong, beside those recomputed from what was written, per snapshot."""
+    spec = FactSpec(snapshot_cols=("as_of",))
+    even = F.col("total") % 2 == 0
+    fact = B.entity(spark, sf_dir).withColumn("as_of", F.when(even, F.lit("even")).otherwise(F.lit("odd")))
+    stored = write_fact(fact, scratch_path(spark, "release"), spec)
+    published = V.release_totals(fact, spec).withColumn(
+        "total_total", F.col("total_total") + (F.col("as_of") == "odd").cast("bigint")
+    )
+    return reconcile_release(stored, published, spec)
 
 
 _SUMS = ", ".join(
@@ -188,14 +230,36 @@ _ENDS = ", ".join(
 
 
 @query(
-    f"WITH {B.ENTITY}, {B.METRICS} SELECT scope_name, count(*) AS row_count, "
+    f"WITH {B.ENTITY}, {B.METRICS}, again AS (SELECT scope_name FROM entity "
+    "WHERE entity_code::BIGINT % 11 = 0 AND scope_name IN ('ASIA', 'EUROPE')) SELECT scope_name, count(*) AS row_count, "
     f"count(DISTINCT entity_code) AS entity_count, {_SUMS}, {_ENDS}, "
     + B.exact_round("avg(micro_share_pct + small_share_pct + medium_share_pct)", 4)
-    + " AS mean_share_sum, CAST(0 AS BIGINT) AS national_conflicting_groups, "
-    "CAST(0 AS BIGINT) AS national_conflicting_rows, CAST(0 AS BIGINT) AS scope_conflicting_groups, "
-    "true AS qualified, false AS publication_allowed FROM metrics GROUP BY scope_name"
+    + " AS mean_share_sum, (SELECT count(*) FROM again) AS national_conflicting_groups, "
+    "(SELECT 2 * count(*) FROM again) AS national_conflicting_rows, "
+    "(SELECT count(*) FROM again a WHERE a.scope_name = metrics.scope_name) AS scope_conflicting_groups, "
+    "NOT EXISTS (FROM again a WHERE a.scope_name = metrics.scope_name) AS qualified, "
+    "false AS publication_allowed FROM metrics GROUP BY scope_name"
 )
 def q_release_validation(spark, sf_dir):
+    """Gate results of a source whose keys conflict in some regions."""
     fact = materialize(B.entity(spark, sf_dir), "fact")
     metrics = materialize(entity_metrics(fact), "metrics")
-    return V.release_validation(metrics, qualification_of_scopes(fact))
+    again = fact.where((F.col("entity_code").cast("bigint") % 11 == 0) & F.col("scope_name").isin("ASIA", "EUROPE"))
+    source = fact.unionByName(again.withColumn("total", F.col("total") + 1))
+    return V.release_validation(metrics, qualification_of_scopes(source))
+
+
+@query(
+    f"WITH {B.ENTITY}, {B.METRICS}, v AS ("
+    "SELECT 'TOP' AS ranking_group, CAST(rank_total AS BIGINT) AS p, * FROM metrics WHERE rank_total <= 10 UNION ALL "
+    "SELECT 'BOTTOM', CAST(rank_total_ascending AS BIGINT), * FROM metrics WHERE rank_total_ascending <= 10) "
+    "SELECT ranking_group, CAST(p AS VARCHAR) AS ranking_position, scope_name, entity_code, "
+    "CAST(total AS VARCHAR) AS total FROM v"
+)
+def q_rankings_written(spark, sf_dir):
+    """The rankings of a data package as they stand in its files."""
+    metrics = materialize(entity_metrics(B.entity(spark, sf_dir)), "metrics")
+    out = scratch_path(spark, "rankings")
+    write_data_package(metrics, out, V.Source("ORDERS", "orders.parquet"))
+    written = tables.read_strict_text(spark, f"{out}/data/rankings")
+    return written.select("ranking_group", "ranking_position", "scope_name", "entity_code", "total")

@@ -172,6 +172,9 @@ _EXTREMES = ", ".join(
 )
 
 
+_DEFINITIONS = "\n".join(f"{name}: {text}" for name, text in sorted(S.kpi_definitions().items()))
+
+
 @query(f"WITH {B.ENTITY} SELECT scope_name, {_KPI_SHARES} FROM entity GROUP BY scope_name")
 def q_kpi_shares(spark, sf_dir):
     return S.kpi_shares(B.entity(spark, sf_dir))
@@ -191,10 +194,15 @@ def q_kpi_extremes(spark, sf_dir):
 
 @query(
     f"WITH {B.ENTITY} SELECT scope_name, count(*) AS entity_count, {_TOTALS}, {_KPI_SHARES}, "
-    f"{_AVERAGE} AS average_per_entity, {_EXTREMES} FROM entity GROUP BY scope_name"
+    f"{_AVERAGE} AS average_per_entity, {_EXTREMES}, '{_DEFINITIONS}' AS definitions, "
+    f"'{S.INTERPRETATION_WARNING}' AS interpretation_warning FROM entity GROUP BY scope_name"
 )
 def q_executive_summary(spark, sf_dir):
-    return S.executive_summary(B.entity(spark, sf_dir))
+    """All KPIs with their definitions, these as one line each."""
+    found = S.documented_summary(B.entity(spark, sf_dir))
+    entries = F.array_sort(F.map_entries("definitions"))
+    lines = F.transform(entries, lambda e: F.concat_ws(": ", e["key"], e["value"]))
+    return found.withColumn("definitions", F.array_join(lines, "\n"))
 
 
 @query(

@@ -11,7 +11,7 @@ from scopewise.operators import summaries as S
 from scopewise.operators.metrics import entity_metrics
 from scopewise.operators.ranking import add_position
 from scopewise.operators.reconcile import qualification_decision, values_outside
-from scopewise.operators.registry import RegistrySpec, registry_violations, unapproved_primaries
+from scopewise.operators.registry import RegistrySpec, approved_sources, registry_violations, unapproved_primaries
 from scopewise.operators.scoping import filter_scope
 from scopewise.queries import bindings as B
 from scopewise.queries.registry import query
@@ -55,9 +55,33 @@ _STRICT = [
 ]
 
 
-@query(report_sql(f"WITH {B.ENTITY}, t AS (SELECT * FROM entity)", _STRICT))
+@query(report_sql(f"WITH {B.ENTITY}, {B.DAMAGED_FACT}", _STRICT))
 def q_rule_report(spark, sf_dir):
-    return Q.rule_report(B.entity(spark, sf_dir), Q.strict_checks())
+    """The strict suite on a fact that breaks each of its rules."""
+    return Q.rule_report(B.damaged_fact(spark, sf_dir), Q.strict_checks())
+
+
+_BASIC = [
+    _NON_EMPTY,
+    ("no_nulls", "entity_name", broken("entity_name IS NULL")),
+    ("no_nulls", "medium", broken("medium IS NULL")),
+    (
+        "unique",
+        "entity_name",
+        "(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM t GROUP BY entity_name) WHERE n > 1)",
+    ),
+    ("numeric", "scope_name", broken("TRY_CAST(scope_name AS DOUBLE) IS NULL")),
+    ("nonnegative", "scope_name", "0"),
+    ("numeric", "micro", "0"),
+    ("nonnegative", "micro", broken("micro < 0")),
+]
+
+
+@query(report_sql(f"WITH {B.ENTITY}, {B.DAMAGED_FACT}", _BASIC))
+def q_basic_checks(spark, sf_dir):
+    """The basic suite: rows, nulls, a key, numbers."""
+    checks = Q.basic_checks(["entity_name", "medium"], ["entity_name"], ["scope_name", "micro"])
+    return Q.rule_report(B.damaged_fact(spark, sf_dir), checks)
 
 
 def _lenient_sql() -> str:
@@ -232,86 +256,91 @@ def q_single_scope(spark, sf_dir):
 _RANK_DOMAIN = " UNION ALL ".join(
     f"SELECT scope_name, '{r}' AS rank_column, count(*) AS \"rows\", "
     f"min({r}) = 1 AND max({r}) = count(*) AND count(DISTINCT {r}) = count(*) AS complete "
-    "FROM metrics GROUP BY scope_name"
+    "FROM damaged GROUP BY scope_name"
     for r in ("rank_total", "rank_total_ascending")
 )
 
 
-@query(f"WITH {B.ENTITY}, {B.METRICS} {_RANK_DOMAIN}")
+_DAMAGED = f"WITH {B.ENTITY}, {B.METRICS}, {B.DAMAGED_METRICS}"
+
+
+def _damaged(spark, sf_dir):
+    return B.damaged_metrics(entity_metrics(B.entity(spark, sf_dir)))
+
+
+@query(f"{_DAMAGED} {_RANK_DOMAIN}")
 def q_rank_domain(spark, sf_dir):
-    return Q.rank_domain(entity_metrics(B.entity(spark, sf_dir)))
+    return Q.rank_domain(_damaged(spark, sf_dir))
 
 
-def _scope_rules(spark, sf_dir, fact, *columns):
-    return Q.metric_checks_per_scope(entity_metrics(fact(spark, sf_dir))).select(
-        "scope_name", "rows", *columns
-    )
+def _scope_rules(metrics, *columns):
+    return Q.metric_checks_per_scope(metrics).select("scope_name", "rows", *columns)
 
 
 _BOUNDS = [f"{side}_{p}" for p in SPEC.pct_cols for side in ("negative", "above_100")]
 
 
 @query(
-    f"WITH {B.ENTITY}, {B.METRICS} SELECT scope_name, count(*) AS \"rows\", "
+    f"{_DAMAGED} SELECT scope_name, count(*) AS \"rows\", "
     + ", ".join(
-        f"count(*) FILTER (WHERE {p} < 0) AS negative_{p}, "
+        f"count(*) FILTER (WHERE {p} < 0 OR {p} IS NULL) AS negative_{p}, "
         f"count(*) FILTER (WHERE {p} > 100) AS above_100_{p}"
         for p in SPEC.pct_cols
     )
-    + " FROM metrics GROUP BY scope_name"
+    + " FROM damaged GROUP BY scope_name"
 )
 def q_pct_bounds(spark, sf_dir):
-    return _scope_rules(spark, sf_dir, B.entity, *_BOUNDS)
+    return _scope_rules(_damaged(spark, sf_dir), *_BOUNDS)
 
 
 _SHARE_SUM = "(micro_share_pct + small_share_pct + medium_share_pct)"
 
 
 @query(
-    f"WITH {B.ENTITY_SINCE}, {B.METRICS} SELECT scope_name, count(*) AS \"rows\", "
+    f"{_DAMAGED} SELECT scope_name, count(*) AS \"rows\", "
     f"count(*) FILTER (WHERE total > 0 AND abs({_SHARE_SUM} - 100) > 0.01) AS share_sum_off, "
     f"count(*) FILTER (WHERE total = 0 AND abs({_SHARE_SUM}) > 0.01) AS zero_row_shares "
-    "FROM metrics GROUP BY scope_name"
+    "FROM damaged GROUP BY scope_name"
 )
 def q_share_sum(spark, sf_dir):
-    return _scope_rules(spark, sf_dir, B.entity_since, "share_sum_off", "zero_row_shares")
+    return _scope_rules(_damaged(spark, sf_dir), "share_sum_off", "zero_row_shares")
 
 
 @query(
-    f"WITH {B.ENTITY}, {B.METRICS}, s AS (SELECT scope_name, count(*) AS n, "
-    "sum(scope_total_share_pct) AS s FROM metrics GROUP BY scope_name) "
+    f"{_DAMAGED}, s AS (SELECT scope_name, count(*) AS n, sum(total) AS whole, "
+    "sum(scope_total_share_pct) AS s FROM damaged GROUP BY scope_name) "
     "SELECT scope_name, n AS \"rows\", round_even(s * 100e0, 0) / 100e0 AS share_sum, "
-    "CAST(abs(s - 100) > greatest(0.05, n * 5e-5) AS BIGINT) AS contribution_off FROM s"
+    "CAST(abs(s - CASE WHEN whole = 0 THEN 0 ELSE 100 END) > "
+    "CASE WHEN whole = 0 THEN 0.01 ELSE greatest(0.05, n * 5e-5) END AS BIGINT) AS contribution_off FROM s"
 )
 def q_contribution_sum(spark, sf_dir):
-    metrics = entity_metrics(B.entity(spark, sf_dir))
-    share = F.sum("scope_total_share_pct")
-    off = F.abs(share - 100) > Q.contribution_tolerance(F.count("*"))
-    return metrics.groupBy("scope_name").agg(
+    return _damaged(spark, sf_dir).groupBy("scope_name").agg(
         F.count("*").alias("rows"),
-        N.round_column(share, 2).alias("share_sum"),
-        off.cast("bigint").alias("contribution_off"),
+        N.round_column(F.sum("scope_total_share_pct"), 2).alias("share_sum"),
+        Q.contribution_off().cast("bigint").alias("contribution_off"),
     )
 
 
 @query(
-    f"WITH {B.ENTITY}, {B.METRICS}, t AS (SELECT *, sum(total) OVER (PARTITION BY scope_name) AS whole "
-    "FROM metrics) SELECT scope_name, count(*) AS \"rows\", count(*) FILTER (WHERE abs("
-    "scope_total_share_pct - CAST(total AS DOUBLE) / CAST(whole AS DOUBLE) * 100) > 1e-4) "
-    "AS share_value_off FROM t GROUP BY scope_name"
+    f"{_DAMAGED}, t AS (SELECT *, sum(total) OVER (PARTITION BY scope_name) AS whole "
+    "FROM damaged) SELECT scope_name, count(*) AS \"rows\", count(*) FILTER (WHERE abs("
+    "scope_total_share_pct - CASE WHEN whole = 0 THEN 0 ELSE CAST(total AS DOUBLE) / CAST(whole AS DOUBLE) * 100 END)"
+    " > 1e-4) AS share_value_off FROM t GROUP BY scope_name"
 )
 def q_contribution_values(spark, sf_dir):
-    return Q.contribution_values(entity_metrics(B.entity(spark, sf_dir)))
+    return Q.contribution_values(_damaged(spark, sf_dir))
 
 
 @query(
-    f"WITH {B.ENTITY}, {B.METRICS} SELECT scope_name, count(*) AS \"rows\", "
-    "count(*) FILTER (WHERE top_10_flag <> (rank_total <= 10)) AS bad_top_flag, "
-    "count(*) FILTER (WHERE bottom_10_flag <> (rank_total_ascending <= 10)) AS bad_bottom_flag "
-    "FROM metrics GROUP BY scope_name"
+    f"{_DAMAGED} SELECT scope_name, count(*) AS \"rows\", "
+    "count(*) FILTER (WHERE top_10_flag IS DISTINCT FROM (rank_total <= 10)) AS bad_top_flag, "
+    "count(*) FILTER (WHERE bottom_10_flag IS DISTINCT FROM (rank_total_ascending <= 10)) AS bad_bottom_flag, "
+    f"count(*) FILTER (WHERE dominant_category NOT IN {SPEC.dominant_labels}) AS bad_category "
+    "FROM damaged GROUP BY scope_name"
 )
 def q_flag_consistency(spark, sf_dir):
-    return _scope_rules(spark, sf_dir, B.entity, "bad_top_flag", "bad_bottom_flag")
+    """Flags against ranks, and category labels against their list."""
+    return _scope_rules(_damaged(spark, sf_dir), "bad_top_flag", "bad_bottom_flag", "bad_category")
 
 
 @query(
@@ -338,17 +367,13 @@ _ALLOWED = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 
 
 @query(
-    "SELECT DISTINCT o_orderpriority FROM orders "
-    f"WHERE o_orderpriority NOT IN {_ALLOWED}"
+    "SELECT DISTINCT nullif(o_orderpriority, '4-NOT SPECIFIED') AS o_orderpriority FROM orders "
+    f"WHERE coalesce(nullif(o_orderpriority, '4-NOT SPECIFIED'), '') NOT IN {_ALLOWED}"
 )
 def q_enum_outliers(spark, sf_dir):
-    return values_outside(B.table(spark, sf_dir, "orders"), "o_orderpriority", _ALLOWED)
-
-
-@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
-def q_filter_enum(spark, sf_dir):
-    orders = B.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
-    return orders.select("o_orderkey", "o_orderstatus")
+    """Values outside a list; null is outside of every list."""
+    priority = F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("o_orderpriority")
+    return values_outside(B.table(spark, sf_dir, "orders").select(priority), "o_orderpriority", _ALLOWED)
 
 
 _REGISTRY = RegistrySpec(
@@ -363,6 +388,11 @@ _REGISTRY = RegistrySpec(
 )
 
 
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def q_filter_enum(spark, sf_dir):
+    return approved_sources(B.table(spark, sf_dir, "orders"), _REGISTRY).select("o_orderkey", "o_orderstatus")
+
+
 @query(
     "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders "
     "WHERE o_orderpriority = '1-URGENT' AND NOT o_orderstatus = 'F'"
@@ -405,6 +435,34 @@ def q_collect_all_rules(spark, sf_dir):
     return registry_violations(numbered, _REGISTRY, strict=True)
 
 
+@query(
+    "SELECT column_name FROM (VALUES ('C_PHONE'), (' c_address ')) AS v(column_name) WHERE EXISTS (FROM customer)"
+)
+def q_prohibited_columns(spark, sf_dir):
+    """Columns of a table that must not be published, whatever their spelling."""
+    customers = B.table(spark, sf_dir, "customer")
+    spelled = customers.select(
+        "c_custkey", F.col("c_name").alias("C_PHONE"), F.col("c_mktsegment").alias(" c_address "), "c_nationkey"
+    )
+    found = Q.prohibited_columns(spelled, ["c_phone", "C_ADDRESS", "c_comment"])
+    names = F.explode(F.array(*[F.lit(name) for name in found])).alias("column_name")
+    return spelled.select(names).distinct()
+
+
+@query(
+    "SELECT f.field, f.allowed, count(*) AS \"rows\" FROM orders, "
+    "(VALUES ('o_orderkey', true), ('o_custkey', true), ('o_comment', false), ('pan', false)) AS f(field, allowed) "
+    "GROUP BY ALL"
+)
+def q_allow_list(spark, sf_dir):
+    """Requested fields of a dataset against those it offers."""
+    orders = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    requested = ["o_orderkey", "o_custkey", "o_comment", "pan"]
+    outside = Q.not_allowed(requested, orders.columns)
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(f not in outside).alias("allowed")) for f in requested])
+    return orders.select(F.inline(fields)).groupBy("field", "allowed").agg(F.count("*").alias("rows"))
+
+
 @query(
     "SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing_qualification' "
     "WHEN quality <> 1 THEN 'status' WHEN toxic <> 0 THEN 'privacy' ELSE 'approved' END AS decision "

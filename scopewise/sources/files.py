@@ -1,8 +1,9 @@
 """File inventories, content hashes and manifests.
 
 Spark's own file sources skip names that start with "_" or "." and load a
-binary file as one cell, so files are listed and hashed through the file
-system API inside tasks, in chunks; any file system that Arrow knows works.
+binary file as one cell.  An inventory must have such names and files of any
+size, so folders are listed and files are hashed in tasks, through the file
+system API of Arrow: all folders of a level at once, level by level.
 """
 
 from __future__ import annotations
@@ -12,13 +13,17 @@ from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scopewise.session import materialize, ship_package
+
 CHUNK_BYTES = 1 << 20
 
 FILE_SCHEMA = "relative_path string, size_bytes bigint, sha256 string"
+ENTRY_SCHEMA = "relative_path string, is_folder boolean, size_bytes bigint"
 
 MANIFEST_ENTRY = T.StructType(
     [
@@ -33,111 +38,79 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-def _location(uri: str):
+def location(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a location; bare and ``file:`` paths are local."""
-    from pyarrow import fs
-
     parsed = urlparse(uri)
     if parsed.scheme in ("", "file"):
         path = unquote(parsed.path) if parsed.scheme else uri
         return fs.LocalFileSystem(), path.rstrip("/")
-    filesystem, path = fs.FileSystem.from_uri(uri)
+    scheme = "s3" if parsed.scheme in ("s3a", "s3n") else parsed.scheme
+    filesystem, path = fs.FileSystem.from_uri(scheme + uri[len(parsed.scheme) :])
     return filesystem, path.rstrip("/")
 
 
-def _qualified(spark: SparkSession, root: str) -> str:
-    """The location as Arrow names it; a bare path lies in the default file system."""
-    scheme, rest = urlparse(root).scheme, root.partition(":")[2]
-    if scheme in ("s3a", "s3n"):
-        return "s3:" + rest
-    if scheme:
-        return root
-    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
-    return root if default.startswith("file:") else default.rstrip("/") + root
-
-
-def _walk_task(open_location, root: str):
-    """Files below each listed first-level entry.
-
-    Tasks carry everything they need, so executors need only Arrow and pandas,
-    not this package; that is why helpers come in as arguments.
-    """
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+def list_folders(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
+    """The entries of every folder, one level deep."""
+    filesystem, base = location(root)
+    for batch in batches:
+        for folder in batch["relative_path"]:
+            found = filesystem.get_file_info(fs.FileSelector(f"{base}/{folder}" if folder else base))
+            yield pd.DataFrame(
+                [(i.path[len(base) + 1 :], i.type == fs.FileType.Directory, i.size or 0) for i in found],
+                columns=["relative_path", "is_folder", "size_bytes"],
+            ).astype({"is_folder": bool, "size_bytes": "int64"})
 
-        filesystem, folder = open_location(root)
-        for batch in batches:
-            for name, is_folder, size in batch.itertuples(index=False):
-                found = [(name, size)]
-                if is_folder:
-                    below = fs.FileSelector(f"{folder}/{name}", recursive=True)
-                    found = [
-                        (info.path[len(folder) + 1 :], info.size)
-                        for info in filesystem.get_file_info(below)
-                        if info.type == fs.FileType.File
-                    ]
-                yield pd.DataFrame(found, columns=["relative_path", "size_bytes"])
 
-    return walk
+def hash_files(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
+    """SHA-256 of each file, read in chunks; the empty path is the root itself."""
+    filesystem, base = location(root)
 
+    def sha256(path: str) -> str:
+        digest = hashlib.sha256()
+        with filesystem.open_input_stream(path, compression=None) as stream:
+            while chunk := stream.read(CHUNK_BYTES):
+                digest.update(chunk)
+        return digest.hexdigest()
 
-def _hash_task(open_location, root: str, single: bool, chunk_bytes: int):
-    """SHA-256 of each listed file, read in chunks."""
+    for batch in batches:
+        yield batch.assign(sha256=[sha256(f"{base}/{path}") for path in batch["relative_path"]])
 
-    def hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, folder = open_location(root)
 
-        def sha256(path: str) -> str:
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(path, compression=None) as stream:
-                while chunk := stream.read(chunk_bytes):
-                    digest.update(chunk)
-            return digest.hexdigest()
-
-        for batch in batches:
-            paths = batch["relative_path"]
-            hashes = [sha256(folder if single else f"{folder}/{path}") for path in paths]
-            yield batch.assign(sha256=hashes)
-
-    return hash_files
-
-
-def _by_value(function):
-    """A copy of a module function that travels to tasks with its body."""
-    return type(function)(function.__code__, {**function.__globals__, "__name__": "__main__"}, function.__name__)
+def _tasks(spark: SparkSession) -> int:
+    """A path is a few bytes, the work behind it is not: a number that adaptive execution leaves alone."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def list_files(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
     """Relative path and size of all files below ``root``.
 
-    The driver lists the first level; every folder in it is walked by a task.
+    The driver learns no path: it starts one job per level of folders.
     """
-    from pyarrow import fs
-
-    root = _qualified(spark, root)
-    filesystem, base = _location(root)
-    info = filesystem.get_file_info(base)
-    if info.type == fs.FileType.NotFound:
-        raise FileNotFoundError(f"Inventory root does not exist: {root}")
-    if info.type == fs.FileType.File:
-        first = [(base.rsplit("/", 1)[-1], False, info.size)]
-    else:
-        first = [
-            (i.path[len(base) + 1 :], i.type == fs.FileType.Directory, i.size)
-            for i in filesystem.get_file_info(fs.FileSelector(base))
-        ]
-    if not include_hidden:
-        first = [entry for entry in first if not entry[0].startswith(".")]
-    if not first:
-        return spark.createDataFrame([], "relative_path string, size_bytes bigint")
-    entries = spark.createDataFrame(first, "name string, is_folder boolean, size bigint")
-    listed = entries.repartition(min(len(first), 1000), "name").mapInPandas(
-        _walk_task(_by_value(_location), root), "relative_path string, size_bytes bigint"
-    )
-    if include_hidden:
-        return listed
-    return listed.where(~F.col("relative_path").rlike(r"(^|/)\."))
+    ship_package(spark)
+    filesystem, base = location(root)
+    kind = filesystem.get_file_info(base).type
+    if kind == fs.FileType.NotFound:
+        raise FileNotFoundError(f"There is nothing to list at {root}.")
+    if kind == fs.FileType.File:
+        name = base.rpartition("/")[2]
+        size = filesystem.get_file_info(base).size
+        return spark.range(1).select(F.lit(name).alias("relative_path"), F.lit(size).cast("bigint").alias("size_bytes"))
+    visible = F.lit(True) if include_hidden else ~F.element_at(F.split("relative_path", "/"), -1).startswith(".")
+    folders = spark.range(1).select(F.lit("").alias("relative_path"))
+    levels = []
+    while True:
+        listed = folders.repartition(_tasks(spark), "relative_path").mapInPandas(
+            lambda batches: list_folders(batches, root), ENTRY_SCHEMA
+        )
+        level = materialize(listed.where(visible), "listing")
+        levels.append(level.where("NOT is_folder").select("relative_path", "size_bytes"))
+        folders = level.where("is_folder").select("relative_path")
+        if folders.isEmpty():
+            break
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionByName(level)
+    return found
 
 
 def inventory(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
@@ -145,19 +118,13 @@ def inventory(spark: SparkSession, root: str, include_hidden: bool = False) -> D
 
     Sort by ``path_order()`` for the order of a file tree.
     """
-    from pyarrow import fs
-
     listed = list_files(spark, root, include_hidden)
-    root = _qualified(spark, root)
-    filesystem, base = _location(root)
-    single = filesystem.get_file_info(base).type == fs.FileType.File
-    # The list is a few bytes per file, the work behind it is not: a fixed
-    # number of partitions keeps adaptive execution from merging them.
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    filesystem, base = location(root)
+    if filesystem.get_file_info(base).type == fs.FileType.File:
+        root = root.rstrip("/").rpartition("/")[0] or "/"
+    return listed.repartition(_tasks(spark), "relative_path").mapInPandas(
+        lambda batches: hash_files(batches, root), FILE_SCHEMA
     )
-    hash_files = _hash_task(_by_value(_location), root, single, CHUNK_BYTES)
-    return listed.repartition(tasks, "relative_path").mapInPandas(hash_files, FILE_SCHEMA)
 
 
 def path_order() -> Column:

@@ -44,6 +44,16 @@ def write_json_rows(df: DataFrame, path: str) -> None:
     ordered.write.mode("error").option("ignoreNullFields", False).json(path)
 
 
+def write_json_document(df: DataFrame, path: str) -> None:
+    """The one row of ``df`` as one document: keys sorted, indented, a line end behind it.
+
+    For hand-offs of a summary or a manifest header.
+    """
+    rows = df.select(F.struct(*[sorted_fields(df, c) for c in sorted(df.columns)]).alias("value"))
+    text = F.to_json("value", {"pretty": "true", "ignoreNullFields": "false"})
+    rows.select(text.alias("value")).coalesce(1).write.mode("error").text(path)
+
+
 def sorted_fields(df: DataFrame, name: str) -> Column:
     """A column with the fields of a struct in sorted order."""
     kind = df.schema[name].dataType

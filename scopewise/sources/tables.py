@@ -7,7 +7,6 @@ identifiers keep leading zeros and a scan never reads the data twice.
 from __future__ import annotations
 
 import codecs
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,7 +53,26 @@ def _read(spark: SparkSession, path, what: str, **options: str) -> DataFrame:
         return reader.csv(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            raise FileNotFoundError(f"{what} does not exist: {path}") from error
+            raise FileNotFoundError(f"{what}: nothing to read at {path}") from error
+        raise
+
+
+def has_open_quotes(spark: SparkSession, path, what: str = "Dataset") -> bool:
+    """Whether a quoted cell goes on in the next line, as an odd number of quotes tells.
+
+    Every line is tested where it lies.  Only files with such cells need a
+    reader that takes a file as a whole.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not _lines(spark, path, what).where(quotes % 2 == 1).isEmpty()
+
+
+def _lines(spark: SparkSession, path, what: str) -> DataFrame:
+    try:
+        return spark.read.text(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            raise FileNotFoundError(f"{what}: nothing to read at {path}") from error
         raise
 
 
@@ -68,18 +86,21 @@ def _cell(name: str) -> Column:
 
 
 def read_strict_text(
-    spark: SparkSession, path, what: str = "Dataset", multiline: bool = False
+    spark: SparkSession, path, what: str = "Dataset", multiline: bool | None = None
 ) -> DataFrame:
     """All columns as text, empty cells kept, header names trimmed.
 
-    ``multiline`` admits line breaks inside quoted cells, at the price of one
-    task per file.
+    Line breaks inside quoted cells are read right: the lines are searched for
+    them first, and files with such cells are read in one task each.
+    ``multiline`` says so without a search.
     """
+    if multiline is None:
+        multiline = has_open_quotes(spark, path, what)
     return trim_headers(keep_blanks(_read(spark, path, what, multiLine=str(multiline).lower())))
 
 
 def read_strict_fact(
-    spark: SparkSession, path, spec: FactSpec = DEFAULT_SPEC, multiline: bool = False
+    spark: SparkSession, path, spec: FactSpec = DEFAULT_SPEC, multiline: bool | None = None
 ) -> DataFrame:
     """Strict scan, parse and full rule suite."""
     return load_fact(read_strict_text(spark, path, multiline=multiline), spec)
@@ -92,12 +113,7 @@ def detect_encodings(spark: SparkSession, path) -> DataFrame:
     tasks.  Valid UTF-8 wins; otherwise code page 1252 unless a file holds one
     of the bytes it does not define; Latin-1 takes the rest.
     """
-    try:
-        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            raise FileNotFoundError(f"Aggregate source does not exist: {path}") from error
-        raise
+    lines = _lines(spark, path, "Aggregate source").select(F.col("_metadata.file_path").alias("file"), "value")
     as_latin1 = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     found = lines.groupBy("file").agg(
         F.bool_or(~F.is_valid_utf8("value")).alias("not_utf8"),
@@ -111,43 +127,61 @@ def detect_encodings(spark: SparkSession, path) -> DataFrame:
     return found.select("file", encoding.alias("encoding"))
 
 
-def _read_encoded(spark: SparkSession, path, encoding: str, multiline: bool) -> DataFrame:
-    options = {"multiLine": str(multiline).lower()}
-    if encoding == UTF8:
-        return _read(spark, path, "Aggregate source", **options)
-    df = _read(spark, path, "Aggregate source", encoding="ISO-8859-1", **options)
-    if encoding == LATIN1:
-        return df
-    # The code page differs from Latin-1 in a few characters only.
-    repair = str.maketrans(_WRONG, _RIGHT)
-    return df.select(
-        *[F.translate(_cell(c), _WRONG, _RIGHT).alias(c.translate(repair)) for c in df.columns]
+def as_cp1252_bytes(column: Column) -> Column:
+    """Text whose bytes in Latin-1 are those of ``column`` in code page 1252."""
+    return F.translate(column, _RIGHT, _WRONG)
+
+
+def _decoded(column: Column, encoding: Column) -> Column:
+    """Text that was read byte by byte as Latin-1, in the encoding of its file.
+
+    The code page differs from Latin-1 in a few characters only.
+    """
+    return (
+        F.when(encoding == UTF8, F.decode(F.encode(column, "ISO-8859-1"), "UTF-8"))
+        .when(encoding == CP1252, F.translate(column, _WRONG, _RIGHT))
+        .otherwise(column)
     )
 
 
-def read_lenient_text(
-    spark: SparkSession, path, multiline: bool = False
-) -> tuple[DataFrame, list[str]]:
-    """Text columns with missing words as null, and the encodings found.
+def _header_name(name: str) -> str:
+    """A column name that was read as Latin-1, without a byte order mark."""
+    try:
+        return name.encode("latin-1").decode("utf-8-sig").strip()
+    except UnicodeError:
+        return name.translate(str.maketrans(_WRONG, _RIGHT)).strip()
+
+
+def read_lenient_rows(spark: SparkSession, path, multiline: bool | None = None) -> DataFrame:
+    """Text columns with missing words as null, and ``_encoding`` of the row's file.
 
-    Files of different encodings may lie in one folder; each group is then
-    read in its own encoding, by file name.
+    Files of different encodings may lie in one folder.  All are read as bytes
+    in one scan and decoded cell by cell with the encoding of their file, which
+    a join brings: no file name passes through the driver.
     """
+    if multiline is None:
+        multiline = has_open_quotes(spark, path, "Aggregate source")
     found = materialize(detect_encodings(spark, path), "encodings")
-    encodings = sorted(r["encoding"] for r in found.select("encoding").distinct().collect())
-    if len(encodings) == 1:
-        table = trim_headers(_read_encoded(spark, path, encodings[0], multiline))
-    else:
-        groups = {e: found.where(F.col("encoding") == e).orderBy("file") for e in encodings}
-        parts = [
-            trim_headers(_read_encoded(spark, [r["file"] for r in rows.collect()], e, multiline))
-            for e, rows in groups.items()
-        ]
-        table = reduce(DataFrame.unionByName, parts)
-    cleaned = [
-        F.when(~_cell(c).isin(*MISSING_WORDS), _cell(c)).alias(c) for c in table.columns
-    ]
-    return table.select(*cleaned), encodings
+    raw = _read(
+        spark, path, "Aggregate source", encoding="ISO-8859-1", multiLine=str(multiline).lower()
+    )
+    names = [_header_name(name) for name in raw.columns]
+    rows = raw.select("*", F.col("_metadata.file_path").alias("_file")).join(
+        found.withColumnsRenamed({"file": "_file", "encoding": "_encoding"}), "_file"
+    )
+    cells = [_decoded(_cell(c), F.col("_encoding")).alias(n) for c, n in zip(raw.columns, names)]
+    text = rows.select(*cells, "_encoding")
+    cleaned = [F.when(~_cell(n).isin(*MISSING_WORDS), _cell(n)).alias(n) for n in names]
+    return text.select(*cleaned, "_encoding")
+
+
+def read_lenient_text(
+    spark: SparkSession, path, multiline: bool | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Text columns with missing words as null, and the encodings found (three at most)."""
+    rows = read_lenient_rows(spark, path, multiline)
+    encodings = detect_encodings(spark, path).select("encoding").distinct().collect()
+    return rows.drop("_encoding"), sorted(r["encoding"] for r in encodings)
 
 
 def read_metrics(spark: SparkSession, path, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet") -> DataFrame:
@@ -187,7 +221,7 @@ def read_qualifications(spark: SparkSession, path) -> DataFrame:
         documents = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            raise FileNotFoundError(f"Source qualification does not exist: {path}") from error
+            raise FileNotFoundError(f"No qualification record at {path}") from error
         raise
     record = F.from_json("value", QUALIFICATION_SCHEMA)
     parsed = documents.select(record.alias("record"), F.json_object_keys("value").alias("fields"))
@@ -212,12 +246,14 @@ REGISTRY_COLUMNS = (
 )
 
 
-def read_registry(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
+def read_registry(spark: SparkSession, path, multiline: bool | None = None) -> DataFrame:
     """The source registry as text with blank cells kept and a ``row_no``.
 
     ``row_no`` is the line of the row in the file, header counted.  Rows are
     numbered inside their block of the file and shifted by the blocks before.
     """
+    if multiline is None:
+        multiline = has_open_quotes(spark, path, "Source registry")
     raw = _read(spark, path, "Source registry", multiLine=str(multiline).lower())
     names = raw.columns
     # Stored, because a second scan might split the files differently.

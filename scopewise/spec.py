@@ -21,6 +21,16 @@ ROW_SHARE_TOLERANCE = 0.01
 CONTRIBUTION_TOLERANCE = 0.05
 SHARE_VALUE_TOLERANCE = 1e-4
 
+# Fragments of messages that callers look for.
+MISSING_COLUMNS_TEXT = "Missing required columns"
+DUPLICATE_ROWS_TEXT = "Duplicate rows"
+NEGATIVE_TEXT = "negative values"
+MUST_EQUAL_TEXT = "must equal"
+ABOVE_100_TEXT = "above 100"
+TOP_FLAGS_TEXT = "Top-10 flags"
+ONLY_SCOPE_TEXT = "-only"
+RANKING_LIMIT_TEXT = "must be at least 1"
+
 
 @dataclass(frozen=True)
 class FactSpec:
@@ -38,6 +48,8 @@ class FactSpec:
     entity_name: str = "entity_name"
     entity_code: str = "entity_code"
     categories: tuple[str, ...] = ("micro", "small", "medium")
+    #: Fixed value: the categories in the order of a table's columns.
+    count_order: tuple[str, ...] = ("medium", "micro", "small")
     total: str = "total"
     snapshot_cols: tuple[str, ...] = field(default=())
     scope_col: str = "scope_name"
@@ -48,7 +60,7 @@ class FactSpec:
 
     @property
     def count_cols(self) -> tuple[str, ...]:
-        return (*sorted(self.categories), self.total)
+        return (*self.count_order, self.total)
 
     @property
     def required(self) -> tuple[str, ...]:

@@ -33,11 +33,14 @@ def test_top_n_is_cut_before_the_shuffle(small):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_range_ranks_never_gather_a_scope(small):
-    text = plan(R.add_ranks(small, strategy="range", max_rows_per_task=2))
+def test_ranks_never_gather_a_scope(spark, fact):
+    """A scope with nearly all rows, most of them tied, is dealt by slices and runs inside them."""
+    rows = [("HOT", "1", f"E{i}", str(i), i % 3, 0, 0) for i in range(300)] + [("B", "2", "X", "900", 1, 0, 0)]
+    text = plan(R.add_ranks(fact(rows)))
     assert "SinglePartition" not in text
-    assert "Window" not in text
     assert "BroadcastHashJoin" in text
+    (keys,) = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert "_slice" in keys and "total" in keys
 
 
 def test_counting_scopes_does_not_read_the_orders(spark):

@@ -25,9 +25,9 @@ def test_sound_rows_pass(spark):
 @pytest.mark.parametrize(
     ("rows", "message"),
     [
-        ([], "at least one row"),
-        ([("A", None), (None, 2)], r"district=1"),
-        ([("A", 1), ("A", 2), ("B", 3)], r"Duplicate rows found for key \[district\]: 2"),
+        ([], "no rows"),
+        ([("A", None), (None, 2)], "'district' is missing in 1 rows"),
+        ([("A", 1), ("A", 2), ("B", 3)], r"Duplicate rows: 2 rows share \(district\)"),
         ([("A", 1), ("B", -1)], "1 negative values"),
     ],
 )
@@ -47,7 +47,7 @@ def test_empty_key_is_no_check(spark):
 
 def test_text_is_not_numeric(spark):
     df = spark.createDataFrame([("1",), ("x",), (None,)], "v string")
-    with pytest.raises(DataQualityError, match="1 non-numeric"):
+    with pytest.raises(DataQualityError, match="no number in 1 rows"):
         Q.enforce(df, [Q.numeric("v"), Q.nonnegative("v")])
 
 
@@ -60,10 +60,10 @@ def test_strict_suite_order(fact):
     broken = fact([(" ", "24", "A", "1", -1, 0, 0), ("G", "24", "B", "1", 1, 1, 1)], totals=[5, 3])
     messages = Q.broken_rules(broken, Q.strict_checks())
     assert [m.split(".")[0] for m in messages] == [
-        "Column 'scope_name' contains 1 blank values",
-        "Column 'micro' contains 1 negative values",
-        "Duplicate rows found for key [scope_id, entity_code]: 2",
-        "The total column does not equal micro + small + medium for 1 rows",
+        "'scope_name' is blank in 1 rows",
+        "'micro' has 1 negative values",
+        "Duplicate rows: 2 rows share (scope_id, entity_code)",
+        "'total' differs from micro + small + medium in 1 rows",
     ]
 
 
@@ -77,13 +77,13 @@ def test_lenient_suite(raw):
         ]
     )
     assert Q.broken_rules(df, Q.lenient_row_checks()) == [
-        "Column 'entity_name' contains null values.",
-        "Column 'entity_name' contains blank values.",
-        "Column 'medium' contains negative values.",
-        "Column 'medium' must contain whole numbers.",
-        "Column 'micro' contains nonnumeric values.",
-        "Column 'total' must contain whole numbers.",
-        "Column 'total' must equal micro plus small plus medium.",
+        "'entity_name' is missing in 1 rows.",
+        "'entity_name' is blank in 1 rows.",
+        "'medium' has 1 negative values.",
+        "'medium' has a fraction in 1 rows.",
+        "'micro' is no number in 1 rows.",
+        "'total' has a fraction in 1 rows.",
+        "'total' must equal micro + small + medium; 1 rows differ.",
     ]
 
 
@@ -109,14 +109,14 @@ def test_single_scope(fact):
     ("column", "value", "message"),
     [
         ("micro_share_pct", "101.0D", "above 100"),
-        ("micro_share_pct", "-1.0D", "negative"),
-        ("micro_share_pct", "50.0D", "do not total 100 for every"),
-        ("rank_total", "1L", "Descending ranks"),
-        ("rank_total_ascending", "rank_total_ascending + 1", "Ascending ranks"),
-        ("dominant_category", "'LARGE'", "Invalid dominant"),
+        ("micro_share_pct", "-1.0D", "below 0"),
+        ("micro_share_pct", "50.0D", "do not add up to 100"),
+        ("rank_total", "1L", "rank_total does not"),
+        ("rank_total_ascending", "rank_total_ascending + 1", "rank_total_ascending does not"),
+        ("dominant_category", "'LARGE'", "unknown label"),
         ("top_10_flag", "false", "Top-10 flags"),
         ("bottom_10_flag", "cast(null as boolean)", "Bottom-10 flags"),
-        ("scope_total_share_pct", "scope_total_share_pct / 2", "Contribution"),
+        ("scope_total_share_pct", "scope_total_share_pct / 2", "contributions of a scope"),
     ],
 )
 def test_metric_rules(small, column, value, message):
@@ -130,14 +130,14 @@ def test_wrong_contributions_that_cancel_out(small):
         F.col("entity_name") == "BETA", F.col("scope_total_share_pct") - 0.01
     ).otherwise(F.col("scope_total_share_pct"))
     broken = M.entity_metrics(small).withColumn("scope_total_share_pct", swapped)
-    with pytest.raises(DataQualityError, match="do not match the totals"):
+    with pytest.raises(DataQualityError, match="differs from total"):
         Q.enforce_metrics(broken)
 
 
 def test_zero_rows_need_zero_shares(small):
     wrong = F.when(F.col("total") == 0, 1.0).otherwise(F.col("micro_share_pct"))
     broken = M.entity_metrics(small).withColumn("micro_share_pct", wrong)
-    with pytest.raises(DataQualityError, match="zero category shares"):
+    with pytest.raises(DataQualityError, match="has category shares"):
         Q.enforce_metrics(broken)
 
 
@@ -164,12 +164,38 @@ def test_registry_rules(spark):
         {"source_id": "C", "status": "rejected"},
         {"source_id": "D", "status": "unknown", "priority": "optional"},
     )
-    assert registry_messages(registry_violations(df, strict=True)) == [
-        "Blank source_id found on CSV row 3",
-        "Duplicate source_id value: A",
-        "Approved source 'B' on CSV row 5 is missing: access_date, licence",
-        "Invalid priority value: urgent",
-        "Invalid status value: unknown",
-        "Primary source 'C' is not approved (current status: 'rejected').",
+    found = registry_messages(registry_violations(df, strict=True)).orderBy("rule", "row_no", "key")
+    assert [r["message"] for r in found.collect()] == [
+        "Row 3 names no source.",
+        "Several rows are called A.",
+        "B (row 5) was approved without access_date, licence",
+        "Unknown priority: urgent",
+        "Unknown status: unknown",
+        "C is primary but its status is rejected",
     ]
     assert registry_violations(registry(spark, {"source_id": "A"}), strict=True).isEmpty()
+
+
+def test_every_violation_is_reported(spark):
+    ids = spark.range(1500).select(F.col("id").cast("string").alias("source_id"))
+    df = registry(spark, {"source_id": "A"}).drop("source_id").crossJoin(ids)
+    broken = df.withColumn("licence", F.lit(" "))
+    assert registry_messages(registry_violations(broken)).where("rule = 'incomplete_approval'").count() == 1500
+
+
+def test_empty_scope_needs_exact_zero(fact):
+    rows = [("A", "1", "X", "1", 0, 0, 0), ("A", "1", "Y", "2", 0, 0, 0)]
+    broken = M.entity_metrics(fact(rows)).withColumn("scope_total_share_pct", F.lit(0.02))
+    assert Q.metric_checks_per_scope(broken).first()["contribution_off"] == 1
+
+
+def test_unknown_fields_are_refused_by_all_measures(small):
+    from scopewise.operators import measures as E
+
+    bad = E.FilterContext(outer={"pan": ["x"]})
+    metrics = M.entity_metrics(small)
+    for measure in (E.measures, E.selected_contribution, E.measure_extremes, E.measure_flags):
+        with pytest.raises(DataQualityError, match="pan"):
+            measure(metrics, context=bad)
+    with pytest.raises(DataQualityError, match="pan"):
+        E.tooltip(metrics, bad)

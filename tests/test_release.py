@@ -3,14 +3,17 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from scopewise.operators.metrics import entity_metrics
-from scopewise.operators.provenance import Source
+from scopewise.operators.provenance import Source, release_totals
 from scopewise.plans import bundle, release
 from scopewise.plans.registry import check_registry
 from scopewise.session import scratch_path
+from scopewise.sources.files import inventory
+from scopewise.sources.sinks import write_json_document
 from scopewise.sources.tables import REGISTRY_COLUMNS, read_metrics, read_qualifications, read_strict_text
-from scopewise.spec import DEFAULT_SPEC, DataQualityError
+from scopewise.spec import DEFAULT_SPEC, DataQualityError, FactSpec
 
 HEADER = ",".join(DEFAULT_SPEC.required)
 NATIONAL = (
@@ -27,7 +30,7 @@ def write(path: Path, text: str) -> str:
 
 def qualification(path: Path, source: str, **changes) -> str:
     record = {
-        "source_id": "OGD",
+        "source_id": "SOURCE",
         "source_url": "https://example.org",
         "licence": "open",
         "retrieval_date": "2026-07-30",
@@ -80,13 +83,13 @@ def test_any_changed_file_is_found(spark, released, folder):
     with pytest.raises(ValueError, match="Checksum mismatch"):
         release.verify_release(spark, out)
     victim.write_bytes(data + b"x")
-    with pytest.raises(ValueError, match="File size mismatch"):
+    with pytest.raises(ValueError, match="size mismatch"):
         release.verify_release(spark, out)
 
 
 def test_lost_file_and_lost_manifest(spark, released, tmp_path):
     out, _ = released
-    with pytest.raises(FileNotFoundError, match="manifest"):
+    with pytest.raises(FileNotFoundError, match="no manifest"):
         release.verify_release(spark, str(tmp_path / "nothing"))
     next(Path(out, "data/summary").glob("*.json")).rename(tmp_path / "elsewhere")
     with pytest.raises(FileNotFoundError, match="data/summary"):
@@ -103,14 +106,14 @@ def test_changed_figures_and_flag(spark, released):
     with pytest.raises(ValueError, match="total_total"):
         release.verify_release(spark, out)
     header.write_text(good.replace('"publication_allowed":false', '"publication_allowed":true'))
-    with pytest.raises(ValueError, match="must not permit publication"):
+    with pytest.raises(ValueError, match="must not allow publication"):
         release.verify_release(spark, out)
 
 
 @pytest.mark.parametrize(
     ("changes", "message"),
     [
-        ({"licence": "drop", "source_url": "drop"}, "missing required fields: licence, source_url"),
+        ({"licence": "drop", "source_url": "drop"}, "lacks: licence, source_url"),
         ({"qualification_status": "pending"}, "not qualified"),
         ({"privacy_classification": "private"}, "privacy"),
         ({"source_sha256": "0" * 64}, "checksum"),
@@ -125,12 +128,92 @@ def test_gates(spark, tmp_path, changes, message):
 
 
 def test_a_null_field_is_not_missing(spark, tmp_path):
-    record = qualification(tmp_path / "q.json", write(tmp_path / "n.csv", NATIONAL), licence=None)
-    found = release.check_qualification(read_qualifications(spark, record), "Gujarat")
+    source = write(tmp_path / "n.csv", NATIONAL)
+    record = qualification(tmp_path / "q.json", source, licence=None)
+    found = release.check_sources(inventory(spark, source), read_qualifications(spark, record), "Gujarat").first()
     assert found["licence"] is None
-    empty = write(tmp_path / "e.json", "{}")
-    with pytest.raises(ValueError, match="licence, privacy_classification"):
-        release.check_qualification(read_qualifications(spark, empty), "Gujarat")
+
+
+def test_every_file_needs_its_own_approved_record(spark, tmp_path):
+    """An approved record of another file, even in the same folder, opens no gate."""
+    (tmp_path / "src").mkdir()
+    (tmp_path / "q").mkdir()
+    one = write(tmp_path / "src/one.csv", NATIONAL)
+    two = write(tmp_path / "src/two.csv", CLEAN)
+    qualification(tmp_path / "q/one.json", one)
+    qualification(tmp_path / "q/two.json", two, qualification_status="pending")
+    records = read_qualifications(spark, str(tmp_path / "q"))
+    assert release.check_sources(inventory(spark, one), records, "Gujarat").count() == 1
+    for path in (two, str(tmp_path / "src")):
+        with pytest.raises(ValueError, match="two.csv is not qualified"):
+            release.check_sources(inventory(spark, path), records, "Gujarat")
+    third = write(tmp_path / "src/three.csv", HEADER)
+    with pytest.raises(ValueError, match="checksum of three.csv"):
+        release.check_sources(inventory(spark, str(tmp_path / "src")), records, "Gujarat")
+    qualification(tmp_path / "q/two.json", two)
+    qualification(tmp_path / "q/three.json", third, source_id="ANOTHER")
+    found = release.check_sources(
+        inventory(spark, str(tmp_path / "src")), read_qualifications(spark, str(tmp_path / "q")), "Gujarat"
+    )
+    with pytest.raises(ValueError, match="different sources"):
+        release.release_source(found, str(tmp_path / "src"))
+    with pytest.raises(ValueError, match="pending|qualified"):
+        qualification(tmp_path / "q/again.json", two, qualification_status="pending")
+        release.check_sources(inventory(spark, two), read_qualifications(spark, str(tmp_path / "q")), "Gujarat")
+
+
+def test_unlisted_file_is_found(spark, released):
+    out, _ = released
+    Path(out, "data/rankings/added.csv").write_text("x")
+    with pytest.raises(ValueError, match="Not listed in the manifest: data/rankings/added.csv"):
+        release.verify_release(spark, out)
+
+
+def test_broken_metrics_leave_no_output(spark, tmp_path, monkeypatch):
+    def broken(fact, spec):
+        return entity_metrics(fact, spec).withColumn("top_10_flag", F.lit(False))
+
+    monkeypatch.setattr(bundle, "entity_metrics", broken)
+    raw = read_strict_text(spark, write(tmp_path / "c.csv", CLEAN))
+    with pytest.raises(DataQualityError, match="Top-10 flags"):
+        bundle.write_bundle(raw, str(tmp_path / "b"), Source("S", "c.csv"))
+    assert not (tmp_path / "b").exists()
+
+
+def test_snapshots_are_totalled_and_reconciled_one_by_one(fact):
+    spec = FactSpec(snapshot_cols=("as_of",))
+    rows = [("A", "1", "X", "1", 5, 0, 0), ("A", "1", "Y", "2", 15, 0, 0)]
+    both = fact(rows).withColumn("as_of", F.lit("2025")).unionByName(fact(rows[:1]).withColumn("as_of", F.lit("2026")))
+    metrics = entity_metrics(both, spec)
+    totals = {r["as_of"]: (r["row_count"], r["total_total"]) for r in release_totals(metrics, spec).collect()}
+    assert totals == {"2025": (2, 20), "2026": (1, 5)}
+    header = release_totals(metrics, spec)
+    assert release.reconcile_release(metrics, header, spec).where("not matches").isEmpty()
+    one = release.reconcile_release(metrics, header.where("as_of = '2025'"), spec)
+    assert {r["as_of"] for r in one.where("not matches").collect()} == {"2026"}
+
+
+def test_provenance_names_the_steps_that_ran(spark, tmp_path):
+    raw = read_strict_text(spark, write(tmp_path / "c.csv", CLEAN))
+    steps = {}
+    for target in (None, "gujarat"):
+        out = str(tmp_path / f"b-{target}")
+        bundle.write_bundle(raw, out, Source("S", "c.csv"), target=target, limitations=["handle with care"])
+        record = spark.read.json(f"{out}/data/metadata").first()
+        steps[target] = record["transformations"]
+        assert record["limitations"] == ["handle with care"]
+    assert "kept the rows of gujarat" in steps["gujarat"]
+    assert not any("kept the rows" in step for step in steps[None])
+
+
+def test_one_json_document(spark, tmp_path):
+    df = spark.createDataFrame([(2, None, (1, "x"))], "b int, a string, c struct<z:int,y:string>")
+    write_json_document(df, str(tmp_path / "doc"))
+    (file,) = (tmp_path / "doc").glob("part-*")
+    text = file.read_text()
+    assert text.endswith("}\n") and "\n  " in text
+    assert list(json.loads(text)) == ["a", "b", "c"] and list(json.loads(text)["c"]) == ["y", "z"]
+    assert json.loads(text) == {"a": None, "b": 2, "c": {"y": "x", "z": 1}}
 
 
 def test_scope_gate(spark, tmp_path):
@@ -138,7 +221,7 @@ def test_scope_gate(spark, tmp_path):
     record = qualification(
         tmp_path / "q.json", source, qualification_status="qualified_for_rajasthan_scope_only"
     )
-    with pytest.raises(DataQualityError, match="failed Rajasthan-scope"):
+    with pytest.raises(DataQualityError, match="Rajasthan has conflicting"):
         release.write_release(spark, source, record, str(tmp_path / "out"), "Rajasthan")
 
 
@@ -173,8 +256,7 @@ def test_numeric_scope_names_stay_text(fact):
 
 
 @pytest.mark.parametrize("fact_format", ["parquet", "csv"])
-def test_facts_ranked_by_range_are_written_whole(fact, monkeypatch, fact_format):
-    monkeypatch.setattr(bundle, "pick_strategy", lambda *_: "range")
+def test_facts_are_written_whole(fact, fact_format):
     rows = [(f"S{i % 3}", str(i % 3), f"E{i % 11}", str(i), i % 7, 1, 0) for i in range(200)]
     df = fact(rows)
     stored = bundle.write_fact(df, scratch_path(df.sparkSession, "range"), fmt=fact_format)
@@ -206,12 +288,16 @@ def test_registry_file(spark, tmp_path):
     good = ["S1", *["v"] * 12]
     good[4], good[11] = "primary", "pending_validation"
     path = write(tmp_path / "r.csv", f"{header}\n{','.join(good)}\n")
-    assert check_registry(spark, path) == []
-    assert check_registry(spark, path, strict=True) == [
-        "Primary source 'S1' is not approved (current status: 'pending_validation')."
-    ]
-    assert check_registry(spark, write(tmp_path / "e.csv", header + "\n")) == [
-        "Source registry must contain at least one source."
-    ]
-    messages = check_registry(spark, write(tmp_path / "m.csv", "source_id,notes\nx,y\n"))
-    assert messages[0].startswith("Missing required columns: publisher, dataset_name")
+    assert check_registry(spark, path).isEmpty()
+    (row,) = check_registry(spark, path, strict=True).collect()
+    assert row["message"] == "S1 is primary but its status is pending_validation"
+    assert check_registry(spark, write(tmp_path / "e.csv", header + "\n")).first()["rule"] == "empty"
+    missing = check_registry(spark, write(tmp_path / "m.csv", "source_id,notes\nx,y\n")).first()["message"]
+    assert missing.startswith("Missing required columns: publisher, dataset_name")
+    lines = []
+    for i in range(1500):
+        row = [f"S{i}", *["v"] * 12]
+        row[4], row[8], row[11] = "primary", "", "approved"
+        lines.append(",".join(row))
+    many = check_registry(spark, write(tmp_path / "b.csv", "\n".join([header, *lines, ""])))
+    assert many.count() == many.where("rule = 'incomplete_approval'").count() == 1500

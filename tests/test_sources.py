@@ -36,11 +36,11 @@ def test_strict_fact(spark, tmp_path):
 @pytest.mark.parametrize(
     ("row", "message"),
     [
-        ("GOA,030,B,2,0,7.5,1,8.5", "'micro' contains 1 non-integer"),
-        ("GOA,030,B,2,0,x,1,8", "'micro' contains 1 non-numeric"),
-        ("GOA,030,B,2,0,,1,8", "'micro' contains 1 non-numeric"),
-        ("GOA,030,,2,0,7,1,8", "'entity_name' contains 1 blank"),
-        ("GOA,030,B,2,0,7,1,9", "does not equal"),
+        ("GOA,030,B,2,0,7.5,1,8.5", "'micro' has a fraction in 1"),
+        ("GOA,030,B,2,0,x,1,8", "'micro' is no number in 1"),
+        ("GOA,030,B,2,0,,1,8", "'micro' is no number in 1"),
+        ("GOA,030,,2,0,7,1,8", "'entity_name' is blank in 1"),
+        ("GOA,030,B,2,0,7,1,9", "differs from"),
         ("GUJARAT,024,B,0101,0,7,1,8", "Duplicate rows"),
     ],
 )
@@ -50,6 +50,15 @@ def test_strict_fact_rejects(spark, tmp_path, row, message):
         tables.read_strict_fact(spark, path)
 
 
+def test_line_breaks_inside_cells_are_read_right(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a,b,c\n1,"x\ny",3\n4,"say ""z""",6\n')
+    assert tables.has_open_quotes(spark, path)
+    expected = {("1", "x\ny", "3"), ("4", 'say "z"', "6")}
+    assert {tuple(r) for r in tables.read_strict_text(spark, path).collect()} == expected
+    assert {tuple(r) for r in tables.read_lenient_text(spark, path)[0].collect()} == expected
+    assert not tables.has_open_quotes(spark, write(tmp_path / "b.csv", 'a\n"x"\n"y ""q"""\n'))
+
+
 def test_files_must_share_a_header(spark, tmp_path):
     write(tmp_path / "a.csv", "x,y\n1,2\n")
     write(tmp_path / "b.csv", "y,x\n1,2\n")
@@ -148,6 +157,19 @@ def test_inventory_of_one_file_and_of_nothing(spark, tmp_path):
     assert files.inventory(spark, str(tmp_path / "empty")).count() == 0
 
 
+def test_folders_of_a_level_are_listed_by_many_tasks(spark, tmp_path):
+    for i in range(40):
+        write(tmp_path / f"data/part={i}/f.bin", bytes([i]))
+    listed = files.list_files(spark, str(tmp_path))
+    assert listed.count() == 40
+    folders = spark.createDataFrame([(f"data/part={i}",) for i in range(40)], "relative_path string")
+    root = str(tmp_path)
+    dealt = folders.repartition(files._tasks(spark), "relative_path").mapInPandas(
+        lambda batches: files.list_folders(batches, root), files.ENTRY_SCHEMA
+    )
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_inventory_csv(spark, tmp_path):
     tree(tmp_path / "t")
     out = str(tmp_path / "out")
