@@ -85,7 +85,7 @@ def _short(digest: bytes) -> int:
 
 def collapse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of ``COLLAPSED``: equal texts of a piece share ``member_of``; one of them has the text."""
-    for piece in pieces(batches, limit=16 << 20):
+    for piece in pieces(batches, limit=8 << 20):
         table, name = OpenTable(), uuid.uuid4().hex
         ids, contents = piece.column("doc_id").to_pylist(), encoded(piece)
         digests = [hashlib.sha256(content).digest() for content in contents]

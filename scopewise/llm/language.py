@@ -35,8 +35,8 @@ MAX_TRAINING_DOCS = 20_000
 SWITCH = 12.0
 #: Share of a language's letters that a script must have to count as one of its scripts.
 MIN_SCRIPT_SHARE = 0.001
-#: Steps of text per piece, shared out over the languages.
-PIECE = 8 << 20
+#: Text that is scored at once, in bytes; less with more than eight languages.
+PIECE = 2 << 20
 
 #: First code points of script ranges, fixed values of the Unicode blocks, and their scripts.
 SCRIPT_STARTS = np.array(
@@ -234,7 +234,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
 
 def _keep(batches: Iterable[pa.RecordBatch], model: Model, switch: float, min_share: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in pieces([batch]):
+        for piece in pieces([batch], limit=PIECE):
             slim = pa.RecordBatch.from_arrays([pa.nulls(piece.num_rows, pa.int64()), piece.column("text")], ["doc_id", "text"])
             found = pa.Table.from_batches(_label([slim], model, switch))
             known = pc.and_(pc.not_equal(found["lang_pred"], UNKNOWN), pc.greater_equal(found["score"], min_share))

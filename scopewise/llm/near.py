@@ -84,7 +84,7 @@ SIGNED = "doc_id long, n_shingles long, set_hash string, bands array<long>, sket
 
 
 def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches):
+    for piece in pieces(batches, limit=1 << 20):
         sets = shingle_sets(encoded(piece))
         full = [i for i, own in enumerate(sets) if len(own)]
         bands: list = [None] * len(sets)
