@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scopewise.llm import bpe, decontaminate, exact, language, near
 from scopewise.llm.queries import VOCABULARY_FILE
-from scopewise.session import discard, materialize
+from scopewise.session import discard, materialize, scratch_tables
 
 #: A document must have this share of its letters in one language.
 MIN_LANGUAGE_SHARE = 0.5
@@ -32,10 +32,12 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts keep the document with the largest doc_id, in one row."""
-    found = exact.exact_duplicates(docs)
-    dropped = materialize(found.where(~F.col("kept")).select("doc_id"), "exact-dropped")
+    with scratch_tables() as keep:
+        found = exact.exact_duplicates(docs)
+        dropped = keep(materialize(found.where(~F.col("kept")).select("doc_id"), "exact-dropped"))
+        repeated = not found.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty()
     rows = without(docs, dropped)
-    if found.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
+    if not repeated:
         return rows
     named = rows.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     return named.union(rows.where(F.col("doc_id").isNull()))
@@ -43,15 +45,19 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates keep the document with the smallest doc_id."""
-    found = near.near_duplicates(docs)
-    return without(docs, materialize(found.where(~F.col("kept")).select("doc_id"), "near-dropped"))
+    with scratch_tables() as keep:
+        found = near.near_duplicates(docs)
+        dropped = keep(materialize(found.where(~F.col("kept")).select("doc_id"), "near-dropped"))
+    return without(docs, dropped)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.find_items(docs, items)
-    return without(docs, materialize(found.select("doc_id").distinct(), "contaminated"))
+    with scratch_tables() as keep:
+        found = decontaminate.find_items(docs, items)
+        dropped = keep(materialize(found.select("doc_id").distinct(), "contaminated"))
+    return without(docs, dropped)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

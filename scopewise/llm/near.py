@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowded = materialize(rows.join(smallest.drop("size"), "bucket"), "near-buckets")
     stars = crowded.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     tested = materialize(confirm(stars, packed, reps), "near-tested")
-    links = tested.where("linked")
+    links = tested.where("linked").select("a", "b")
     labels = components(links)
 
     own = F.coalesce("component", "doc_id").alias("component")

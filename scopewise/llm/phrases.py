@@ -5,7 +5,7 @@ confirmed word by word and joined to passages (maximal stretches of windows with
 document). Every slice of documents gets the passages that recur in it, as shards of ``SHARD`` passages;
 each shard is compiled into an Aho-Corasick automaton over word numbers, and all documents of the slice
 are streamed through it to locate every occurrence. A word goes if an occurrence of a passage that a
-smaller document has covers it. Words are numbered by 64-bit hashes.
+smaller document has covers it. Words are told apart by 64-bit hashes.
 
 Defined cases: a null text has no words; texts of fewer words lose nothing; a null doc_id is larger than
 any other and removes nothing; repeated rows of a document remove nothing from each other; other columns
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from scopewise.llm import windows
 from scopewise.llm.batches import map_batches, ragged
-from scopewise.llm.shingles import joined, words
+from scopewise.llm.shingles import joined, mix, window_hashes, words
 from scopewise.session import materialize
 
 #: Words of a window.
@@ -46,55 +46,44 @@ def _split(contents: list[bytes]) -> tuple:
 
 UNITS = windows.Units(_split, WINDOW, GRAM)
 
-_GAPS = bytes([32, 9, 10, 11, 12, 13])
-_TO_SPACE = bytes.maketrans(_GAPS, b" " * len(_GAPS))
-
+VERDICT = "slice string, passages array<binary>, least array<long>"
+#: Mixed into word hashes for a second, independent hash of a window.
+_SECOND = np.uint64(0xA0761D6478BD642F)
 
-def split_words(content: bytes) -> list[bytes]:
-    return [w for w in content.translate(_TO_SPACE).split(b" ") if w]
 
+def least_documents(hashed: np.ndarray, counts: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of every string, the smallest document that has it; and each string's first window.
 
-VERDICT = "slice string, passages array<binary>, least array<long>"
+    Windows are equal if two 64-bit hashes of their words are.
+    """
+    number = counts - WINDOW + 1
+    start = ragged(np.cumsum(counts) - counts, number)
+    one = window_hashes(hashed, WINDOW)[start]
+    two = window_hashes(mix(hashed ^ _SECOND), WINDOW)[start]
+    order = np.lexsort((two, one))
+    one, two = one[order], two[order]
+    first = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+    smallest = np.minimum.reduceat(np.repeat(least, number)[order], first)
+    found = np.empty(len(start), np.int64)
+    found[order] = np.repeat(smallest, np.diff(np.r_[first, len(start)]))
+    return found, np.cumsum(number) - number
 
 
 def _confirm(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Per slice, the passages of its strings that a smaller document has."""
-    strings: dict[tuple, int] = {}
-    smallest: dict[tuple, int] = {}
-    per_slice: list[list[tuple[int, int]]] = []
-    for row in group.itertuples():
-        ends = np.cumsum(np.frombuffer(row.sizes, "<i4")).tolist()
-        least, most = np.frombuffer(row.least, "<i8").tolist(), np.frombuffer(row.most, "<i8").tolist()
-        own = []
-        for a, b, low, high in zip([0, *ends], ends, least, most, strict=False):
-            phrase = tuple(split_words(row.data[a:b]))
-            number = strings.setdefault(phrase, len(strings))
-            own.append((number, high))
-            for i in range(len(phrase) - WINDOW + 1):
-                window = phrase[i : i + WINDOW]
-                if smallest.get(window, windows.NO_ID) > low:
-                    smallest[window] = low
-        per_slice.append(own)
-    phrases = list(strings)
-    stretches: list[list[tuple[int, int, int]]] = []
-    for phrase in phrases:
-        own = []
-        for i in range(len(phrase) - WINDOW + 1):
-            low = smallest.get(phrase[i : i + WINDOW], windows.NO_ID)
-            if own and own[-1][2] == low:
-                own[-1] = (own[-1][0], i + WINDOW, low)
-            else:
-                own.append((i, i + WINDOW, low))
-        stretches.append(own)
+    strings, of, least = windows.distinct_strings(group)
+    data, begins = joined(strings)
+    start, end, hashed, counts = words(data, begins)
+    runs = windows.stretches(*least_documents(hashed, counts, least))
+    entry, stretch, cuts = windows.removals(group, of, runs, len(strings))
+    first = (np.cumsum(counts) - counts)[runs.owner]
+    begin, stop = start[first + runs.first].tolist(), end[first + runs.last + WINDOW - 1].tolist()
+    whole = data.tobytes()
     rows = []
-    for name, own in zip(group["slice"], per_slice, strict=True):
-        passages: dict[bytes, int] = {}
-        for number, high in own:
-            for first, last, low in stretches[number]:
-                if low < high:
-                    passages[b" ".join(phrases[number][first:last])] = low
-        if passages:
-            rows.append((name, list(passages), list(passages.values())))
+    for name, a, b in zip(group["slice"], cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if b > a:
+            mine = stretch[a:b].tolist()
+            rows.append((name, [whole[begin[i] : stop[i]] for i in mine], runs.least[mine].tolist()))
     return pd.DataFrame(rows, columns=["slice", "passages", "least"])
 
 

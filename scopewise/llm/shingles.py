@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 
+from scopewise.llm.batches import ragged
+
 #: Words per shingle.
 SHINGLE_WORDS = 5
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Words that are hashed at once.
+_BLOCK = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -20,15 +22,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for i, base in enumerate((_BASE, _BASE_INVERSE)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _powers[i] = np.multiply.accumulate(factors)
-    return _powers[0][:n], _powers[1][:n]
+def _powers(n: int) -> np.ndarray:
+    """The first powers of the base modulo 2**64."""
+    factors = np.full(max(1, n), _BASE, np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
 
 
 def joined(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,11 +49,15 @@ def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     gap = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.r_[True, gap, True].astype(np.int8)))
     start, end = edge[0::2], edge[1::2]
-    power, inverse = _power(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(data * power, out=total[1:])
-    hashed = (total[end] - total[start]) * inverse[start]
-    hashed = mix(hashed + (end - start).astype(np.uint64) * _STEP)
+    size = end - start
+    power = _powers(int(size.max(initial=0)))
+    hashed = np.empty(len(start), np.uint64)
+    for at in range(0, len(start), _BLOCK):
+        own = size[at : at + _BLOCK]
+        first = np.cumsum(own) - own
+        places = ragged(start[at : at + _BLOCK], own)
+        hashed[at : at + _BLOCK] = np.add.reduceat(data[places] * power[ragged(np.zeros(len(own)), own)], first)
+    hashed = mix(hashed + size.astype(np.uint64) * _STEP)
     count = np.diff(np.r_[np.searchsorted(start, begins), len(start)])
     return start, end, hashed, count
 

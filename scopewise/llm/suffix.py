@@ -34,7 +34,7 @@ from scopewise.session import materialize
 #: Bytes of a window.
 WINDOW = 50
 #: Bytes of an anchor.
-GRAM = 16
+GRAM = 28
 #: Bytes that the multikey quicksort looks at; a multiple of eight.
 SHALLOW = 24
 #: Partitions of fewer suffixes are left to a plain sort of their shallow keys.
@@ -211,47 +211,15 @@ def least_documents(
 VERDICT = "slice string, string binary, first binary, last binary, least binary"
 
 
-def _arrays(group: pd.DataFrame, column: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(group[column]), kind)
-
-
-def group_strings(group: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct strings of a bin, the number of each row's string, and the strings' anchors and least."""
-    sizes = _arrays(group, "sizes", "<i4")
-    ends = np.cumsum(sizes).tolist()
-    whole = b"".join(group["data"])
-    number: dict[bytes, int] = {}
-    of = np.fromiter(
-        (number.setdefault(whole[a:b], len(number)) for a, b in zip([0, *ends], ends, strict=False)), np.int64, len(sizes)
-    )
-    anchor = np.empty(len(number), np.int64)
-    anchor[of] = _arrays(group, "anchors", "<i4")
-    least = np.full(len(number), windows.NO_ID, np.int64)
-    np.minimum.at(least, of, _arrays(group, "least", "<i8"))
-    return list(number), of, anchor, least
-
-
 def _judge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Per slice, the stretches of windows of its strings that a smaller document has."""
-    strings, of, anchor, least = group_strings(group)
-    found, begins = least_documents(strings, anchor, least)
-    # stretches of one string with one smallest document
-    new = np.r_[True, np.diff(found) != 0]
-    new[begins] = True
-    at = np.flatnonzero(new)
-    owner = np.searchsorted(begins, at, side="right") - 1
-    first, last = at - begins[owner], np.r_[at[1:], len(found)] - 1 - begins[owner]
-    begin = np.searchsorted(owner, np.arange(len(strings)))
-    count = np.diff(np.r_[begin, len(owner)])
-    # the same for every string of every slice
-    stretch = ragged(begin[of], count[of])
-    entry = np.repeat(np.arange(len(of)), count[of])
-    smaller = found[at[stretch]] < _arrays(group, "most", "<i8")[entry]
-    stretch, entry = stretch[smaller], entry[smaller]
-    ends = np.cumsum([len(s) // 4 for s in group["strings"]])
-    cuts = np.searchsorted(entry, np.r_[0, ends])
-    names = _arrays(group, "strings", "<i4")[entry]
-    columns = [(names, "<i4"), (first[stretch], "<i4"), (last[stretch], "<i4"), (found[at[stretch]], "<i8")]
+    strings, of, least = windows.distinct_strings(group)
+    anchor = np.empty(len(strings), np.int64)
+    anchor[of] = windows.binary(group, "anchors", "<i4")
+    runs = windows.stretches(*least_documents(strings, anchor, least))
+    entry, stretch, cuts = windows.removals(group, of, runs, len(strings))
+    names = windows.binary(group, "strings", "<i4")[entry]
+    columns = [(names, "<i4"), (runs.first[stretch], "<i4"), (runs.last[stretch], "<i4"), (runs.least[stretch], "<i8")]
     rows = [
         (name, *(values[a:b].astype(kind).tobytes() for values, kind in columns))
         for name, a, b in zip(group["slice"], cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)

@@ -1,7 +1,7 @@
 """Windows that occur in several documents, found without shuffling every window.
 
 Every window of ``size`` units (bytes or words) has an anchor: the leftmost of its grams (``gram`` units)
-with the smallest hash. Equal windows have equal anchors at equal places, and about eighteen consecutive
+with the smallest hash. Equal windows have equal anchors at equal places, and about a dozen consecutive
 windows share one. So documents are compared in runs of windows with one anchor:
 
 1. ``store_slices`` packs documents into slices of a few megabytes, one row each, with the distinct
@@ -37,7 +37,7 @@ SLICE_BYTES = 2 << 20
 #: Documents of one gram whose runs may meet in one bin.
 HOT_DOCS = 4096
 #: Slices whose grams one bin would hold, if each had only its share.
-SLICES_PER_BIN = 4
+SLICES_PER_BIN = 2
 #: Bins at most.
 MAX_BINS = 1 << 16
 #: Windows whose anchors are found at once.
@@ -328,3 +328,56 @@ def flagged_slices(slices: DataFrame, flags: DataFrame) -> DataFrame:
 def candidate_runs(flagged: DataFrame, units: Units, bins: int) -> DataFrame:
     """Rows with the distinct run strings per slice and bin, and their smallest and largest document."""
     return map_batches(flagged, lambda batches: _candidates(batches, units, bins), RUNS)
+
+
+def binary(group: pd.DataFrame, column: str, kind: str) -> np.ndarray:
+    """The arrays of a binary column, one after another."""
+    return np.frombuffer(b"".join(group[column]), kind)
+
+
+def distinct_strings(group: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct strings of a bin, the number of every listed string, and each string's least document."""
+    ends = np.cumsum(binary(group, "sizes", "<i4").astype(np.int64)).tolist()
+    whole = b"".join(group["data"])
+    number: dict[bytes, int] = {}
+    of = np.fromiter(
+        (number.setdefault(whole[a:b], len(number)) for a, b in zip([0, *ends], ends, strict=False)), np.int64, len(ends)
+    )
+    least = np.full(len(number), NO_ID, np.int64)
+    np.minimum.at(least, of, binary(group, "least", "<i8"))
+    return list(number), of, least
+
+
+@dataclass(frozen=True)
+class Stretches:
+    """Maximal runs of windows of a string with the same smallest document."""
+
+    owner: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    least: np.ndarray
+
+
+def stretches(found: np.ndarray, begins: np.ndarray) -> Stretches:
+    """``found`` has the smallest document per window; string i has the windows from ``begins[i]`` on."""
+    new = np.r_[True, np.diff(found) != 0]
+    new[begins] = True
+    at = np.flatnonzero(new)
+    owner = np.searchsorted(begins, at, side="right") - 1
+    last = np.r_[at[1:], len(found)] - 1 - begins[owner]
+    return Stretches(owner, at - begins[owner], last, found[at])
+
+
+def removals(group: pd.DataFrame, of: np.ndarray, runs: Stretches, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Listed strings and their stretches that some document of the slice loses, and the cuts between rows.
+
+    ``of`` numbers the listed strings, ``count`` strings in all.
+    """
+    begin = np.searchsorted(runs.owner, np.arange(count))
+    length = np.diff(np.r_[begin, len(runs.owner)])
+    stretch = ragged(begin[of], length[of])
+    entry = np.repeat(np.arange(len(of)), length[of])
+    smaller = runs.least[stretch] < binary(group, "most", "<i8")[entry]
+    stretch, entry = stretch[smaller], entry[smaller]
+    ends = np.cumsum([len(most) // 8 for most in group["most"]])
+    return entry, stretch, np.searchsorted(entry, np.r_[0, ends])

@@ -3,6 +3,7 @@ import random
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from scopewise.llm import near
 from scopewise.llm.components import components
 from scopewise.llm.shingles import joined, lowered, shingle_sets, window_hashes, words
@@ -47,6 +48,38 @@ def test_many_partners_in_blocks(spark):
     assert verdicts(near.near_duplicates(docs)) == brute.near(rows)
 
 
+def test_a_crowd_of_near_copies(spark, monkeypatch):
+    """Many links lie between documents that are not the smallest of any bucket they share."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(edited(rnd, words, rnd.uniform(0.01, 0.05)))) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    later = []
+    whole = near.link_open_buckets
+    monkeypatch.setattr(near, "link_open_buckets", lambda *args: later.append(whole(*args)) or later[-1])
+    assert verdicts(near.near_duplicates(docs)) == brute.near(rows)
+
+
+def test_blocks_of_a_bucket_find_what_stars_miss(spark):
+    """All documents in one bucket whose smallest is linked with none of them."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base[:100]))] + [(i, " ".join([*base, *(f"x{j}" for j in range(i))])) for i in range(1, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = docs.transform(near.map_batches, near._sign, near.SIGNED)
+    packed = docs.transform(near.map_batches, near._packed, "doc_id long, packed binary")
+    shared = signed.select("doc_id", "n_shingles", F.element_at("bands", 1).alias("bucket")).collect()
+    buckets = {r["bucket"] for r in shared}
+    open_rows = spark.createDataFrame(
+        [(r["bucket"], r["doc_id"], r["n_shingles"], r["doc_id"], min(x["doc_id"] for x in shared if x["bucket"] == r["bucket"])) for r in shared],
+        "bucket long, doc_id long, n long, component long, main long",
+    )
+    found = {tuple(r) for r in near.link_open_buckets(open_rows, signed, packed).collect()}
+    sets = {i: brute.shingles(t) for i, t in rows}
+    assert all(100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]) for a, b in found)
+    if len(buckets) == 1:
+        assert len(found) >= 4
+
+
 def test_odd_rows(odd_docs, no_docs):
     found = near.near_duplicates(odd_docs).collect()
     assert len(found) == odd_docs.count()
