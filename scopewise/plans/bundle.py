@@ -33,7 +33,7 @@ from scopewise.operators.quality import enforce_metrics
 from scopewise.operators.ranking import require_limit
 from scopewise.operators.scoping import canonical_scope, load_fact, validate_then_filter
 from scopewise.operators.views import ranking_view
-from scopewise.session import materialize
+from scopewise.session import materialize, scratch_tables
 from scopewise.sources.files import inventory
 from scopewise.sources.sinks import write_csv, write_inventory, write_json_rows, write_parquet
 from scopewise.sources.tables import read_metrics
@@ -215,11 +215,12 @@ def write_bundle(
     Without a ``target`` every scope is published.  Returns the header.
     """
     require_limit(limit)
-    metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
-    stored = write_data_package(
-        metrics, out, source, spec, limit, fact_format, strict_steps(target), limitations
-    )
-    return write_manifest(stored, out, "Data package", source, spec, fact_format, limitations)
+    with scratch_tables():
+        metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
+        stored = write_data_package(
+            metrics, out, source, spec, limit, fact_format, strict_steps(target), limitations
+        )
+        return write_manifest(stored, out, "Data package", source, spec, fact_format, limitations)
 
 
 def write_processed(
@@ -233,9 +234,10 @@ def write_processed(
     limitations: Sequence[str] = (),
 ) -> DataFrame:
     """The processed pair: metrics and their provenance."""
-    metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
-    stored = write_metrics(metrics, fact_path, spec, fact_format)
-    steps = (*strict_steps(target), *METRIC_STEPS)
-    record = qualified_provenance(stored, source, fact_path, spec, steps, limitations)
-    write_json_rows(record, metadata_path)
+    with scratch_tables():
+        metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
+        stored = write_metrics(metrics, fact_path, spec, fact_format)
+        steps = (*strict_steps(target), *METRIC_STEPS)
+        record = qualified_provenance(stored, source, fact_path, spec, steps, limitations)
+        write_json_rows(record, metadata_path)
     return raw.sparkSession.read.json(metadata_path)

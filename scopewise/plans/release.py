@@ -16,7 +16,7 @@ from scopewise.operators.ranking import require_limit
 from scopewise.operators.reconcile import verify_manifest
 from scopewise.operators.scoping import load_lenient_fact
 from scopewise.plans.bundle import checked_metrics, write_data_package, write_manifest
-from scopewise.session import materialize
+from scopewise.session import materialize, scratch_tables
 from scopewise.sources.files import inventory
 from scopewise.sources.sinks import write_json_rows
 from scopewise.sources.tables import read_lenient_text, read_metrics, read_qualifications
@@ -148,50 +148,51 @@ def write_release(
     the metrics have passed.
     """
     require_limit(limit)
-    qualifications = read_qualifications(spark, qualification_path)
-    records = check_sources(inventory(spark, source_path), qualifications, target)
-    source = release_source(records, source_path)
-
-    text, encodings = read_lenient_text(spark, source_path)
-    spec = spec.keyed()
-    national = load_lenient_fact(text, spec)
-
-    qualification = materialize(qualification_of_scopes(national, spec), "scopes")
-    verdicts = check_scope(qualification, target, spec)
-    scoped = national.where(F.col(spec.scope_col) == scope_key(F.lit(target)))
-    enforce(scoped, strict_checks(spec))
-
-    steps = (
-        "checked the qualification of every source file by checksum",
-        "parsed text and counts",
-        "checked the rows of all scopes",
-        f"kept the rows of {target}",
-        "checked that no key conflicts or repeats in the scope",
-    )
-    metrics = checked_metrics(scoped, spec)
-    stored = write_data_package(metrics, out, source, spec, limit, fact_format, steps, limitations)
-    write_json_rows(records.drop("fields"), f"{out}/qualification")
-    write_json_rows(release_validation(stored, qualification, spec), f"{out}/validation")
-    national_figures = verdicts.select(
-        *spec.snapshot_cols,
-        F.col("national_rows").alias("national_row_count"),
-        "national_conflicting_groups",
-        "national_conflicting_rows",
-        "qualified",
-    )
-    return write_manifest(
-        stored,
-        out,
-        "Release candidate",
-        source,
-        spec,
-        fact_format,
-        limitations,
-        national_figures,
-        release_status=F.lit(CANDIDATE),
-        publication_allowed=F.lit(False),
-        encodings=F.array(*[F.lit(e) for e in encodings]),
-    )
+    with scratch_tables():
+        qualifications = read_qualifications(spark, qualification_path)
+        records = check_sources(inventory(spark, source_path), qualifications, target)
+        source = release_source(records, source_path)
+
+        text, encodings = read_lenient_text(spark, source_path)
+        spec = spec.keyed()
+        national = load_lenient_fact(text, spec)
+
+        qualification = materialize(qualification_of_scopes(national, spec), "scopes")
+        verdicts = check_scope(qualification, target, spec)
+        scoped = national.where(F.col(spec.scope_col) == scope_key(F.lit(target)))
+        enforce(scoped, strict_checks(spec))
+
+        steps = (
+            "checked the qualification of every source file by checksum",
+            "parsed text and counts",
+            "checked the rows of all scopes",
+            f"kept the rows of {target}",
+            "checked that no key conflicts or repeats in the scope",
+        )
+        metrics = checked_metrics(scoped, spec)
+        stored = write_data_package(metrics, out, source, spec, limit, fact_format, steps, limitations)
+        write_json_rows(records.drop("fields"), f"{out}/qualification")
+        write_json_rows(release_validation(stored, qualification, spec), f"{out}/validation")
+        national_figures = verdicts.select(
+            *spec.snapshot_cols,
+            F.col("national_rows").alias("national_row_count"),
+            "national_conflicting_groups",
+            "national_conflicting_rows",
+            "qualified",
+        )
+        return write_manifest(
+            stored,
+            out,
+            "Release candidate",
+            source,
+            spec,
+            fact_format,
+            limitations,
+            national_figures,
+            release_status=F.lit(CANDIDATE),
+            publication_allowed=F.lit(False),
+            encodings=F.array(*[F.lit(e) for e in encodings]),
+        )
 
 
 def manifest_status(spark: SparkSession, out: str) -> DataFrame:

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 import weakref
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +37,19 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
         base = tempfile.mkdtemp(prefix="scopewise-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+#: Tables that ``materialize`` wrote and nobody has emptied yet.
+_live: dict[str, SparkSession] = {}
+_path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
@@ -52,18 +60,37 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    _stored[stored] = path
+    _live[path] = df.sparkSession
+    _path_of[stored] = path
     return stored
 
 
-_stored: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+def _empty(path: str) -> None:
+    if spark := _live.pop(path, None):
+        spark.range(0).write.mode("overwrite").parquet(path)
 
 
 def discard(*stored: DataFrame) -> None:
     """Empty tables that ``materialize`` returned and that nothing will read again."""
     for df in stored:
-        if path := _stored.pop(df, None):
-            df.sparkSession.range(0).write.mode("overwrite").parquet(path)
+        if path := _path_of.pop(df, None):
+            _empty(path)
+
+
+@contextmanager
+def scratch_tables() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Empty all tables stored inside when the block ends, but those passed to what it yields."""
+    before, kept = set(_live), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(_path_of[df])
+        return df
+
+    try:
+        yield keep
+    finally:
+        for path in set(_live) - before - kept:
+            _empty(path)
 
 
 _shipped: set[str] = set()
