@@ -136,7 +136,7 @@ def test_scope_qualification(fact):
     assert (good["scope_rows"], good["scope_entities"], good["scope_total"]) == (2, 2, 44)
     assert not found["RAJASTHAN"]["qualified"]
     assert found["GOA"]["qualified"] and not found["GOA"]["unique_in_scope"]
-    assert check_scope(scopes, " gujarat ")["scope_rows"] == 2
+    assert check_scope(scopes, " gujarat ").first()["scope_rows"] == 2
     for target in ("Rajasthan", "Goa", "Kerala"):
         with pytest.raises(DataQualityError):
             check_scope(scopes, target)
