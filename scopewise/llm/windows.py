@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.llm.batches import encoded, map_batches, pieces, ragged
-from scopewise.llm.shingles import window_hashes
+from scopewise.llm.shingles import mix, window_hashes
 
 #: Text per slice, in bytes; a longer document makes a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -111,7 +111,8 @@ def find_runs(values: np.ndarray, counts: np.ndarray, units: Units) -> Runs:
         return parts[0]
     # a run that a block end has cut
     new = np.flatnonzero(np.r_[True, (np.diff(anchor) != 0) | (np.diff(doc) != 0)])
-    return Runs(doc[new], start[new], np.add.reduceat(windows, new), anchor[new], gram[new])
+    # anchors have small hashes, as they were chosen so; mixed once more they fill all bins alike
+    return Runs(doc[new], start[new], np.add.reduceat(windows, new), anchor[new], mix(gram[new]))
 
 
 def _keys(hashed: np.ndarray) -> np.ndarray:

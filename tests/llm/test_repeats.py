@@ -123,3 +123,11 @@ def test_runs_do_not_depend_on_blocks(monkeypatch):
     for name in ("doc", "start", "windows", "anchor", "gram"):
         assert (getattr(whole, name) == getattr(cut, name)).all()
     assert whole.windows.sum() == np.maximum(0, counts - 49).sum()
+
+
+def test_bins_are_even():
+    rnd = np.random.default_rng(6)
+    values = rnd.integers(0, 1 << 60, 300_000).astype(np.uint64)
+    runs = windows.find_runs(values, np.array([len(values)]), suffix.UNITS)
+    share = np.bincount(windows._bins(windows._keys(runs.gram), 16), minlength=16) / len(runs.gram)
+    assert share.max() < 2 * share.min()
