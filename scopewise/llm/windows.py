@@ -306,13 +306,14 @@ def _by_bin(name: str, found: Candidates, bins: int) -> Iterator[dict]:
     bin_of = _bins(found.keys, bins)
     order = np.argsort(bin_of, kind="stable")
     edges = np.searchsorted(bin_of[order], np.arange(bins + 1))
+    packer = _packer(3)
     for i in np.flatnonzero(np.diff(edges)).tolist():
         mine = order[edges[i] : edges[i + 1]]
         texts = [found.texts[m] for m in mine.tolist()]
         yield {
             "slice": name,
             "bin": i,
-            "data": b"".join(texts),
+            "data": packer.compress(b"".join(texts)),
             "sizes": np.fromiter(map(len, texts), "<i4", len(texts)).tobytes(),
             "anchors": found.anchors[mine].astype("<i4").tobytes(),
             "least": found.least[mine].astype("<i8").tobytes(),
@@ -339,7 +340,8 @@ def binary(group: pd.DataFrame, column: str, kind: str) -> np.ndarray:
 def distinct_strings(group: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct strings of a bin, the number of every listed string, and each string's least document."""
     ends = np.cumsum(binary(group, "sizes", "<i4").astype(np.int64)).tolist()
-    whole = b"".join(group["data"])
+    unpacker = _unpacker()
+    whole = b"".join([unpacker.decompress(data) for data in group["data"]])
     number: dict[bytes, int] = {}
     of = np.fromiter(
         (number.setdefault(whole[a:b], len(number)) for a, b in zip([0, *ends], ends, strict=False)), np.int64, len(ends)
