@@ -31,12 +31,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query()
+def _covered_sql(units: str, size: int) -> str:
+    """Which units (doc_id, i, w: the window that begins at i, or null) a window of a smaller document covers."""
+    return f"""
+    units AS ({units}),
+    least AS (SELECT w, min(doc_id) AS m FROM units WHERE w IS NOT NULL GROUP BY w),
+    marked AS (SELECT units.*, coalesce(m < doc_id, false) AS hit FROM units LEFT JOIN least USING (w)),
+    covered AS (SELECT *, coalesce(bool_or(hit) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW), false) AS gone FROM marked)
+    """
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words_sql(text: str) -> str:
+    return rf"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+_SHINGLES_SQL = """unnest(list_transform(range(1, greatest(len(w) - 3, least(len(w), 1) + 1)),
+            lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))"""
+
+_BYTES_SQL = """SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS unit,
+        CASE WHEN length(h) >= 2 * i + 100 THEN substr(h, 2 * i + 1, 100) END AS w
+    FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS i
+          FROM (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents))"""
+
+_WORD_WINDOWS_SQL = f"""SELECT doc_id, i, w[i] AS unit,
+        CASE WHEN i + 12 <= len(w) THEN array_to_string(list_slice(w, i, i + 12), ' ') END AS w
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i
+          FROM (SELECT doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents))"""
+
+
+@query(
+    f"""
+    WITH {_covered_sql(_BYTES_SQL, 50)},
+    edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM covered),
+    found AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+                     coalesce(string_agg(unit, '' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM edges GROUP BY doc_id)
+    SELECT d.doc_id, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+           coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+    FROM documents d LEFT JOIN found USING (doc_id)
+    """
+)
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(suffix.remove_repeats(table(spark, sf_dir, "documents")))
 
 
-@query()
+@query(
+    f"""
+    WITH {_covered_sql(_WORD_WINDOWS_SQL, 13)},
+    found AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+                     coalesce(string_agg(unit, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept FROM covered GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM documents d LEFT JOIN found USING (doc_id)
+    """
+)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.digest(phrases.remove_passages(table(spark, sf_dir, "documents")))
 
@@ -70,19 +121,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    r"""
-    WITH words AS (
-        SELECT 'd' AS kind, doc_id AS id, list_filter(string_split_regex(translate(coalesce(text, ''),
-            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
-        FROM documents
-        UNION ALL
-        SELECT 'i', item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')
-        FROM benchmark),
-    shingles AS (
-        SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(w) - 3, least(len(w), 1) + 1)),
-            lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS shingle
-        FROM words),
+    f"""
+    WITH words AS (SELECT 'd' AS kind, doc_id AS id, {_words_sql(_LOWER)} AS w FROM documents
+                   UNION ALL SELECT 'i', item_id, {_words_sql(_LOWER)} FROM benchmark),
+    shingles AS (SELECT DISTINCT kind, id, {_SHINGLES_SQL} AS shingle FROM words),
     items AS (SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'i')
     SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_common, any_value(n_item) AS n_item,
            count(*) / any_value(n_item) AS containment
@@ -94,7 +136,19 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query()
+@query(
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    g AS (SELECT html, max(page_id) AS top, sha1(html) AS hex FROM p GROUP BY html),
+    digests AS (SELECT html, top, array_to_string(list_transform(range(32), lambda k: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(hex, 5 * (k // 4) + 1, 5))::INT >> (15 - 5 * (k % 4))) & 31)::INT + 1, 1)), '') AS digest FROM g)
+    SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, digest AS payload_digest,
+           CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM p JOIN digests USING (html)
+    """
+)
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -103,7 +157,21 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    f"""
+    WITH RECURSIVE words AS (SELECT doc_id, {_words_sql(_LOWER)} AS w FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, {_SHINGLES_SQL} AS shingle FROM words),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b
+               ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+              WHERE 100 * c >= 85 * (s.n + t.n - c)),
+    ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach(doc_id, node) AS (SELECT doc_id, doc_id FROM documents UNION SELECT doc_id, y FROM reach JOIN ways ON node = x)
+    SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(node) AS component_id, doc_id = min(node) AS kept
+    FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """
+)
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
