@@ -1,7 +1,7 @@
 """Passage deduplication with automata of repeated phrases.
 
 ``windows`` brings runs of 13-word windows with one anchor together. In a bin the windows that recur are
-confirmed word by word and joined to passages (maximal stretches of windows with the same smallest
+confirmed by two hashes of their words and joined to passages (maximal stretches of windows with the same smallest
 document). Every slice of documents gets the passages that recur in it, as shards of ``SHARD`` passages;
 each shard is compiled into an Aho-Corasick automaton over word numbers, and all documents of the slice
 are streamed through it to locate every occurrence. A word goes if an occurrence of a passage that a
