@@ -62,9 +62,11 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document and the digest of the text they decode to."""
-    encoded = bpe.encode(docs, VOCABULARY_FILE)
-    return bpe.decode(encoded.withColumn("ids_sha256", F.sha2("ids", 256)), VOCABULARY_FILE).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    return bpe.round_trip(docs, VOCABULARY_FILE).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

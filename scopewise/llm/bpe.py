@@ -19,6 +19,7 @@ import heapq
 import json
 import mmap
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from scopewise.llm.batches import factorize, map_batches, pieces, ragged, texts
 
 #: Words in the transducer.
-LEXICON_SIZE = 200_000
+LEXICON_SIZE = 150_000
 #: Counters of a task's heavy-hitter summary.
 COUNTERS = 1 << 17
 #: Text, or ids, that a worker encodes or decodes at once.
@@ -135,17 +136,23 @@ def vocabulary(source: bytes) -> Vocabulary:
 # The transducer
 
 
-def _minimal(words: list[bytes]) -> list[tuple[bool, dict[int, int]]]:
-    """States (accepts, edges) of the minimal automaton of sorted distinct words; state 0 is the root."""
-    states: list[tuple[bool, dict[int, int]]] = []
-    known: dict[tuple, int] = {}
+State = tuple[bool, bytes, tuple[int, ...]]
+
+
+def _minimal(words: list[bytes]) -> list[State]:
+    """States (accepts, bytes of the edges, their targets) of the minimal automaton of sorted distinct words.
+
+    Targets come before their sources; the last state is the root.
+    """
+    states: list[State] = []
+    known: dict[State, int] = {}
 
     def freeze(accepts: bool, edges: dict[int, int]) -> int:
-        key = (accepts, *edges.items())
-        if key not in known:
-            known[key] = len(states)
-            states.append((accepts, edges))
-        return known[key]
+        state = (accepts, bytes(edges), tuple(edges.values()))
+        if state not in known:
+            known[state] = len(states)
+            states.append(state)
+        return known[state]
 
     path: list[list] = [[False, {}]]  # states of the last word, not yet frozen
     last = b""
@@ -163,7 +170,8 @@ def _minimal(words: list[bytes]) -> list[tuple[bool, dict[int, int]]]:
         path += [[False, {}] for _ in range(len(word) - shared)]
         path[-1][0] = True
         last = word
-    states.append((path[0][0], path[0][1]))
+    accepts, edges = path[0]
+    states.append((accepts, bytes(edges), tuple(edges.values())))
     return states
 
 
@@ -172,10 +180,10 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     words = sorted(entries)
     states = _minimal(words)
     counts = [0] * len(states)
-    keys, targets, passed = [], [], []
-    for state, (accepts, edges) in enumerate(states):  # targets come before their sources
+    keys, targets, passed = array("q"), array("q"), array("q")
+    for state, (accepts, labels, ahead) in enumerate(states):
         total = int(accepts)
-        for byte, target in sorted(edges.items()):
+        for byte, target in zip(labels, ahead, strict=True):
             keys.append(state << 8 | byte)
             targets.append(target)
             passed.append(total)
@@ -186,9 +194,9 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
         np.array(keys, np.int64),
         np.array(targets, np.int64),
         np.array(passed, np.int64),
-        np.array([accepts for accepts, _ in states], np.int64),
+        np.array([accepts for accepts, *_ in states], np.int64),
         np.r_[0, np.cumsum(sizes)].astype(np.int64),
-        np.array([i for word in words for i in entries[word]], np.int64),
+        np.fromiter((i for word in words for i in entries[word]), np.int64, int(sizes.sum())),
     ]
     return b"".join([np.array([len(p) for p in parts], np.int64).tobytes(), *(p.tobytes() for p in parts)])
 
@@ -261,18 +269,18 @@ def _frequent(batches: Iterable[pa.RecordBatch], source: bytes) -> Iterator[pa.R
 def build_lexicon(docs: DataFrame, source: bytes, size: int = LEXICON_SIZE) -> bytes:
     """Compile the most frequent pre-tokens of all texts; the driver holds ``size`` short words."""
     shared = docs.sparkSession.sparkContext.broadcast(source)
-    rows = (
+    frequent = (
         docs.select("text")
         .transform(map_batches, lambda batches: _frequent(batches, shared.value), "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "word")
         .limit(size)
-        .collect()
+        .select("word")
+        .toPandas()["word"]
     )
     vocab = vocabulary(source)
-    words = (row["word"].encode() for row in rows)
-    return compile_lexicon({word: vocab.merge(word) for word in words})
+    return compile_lexicon({word: vocab.merge(word) for word in map(str.encode, frequent)})
 
 
 # Encoding and decoding
@@ -358,3 +366,22 @@ def decode(encoded: DataFrame, vocabulary_file: str) -> DataFrame:
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema]
     kinds[encoded.columns.index("ids")] = "decoded string"
     return encoded.transform(map_batches, lambda batches: _decode(batches, shared.value), ", ".join(kinds))
+
+
+def _round_trip(batches: Iterable[pa.RecordBatch], source: bytes, blob: bytes) -> Iterator[pa.RecordBatch]:
+    for encoded in _encode(batches, source, blob):
+        for piece in pieces([encoded], "ids", PIECE):
+            for decoded in _decode([piece], source):
+                columns = [*piece.columns, decoded.column("decoded")]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
+
+
+def round_trip(docs: DataFrame, vocabulary_file: str, lexicon_size: int = LEXICON_SIZE) -> DataFrame:
+    """``encode`` and ``decode`` in one pass of one worker per task: doc_id, n_tokens, ids and decoded."""
+    source = Path(vocabulary_file).read_bytes()
+    shared = docs.sparkSession.sparkContext.broadcast((source, build_lexicon(docs, source, lexicon_size)))
+    return map_batches(
+        docs.select(F.col("doc_id").cast("long"), "text"),
+        lambda batches: _round_trip(batches, *shared.value),
+        "doc_id long, n_tokens long, ids binary, decoded string",
+    )

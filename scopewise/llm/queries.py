@@ -183,7 +183,9 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY_FILE)
-    return bpe.decode(encoded.withColumn("ids_sha256", F.sha2("ids", 256)), VOCABULARY_FILE).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY_FILE).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

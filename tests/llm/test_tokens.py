@@ -66,6 +66,14 @@ def test_long_words(vocab):
         assert vocab.merge(text.encode()) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_round_trip_is_encode_and_decode(odd_docs, documents):
+    for docs in (odd_docs, documents):
+        coded = bpe.encode(docs, FILE, 500)
+        apart = bpe.decode(coded.withColumn("kept", coded["ids"]), FILE).select("doc_id", "n_tokens", "kept", "decoded")
+        both = bpe.round_trip(docs, FILE, 500)
+        assert sorted(map(str, both.collect())) == sorted(map(str, apart.withColumnRenamed("kept", "ids").collect()))
+
+
 def test_encode_empty_table(no_docs):
     assert bpe.decode(bpe.encode(no_docs, FILE), FILE).collect() == []
 
