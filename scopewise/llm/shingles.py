@@ -82,6 +82,16 @@ def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
         width *= 2
 
 
+def hashes_at(values: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the windows that begin at some places only."""
+    factors = np.array([pow(int(_STEP), size - 1 - i, 1 << 64) for i in range(size)], np.uint64)
+    found = np.empty(len(starts), np.uint64)
+    for at in range(0, len(starts), 4096):
+        rows = values[starts[at : at + 4096, None] + np.arange(size)]
+        found[at : at + 4096] = (rows * factors).sum(axis=1, dtype=np.uint64)
+    return mix(found + np.uint64(size))
+
+
 def shingle_sets(contents: list[bytes], size: int = SHINGLE_WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every text, A-Z lowered.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.llm.batches import encoded, map_batches, pieces, ragged
-from scopewise.llm.shingles import mix, window_hashes
+from scopewise.llm.shingles import hashes_at, mix, window_hashes
 
 #: Text per slice, in bytes; a longer document makes a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -271,10 +271,7 @@ def slice_candidates(contents: list[bytes], ids: np.ndarray, flags: list[bytes]
     doc = np.r_[runs.doc[cold], runs.doc[own]]
     windows = np.r_[runs.windows[cold], np.ones(len(singles), np.int64)]
     anchor = np.r_[runs.anchor[cold], runs.anchor[own]] - start
-    alone = np.concatenate(
-        [np.zeros(0, np.uint64), *(window_hashes(values[i : i + units.size], units.size) for i in singles.tolist())]
-    )
-    key = _keys(np.r_[runs.gram[cold], alone])
+    key = _keys(np.r_[runs.gram[cold], hashes_at(values, singles, units.size)])
     begin, end = first_byte[start], last_byte[start + windows + units.size - 2]
     number: dict[bytes, int] = {}
     whole = data.tobytes()

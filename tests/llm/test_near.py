@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from scopewise.llm import near
 from scopewise.llm.components import components
-from scopewise.llm.shingles import joined, lowered, shingle_sets, window_hashes, words
+from scopewise.llm.shingles import hashes_at, joined, lowered, shingle_sets, window_hashes, words
 
 
 def verdicts(found):
@@ -122,3 +122,4 @@ def test_words():
     for size in (1, 2, 3, 5, 13, 16):
         assert (window_hashes(values, size)[4:] == window_hashes(values[4:], size)).all()
         assert len(set(window_hashes(values, size).tolist())) == 21 - size
+        assert (hashes_at(values, np.array([4, 0]), size) == window_hashes(values, size)[[4, 0]]).all()
