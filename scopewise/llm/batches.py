@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,9 +19,28 @@ PIECE_BYTES = 4 << 20
 
 
 def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow`` on executors that have this package."""
+    """``df.mapInArrow`` on executors that have this package.
+
+    Workers serve one task after another; each gives its memory back when its task ends.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return memory that this process has freed to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def pieces(

@@ -22,7 +22,6 @@ import tempfile
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import compress
 from pathlib import Path
 
@@ -128,7 +127,6 @@ class Vocabulary:
         return [i for i in ids if i >= 0]
 
 
-@lru_cache(maxsize=2)
 def vocabulary(source: bytes) -> Vocabulary:
     return Vocabulary(source)
 
@@ -243,11 +241,6 @@ class Lexicon:
             step += 1
 
 
-@lru_cache(maxsize=2)
-def lexicon(blob: bytes) -> Lexicon:
-    return Lexicon(blob)
-
-
 # Frequent words
 
 
@@ -321,8 +314,8 @@ def encode_texts(whole: list[str], vocab: Vocabulary, frequent: Lexicon, merged:
     return np.split(flat, ends[:-1])
 
 
-def _encode(batches: Iterable[pa.RecordBatch], source: bytes, blob: bytes) -> Iterator[pa.RecordBatch]:
-    vocab, frequent, merged = vocabulary(source), lexicon(blob), {}
+def _encode(batches: Iterable[pa.RecordBatch], vocab: Vocabulary, blob: bytes) -> Iterator[pa.RecordBatch]:
+    frequent, merged = Lexicon(blob), {}
     for piece in pieces(batches, limit=PIECE):
         ids = encode_texts(texts(piece), vocab, frequent, merged)
         yield pa.RecordBatch.from_arrays(
@@ -342,12 +335,11 @@ def encode(docs: DataFrame, vocabulary_file: str, lexicon_size: int = LEXICON_SI
     shared = context.broadcast((source, build_lexicon(docs, source, lexicon_size)))
     return docs.select(F.col("doc_id").cast("long"), "text").transform(
         map_batches,
-        lambda batches: _encode(batches, *shared.value), "doc_id long, n_tokens long, ids binary"
+        lambda batches: _encode(batches, vocabulary(shared.value[0]), shared.value[1]), "doc_id long, n_tokens long, ids binary"
     )
 
 
-def _decode(batches: Iterable[pa.RecordBatch], source: bytes) -> Iterator[pa.RecordBatch]:
-    vocab = vocabulary(source)
+def _decode(batches: Iterable[pa.RecordBatch], vocab: Vocabulary) -> Iterator[pa.RecordBatch]:
     sizes = np.fromiter(map(len, vocab.bytes), np.int64)
     first = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(vocab.bytes), np.uint8)
@@ -365,13 +357,14 @@ def decode(encoded: DataFrame, vocabulary_file: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(Path(vocabulary_file).read_bytes())
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema]
     kinds[encoded.columns.index("ids")] = "decoded string"
-    return encoded.transform(map_batches, lambda batches: _decode(batches, shared.value), ", ".join(kinds))
+    return encoded.transform(map_batches, lambda batches: _decode(batches, vocabulary(shared.value)), ", ".join(kinds))
 
 
 def _round_trip(batches: Iterable[pa.RecordBatch], source: bytes, blob: bytes) -> Iterator[pa.RecordBatch]:
-    for encoded in _encode(batches, source, blob):
+    vocab = vocabulary(source)
+    for encoded in _encode(batches, vocab, blob):
         for piece in pieces([encoded], "ids", PIECE):
-            for decoded in _decode([piece], source):
+            for decoded in _decode([piece], vocab):
                 columns = [*piece.columns, decoded.column("decoded")]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
 
