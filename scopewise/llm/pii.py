@@ -6,7 +6,8 @@ parser per kind expands an anchor to both sides, validates the span and moves on
 Base kinds (leftmost, not overlapping within a kind; a span that fails its check is dropped and not
 tried again from the inside): ``email``, ``ip``, ``card``, ``phone``. Further kinds, which never change
 base spans: ``url`` (an address that carries a user: ``scheme://user[:password]@host``), ``iban`` (cue
-``IBAN``, check digits by mod 97) and ``account`` (cue ``account`` or ``acct``, 6 to 17 digits).
+``IBAN``, check digits by mod 97) and ``account`` (cue ``account`` or ``acct``, 6 to 17 digits). Words may
+follow an IBAN: it ends at the length of its country, or else at the last word end where mod 97 holds.
 
 Defined cases: a null text is empty; offsets count code points of the whole text, end exclusive; a null
 doc_id is passed on; repeated rows each get a row; no other column is read.
@@ -37,7 +38,8 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _USER = re.compile(r"[^\s/@:?#\"'<>]+(?::[^\s/@?#\"'<>]*)?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?::[0-9]+)?")
-_IBAN = re.compile(r"[\s:#]{0,3}([A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30})(?![A-Za-z0-9])")
+_IBAN = re.compile(r"[\s:#]{0,3}([A-Za-z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30})")
+_WORD_END = re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])")
 _ACCOUNT = re.compile(r"\x20?(?:(?:no|nr|number|num)\b\.?)?[\x20:#]{0,3}([0-9]{6,17})(?![0-9])", re.IGNORECASE)
 
 SCHEMES = ("http://", "https://", "ftp://", "sftp://", "ssh://", "postgres://", "mysql://", "redis://")
@@ -45,6 +47,19 @@ CUES = {"IBAN": "iban", "iban": "iban", "Iban": "iban"} | dict.fromkeys(
     ("account", "Account", "ACCOUNT", "acct", "Acct", "ACCT"), "account"
 )
 
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+        32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -61,6 +76,14 @@ def iban_valid(value: str) -> bool:
     return 15 <= len(value) <= 34 and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
+def iban_end(text: str, begin: int, longest: int) -> int | None:
+    """Where the IBAN at ``begin`` ends: at the length of its country, or the last word end where mod 97 holds."""
+    length = IBAN_LENGTHS.get(text[begin : begin + 2].upper())
+    ends = [m.start() for m in _WORD_END.finditer(text, begin + 1, longest + 1) if m.start() <= longest]
+    ends.sort(key=lambda end: (end - begin - text.count(" ", begin, end) != length, -end))
+    return next((end for end in ends if iban_valid(text[begin:end])), None)
+
+
 def automaton() -> ahocorasick.Automaton:
     """Anchors with what they may begin: @, +, digit, scheme, or the kind of a cue."""
     found = ahocorasick.Automaton()
@@ -107,9 +130,12 @@ def find_spans(text: str, anchors: ahocorasick.Automaton) -> list[Span]:
             if at >= behind["url"] and (m := _USER.match(text, last + 1)):
                 take("url", at, m.end(), True)
         elif at >= behind[anchor] and not (at and text[at - 1].isalnum()):
-            parser = _IBAN if anchor == "iban" else _ACCOUNT
-            if m := parser.match(text, last + 1):
-                take(anchor, m.start(1), m.end(1), anchor == "account" or iban_valid(m[1]))
+            if anchor == "account":
+                if m := _ACCOUNT.match(text, last + 1):
+                    take(anchor, m.start(1), m.end(1), True)
+            elif m := _IBAN.match(text, last + 1):
+                end = iban_end(text, m.start(1), m.end(1))
+                take(anchor, m.start(1), end or last + 1, end is not None)
     spans.sort()
     return spans
 

@@ -64,6 +64,37 @@ def test_further_kinds():
     assert pii.find_spans("IBAN DE00 3704 0044 0532 0130 00", pii.automaton())[:1] != [("iban",)]
 
 
+DE, GB, NO = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+
+
+def ibans(text):
+    return [text[b:e] for b, k, e in pii.find_spans(text, pii.automaton()) if pii.KINDS[k] == "iban"]
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [(f"IBAN {DE} please pay by Friday", [DE]),
+     ("IBAN DE89 3704 0044 0532 0130 00 is my account", ["DE89 3704 0044 0532 0130 00"]),
+     (f"IBAN {GB} or iban {DE} by May 3", [GB, DE]), (f"iban: {NO} IBAN {NO} IBAN {NO}", [NO] * 3),
+     (f"IBAN DE00370400440532013000 IBAN {DE} a b", [DE]), (f"IBAN of AB12 cd IBAN {DE}", [DE]),
+     ("IBAN XX57 1234 5678 9012 345 and more", ["XX57 1234 5678 9012 345"]),
+     (f"IBAN {DE}x and so on", []), (f"IBAN {DE}é", [DE]), (f"IBAN {'A1' * 17}{'b2' * 40} {DE}", [])],
+)
+def test_ibans_in_prose(text, found):
+    assert ibans(text) == found
+
+
+def test_ibans_of_no_known_length():
+    """Any country and length, words behind: the number is found, or a longer one where mod 97 holds too."""
+    rnd = random.Random(3)
+    for _ in range(500):
+        body = "".join(rnd.choices("0123456789ABC", k=rnd.randrange(11, 31)))
+        check = 98 - int("".join(str(int(c, 36)) for c in f"{body}ZZ00")) % 97
+        number = f"ZZ{check:02}{body}"
+        (only,) = ibans(f"see IBAN {number} {rnd.choice(['is mine now', 'to be paid', '', 'or 12 34'])}")
+        assert only.startswith(number) and pii.iban_valid(only)
+
+
 def test_whole_table(odd_docs, documents, texts_of):
     for docs in (odd_docs, documents):
         found = {(r["doc_id"], r["base_sha256"]): r for r in pii.digest(pii.personal_data(docs)).collect()}
