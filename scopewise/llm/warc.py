@@ -6,8 +6,8 @@ one page per payload carries its text, so a payload shared by a third of all pag
 each of them. Records go through Spark's text writer, which ends every record with two line ends.
 
 Reading. Files come from Spark's binary reader. A task looks for the magic in ranges of a file and emits,
-for every candidate record, the offset of its successor, computed from its own header, and the first
-offset of its chain outside the range. Pointer jumping over these edges, from the start of each file,
+for every candidate record (magic at the start of a file or behind two line ends), the offset of its
+successor, computed from its own header of any length, and the first offset of its chain outside the range. Pointer jumping over these edges, from the start of each file,
 finds the offsets where true chains enter a range; following them inside the range leaves the records
 that are reachable. Magic inside a payload is never reached.
 
@@ -172,7 +172,7 @@ def _page(reference: str | None) -> int | None:
 
 def parse_record(content: bytes, at: int, with_payload: bool) -> dict | None:
     """The record whose magic stands at ``at``, or None if its header or its end is impossible."""
-    end = content.find(b"\r\n\r\n", at, at + (1 << 16))
+    end = content.find(b"\r\n\r\n", at)
     if end < 0:
         return None
     fields = {}
@@ -210,12 +210,17 @@ def parse_record(content: bytes, at: int, with_payload: bool) -> dict | None:
 
 
 def candidates(path: str, content: bytes, range_bytes: int, with_payload: bool) -> Iterator[list[dict]]:
-    """All possible records of a file, range by range, with the offset where their chain leaves the range."""
+    """All possible records of a file, range by range, with the offset where their chain leaves the range.
+
+    A record begins the file or stands behind two line ends. The header of a candidate ends before the next
+    one begins, so that headers are read once, however long they are.
+    """
     for part in range(math.ceil(len(content) / range_bytes)):
         found, begin, stop = [], part * range_bytes, (part + 1) * range_bytes
         at = content.find(MAGIC, begin, stop + len(MAGIC) - 1)
         while at >= 0:
-            if record := parse_record(content, at, with_payload):
+            begins = at == 0 or content[max(0, at - 4) : at] == b"\r\n\r\n"
+            if begins and (record := parse_record(content, at, with_payload)):
                 found.append(record | {"path": path, "file_bytes": len(content), "part": part})
             at = content.find(MAGIC, at + 1, stop + len(MAGIC) - 1)
         leaves: dict[int, int] = {}

@@ -39,6 +39,26 @@ def test_round_trip(spark, range_bytes, least):
     assert payloads <= {(i, h or "") for i, _, h in PAGES}
 
 
+@pytest.mark.parametrize("range_bytes", [5_000, warc.RANGE_BYTES])
+def test_long_urls(spark, range_bytes):
+    """A page whose url fills more than 64 KB of the header, first, between ordinary pages, and as a revisit."""
+    long = "http://a/?q=" + "x: y WARC/1.1" * 16_000
+    rows = [(1, long, "<p>first"), (2, "http://a/2", "<p>two"), (3, long + "\r\n\r\nWARC/1.1\r\n", TRAP), (4, "u", "<p>four"),
+            (5, "é" * 70_000, "<p>two"), (6, long, "<p>first"), (7, "u", "<p>seven")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(pages, folder)
+    found = warc.read_archives(spark, folder, range_bytes)
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted(map(tuple, found.select(columns).collect()), key=str) == expected(rows, 0)
+
+
+def test_headers_are_read_once():
+    """Many magics and line ends without a record cost no more than their bytes."""
+    content = (warc.MAGIC * 200_000) + b"\r\n\r\n" + warc.MAGIC * 200_000
+    assert list(warc.candidates("f", content, warc.RANGE_BYTES, False)) == []
+
+
 def test_candidates_hold_the_traps():
     content = TRAP.encode()
     found = [r for part in warc.candidates("f", content * 3, 40, False) for r in part]
