@@ -17,6 +17,8 @@ from scopewise.session import discard, materialize, scratch_tables
 
 #: A document must have this share of its letters in one language.
 MIN_LANGUAGE_SHARE = 0.5
+#: Documents are near duplicates from this similarity of their five-word shingles, in percent.
+NEAR_PERCENT = 85
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -46,7 +48,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates keep the document with the smallest doc_id."""
     with scratch_tables() as keep:
-        found = near.near_duplicates(docs)
+        found = near.near_duplicates(docs, NEAR_PERCENT)
         dropped = keep(materialize(found.where(~F.col("kept")).select("doc_id"), "near-dropped"))
     return without(docs, dropped)
 

@@ -14,9 +14,9 @@ Links are confirmed on the full shingle sets, and no pair within a component is
    sides meet in tasks, which look at a pair in the first bucket that its documents share, skip what is
    connected already, and return links only, never pairs.
 
-A pair whose signatures agree in less than ``MIN_AGREEMENT`` of the values is not compared. At the
-threshold of 0.85 the chance to miss a pair in all bands is below 5e-6, to miss it by this agreement
-below 1e-6.
+The number of bands and the least agreement of signatures of a pair that is compared follow from the
+threshold (``sizes``): the chance to miss a pair at it is below 1e-5 in all bands, and below 1e-6 by the
+agreement.
 
 Defined cases: texts without words are linked with nothing; a row without doc_id is linked with nothing,
 has no component and is kept; repeated rows of a document are one document, and each gets a row; other
@@ -25,7 +25,9 @@ columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,28 +42,56 @@ from scopewise.llm.components import components
 from scopewise.llm.shingles import mix, shingle_sets
 from scopewise.session import discard, materialize
 
-#: Bands, and permutations per band (each gives a minimum and a maximum).
-BANDS = 26
+#: Permutations per band (each gives a minimum and a maximum).
 PERMUTATIONS = 3
-#: Least share of equal signature values of a pair that is compared.
-MIN_AGREEMENT = 0.70
-#: Link documents whose sets have this similarity, in percent.
+#: Link documents whose sets have this similarity, in percent, unless a caller names another.
 PERCENT = 85
 #: Documents compared with one document by one task.
 BLOCK = 256
+#: Chances to miss a pair at the threshold: in all bands, and by the agreement of signatures.
+MISSED_BANDS, MISSED_AGREEMENT = 1e-5, 1e-6
 
-_RND = np.random.default_rng(20_240_601)
-_FACTORS = _RND.integers(1, 1 << 62, BANDS * PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _RND.integers(0, 1 << 62, BANDS * PERMUTATIONS, np.uint64)
 
+@functools.cache
+def sizes(percent: int) -> tuple[int, float]:
+    """Bands, and the least share of equal signature values of a pair that is compared.
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    Minimum and maximum of a permutation agree together least often in small sets, where they are drawn
+    from few shingles; bands are counted for the worst size.
+    """
+    if not 50 < percent < 100:
+        raise ValueError(f"a similarity of {percent} percent is not between 50 and 100")
+    common = {union: -(-percent * union // 100) for union in range(2, 1000)}
+    both = min(n * (n - 1) / (union * (union - 1)) for union, n in common.items())
+    bands = math.ceil(math.log(MISSED_BANDS) / math.log(1 - both**PERMUTATIONS))
+    values, share, missed, least = 2 * PERMUTATIONS * bands, percent / 100, 0.0, 0
+    while True:
+        ways = math.lgamma(values + 1) - math.lgamma(least + 1) - math.lgamma(values - least + 1)
+        missed += math.exp(ways + least * math.log(share) + (values - least) * math.log(1 - share))
+        if missed >= MISSED_AGREEMENT:
+            return bands, least / values
+        least += 1
+
+
+BANDS = sizes(PERCENT)[0]
+
+
+@functools.cache
+def _permutations(bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts."""
+    rnd = np.random.default_rng(20_240_601)
+    factors = rnd.integers(1, 1 << 62, bands * PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, rnd.integers(0, 1 << 62, bands * PERMUTATIONS, np.uint64)
+
+
+def signatures(sets: list[np.ndarray], bands: int = BANDS) -> np.ndarray:
     """Minimum and maximum of every permutation, one row per non-empty set."""
     flat = np.concatenate(sets)
     lengths = np.fromiter(map(len, sets), np.int64, len(sets))
     starts = np.cumsum(lengths) - lengths
-    out = np.empty((len(sets), 2 * len(_FACTORS)), np.uint64)
-    for i, (factor, shift) in enumerate(zip(_FACTORS, _SHIFTS, strict=True)):
+    factors, shifts = _permutations(bands)
+    out = np.empty((len(sets), 2 * len(factors)), np.uint64)
+    for i, (factor, shift) in enumerate(zip(factors, shifts, strict=True)):
         permuted = flat * factor + shift
         out[:, 2 * i] = np.minimum.reduceat(permuted, starts)
         out[:, 2 * i + 1] = np.maximum.reduceat(permuted, starts)
@@ -71,8 +101,9 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """One number per band and document, different between bands."""
     width = 2 * PERMUTATIONS
-    keys = np.empty((len(signature), BANDS), np.uint64)
-    for band in range(BANDS):
+    bands = signature.shape[1] // width
+    keys = np.empty((len(signature), bands), np.uint64)
+    for band in range(bands):
         key = np.full(len(signature), band + 1, np.uint64)
         for value in range(width):
             key = mix(key * np.uint64(31) + signature[:, band * width + value])
@@ -83,14 +114,14 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 SIGNED = "doc_id long, n_shingles long, set_hash string, bands array<long>, sketch binary"
 
 
-def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterable[pa.RecordBatch], n_bands: int = BANDS) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches, limit=1 << 20):
         sets = shingle_sets(encoded(piece))
         full = [i for i, own in enumerate(sets) if len(own)]
         bands: list = [None] * len(sets)
         sketches: list = [None] * len(sets)
         if full:
-            signature = signatures([sets[i] for i in full])
+            signature = signatures([sets[i] for i in full], n_bands)
             for i, keys, short in zip(full, band_keys(signature), (signature >> np.uint64(47)).astype(np.uint16), strict=True):
                 bands[i], sketches[i] = keys, short.tobytes()
         digests = [hashlib.sha256(own.tobytes()).hexdigest()[:40] if len(own) else None for own in sets]
@@ -106,15 +137,15 @@ def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _agreeing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sketches agree often enough."""
+def _agreeing(batches: Iterable[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches agree in this share of their values."""
     for batch in batches:
         if batch.num_rows:
             one, two = (
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
                 for c in ("sketch_a", "sketch_b")
             )
-            enough = (one == two).mean(axis=1) >= MIN_AGREEMENT
+            enough = (one == two).mean(axis=1) >= least
             yield batch.filter(pa.array(enough)).select(["a", "b"])
 
 
@@ -129,7 +160,7 @@ def _sets(rows: Iterable[bytes], unpacker: zstandard.ZstdDecompressor) -> list[n
     return shingle_sets([unpacker.decompress(row) for row in rows])
 
 
-def _confirm(key: tuple, one: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+def _confirm(key: tuple, one: pd.DataFrame, others: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Whether document a is linked with each b of a block."""
     unpacker = zstandard.ZstdDecompressor()
     if not len(one) or not len(others):
@@ -139,22 +170,23 @@ def _confirm(key: tuple, one: pd.DataFrame, others: pd.DataFrame) -> pd.DataFram
     for begin in range(0, len(others), 16):
         for other in _sets(others["packed"][begin : begin + 16], unpacker):
             common = len(np.intersect1d(own, other, assume_unique=True))
-            linked.append(100 * common >= PERCENT * (len(own) + len(other) - common))
+            linked.append(100 * common >= percent * (len(own) + len(other) - common))
     return pd.DataFrame({"a": key[0], "b": others["b"].to_numpy(), "linked": linked})
 
 
-def confirm(pairs: DataFrame, packed: DataFrame, signed: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, packed: DataFrame, signed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b, linked) of pairs of documents, after the agreement of sketches.
 
     Pairs are dealt by document a and blocks of partners, so that a document with very many partners is
     compared by many tasks.
     """
     sketch = signed.select("doc_id", "sketch")
+    least = sizes(percent)[1]
     promising = materialize(
         pairs.join(sketch.toDF("a", "sketch_a"), "a")
         .join(sketch.toDF("b", "sketch_b"), "b")
         .select("a", "b", "sketch_a", "sketch_b")
-        .transform(map_batches, _agreeing, "a long, b long"),
+        .transform(map_batches, lambda batches: _agreeing(batches, least), "a long, b long"),
         "near-pairs",
     )
     blocks = promising.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
@@ -171,7 +203,7 @@ def confirm(pairs: DataFrame, packed: DataFrame, signed: DataFrame) -> DataFrame
     return (
         ones.groupBy("a", "block")
         .cogroup(others.groupBy("a", "block"))
-        .applyInPandas(_confirm, "a long, b long, linked boolean")
+        .applyInPandas(lambda key, one, two: _confirm(key, one, two, percent), "a long, b long, linked boolean")
     )
 
 
@@ -181,11 +213,11 @@ def _rows(packed: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return sketch, np.array(packed["bands"].tolist(), np.int64).reshape(len(packed), -1)
 
 
-def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links between documents of two blocks of a bucket that join different components."""
     if not len(left) or not len(right):
         return pd.DataFrame({"a": [], "b": []}).astype(int)
-    bucket = key[0]
+    bucket, least = key[0], sizes(percent)[1]
     (one, one_bands), (two, two_bands) = _rows(left), _rows(right)
     x, y = left["doc_id"].to_numpy(), right["doc_id"].to_numpy()
     cx, cy = left["component"].to_numpy(), right["component"].to_numpy()
@@ -196,8 +228,8 @@ def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.Data
         agreement = (one[i] == two).mean(axis=1)
         shared = one_bands[i] == two_bands
         first = one_bands[i][shared.argmax(axis=1)] == bucket
-        fits = 100 * np.minimum(n[i], m) >= PERCENT * np.maximum(n[i], m)
-        wanted = first & fits & (cx[i] != cy) & (in_main | (y > x[i])) & (agreement >= MIN_AGREEMENT)
+        fits = 100 * np.minimum(n[i], m) >= percent * np.maximum(n[i], m)
+        wanted = first & fits & (cx[i] != cy) & (in_main | (y > x[i])) & (agreement >= least)
         pairs += [(-agreement[j], i, j) for j in np.flatnonzero(wanted).tolist()]
     unpacker = zstandard.ZstdDecompressor()
     sets: dict[tuple[int, int], np.ndarray] = {}
@@ -217,22 +249,22 @@ def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.Data
     for _, i, j in sorted(pairs):  # the likeliest first
         if root(cx[i]) != root(cy[j]):
             common = len(np.intersect1d(shingles(0, i), shingles(1, j), assume_unique=True))
-            if 100 * common >= PERCENT * (n[i] + m[j] - common):
+            if 100 * common >= percent * (n[i] + m[j] - common):
                 above[root(cx[i])] = root(cy[j])
                 links.append((x[i], y[j]))
     return pd.DataFrame(links, columns=["a", "b"]).astype(int)
 
 
-def link_open_buckets(rows: DataFrame, signed: DataFrame, packed: DataFrame) -> DataFrame:
+def link_open_buckets(rows: DataFrame, signed: DataFrame, packed: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b) links between the components of buckets.
 
     ``rows`` are (bucket, doc_id, n, component, main) of buckets that hold more than their main component.
     """
     outside = F.col("component") != F.col("main")
-    sizes = rows.groupBy("bucket").agg(
+    blocks = rows.groupBy("bucket").agg(
         F.ceil(F.count_if(outside) / BLOCK).alias("left_blocks"), F.ceil(F.count("*") / BLOCK).alias("right_blocks")
     )
-    sized = rows.join(sizes, "bucket")
+    sized = rows.join(blocks, "bucket")
     content = signed.select("doc_id", "bands", "sketch").join(packed, "doc_id")
 
     def dealt(part: DataFrame, own: str, other: str, blocks: str, others: str) -> DataFrame:
@@ -249,18 +281,19 @@ def link_open_buckets(rows: DataFrame, signed: DataFrame, packed: DataFrame) ->
     return (
         left.groupBy("bucket", "i", "j")
         .cogroup(right.groupBy("bucket", "i", "j"))
-        .applyInPandas(_link_blocks, "a long, b long")
+        .applyInPandas(lambda key, one, two: _link_blocks(key, one, two, percent), "a long, b long")
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
-    Documents whose shingle sets have a similarity of ``PERCENT`` or more are linked; the smallest doc_id
+    Documents whose shingle sets have a similarity of ``percent`` or more are linked; the smallest doc_id
     of a component stays.
     """
+    n_bands, _ = sizes(percent)
     slim = docs.select(F.col("doc_id").cast("long"), "text")
-    signed = materialize(slim.transform(map_batches, _sign, SIGNED), "signed")
+    signed = materialize(slim.transform(map_batches, lambda batches: _sign(batches, n_bands), SIGNED), "signed")
     groups = (
         signed.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("set_hash")
@@ -275,16 +308,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     smallest = rows.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.count("*").alias("size")).where("size > 1")
     crowded = materialize(rows.join(smallest.drop("size"), "bucket"), "near-buckets")
     stars = crowded.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
-    tested = materialize(confirm(stars, packed, reps), "near-tested")
+    tested = materialize(confirm(stars, packed, reps, percent), "near-tested")
     links = tested.where("linked").select("a", "b")
     labels = components(links)
 
     own = F.coalesce("component", "doc_id").alias("component")
     placed = crowded.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", "n", own)
-    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    mixed = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    mixed = parts.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
     open_rows = materialize(placed.join(mixed.where("parts > 1").drop("parts"), "bucket"), "near-open")
-    more = materialize(link_open_buckets(open_rows, reps, packed).distinct(), "near-rest")
+    more = materialize(link_open_buckets(open_rows, reps, packed, percent).distinct(), "near-rest")
     if not more.isEmpty():
         labels = components(links.union(more))
     discard(crowded, tested, open_rows, more, reps)

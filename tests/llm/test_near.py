@@ -39,6 +39,39 @@ def test_chains_and_near_misses(spark):
     assert verdicts(near.near_duplicates(docs)) == expected
 
 
+def between(rnd, low, high):
+    """Texts of two documents whose similarity is between two shares."""
+    while True:
+        length = rnd.choice([8, 9, 12, 30, 60, 150, 300])
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(length)]
+        other = list(words)
+        for at in rnd.sample(range(length), rnd.randrange(2 + length // 30)):
+            other[at] = f"x{rnd.randrange(10**6)}"
+        other = other[rnd.randrange(3) :]
+        one, two = brute.shingles(" ".join(words)), brute.shingles(" ".join(other))
+        if low <= len(one & two) / len(one | two) < high:
+            return " ".join(words), " ".join(other)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_thresholds(spark, documents, texts_of, percent):
+    """Pairs on both sides of a threshold, small and large, and whole tables."""
+    rnd = random.Random(percent)
+    pairs = [between(rnd, low, low + 0.05) for low in (0.75, 0.8) for _ in range(60)]
+    rows = list(enumerate(rnd.sample([t for pair in pairs for t in pair], 240)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert verdicts(near.near_duplicates(docs, percent)) == brute.near(rows, percent)
+    assert sum(v[1] != i for i, v in brute.near(rows, percent).items()) == (60 if percent == 80 else 0)
+    assert verdicts(near.near_duplicates(documents, percent)) == brute.near(texts_of(documents), percent)
+
+
+def test_sizes():
+    assert near.sizes(85)[0] == 26 and near.sizes(80)[0] > 41
+    assert near.sizes(80)[1] < near.sizes(85)[1] <= 0.70 < near.sizes(95)[1]
+    with pytest.raises(ValueError, match="50 percent"):
+        near.sizes(50)
+
+
 def test_many_partners_in_blocks(spark):
     rnd = random.Random(5)
     words = [f"w{i}" for i in range(300)]
