@@ -63,6 +63,14 @@ def test_stages_keep_columns_and_handle_odd_rows(spark, odd_docs, no_docs):
     assert sorted(map(tuple, found), key=str) == [(1, "a b"), (None, "a b"), (None, "c")]
 
 
+def test_exact_stage_with_clashing_doc_ids(spark):
+    """Only equal rows collapse; a text is judged by itself, not by the other texts of its doc_id."""
+    rows = [(1, "a"), (1, "b"), (1, "b"), (2, "a"), (3, "c"), (3, "c"), (4, "d"), (4, "e"), (5, None), (4, "f"), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = corpus_pipeline.exact_stage(spark, docs, SF)
+    assert sorted(map(tuple, found.collect())) == [(1, "b"), (2, "a"), (3, "c"), (4, "d"), (4, "e"), (4, "f"), (6, "")]
+
+
 def test_entry_registers_everything():
     import __spark_entry__ as entry
 
