@@ -2,6 +2,7 @@ import csv
 import io
 
 import pytest
+from small_fact import SMALL
 
 from scopewise.session import local_session
 from scopewise.spec import DEFAULT_SPEC
@@ -38,14 +39,6 @@ def raw(spark):
     return build
 
 
-SMALL = [
-    ("GUJARAT", "24", "ALPHA", "101", 200, 40, 10),
-    ("GUJARAT", "24", "BETA", "102", 100, 15, 5),
-    ("GUJARAT", "24", "GAMMA", "103", 160, 30, 10),
-    ("GUJARAT", "24", "DELTA", "104", 0, 0, 0),
-]
-
-
 @pytest.fixture
 def small(fact):
     return fact(SMALL)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
+from small_fact import SMALL
 
-from conftest import SMALL
 from scopewise.operators import metrics as M
 from scopewise.operators import quality as Q
 from scopewise.operators.registry import registry_messages, registry_violations
