@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm import bpe, counts, decontaminate, exact, language, near, phrases, pii, suffix, warc
+from scopewise.llm import bpe, counts, decontaminate, exact, language, near, phrases, pii, resample, suffix, warc
 
 VOCABULARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -189,3 +189,41 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+# The unsigned CRC-32 of the text x, bit by bit: a byte enters with the first of its eight steps.
+_CRC_SQL = """xor(4294967295, list_reduce(
+        list_transform(range(4 * length(hex(encode(x)))),
+                       lambda i: CASE WHEN i % 8 = 0 THEN ('0x' || substr(hex(encode(x)), i // 4 + 1, 2))::BIGINT ELSE 0 END),
+        lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1)), 4294967295::BIGINT))"""
+
+_FEATURES_SQL = f"""SELECT id, unnest(w || list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' '))
+               || list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS x
+    FROM (SELECT id, list_filter(string_split_regex({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w"""
+
+
+@query(
+    f"""
+    WITH found AS ({_FEATURES_SQL} FROM (SELECT doc_id AS id, text FROM documents))),
+    aimed AS ({_FEATURES_SQL} FROM (SELECT item_id AS id, text FROM benchmark))),
+    buckets AS (SELECT x, {_CRC_SQL} % 10000 AS b FROM (SELECT x FROM found UNION SELECT x FROM aimed)),
+    s AS (SELECT b, count(*) AS s FROM found JOIN buckets USING (x) GROUP BY b),
+    t AS (SELECT b, count(*) AS t FROM aimed JOIN buckets USING (x) GROUP BY b),
+    gains AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM found) + 10000)::DOUBLE
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM aimed) + 10000)::DOUBLE)))::BIGINT AS gain
+        FROM (SELECT unnest(range(10000)) AS b) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+    sums AS (SELECT id AS doc_id, count(*) AS n, sum(gain)::BIGINT AS weight
+             FROM found JOIN buckets USING (x) JOIN gains USING (b) GROUP BY id),
+    scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE)
+            / 4294967296::DOUBLE)))::BIGINT AS score FROM documents LEFT JOIN sums USING (doc_id)),
+    -- n words have 3 n - 3 features from two words on, so at least 20 words are at least 57 features.
+    eligible AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS m
+                 FROM scored WHERE n_features >= 57)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * m // 100 THEN place END AS rank
+    FROM scored LEFT JOIN eligible USING (doc_id)
+    """
+)
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resample.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
