@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm import bpe, counts, decontaminate, exact, language, near, phrases, pii, resample, suffix, warc
+from scopewise.llm import bpe, counts, decontaminate, exact, language, near, phrases, pii, resample, suffix, variants, warc
 
 VOCABULARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -227,3 +227,10 @@ _FEATURES_SQL = f"""SELECT id, unnest(w || list_transform(range(1, len(w)), lamb
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return resample.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents")).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
