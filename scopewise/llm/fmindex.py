@@ -18,6 +18,8 @@ from scopewise.llm.batches import ragged
 
 #: Words that are searched at once.
 _BLOCK = 1 << 14
+#: Characters read between two looks for equal patterns; few words are longer than twice as many.
+_MERGE_ROUNDS = 16
 
 
 @dataclass
@@ -97,7 +99,11 @@ def _search(index: Index, queries: list[str], exact: np.ndarray, offset: int) ->
     clean = (np.arange(n), np.asarray(exact, np.int64), low, high)
     erred = tuple(np.zeros(0, np.int64) for _ in range(4))
     hits: list[np.ndarray] = []
+    rounds = 0
     while len(clean[0]) or len(erred[0]):
+        rounds += 1
+        if rounds % _MERGE_ROUNDS == 0:
+            erred = _merged(*erred)
         erred, done = _advance(index, symbols, ends, lengths, *erred)
         hits.append(done)
         erred = tuple(
@@ -110,6 +116,17 @@ def _search(index: Index, queries: list[str], exact: np.ndarray, offset: int) ->
     return key // len(index.words) + offset, key % len(index.words)
 
 
+def _merged(query, read, low, high):
+    """The distinct patterns: in a run of equal characters, errors at any place lead to one."""
+    order = np.lexsort((high, low, read, query))
+    columns = [c[order] for c in (query, read, low, high)]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return tuple(c[new] for c in columns)
+
+
 def _advance(index, symbols, ends, lengths, query, read, low, high, final=True):
     """Read the next character of every query; patterns that have read all are closed with a delimiter.
 

@@ -32,6 +32,9 @@ def brute(rows, damage=31, min_length=7, min_count=2, factor=10):
     # Two words are near if they share what is left of one, or of both at one place, without a character.
     holes = defaultdict(list)
     for word in n:
+        if len(word) > 5000:
+            holes["long", None].append(word)
+            continue
         holes[word, None].append(word)
         for i in range(len(word)):
             holes[word[:i] + word[i + 1 :], i].append(word)
@@ -83,8 +86,9 @@ def test_index_finds_all_words_with_the_error_in_front(seed):
 def test_long_ranges_try_all_symbols():
     words = sorted({f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}zzzz" for i in range(3000)})
     found = fmindex.one_error(fmindex.build(words), words, np.full(len(words), 4))
+    known, letters = set(words), list(map(chr, range(97, 123)))
     assert len(found[0]) == sum(
-        1 for a in words for p in range(3) for c in map(chr, range(97, 123)) if c != a[p] and a[:p] + c + a[p + 1 :] in set(words)
+        a[:p] + c + a[p + 1 :] in known for a in words for p in range(3) for c in letters if c != a[p]
     )
 
 
