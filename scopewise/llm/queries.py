@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm import bpe, counts, decontaminate, exact, language, near, phrases, pii, resample, suffix, variants, warc
+from scopewise.llm import bpe, counts, decontaminate, exact, language, near, phrases, pii, resample, suffix, suffix_tree, variants, warc
 
 VOCABULARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -229,6 +229,11 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query()
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.log_probabilities(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents")).select(
