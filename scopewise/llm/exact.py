@@ -27,12 +27,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from scopewise.llm.batches import encoded, map_batches, pieces
 from scopewise.session import discard, materialize
 
-#: Distinct content that a task keeps in memory before it deals it to spill files.
+#: Memory that a table may take before its rows are dealt to spill files, and what a text and a group of
+#: copies take beside their content.
 TABLE_BYTES = 64 << 20
+ENTRY_BYTES = 400
 #: Spill files of one level; a level uses four bits of the hash.
 FAN_OUT = 16
 
@@ -60,7 +63,7 @@ class OpenTable:
         self.slots[at] = number = len(self.contents)
         self.hashes.append(hashed)
         self.contents.append(content)
-        self.bytes += len(content)
+        self.bytes += len(content) + ENTRY_BYTES
         if 2 * len(self.contents) > len(self.slots):
             self._grow()
         return number
@@ -113,22 +116,19 @@ def collapse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _resolve(rows: Iterator[tuple], level: int, limit: int, folder: Path) -> Iterator[tuple]:
-    """(member_of, keep_id, group_size) of (digest, content, [(member_of, doc_id, copies)]) rows."""
+    """(content, all found) of every distinct content of (digest, content, found) rows; found are lists."""
     table, members = OpenTable(), []
     for digest, content, found in rows:
         number = table.place(_short(digest[::-1]), content)
         if number == len(members):
             members.append((digest, []))
         members[number][1].extend(found)
+        table.bytes += ENTRY_BYTES * len(found)
         if table.bytes > limit and len(members) > 1 and level < 48:
             break
     else:
-        for _, found in members:
-            keep, size = None, 0
-            for _, doc_id, copies in found:
-                keep, size = _larger(keep, doc_id), size + copies
-            for member_of, _, _ in found:
-                yield member_of, keep, size
+        for (_, found), content in zip(members, table.contents, strict=True):
+            yield content, found
         return
     inner = folder / uuid.uuid4().hex
     inner.mkdir()
@@ -177,15 +177,88 @@ def grace(batches: Iterable[pa.RecordBatch], limit: int = TABLE_BYTES) -> Iterat
 
     with tempfile.TemporaryDirectory(prefix="grace-") as folder:
         found: list[tuple] = []
-        for row in _resolve(rows(), 0, limit, Path(folder)):
-            found.append(row)
-            if len(found) == 10_000:
+        for _, group in _resolve(rows(), 0, limit, Path(folder)):
+            keep, size = None, 0
+            for _, doc_id, copies in group:
+                keep, size = _larger(keep, doc_id), size + copies
+            found += [(member_of, keep, size) for member_of, _, _ in group]
+            if len(found) >= 10_000:
                 yield batch(found)
                 found = []
         if found:
             yield batch(found)
 
 
+def _candidates(batches: Iterable[pa.RecordBatch], names: list[str], digest: str) -> Iterator[pa.RecordBatch]:
+    """Of the rows of a piece with one text, the one with the largest doc_id; its digest goes with it."""
+    for piece in pieces(batches, limit=8 << 20):
+        table = OpenTable()
+        rows: list[tuple[int, int, bytes]] = []
+        for row, (doc_id, content) in enumerate(zip(piece.column("doc_id").to_pylist(), encoded(piece), strict=True)):
+            digested = hashlib.sha256(content).digest()
+            number = table.place(_short(digested), content)
+            if number == len(rows):
+                rows.append((doc_id, row, digested))
+            elif doc_id > rows[number][0]:
+                rows[number] = (doc_id, row, digested)
+        _, places, digests = zip(*rows, strict=True)
+        kept = piece.take(pa.array(places))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(digests, pa.binary())], [*names, digest])
+
+
+def _survivors(batches: Iterable[pa.RecordBatch], names: list[str], digest: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """One row per distinct text of a hash partition, that with the largest doc_id."""
+    schema: list[pa.Schema] = []
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            schema[:] = [batch.select(names).schema]
+            others = [batch.column(n).to_pylist() for n in names if n != "text"]
+            ids = batch.column("doc_id").to_pylist()
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for digested, content, doc_id, *row in zip(
+                batch.column(digest).to_pylist(), texts, ids, *others, strict=True
+            ):
+                # A null text equals the empty one; which of the two it was stays with the row.
+                yield digested, content or b"", [(doc_id, content is None, row)]
+
+    def batch(found: list[tuple]) -> pa.RecordBatch:
+        columns = {n: list(c) for n, c in zip([n for n in names if n != "text"], zip(*(r for r, _ in found)), strict=True)}
+        texts = pa.array([content for _, content in found], pa.binary()).cast(schema[0].field("text").type)
+        arrays = [texts if f.name == "text" else pa.array(columns[f.name], f.type) for f in schema[0]]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    with tempfile.TemporaryDirectory(prefix="grace-") as folder:
+        found, size = [], 0
+        for content, group in _resolve(rows(), 0, limit, Path(folder)):
+            _, null, row = max(group, key=lambda member: member[0])
+            found.append((row, None if null else content))
+            size += len(content)
+            if len(found) >= 2_000 or size >= 8 << 20:
+                yield batch(found)
+                found, size = [], 0
+        if found:
+            yield batch(found)
+
+
+def drop_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
+    """The rows of ``docs`` that stay: of equal texts one row, with the largest doc_id.
+
+    Texts are shuffled once, with all columns of the row that may stay. Rows without doc_id all stay.
+    """
+    digest = "digest"
+    while digest in docs.columns:
+        digest += "_"
+    names, schema = docs.columns, docs.schema
+    candidates = docs.where(F.col("doc_id").isNotNull()).transform(
+        map_batches, lambda batches: _candidates(batches, names, digest), StructType([*schema, StructField(digest, BinaryType())])
+    )
+    kept = candidates.repartition(digest).transform(
+        map_batches, lambda batches: _survivors(batches, names, digest, table_bytes), schema
+    )
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row.
 

@@ -39,3 +39,24 @@ def test_collapse_sends_a_text_once_per_piece():
     (found,) = exact.collapse([rows])
     assert [t for t in found.column("text").to_pylist() if t is not None] == [b"copy"]
     assert [c for c in found.column("copies").to_pylist() if c is not None] == [1000]
+
+
+@pytest.mark.parametrize("table_bytes", [exact.TABLE_BYTES, 20])
+def test_rows_that_stay(odd_docs, documents, table_bytes):
+    for docs in (odd_docs, documents.withColumn("digest", documents["lang"])):
+        found = exact.drop_duplicates(docs, table_bytes)
+        assert found.dtypes == docs.dtypes
+        rows, last = docs.collect(), {}
+        for r in rows:
+            if r["doc_id"] is not None:
+                last[r["text"] or ""] = max(last.get(r["text"] or "", r["doc_id"]), r["doc_id"])
+        stay = {r for r in rows if r["doc_id"] is None or last[r["text"] or ""] == r["doc_id"]}
+        assert sorted(map(str, found.collect())) == sorted(map(str, stay))
+
+
+def test_texts_are_shuffled_once(documents):
+    found = exact.drop_duplicates(documents)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    assert "Join" not in plan
