@@ -37,19 +37,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by doc_id and text, so that different texts of one doc_id are judged each for itself.
     """
-    with scratch_tables() as keep:
-        found = exact.exact_duplicates(docs)
-        dropped = keep(materialize(found.where(~F.col("kept")).select("doc_id", "text_sha256"), "exact-dropped"))
-        repeated = not found.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty()
-    sha256 = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    pairs = dropped.toDF("dropped_doc_id", "dropped_sha256")
-    same = (F.col("doc_id") == F.col("dropped_doc_id")) & (sha256 == F.col("dropped_sha256"))
-    rows = docs.join(pairs, same, "left_anti")
-    if not repeated:
-        return rows
-    named = rows.where(F.col("doc_id").isNotNull()).withColumn("exact_stage_sha256", sha256)
-    named = named.dropDuplicates(["doc_id", "exact_stage_sha256"]).drop("exact_stage_sha256")
-    return named.union(rows.where(F.col("doc_id").isNull()))
+    return exact.drop_duplicates(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
