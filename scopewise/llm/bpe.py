@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scopewise.llm.batches import factorize, map_batches, pieces, ragged, texts
+from scopewise.session import discard, materialize
 
 #: Words in the transducer.
 LEXICON_SIZE = 150_000
@@ -260,18 +261,27 @@ def _frequent(batches: Iterable[pa.RecordBatch], source: bytes) -> Iterator[pa.R
 
 
 def build_lexicon(docs: DataFrame, source: bytes, size: int = LEXICON_SIZE) -> bytes:
-    """Compile the most frequent pre-tokens of all texts; the driver holds ``size`` short words."""
+    """Compile the most frequent pre-tokens of all texts; at most ``size`` short words reach the driver."""
     shared = docs.sparkSession.sparkContext.broadcast(source)
-    frequent = (
+    counted = materialize(
         docs.select("text")
         .transform(map_batches, lambda batches: _frequent(batches, shared.value), "word string, n long")
         .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-        .select("word")
-        .toPandas()["word"]
+        .agg(F.sum("n").alias("n")),
+        "pre-tokens",
     )
+    # Words per class of counts, about 1,000 classes; the lexicon takes whole classes from the top.
+    level = F.floor(16 * F.log2("n"))
+    classes = counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    room, least = size, None
+    for row in classes:
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["level"]
+    kept = counted.where(level >= least) if least is not None else counted.limit(0)
+    frequent = kept.select("word").toPandas()["word"]
+    discard(counted)
     vocab = vocabulary(source)
     return compile_lexicon({word: vocab.merge(word) for word in map(str.encode, frequent)})
 
