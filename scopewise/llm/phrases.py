@@ -1,11 +1,11 @@
 """Passage deduplication with automata of repeated phrases.
 
 ``windows`` brings runs of 13-word windows with one anchor together. In a bin the windows that recur are
-confirmed by two hashes of their words and joined to passages (maximal stretches of windows with the same smallest
+confirmed word by word and joined to passages (maximal stretches of windows with the same smallest
 document). Every slice of documents gets the passages that recur in it, as shards of ``SHARD`` passages;
 each shard is compiled into an Aho-Corasick automaton over word numbers, and all documents of the slice
 are streamed through it to locate every occurrence. A word goes if an occurrence of a passage that a
-smaller document has covers it. Words are told apart by 64-bit hashes.
+smaller document has covers it. Hashes of words bring candidates together; words are equal if their bytes are.
 
 Defined cases: a null text has no words; texts of fewer words lose nothing; a null doc_id is larger than
 any other and removes nothing; repeated rows of a document remove nothing from each other; other columns
@@ -15,6 +15,7 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from scopewise.llm import windows
 from scopewise.llm.batches import map_batches, ragged
-from scopewise.llm.shingles import joined, mix, window_hashes, words
+from scopewise.llm.shingles import exact_numbers, exact_windows, joined, mix, same_words, window_hashes, words
 from scopewise.session import materialize
 
 #: Words of a window.
@@ -51,22 +52,29 @@ VERDICT = "slice string, passages array<binary>, least array<long>"
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
 
-def least_documents(hashed: np.ndarray, counts: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def least_documents(hashed: np.ndarray, numbers: np.ndarray, counts: np.ndarray, least: np.ndarray) -> tuple:
     """For every window of every string, the smallest document that has it; and each string's first window.
 
-    Windows are equal if two 64-bit hashes of their words are.
+    ``numbers`` are equal for equal words only. Windows are sorted by two hashes of their words and then
+    compared number by number; should different windows share both hashes, windows are numbered exactly.
     """
-    number = counts - WINDOW + 1
-    start = ragged(np.cumsum(counts) - counts, number)
+    count = np.maximum(0, counts - WINDOW + 1)
+    start = ragged(np.cumsum(counts) - counts, count)
     one = window_hashes(hashed, WINDOW)[start]
     two = window_hashes(mix(hashed ^ _SECOND), WINDOW)[start]
     order = np.lexsort((two, one))
-    one, two = one[order], two[order]
-    first = np.flatnonzero(np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
-    smallest = np.minimum.reduceat(np.repeat(least, number)[order], first)
+    new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])]
+    at = start[order]
+    rep = at[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))] if len(at) else at
+    if not all((numbers[at + i] == numbers[rep + i]).all() for i in range(WINDOW)):
+        name = exact_windows(numbers, WINDOW)[start]
+        order = np.argsort(name, kind="stable")
+        new = np.r_[True, name[order][1:] != name[order][:-1]]
+    first = np.flatnonzero(new[: len(order)])
+    smallest = np.minimum.reduceat(np.repeat(least, count)[order], first)
     found = np.empty(len(start), np.int64)
     found[order] = np.repeat(smallest, np.diff(np.r_[first, len(start)]))
-    return found, np.cumsum(number) - number
+    return found, np.cumsum(count) - count
 
 
 def _confirm(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -74,7 +82,8 @@ def _confirm(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     strings, of, least = windows.distinct_strings(group)
     data, begins = joined(strings)
     start, end, hashed, counts = words(data, begins)
-    runs = windows.stretches(*least_documents(hashed, counts, least))
+    numbers = exact_numbers(data, start, end, hashed)
+    runs = windows.stretches(*least_documents(hashed, numbers, counts, least))
     entry, stretch, cuts = windows.removals(group, of, runs, len(strings))
     first = (np.cumsum(counts) - counts)[runs.owner]
     begin, stop = start[first + runs.first].tolist(), end[first + runs.last + WINDOW - 1].tolist()
@@ -99,21 +108,53 @@ def _characters(numbers: np.ndarray, known: int) -> str:
     return (digits + 1).astype("<u4").tobytes().decode("utf-32-le")
 
 
-def shards(passages: list[bytes]) -> Iterator[tuple[ahocorasick.Automaton, np.ndarray, np.ndarray]]:
-    """Automata over word numbers, with the word hashes in order of number and the passages' lengths.
-
-    Word numbers begin at 1; a match gives the place of its passage among those of the shard.
-    """
+@dataclass
+class Shard:
+    """An automaton over numbers of words (from 1 on) that finds passages by their place in the shard."""
+
+    automaton: ahocorasick.Automaton
+    #: Hashes of the distinct words of the passages, sorted, their numbers, and their bytes in ``data``.
+    hashes: np.ndarray
+    number: np.ndarray
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    #: Words of every passage.
+    lengths: np.ndarray
+
+    def numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+        """The number of every word, 0 for words of no passage; words are compared by their bytes."""
+        found = np.zeros(len(hashed), np.int64)
+        at = np.searchsorted(self.hashes, hashed)
+        left = np.arange(len(hashed))
+        while True:  # more than once only if two words share a hash
+            at = np.minimum(at, len(self.hashes) - 1)
+            here = np.flatnonzero(self.hashes[at] == hashed[left])
+            at, left = at[here], left[here]
+            own, known = (data, start[left], end[left]), (self.data, self.start[at], self.end[at])
+            same = same_words(own, known)
+            found[left[same]] = self.number[at[same]]
+            at, left = at[~same] + 1, left[~same]
+            inside = at < len(self.hashes)
+            at, left = at[inside], left[inside]
+            if not len(left):
+                return found
+
+
+def shards(passages: list[bytes]) -> Iterator[Shard]:
+    """Automata over word numbers of the passages."""
     for begin in range(0, len(passages), SHARD):
         data, begins = joined(passages[begin : begin + SHARD])
-        _, _, hashed, counts = words(data, begins)
-        known, numbers = np.unique(hashed, return_inverse=True)
-        line, ends = _characters(numbers + 1, len(known)), (WIDTH * np.cumsum(counts)).tolist()
+        start, end, hashed, counts = words(data, begins)
+        numbers = exact_numbers(data, start, end, hashed)
+        _, first = np.unique(numbers, return_index=True)
+        known = first[np.argsort(hashed[first], kind="stable")]
+        line, ends = _characters(numbers + 1, len(first)), (WIDTH * np.cumsum(counts)).tolist()
         found = ahocorasick.Automaton()
         for i, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
             found.add_word(line[a:b], i)
         found.make_automaton()
-        yield found, known, counts
+        yield Shard(found, hashed[known], numbers[known] + 1, data, start[known], end[known], counts)
 
 
 DEDUPED = "doc_id long, n_words long, n_removed long, kept binary, removed array<struct<start:long,end:long>>"
@@ -139,7 +180,7 @@ def _stream(contents: list[bytes], ids: list[int], passages: dict[bytes, int]) -
     """Rows of ``DEDUPED`` of all documents of a slice."""
     data, begins = joined(contents)
     start, end, hashed, counts = words(data, begins)
-    covered = _covered(hashed, counts, np.array(ids, np.int64), passages)
+    covered = _covered((data, start, end, hashed), counts, np.array(ids, np.int64), passages)
     # kept words with the byte behind each, which becomes the space between them
     left = np.flatnonzero(~covered)
     sizes = end[left] - start[left] + 1
@@ -155,22 +196,22 @@ def _stream(contents: list[bytes], ids: list[int], passages: dict[bytes, int]) -
         yield (None if doc_id == windows.NO_ID else doc_id, b - a, gone, text[c : max(c, d - 1)].tobytes(), spans)
 
 
-def _covered(hashed: np.ndarray, counts: np.ndarray, ids: np.ndarray, passages: dict[bytes, int]) -> np.ndarray:
-    """Which words of a slice lie in a passage that a smaller document has."""
-    change = np.zeros(len(hashed) + 1, np.int32)
+def _covered(found: tuple, counts: np.ndarray, ids: np.ndarray, passages: dict[bytes, int]) -> np.ndarray:
+    """Which of the words (data, start, end, hash) of a slice lie in a passage that a smaller document has."""
+    n = len(found[3])
+    change = np.zeros(n + 1, np.int32)
     # a place without a word between documents keeps matches inside them
-    place = np.arange(len(hashed)) + np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(n) + np.repeat(np.arange(len(counts)), counts)
     owner = np.repeat(ids, counts)
     texts, least = list(passages), np.array(list(passages.values()), np.int64)
-    for begin, (automaton, known, lengths) in zip(range(0, len(texts), SHARD), shards(texts), strict=True):
-        at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-        line = np.zeros(len(hashed) + len(counts), np.int64)
-        line[place] = np.where(known[at] == hashed, at + 1, 0)
-        found = np.array(list(automaton.iter(_characters(line, len(known)))), np.int64).reshape(-1, 2)
-        last, passage = np.searchsorted(place, found[:, 0] // WIDTH), found[:, 1]
+    for begin, shard in zip(range(0, len(texts), SHARD), shards(texts), strict=True):
+        line = np.zeros(n + len(counts), np.int64)
+        line[place] = shard.numbers(*found)
+        matches = np.array(list(shard.automaton.iter(_characters(line, len(shard.hashes)))), np.int64).reshape(-1, 2)
+        last, passage = np.searchsorted(place, matches[:, 0] // WIDTH), matches[:, 1]
         smaller = least[begin + passage] < owner[last]
         last, passage = last[smaller], passage[smaller]
-        np.add.at(change, last + 1 - lengths[passage], 1)
+        np.add.at(change, last + 1 - shard.lengths[passage], 1)
         np.add.at(change, last + 1, -1)
     return np.cumsum(change[:-1]) > 0
 

@@ -1,10 +1,15 @@
-"""Words and word shingles of many texts at once, as 64-bit numbers."""
+"""Words and word shingles of many texts at once, as numbers.
+
+Polynomial hashes serve searches; what decides about equality compares bytes or 128-bit digests.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
-from scopewise.llm.batches import ragged
+from scopewise.llm.batches import factorize, ragged
 
 #: Words per shingle.
 SHINGLE_WORDS = 5
@@ -92,19 +97,109 @@ def hashes_at(values: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     return mix(found + np.uint64(size))
 
 
-def shingle_sets(contents: list[bytes], size: int = SHINGLE_WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of every text, A-Z lowered.
+def same_words(
+    one: tuple[np.ndarray, np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray, np.ndarray]
+) -> np.ndarray:
+    """Whether words (data, start, end) are equal byte by byte, pair by pair."""
+    (data, start, end), (other, begin, stop) = one, two
+    size = end - start
+    same = size == stop - begin
+    for at in range(0, len(start), _BLOCK):
+        own = np.flatnonzero(same[at : at + _BLOCK]) + at
+        if len(own):
+            first = np.cumsum(size[own]) - size[own]
+            equal = data[ragged(start[own], size[own])] == other[ragged(begin[own], size[own])]
+            same[own] = np.logical_and.reduceat(equal, first)
+    return same
+
+
+def exact_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """A number per word, equal for equal words only; the hash serves as long as no two words share one."""
+    _, first, number = np.unique(hashed, return_index=True, return_inverse=True)
+    rep = first[number]
+    if same_words((data, start, end), (data, start[rep], end[rep])).all():
+        return number
+    whole = data.tobytes()
+    return factorize([whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)])[0]
+
+
+def exact_windows(numbers: np.ndarray, size: int) -> np.ndarray:
+    """A number per window of ``size`` consecutive numbers, equal for equal windows only."""
+    block, width, total, have = numbers, 1, None, 0
+    while True:
+        if size & width:
+            if total is None:
+                total = block
+            else:
+                n = len(numbers) - have - width + 1
+                total = _pairs(total[: max(0, n)], block[have : have + max(0, n)])
+            have += width
+        if 2 * width > size:
+            return total
+        block = _pairs(block[:-width], block[width:])
+        width *= 2
+
+
+def _pairs(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    factor = int(two.max(initial=0)) + 1
+    return np.unique(one * factor + two, return_inverse=True)[1]
+
+
+_CHAIN = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+
+
+def _word_digests(lists: list[list[bytes]]) -> np.ndarray:
+    """A 128-bit cryptographic digest of every word, as two columns."""
+    numbers, unique = factorize([word for own in lists for word in own])
+    line = b"".join(hashlib.blake2b(word, digest_size=16).digest() for word in unique)
+    return np.frombuffer(line, "<u8").reshape(-1, 2)[numbers]
+
+
+def _chained(digests: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits, as two arrays, of every ``size`` consecutive digests."""
+    n = max(0, len(digests) - size + 1)
+    one, two = np.full(n, size, np.uint64), np.full(n, ~np.uint64(size), np.uint64)
+    for i in range(size):
+        one = mix((one ^ digests[i : i + n, 0]) * _CHAIN[0] + two)
+        two = mix((two ^ digests[i : i + n, 1]) * _CHAIN[1] + one)
+    return one, two
+
+
+def shingle_digests(contents: list[bytes], size: int = SHINGLE_WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct shingles of every text, A-Z lowered, as 128 bits in two arrays sorted by the first.
 
     A text of fewer words has one shingle, all its words; a text without words has none.
     """
-    data, begins = joined(contents)
-    _, _, hashed, count = words(lowered(data), begins)
-    whole = window_hashes(hashed, size)
-    first = np.cumsum(count) - count
-    sets = []
-    for begin, n in zip(first.tolist(), count.tolist(), strict=True):
+    lists = [content.lower().split() for content in contents]
+    digests = _word_digests(lists)
+    whole = _chained(digests, size)
+    sets, begin = [], 0
+    for own in lists:
+        n = len(own)
         if n >= size:
-            sets.append(np.unique(whole[begin : begin + n - size + 1]))
+            one, two = (half[begin : begin + n - size + 1] for half in whole)
+            order = np.argsort(one, kind="stable")
+            one, two = one[order], two[order]
+            again = one[1:] == one[:-1]
+            if (again & (two[1:] != two[:-1])).any():
+                order = np.lexsort((two, one))
+                one, two = one[order], two[order]
+            new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
+            sets.append((one[new], two[new]))
         else:
-            sets.append(window_hashes(hashed[begin : begin + n], n) if n else np.zeros(0, np.uint64))
+            sets.append(_chained(digests[begin : begin + n], n) if n else (np.zeros(0, np.uint64),) * 2)
+        begin += n
     return sets
+
+
+def common(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> int:
+    """Shingles that two sets share."""
+    if not len(two[0]):
+        return 0
+    at = np.minimum(np.searchsorted(two[0], one[0]), len(two[0]) - 1)
+    return int(((two[0][at] == one[0]) & (two[1][at] == one[1])).sum())
+
+
+def shingle_sets(contents: list[bytes], size: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """The first halves of ``shingle_digests``: 64 bits per distinct shingle, for signatures."""
+    return [one for one, _ in shingle_digests(contents, size)]

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from scopewise.llm import phrases, suffix, windows
+from scopewise.llm import phrases, shingles, suffix, windows
 
 
 def brute(rows, size):
@@ -131,3 +131,34 @@ def test_bins_are_even():
     runs = windows.find_runs(values, np.array([len(values)]), suffix.UNITS)
     share = np.bincount(windows._bins(windows._keys(runs.gram), 16), minlength=16) / len(runs.gram)
     assert share.max() < 2 * share.min()
+
+
+def test_words_with_one_hash_are_told_apart(spark):
+    """Thue-Morse words collide in every polynomial hash modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    data, begins = shingles.joined([one.encode(), two.encode()])
+    assert len(set(shingles.words(data, begins)[2].tolist())) == 1
+    rest = " ".join(f"w{i}" for i in range(12))
+    texts = [f"{one} {rest}", f"{two} {rest}", f"{one} {rest}", f"{two} {rest} {one} {rest}"]
+    rows = list(enumerate(texts, 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["n_removed"] for r in phrases.remove_passages(docs).collect()}
+    assert found == {1: 0, 2: 0, 3: 13, 4: 26}
+
+
+def test_windows_with_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(phrases, "window_hashes", lambda values, size: np.zeros(len(values) - size + 1, np.uint64))
+    numbers = np.array([*range(13), 99, *range(13), *range(1, 13), 5])
+    counts, least = np.array([14, 13, 13]), np.array([7, 3, 9])
+    found, first = phrases.least_documents(numbers.astype(np.uint64), numbers, counts, least)
+    assert found.tolist() == [3, 7, 3, 9] and first.tolist() == [0, 2, 3]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8, 13])
+def test_exact_windows(size):
+    numbers = np.random.default_rng(size).integers(0, 3, 400)
+    found = shingles.exact_windows(numbers, size)
+    rows = [tuple(numbers[i : i + size]) for i in range(400 - size + 1)]
+    assert len(found) == len(rows)
+    assert len(set(zip(found.tolist(), rows, strict=True))) == len(set(rows)) == len(set(found.tolist()))
