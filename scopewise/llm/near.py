@@ -5,7 +5,8 @@ either agrees between two documents with the probability of their Jaccard simila
 permutations are evaluated for a signature of the same length. Bands of the signature put documents into
 buckets.
 
-Links are confirmed on the full shingle sets, and no pair within a component is looked at twice:
+Links are confirmed on the full shingle sets (128 bits per shingle, made from cryptographic digests of its
+words), and no pair within a component is looked at twice:
 
 1. Documents with equal sets collapse to the smallest doc_id.
 2. In every bucket each document is compared with the smallest one only. This joins nearly all groups.
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from scopewise.llm.batches import encoded, map_batches, pieces
 from scopewise.llm.components import components
-from scopewise.llm.shingles import mix, shingle_sets
+from scopewise.llm.shingles import common, mix, shingle_digests
 from scopewise.session import discard, materialize
 
 #: Permutations per band (each gives a minimum and a maximum).
@@ -116,19 +117,19 @@ SIGNED = "doc_id long, n_shingles long, set_hash string, bands array<long>, sket
 
 def _sign(batches: Iterable[pa.RecordBatch], n_bands: int = BANDS) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches, limit=1 << 20):
-        sets = shingle_sets(encoded(piece))
-        full = [i for i, own in enumerate(sets) if len(own)]
+        sets = shingle_digests(encoded(piece))
+        full = [i for i, (own, _) in enumerate(sets) if len(own)]
         bands: list = [None] * len(sets)
         sketches: list = [None] * len(sets)
         if full:
-            signature = signatures([sets[i] for i in full], n_bands)
+            signature = signatures([sets[i][0] for i in full], n_bands)
             for i, keys, short in zip(full, band_keys(signature), (signature >> np.uint64(47)).astype(np.uint16), strict=True):
                 bands[i], sketches[i] = keys, short.tobytes()
-        digests = [hashlib.sha256(own.tobytes()).hexdigest()[:40] if len(own) else None for own in sets]
+        digests = [hashlib.sha256(b"".join(half.tobytes() for half in own)).hexdigest()[:40] if len(own[0]) else None for own in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 piece.column("doc_id"),
-                pa.array([len(own) for own in sets], pa.int64()),
+                pa.array([len(own) for own, _ in sets], pa.int64()),
                 pa.array(digests, pa.string()),
                 pa.array(bands, pa.list_(pa.int64())),
                 pa.array(sketches, pa.binary()),
@@ -156,8 +157,8 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "packed"])
 
 
-def _sets(rows: Iterable[bytes], unpacker: zstandard.ZstdDecompressor) -> list[np.ndarray]:
-    return shingle_sets([unpacker.decompress(row) for row in rows])
+def _sets(rows: Iterable[bytes], unpacker: zstandard.ZstdDecompressor) -> list[tuple[np.ndarray, np.ndarray]]:
+    return shingle_digests([unpacker.decompress(row) for row in rows])
 
 
 def _confirm(key: tuple, one: pd.DataFrame, others: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -169,8 +170,8 @@ def _confirm(key: tuple, one: pd.DataFrame, others: pd.DataFrame, percent: int)
     linked = []
     for begin in range(0, len(others), 16):
         for other in _sets(others["packed"][begin : begin + 16], unpacker):
-            common = len(np.intersect1d(own, other, assume_unique=True))
-            linked.append(100 * common >= percent * (len(own) + len(other) - common))
+            both = common(own, other)
+            linked.append(100 * both >= percent * (len(own[0]) + len(other[0]) - both))
     return pd.DataFrame({"a": key[0], "b": others["b"].to_numpy(), "linked": linked})
 
 
@@ -232,7 +233,7 @@ def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame, percent: i
         wanted = first & fits & (cx[i] != cy) & (in_main | (y > x[i])) & (agreement >= least)
         pairs += [(-agreement[j], i, j) for j in np.flatnonzero(wanted).tolist()]
     unpacker = zstandard.ZstdDecompressor()
-    sets: dict[tuple[int, int], np.ndarray] = {}
+    sets: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
     above: dict[int, int] = {}
 
     def root(label: int) -> int:
@@ -240,7 +241,7 @@ def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame, percent: i
             label = above[label]
         return label
 
-    def shingles(side: int, i: int) -> np.ndarray:
+    def shingles(side: int, i: int) -> tuple[np.ndarray, np.ndarray]:
         if (side, i) not in sets:
             (sets[side, i],) = _sets([(left, right)[side]["packed"].iat[i]], unpacker)
         return sets[side, i]
@@ -248,8 +249,8 @@ def _link_blocks(key: tuple, left: pd.DataFrame, right: pd.DataFrame, percent: i
     links = []
     for _, i, j in sorted(pairs):  # the likeliest first
         if root(cx[i]) != root(cy[j]):
-            common = len(np.intersect1d(shingles(0, i), shingles(1, j), assume_unique=True))
-            if 100 * common >= percent * (n[i] + m[j] - common):
+            both = common(shingles(0, i), shingles(1, j))
+            if 100 * both >= percent * (n[i] + m[j] - both):
                 above[root(cx[i])] = root(cy[j])
                 links.append((x[i], y[j]))
     return pd.DataFrame(links, columns=["a", "b"]).astype(int)

@@ -156,3 +156,12 @@ def test_words():
         assert (window_hashes(values, size)[4:] == window_hashes(values[4:], size)).all()
         assert len(set(window_hashes(values, size).tolist())) == 21 - size
         assert (hashes_at(values, np.array([4, 0]), size) == window_hashes(values, size)[[4, 0]]).all()
+
+
+def test_words_with_one_hash_are_not_linked(spark):
+    """Thue-Morse words collide in every polynomial hash modulo 2**64; their shingles differ all the same."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    rows = [(1, " ".join([one] * 5)), (2, " ".join([two] * 5)), (3, " ".join([one] * 9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert verdicts(near.near_duplicates(docs)) == brute.near(rows) == {1: (1, 1), 2: (1, 2), 3: (1, 1)}
