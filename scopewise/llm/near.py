@@ -5,8 +5,8 @@ either agrees between two documents with the probability of their Jaccard simila
 permutations are evaluated for a signature of the same length. Bands of the signature put documents into
 buckets.
 
-Links are confirmed on the full shingle sets (128 bits per shingle, made from cryptographic digests of its
-words), and no pair within a component is looked at twice:
+Links are confirmed on the full shingle sets (128 bits per shingle, made from exact or cryptographic
+codes of its words), and no pair within a component is looked at twice:
 
 1. Documents with equal sets collapse to the smallest doc_id.
 2. In every bucket each document is compared with the smallest one only. This joins nearly all groups.
@@ -168,8 +168,8 @@ def _confirm(key: tuple, one: pd.DataFrame, others: pd.DataFrame, percent: int)
         return pd.DataFrame({"a": [], "b": [], "linked": []}).astype({"a": int, "b": int, "linked": bool})
     (own,) = _sets(one["own"][:1], unpacker)
     linked = []
-    for begin in range(0, len(others), 16):
-        for other in _sets(others["packed"][begin : begin + 16], unpacker):
+    for begin in range(0, len(others), 64):
+        for other in _sets(others["packed"][begin : begin + 64], unpacker):
             both = common(own, other)
             linked.append(100 * both >= percent * (len(own[0]) + len(other[0]) - both))
     return pd.DataFrame({"a": key[0], "b": others["b"].to_numpy(), "linked": linked})

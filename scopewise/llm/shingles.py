@@ -46,14 +46,16 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
-def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of all words, and the number of words per text.
-
-    Words are runs of bytes other than space and 0x09 to 0x0D.
-    """
+def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of all words: runs of bytes other than space and 0x09 to 0x0D."""
     gap = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.r_[True, gap, True].astype(np.int8)))
-    start, end = edge[0::2], edge[1::2]
+    return edge[0::2], edge[1::2]
+
+
+def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of all words, and the number of words per text."""
+    start, end = word_edges(data)
     size = end - start
     power = _powers(int(size.max(initial=0)))
     hashed = np.empty(len(start), np.uint64)
@@ -145,24 +147,32 @@ def _pairs(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return np.unique(one * factor + two, return_inverse=True)[1]
 
 
-_CHAIN = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+#: Bytes of a word that fit into one number.
+_SHORT = 8
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(_SHORT + 1)], np.uint64)
 
 
-def _word_digests(lists: list[list[bytes]]) -> np.ndarray:
-    """A 128-bit cryptographic digest of every word, as two columns."""
-    numbers, unique = factorize([word for own in lists for word in own])
-    line = b"".join(hashlib.blake2b(word, digest_size=16).digest() for word in unique)
-    return np.frombuffer(line, "<u8").reshape(-1, 2)[numbers]
+def word_codes(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128 bits per word, as two arrays, and the number of words per text.
 
-
-def _chained(digests: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits, as two arrays, of every ``size`` consecutive digests."""
-    n = max(0, len(digests) - size + 1)
-    one, two = np.full(n, size, np.uint64), np.full(n, ~np.uint64(size), np.uint64)
-    for i in range(size):
-        one = mix((one ^ digests[i : i + n, 0]) * _CHAIN[0] + two)
-        two = mix((two ^ digests[i : i + n, 1]) * _CHAIN[1] + one)
-    return one, two
+    Words of up to eight bytes are coded by their bytes and length, longer ones by a cryptographic digest.
+    """
+    start, end = word_edges(data)
+    size = end - start
+    # the eight bytes from every place on, as numbers
+    line = np.concatenate([data, np.zeros(_SHORT, np.uint8)])
+    eight = np.ndarray(len(data), "<u8", line, strides=(1,))
+    own = eight[start] & _MASKS[np.minimum(size, _SHORT)]
+    one, two = mix(own + size.astype(np.uint64) * _STEP), mix((own ^ size.astype(np.uint64)) * _BASE + _STEP)
+    long = np.flatnonzero(size > _SHORT)
+    if len(long):
+        whole = data.tobytes()
+        digests = b"".join(
+            hashlib.blake2b(whole[a:b], digest_size=16).digest()
+            for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)
+        )
+        one[long], two[long] = np.frombuffer(digests, "<u8").reshape(-1, 2).T
+    return one, two, np.diff(np.r_[np.searchsorted(start, begins), len(start)])
 
 
 def shingle_digests(contents: list[bytes], size: int = SHINGLE_WORDS) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -170,24 +180,25 @@ def shingle_digests(contents: list[bytes], size: int = SHINGLE_WORDS) -> list[tu
 
     A text of fewer words has one shingle, all its words; a text without words has none.
     """
-    lists = [content.lower().split() for content in contents]
-    digests = _word_digests(lists)
-    whole = _chained(digests, size)
+    data, begins = joined(contents)
+    codes = word_codes(lowered(data), begins)
+    whole = [window_hashes(half, size) for half in codes[:2]]
     sets, begin = [], 0
-    for own in lists:
-        n = len(own)
-        if n >= size:
+    for n in codes[2].tolist():
+        if n < size:
+            few = [window_hashes(half[begin : begin + n], n) if n else half[:0] for half in codes[:2]]
+            sets.append((few[0], few[1]))
+        else:
             one, two = (half[begin : begin + n - size + 1] for half in whole)
-            order = np.argsort(one, kind="stable")
+            order = np.argsort(one)
             one, two = one[order], two[order]
             again = one[1:] == one[:-1]
-            if (again & (two[1:] != two[:-1])).any():
+            if again.any():
                 order = np.lexsort((two, one))
                 one, two = one[order], two[order]
-            new = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
-            sets.append((one[new], two[new]))
-        else:
-            sets.append(_chained(digests[begin : begin + n], n) if n else (np.zeros(0, np.uint64),) * 2)
+                new = np.r_[True, ~again | (two[1:] != two[:-1])]
+                one, two = one[new], two[new]
+            sets.append((one, two))
         begin += n
     return sets
 
