@@ -34,24 +34,70 @@ def join_on_key(
     return left.join(renamed, reduce(and_, same), how).drop(*[f"_right_{k}" for k in key])
 
 
+#: A key with more rows than this, and more than this share of all, is heavy: at most 1 / share keys are.
+HEAVY_ROWS, HEAVY_SHARE = 100_000, 1e-4
+
+
+def heavy_keys(
+    weights: DataFrame, key: Sequence[str], weight: str = "row_count", heavy_rows: int = HEAVY_ROWS
+) -> list[int]:
+    """Hashes of the keys whose ``weight`` makes them heavy; a list of bounded length."""
+    total = weights.agg(F.sum(weight)).first()[0] or 0
+    least = max(heavy_rows, HEAVY_SHARE * total)
+    found = weights.where(F.col(weight) > least).select(F.xxhash64(*key).alias("key")).distinct().collect()
+    return [r["key"] for r in found]
+
+
+def join_on_heavy_key(
+    left: DataFrame, right: DataFrame, key: Sequence[str], heavy: Sequence[int], how: str = "inner"
+) -> DataFrame:
+    """``join_on_key`` that deals the rows of heavy keys to many tasks.
+
+    ``right`` has few rows per key.  Rows of ``left`` under a heavy key get one of as many parts as there are
+    shuffle partitions, and the rows of ``right`` a copy per part.  Without heavy keys the join is plain.
+    """
+    if not heavy:
+        return join_on_key(left, right, key, how)
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_heavy = F.xxhash64(*key).isin(list(heavy))
+    # The place in the scan: equal rows must not go to one part.
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(parts))
+    dealt = left.withColumn("_part", F.when(is_heavy, part).otherwise(0))
+    last = F.when(is_heavy, F.lit(parts - 1)).otherwise(0).cast("bigint")
+    copied = right.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return join_on_key(dealt, copied, [*key, "_part"], how).drop("_part")
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys with more than one row, with their row count."""
     return df.groupBy(*key).agg(F.count("*").alias("row_count")).where("row_count > 1")
 
 
 def duplicate_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """All rows of all duplicate keys, each with the row count of its key.
+    """All rows of all duplicate keys, each with the row count of its key."""
+    return _members(df, key)[0]
+
+
+def _members(
+    df: DataFrame, key: Sequence[str], heavy_rows: int = HEAVY_ROWS
+) -> tuple[DataFrame, list[int]]:
+    """The rows of all duplicate keys, and the heavy keys.
 
     The duplicate keys are stored first: their size is then known when the
     join is planned, and as long as they are few the source is not shuffled.
+    Their counts tell which of them are heavy.
     """
     keys = materialize(duplicate_keys(df, key), "keys")
-    return join_on_key(df, keys, key).select(*df.columns, "row_count")
+    heavy = heavy_keys(keys, key, heavy_rows=heavy_rows)
+    return join_on_heavy_key(df, keys, key, heavy).select(*df.columns, "row_count"), heavy
 
 
-def stored_members(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The members as a stored table, read by all later steps."""
-    return materialize(duplicate_members(df, key), "members")
+def stored_members(
+    df: DataFrame, key: Sequence[str], heavy_rows: int = HEAVY_ROWS
+) -> tuple[DataFrame, list[int]]:
+    """The members as a stored table, read by all later steps; and the heavy keys."""
+    members, heavy = _members(df, key, heavy_rows)
+    return materialize(members, "members"), heavy
 
 
 def exact_dedupe(df: DataFrame) -> DataFrame:
@@ -116,9 +162,9 @@ def key_conflicts(
     One row per key, column and distinct name; ``rows`` have the name.
     """
     names = (spec.scope_name, spec.entity_name)
-    members = stored_members(df, key)
+    members, heavy = stored_members(df, key)
     verdicts = conflict_verdicts(members, key, names, in_scope)
-    found = join_on_key(conflict_values(members, key, names), verdicts, key)
+    found = join_on_heavy_key(conflict_values(members, key, names), verdicts, key, heavy)
     return found.select(*key, "row_count", "conflicting", "contains_scope", "column", "value", "rows")
 
 
@@ -132,9 +178,9 @@ def conflict_detail(
 
     One row per key, column and distinct value.
     """
-    members = stored_members(df, key)
+    members, heavy = stored_members(df, key)
     verdicts = conflict_verdicts(members, key, columns, in_scope)
-    found = join_on_key(conflict_values(members, key, columns), verdicts, key)
+    found = join_on_heavy_key(conflict_values(members, key, columns), verdicts, key, heavy)
     return found.select(
         *key,
         "row_count",
@@ -161,8 +207,10 @@ def conflicting_keys(members: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def conflict_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """All rows of conflicting keys."""
-    members = stored_members(df, key).select(*df.columns)
-    return join_on_key(members, conflicting_keys(members, key), key, "left_semi").select(*df.columns)
+    members, heavy = stored_members(df, key)
+    members = members.select(*df.columns)
+    keys = conflicting_keys(members, key)
+    return join_on_heavy_key(members, keys, key, heavy, "left_semi").select(*df.columns)
 
 
 def dedupe_analysis(df: DataFrame, key: Sequence[str]) -> DataFrame:

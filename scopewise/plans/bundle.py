@@ -10,7 +10,8 @@ Layout below the output folder::
     manifest/files   path, size and SHA-256 of every file below data, CSV
     manifest/header  row counts, totals and source, one JSON line
 
-The manifest is written last, so a package without one is incomplete.
+The package is written aside and moved to its place when it is whole, the
+manifest last; a folder without one holds no package.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from scopewise.operators.quality import enforce_metrics
 from scopewise.operators.ranking import require_limit
 from scopewise.operators.scoping import canonical_scope, load_fact, validate_then_filter
 from scopewise.operators.views import ranking_view
+from scopewise.plans.publish import staged
 from scopewise.session import materialize, scratch_tables
 from scopewise.sources.files import inventory
 from scopewise.sources.sinks import write_csv, write_inventory, write_json_rows, write_parquet
@@ -73,15 +75,14 @@ def data_dictionary(spark: SparkSession, spec: FactSpec = DEFAULT_SPEC) -> DataF
 def write_metrics(
     metrics: DataFrame, path: str, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet"
 ) -> DataFrame:
-    """Write metrics in rank order per file, and read them back.
+    """Write metrics in rank order, and read them back.
 
-    A scope is brought together for the writer, a large one in several parts.
+    Rows are range-partitioned by scope and rank, and files are numbered by
+    partition: in a scope's folder, files in the order of their names hold the
+    ranks in order, however many tasks a large scope takes.
     """
-    ordered = (
-        metrics.select(*spec.output_cols)
-        .hint("rebalance", *spec.scope_keys)
-        .sortWithinPartitions(*spec.scope_keys, "rank_total")
-    )
+    order = [*spec.scope_keys, "rank_total"]
+    ordered = metrics.select(*spec.output_cols).repartitionByRange(*order).sortWithinPartitions(*order)
     if fmt == "csv":
         write_csv(ordered, path)
     else:
@@ -183,6 +184,11 @@ def write_manifest(
         *[column.alias(field) for field, column in extra.items()],
     )
     write_json_rows(header, f"{out}/manifest/header")
+    return read_header(spark, out)
+
+
+def read_header(spark: SparkSession, out: str) -> DataFrame:
+    """The manifest header of a package, one row per snapshot."""
     return spark.read.json(f"{out}/manifest/header")
 
 
@@ -215,12 +221,14 @@ def write_bundle(
     Without a ``target`` every scope is published.  Returns the header.
     """
     require_limit(limit)
-    with scratch_tables():
+    spark = raw.sparkSession
+    with scratch_tables(), staged(spark, out, ("data",)) as stage:
         metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
         stored = write_data_package(
-            metrics, out, source, spec, limit, fact_format, strict_steps(target), limitations
+            metrics, stage, source, spec, limit, fact_format, strict_steps(target), limitations
         )
-        return write_manifest(stored, out, "Data package", source, spec, fact_format, limitations)
+        write_manifest(stored, stage, "Data package", source, spec, fact_format, limitations)
+    return read_header(spark, out)
 
 
 def write_processed(

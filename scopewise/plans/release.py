@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from scopewise.functions.text import scope_key
+from scopewise.operators import digest
 from scopewise.operators.conflicts import scope_qualification
 from scopewise.operators.provenance import Source, release_totals, release_validation
 from scopewise.operators.quality import enforce, enforce_metrics, strict_checks
 from scopewise.operators.ranking import require_limit
 from scopewise.operators.reconcile import verify_manifest
 from scopewise.operators.scoping import load_lenient_fact
-from scopewise.plans.bundle import checked_metrics, write_data_package, write_manifest
+from scopewise.plans.bundle import checked_metrics, read_header, write_data_package, write_manifest
+from scopewise.plans.publish import require_committed, staged
 from scopewise.session import materialize, scratch_tables
 from scopewise.sources.files import inventory
 from scopewise.sources.sinks import write_json_rows
@@ -47,7 +49,7 @@ def source_records(files: DataFrame, qualifications: DataFrame) -> DataFrame:
     """Every source file with the qualification records of its checksum; null without one."""
     records = qualifications.withColumn("_recorded", F.lit(True))
     same = files["sha256"] == records["source_sha256"]
-    return files.select("relative_path", "sha256").join(records, same, "left")
+    return files.select("relative_path", "size_bytes", "sha256").join(records, same, "left")
 
 
 def check_sources(
@@ -82,6 +84,12 @@ def check_sources(
     return judged.drop("_recorded", "_missing", "_problem")
 
 
+def files_digest(files: DataFrame) -> str:
+    """One hash for source files (relative_path, size_bytes, sha256): a file's own, or the root of their hash tree."""
+    first = files.select("sha256").limit(2).collect()
+    return first[0]["sha256"] if len(first) == 1 else digest.root(digest.tree(files))
+
+
 def release_source(records: DataFrame, source_path: str) -> Source:
     """What all files of a release share; raises if they come from different sources."""
     names = ("source_id", "source_as_of_date", "retrieval_date", "qualification_status", "source_url", "licence")
@@ -90,17 +98,13 @@ def release_source(records: DataFrame, source_path: str) -> Source:
         raise FileNotFoundError(f"No source file below {source_path}.")
     if len(found) > 1:
         raise ValueError(f"The files below {source_path} belong to different sources.")
-    # One file has its own hash; several have the hash of their sums, whatever their order.
-    hashes = records.select("sha256").distinct().agg(
-        F.count("*").alias("n"),
-        F.first("sha256").alias("one"),
-        F.sha2(F.sum(F.conv(F.substring("sha256", 1, 12), 16, 10).cast("decimal(38,0)")).cast("string"), 256).alias("all"),
-    ).first()
+    # A file may have several records.
+    files = records.select("relative_path", "size_bytes", "sha256").distinct()
     record = found[0]
     return Source(
         source_id=record["source_id"],
         file_name=source_path.rstrip("/").rsplit("/", 1)[-1],
-        sha256=hashes["one"] if hashes["n"] == 1 else hashes["all"],
+        sha256=files_digest(files),
         as_of_date=record["source_as_of_date"],
         retrieval_date=record["retrieval_date"],
         qualification_status=record["qualification_status"],
@@ -144,11 +148,12 @@ def write_release(
 
     Names keep the spelling of the source, so scopes are told apart by key.
     The source is parsed once and hashed once; all later steps read the stored
-    columns.  Nothing is written to ``out`` before all gates and the rules of
-    the metrics have passed.
+    columns.  Everything is written aside, verified there and then moved to
+    ``out``, the manifest last: a run that breaks publishes nothing and can be
+    repeated.
     """
     require_limit(limit)
-    with scratch_tables():
+    with scratch_tables(), staged(spark, out, ("data", "qualification", "validation")) as stage:
         qualifications = read_qualifications(spark, qualification_path)
         records = check_sources(inventory(spark, source_path), qualifications, target)
         source = release_source(records, source_path)
@@ -170,9 +175,9 @@ def write_release(
             "checked that no key conflicts or repeats in the scope",
         )
         metrics = checked_metrics(scoped, spec)
-        stored = write_data_package(metrics, out, source, spec, limit, fact_format, steps, limitations)
-        write_json_rows(records.drop("fields"), f"{out}/qualification")
-        write_json_rows(release_validation(stored, qualification, spec), f"{out}/validation")
+        stored = write_data_package(metrics, stage, source, spec, limit, fact_format, steps, limitations)
+        write_json_rows(records.drop("fields"), f"{stage}/qualification")
+        write_json_rows(release_validation(stored, qualification, spec), f"{stage}/validation")
         national_figures = verdicts.select(
             *spec.snapshot_cols,
             F.col("national_rows").alias("national_row_count"),
@@ -180,9 +185,9 @@ def write_release(
             "national_conflicting_rows",
             "qualified",
         )
-        return write_manifest(
+        write_manifest(
             stored,
-            out,
+            stage,
             "Release candidate",
             source,
             spec,
@@ -193,6 +198,8 @@ def write_release(
             publication_allowed=F.lit(False),
             encodings=F.array(*[F.lit(e) for e in encodings]),
         )
+        verify_release(spark, stage, spec)
+    return read_header(spark, out)
 
 
 def manifest_status(spark: SparkSession, out: str) -> DataFrame:
@@ -235,6 +242,7 @@ def verify_release(spark: SparkSession, out: str, spec: FactSpec = DEFAULT_SPEC)
 
     Returns a header row; it has one per snapshot.
     """
+    require_committed(spark, out)
     bad = manifest_status(spark, out).where("status <> 'ok'").orderBy("relative_path").first()
     if bad is not None:
         path, status = bad["relative_path"], bad["status"]
@@ -242,7 +250,7 @@ def verify_release(spark: SparkSession, out: str, spec: FactSpec = DEFAULT_SPEC)
             raise FileNotFoundError(f"Listed in the manifest but lost: {path}")
         kinds = {"size_mismatch": SIZE_MISMATCH_TEXT, "checksum_mismatch": CHECKSUM_MISMATCH_TEXT}
         raise ValueError(f"{kinds.get(status, 'Not listed in the manifest')}: {path}")
-    header_table = spark.read.json(f"{out}/manifest/header")
+    header_table = read_header(spark, out)
     header = header_table.first()
     if header["scope_column"] != spec.scope_col:
         spec = spec.keyed()

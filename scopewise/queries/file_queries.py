@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scopewise.functions.text import flatten_list
+from scopewise.operators import digest
 from scopewise.operators import provenance as V
 from scopewise.operators.metrics import entity_metrics
 from scopewise.plans.bundle import write_bundle, write_data_package, write_fact
@@ -32,6 +33,18 @@ def q_scan_strict(spark, sf_dir):
     return tables.read_strict_text(spark, path).select(*SPEC.required)
 
 
+@query(
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(\"text\", '') || chr(10) || '\"' || coalesce(source, '') || '\",' AS \"text\", "
+    "coalesce(lang, '') AS lang FROM documents"
+)
+def q_scan_quoted(spark, sf_dir):
+    """Whole texts with quotes and line breaks as CSV cells, read back by many tasks per file."""
+    line = F.concat(F.coalesce("text", F.lit("")), F.lit('\n"'), F.coalesce("source", F.lit("")), F.lit('",'))
+    path = scratch_path(spark, "quoted")
+    write_csv(B.table(spark, sf_dir, "documents").select("doc_id", line.alias("text"), "lang"), path)
+    return tables.read_strict_text(spark, path)
+
+
 _PART = r"""CASE WHEN regexp_full_match("text", '(?s)[\x00-\x7f\x{a0}-\x{ff}]*') THEN conv_id % 3 ELSE 0 END"""
 
 
@@ -88,6 +101,47 @@ def q_sink_roundtrip(spark, sf_dir):
     return tables.read_metrics(spark, path)
 
 
+@query(
+    f"WITH {B.ENTITY}, {B.METRICS} SELECT scope_name, entity_code, CAST(rank_total AS BIGINT) AS rank_total, "
+    "CAST(rank_total AS BIGINT) AS written_position FROM metrics"
+)
+def q_written_order(spark, sf_dir):
+    """Where every row of written metrics stands, by file name and row of the file, beside its rank."""
+    path = scratch_path(spark, "order")
+    write_fact(B.entity(spark, sf_dir), path)
+    found = tables.written_positions(spark, path)
+    return found.select("scope_name", "entity_code", F.col("rank_total").cast("bigint"), "written_position")
+
+
+def _tree_sql() -> str:
+    """All nodes of the hash tree over the texts of ``documents``; up to 64**4 of them."""
+    levels = [
+        "n0 AS (SELECT row_number() OVER (ORDER BY p) - 1 AS i, sha256('file|' || octet_length(encode(p)) || '|' || p || '|' "
+        "|| octet_length(encode(t)) || '|' || sha256(t)) AS h FROM (SELECT lang || '/' || doc_id AS p, "
+        "coalesce(\"text\", '') AS t FROM documents WHERE lang IS NOT NULL))"
+    ]
+    for level in range(1, 5):
+        levels.append(
+            f"n{level} AS (SELECT i // 64 AS i, sha256('node' || string_agg(h, '' ORDER BY i)) AS h FROM n{level - 1} "
+            f"WHERE (SELECT count(*) FROM n{level - 1}) > 1 GROUP BY i // 64)"
+        )
+    union = " UNION ALL ".join(f"SELECT {n} AS level, CAST(i AS BIGINT) AS position, h AS hash FROM n{n}" for n in range(5))
+    return f"WITH {', '.join(levels)} {union}"
+
+
+@query(_tree_sql())
+def q_files_digest(spark, sf_dir):
+    """The hash tree over all texts as files: leaves, inner nodes and the root."""
+    docs = B.table(spark, sf_dir, "documents").where(F.col("lang").isNotNull())
+    text = F.coalesce("text", F.lit(""))
+    listed = docs.select(
+        F.concat_ws("/", "lang", F.col("doc_id").cast("string")).alias("relative_path"),
+        F.octet_length(text).cast("bigint").alias("size_bytes"),
+        files.content_hash(text).alias("sha256"),
+    )
+    return digest.tree(listed).select("level", "position", "hash")
+
+
 @query(_METRICS_SQL)
 def q_release_reread(spark, sf_dir):
     """Metrics as CSV, re-read with text identifiers, doubles and booleans."""

@@ -177,3 +177,58 @@ def test_scoped_path_keeps_spelling(fact):
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     scoped = scoping.filter_then_validate(text, "GUJARAT")
     assert {r["scope_name"] for r in scoped.collect()} == {"Gujarat", "GUJARAT"}
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    """Joins that always shuffle, and partitions that are not put together again."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def largest_share(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def half_null(spark):
+    """Half of all rows have no key; the rest have keys of two rows."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    odd = F.col("l_linenumber") % 2 == 0
+    return lines.select(
+        F.when(odd, F.col("l_orderkey")).alias("k"), F.when(odd, "x").alias("l"), "l_quantity", "l_partkey"
+    )
+
+
+def test_heavy_keys_are_dealt_to_all_tasks(spark, shuffled_joins):
+    df = half_null(spark)
+    assert df.where("k IS NULL").count() > 0.5 * df.count()
+    plain, none = C._members(df, ["k", "l"])
+    dealt, heavy = C._members(df, ["k", "l"], heavy_rows=1000)
+    assert none == [] and len(heavy) == 1
+    assert largest_share(plain) > 0.5 and largest_share(dealt) < 0.45
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_heavy_keys_change_no_report(spark, monkeypatch):
+    df = half_null(spark)
+    columns = ["l_quantity", "l_partkey"]
+    reports = (
+        lambda: C.conflict_detail(df, ["k", "l"], columns, F.col("l_quantity") > 49),
+        lambda: C.conflict_rows(df, ["k", "l"]),
+        lambda: C.dedupe_analysis(df, ["k", "l"]),
+    )
+    plain = [sorted(map(str, report().collect())) for report in reports]
+    original = C.heavy_keys
+    monkeypatch.setattr(C, "heavy_keys", lambda keys, key, **_: original(keys, key, heavy_rows=3))
+    assert original(C.duplicate_keys(df, ["k", "l"]), ["k", "l"], heavy_rows=3)
+    assert [sorted(map(str, report().collect())) for report in reports] == plain

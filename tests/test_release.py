@@ -5,14 +5,15 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from scopewise.operators import digest
 from scopewise.operators.metrics import entity_metrics
 from scopewise.operators.provenance import Source, release_totals
-from scopewise.plans import bundle, release
+from scopewise.plans import bundle, publish, release
 from scopewise.plans.registry import check_registry
 from scopewise.session import scratch_path
 from scopewise.sources.files import inventory
 from scopewise.sources.sinks import write_json_document
-from scopewise.sources.tables import REGISTRY_COLUMNS, read_metrics, read_qualifications, read_strict_text
+from scopewise.sources.tables import REGISTRY_COLUMNS, read_metrics, read_qualifications, read_strict_text, written_positions
 from scopewise.spec import DEFAULT_SPEC, DataQualityError, FactSpec
 
 HEADER = ",".join(DEFAULT_SPEC.required)
@@ -301,3 +302,111 @@ def test_registry_file(spark, tmp_path):
         lines.append(",".join(row))
     many = check_registry(spark, write(tmp_path / "b.csv", "\n".join([header, *lines, ""])))
     assert many.count() == many.where("rule = 'incomplete_approval'").count() == 1500
+
+
+@pytest.mark.parametrize("step", ["write_data_package", "verify_release"])
+def test_broken_release_publishes_nothing_and_can_be_repeated(spark, tmp_path, monkeypatch, step):
+    source = write(tmp_path / "n.csv", NATIONAL)
+    record = qualification(tmp_path / "q.json", source)
+    out = tmp_path / "out"
+    whole = getattr(release, step)
+
+    def breaks(*args, **kwargs):
+        whole(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(release, step, breaks)
+        with pytest.raises(RuntimeError, match="lost"):
+            release.write_release(spark, source, record, str(out), "Gujarat")
+    assert not out.exists() and not list(tmp_path.glob("out.staging*"))
+    with pytest.raises(FileNotFoundError, match="no manifest"):
+        release.verify_release(spark, str(out))
+    release.write_release(spark, source, record, str(out), "Gujarat")
+    assert release.verify_release(spark, str(out))["row_count"] == 2
+    with pytest.raises(FileExistsError):
+        release.write_release(spark, source, record, str(out), "Gujarat")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["n.csv", "out", "q.json"]
+
+
+@pytest.mark.parametrize("moves", [2])
+def test_run_that_dies_while_it_publishes(spark, tmp_path, monkeypatch, moves):
+    source = write(tmp_path / "n.csv", NATIONAL)
+    record = qualification(tmp_path / "q.json", source)
+    out = str(tmp_path / "out")
+    move, done = publish._move, []
+
+    def dies(*args):
+        if len(done) == moves:
+            raise OSError("gone")
+        done.append(move(*args))
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "_move", dies)
+        with pytest.raises(OSError, match="gone"):
+            release.write_release(spark, source, record, out, "Gujarat")
+    assert Path(out, "data").exists() and not publish.is_committed(spark, out)
+    with pytest.raises(FileNotFoundError, match="no manifest"):
+        release.verify_release(spark, out)
+    release.write_release(spark, source, record, out, "Gujarat")
+    assert release.verify_release(spark, out)["row_count"] == 2
+
+
+def test_digest_of_several_files(spark):
+    def tree(rows, fan_out=4):
+        return digest.tree(spark.createDataFrame(rows, "relative_path string, size_bytes long, sha256 string"), fan_out)
+
+    rows = [(f"f/{i}.csv", i, hashlib.sha256(str(i).encode()).hexdigest()) for i in range(90)]
+    nodes = tree(rows)
+    root = digest.root(nodes)
+    assert digest.root(tree(list(reversed(rows)))) == root
+    swapped = [(rows[0][0], *rows[1][1:]), (rows[1][0], *rows[0][1:]), *rows[2:]]
+    renamed = [("f/x.csv", *rows[0][1:]), *rows[1:]]
+    altered = [(*rows[0][:2], rows[5][2]), *rows[1:]]
+    roots = {digest.root(tree(other)) for other in (swapped, renamed, altered, rows[1:], rows[:1])}
+    assert len(roots | {root}) == 6
+    for row in (rows[0], rows[37], rows[89]):
+        proof = digest.prove(nodes, row[0], 4)
+        assert len(proof) == 4 and max(len(hashes) for _, hashes in proof) <= 4
+        assert digest.proves(proof, root, *row)
+        assert not digest.proves(proof, root, row[0], row[1] + 1, row[2])
+        assert not digest.proves(proof, root, "f/other.csv", *row[1:])
+    with pytest.raises(KeyError):
+        digest.prove(nodes, "f/none.csv", 4)
+    assert digest.root(tree([])) != digest.root(tree(rows[:1]))
+
+
+def test_release_of_several_files_names_their_tree(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = CLEAN.strip().split("\n")
+    records = tmp_path / "records"
+    records.mkdir()
+    for i, line in enumerate(lines[1:]):
+        source = write(folder / f"{i}.csv", f"{HEADER}\n{line}\n")
+        qualification(records / f"{i}.json", source)
+    header = release.write_release(spark, str(folder), str(records), str(tmp_path / "out"), "Gujarat").first()
+    assert header["source_sha256"] == digest.root(digest.tree(inventory(spark, str(folder))))
+
+
+def test_files_in_order_of_names_hold_the_ranks_in_order(spark, tmp_path):
+    """A large scope takes several files, small ones one."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 30 == 0, "SMALL").otherwise("LARGE").alias("scope_name"),
+        F.lit("1").alias("scope_id"),
+        F.concat(F.lit("E"), "id").alias("entity_name"),
+        F.col("id").cast("string").alias("entity_code"),
+        (F.col("id") % 7).alias("medium"),
+        F.xxhash64("id").bitwiseAND(1023).alias("micro"),
+        F.lit(0).cast("bigint").alias("small"),
+    )
+    fact = rows.withColumn("total", F.col("medium") + F.col("micro")).select(*DEFAULT_SPEC.required)
+    path = str(tmp_path / "fact")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        bundle.write_fact(fact, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = written_positions(spark, path)
+    assert found.where("written_position <> rank_total").isEmpty() and found.count() == 3000
+    assert found.where("scope_name = 'LARGE'").agg(F.max("file_number")).first()[0] > 2

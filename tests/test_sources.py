@@ -59,6 +59,81 @@ def test_line_breaks_inside_cells_are_read_right(spark, tmp_path):
     assert not tables.has_open_quotes(spark, write(tmp_path / "b.csv", 'a\n"x"\n"y ""q"""\n'))
 
 
+BREAKS = [
+    (str(i), f"line {i}\nnext \"quoted\" {'long ' * (i % 17)}\r\n" if i % 3 else f"plain {i}", "" if i % 5 else 'a,"b"\n\n')
+    for i in range(400)
+]
+
+
+def quoted(rows, header="id,text,rest"):
+    cell = lambda v: '"' + v.replace('"', '""') + '"' if set(v) & set('",\n\r') else v
+    return "".join(f"{line}\n" for line in [header, *(",".join(map(cell, row)) for row in rows)])
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Files are read in blocks of 700 bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, "700")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("max_broadcast", [50_000, 0])
+def test_records_across_many_blocks(spark, tmp_path, small_blocks, max_broadcast):
+    path = write(tmp_path / "a.csv", quoted(BREAKS))
+    profile = tables.block_profile(spark, path)
+    assert profile.count() > 10 and tables.inside_blocks(profile).count() > 2
+    found = tables.read_records(spark, path, max_broadcast=max_broadcast)
+    assert found.select("value").rdd.getNumPartitions() > 1
+    lines = [bytes(r["value"]).decode() + "\n" for r in found.orderBy("block", "id").collect()]
+    assert "".join(lines) == quoted(BREAKS)
+
+
+def test_quoted_breaks_are_read_by_several_tasks(spark, tmp_path, small_blocks):
+    path = write(tmp_path / "a.csv", quoted(BREAKS))
+    rows = tables.read_strict_text(spark, path)
+    assert sorted(map(tuple, rows.collect())) == sorted(BREAKS)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan
+    numbered = tables.read_registry(spark, path).collect()
+    assert [(r["row_no"], r["id"]) for r in sorted(numbered)] == sorted(
+        ((i, row[0]) for i, row in enumerate(BREAKS, 2)), key=lambda pair: pair[1]
+    )
+
+
+def test_one_cell_over_many_blocks(spark, tmp_path, small_blocks):
+    rows = [("1", "x\n" * 3000, "a"), ("2", "y", "b"), ("3", 'q"\n' * 800, "c")]
+    path = write(tmp_path / "a.csv", quoted(rows))
+    assert sorted(map(tuple, tables.read_strict_text(spark, path).collect())) == rows
+
+
+def test_breaks_in_files_of_several_encodings(spark, tmp_path, small_blocks):
+    parts = {"utf-8-sig": "€ Ω", "cp1252": "€ ’", "latin-1": "\x81 é"}
+    expected = set()
+    for encoding, mark in parts.items():
+        rows = [(f"{encoding} {i}", f'{mark}\n"{i}"', mark) for i in range(60)]
+        write(tmp_path / f"{encoding}.csv", quoted(rows).encode(encoding))
+        expected |= {(*row, encoding) for row in rows}
+    assert set(map(tuple, tables.read_lenient_rows(spark, str(tmp_path)).collect())) == expected
+
+
+def test_odd_quoted_files(spark, tmp_path):
+    breaks = write(tmp_path / "crlf.csv", 'a,b\r\n1,"x\r\ny"\r\n\r\n2,z\r\n')
+    assert sorted(map(tuple, tables.read_strict_text(spark, breaks).collect())) == [("1", "x\r\ny"), ("2", "z")]
+    returns = write(tmp_path / "cr.csv", 'a,b\n1,"x\ry"\n2,z\n')
+    assert sorted(r["a"] for r in tables.read_strict_text(spark, returns).collect()) == ["1", "2"]
+    header = write(tmp_path / "header.csv", '"a\nb",c\n1,"2\n3"\n')
+    assert [tuple(r) for r in tables.read_strict_text(spark, header).collect()] == [("1", "2\n3")]
+    write(tmp_path / "two" / "x.csv", 'a,b\n1,"2\n3"\n')
+    write(tmp_path / "two" / "y.csv", 'b,a\n1,"2\n3"\n')
+    with pytest.raises(Exception, match="header"):
+        tables.read_strict_text(spark, str(tmp_path / "two")).collect()
+
+
 def test_files_must_share_a_header(spark, tmp_path):
     write(tmp_path / "a.csv", "x,y\n1,2\n")
     write(tmp_path / "b.csv", "y,x\n1,2\n")
