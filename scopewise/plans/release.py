@@ -198,7 +198,7 @@ def write_release(
             publication_allowed=F.lit(False),
             encodings=F.array(*[F.lit(e) for e in encodings]),
         )
-        verify_release(spark, stage, spec)
+        check_figures(stored, read_header(spark, stage), spec)
     return read_header(spark, out)
 
 
@@ -237,6 +237,14 @@ def reconcile_release(
     )
 
 
+def check_figures(stored: DataFrame, header: DataFrame, spec: FactSpec = DEFAULT_SPEC) -> None:
+    """Raise if published figures are not those of the stored metrics."""
+    wrong = reconcile_release(stored, header, spec).where("not matches").select("figure").distinct()
+    names = sorted(r["figure"] for r in wrong.collect())
+    if names:
+        raise ValueError("The published figures differ from the data: " + ", ".join(names))
+
+
 def verify_release(spark: SparkSession, out: str, spec: FactSpec = DEFAULT_SPEC) -> Row:
     """Check files, metrics, figures and the publication flag of a release.
 
@@ -256,10 +264,7 @@ def verify_release(spark: SparkSession, out: str, spec: FactSpec = DEFAULT_SPEC)
         spec = spec.keyed()
     stored = read_metrics(spark, f"{out}/data/fact", spec, header["fact_format"])
     enforce_metrics(stored, spec)
-    wrong = reconcile_release(stored, header_table, spec).where("not matches").select("figure").distinct()
-    names = sorted(r["figure"] for r in wrong.collect())
-    if names:
-        raise ValueError("The published figures differ from the data: " + ", ".join(names))
+    check_figures(stored, header_table, spec)
     if "publication_allowed" in header_table.columns and not header_table.where("publication_allowed").isEmpty():
         raise ValueError("A release candidate must not allow publication.")
     return header

@@ -304,7 +304,7 @@ def test_registry_file(spark, tmp_path):
     assert many.count() == many.where("rule = 'incomplete_approval'").count() == 1500
 
 
-@pytest.mark.parametrize("step", ["write_data_package", "verify_release"])
+@pytest.mark.parametrize("step", ["write_data_package", "check_figures"])
 def test_broken_release_publishes_nothing_and_can_be_repeated(spark, tmp_path, monkeypatch, step):
     source = write(tmp_path / "n.csv", NATIONAL)
     record = qualification(tmp_path / "q.json", source)
