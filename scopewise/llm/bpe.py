@@ -246,14 +246,21 @@ class Lexicon:
 
 
 def _frequent(batches: Iterable[pa.RecordBatch], source: bytes) -> Iterator[pa.RecordBatch]:
-    """Heavy hitters of a task: when counters run out, all sink by the same count."""
-    vocab, counts = vocabulary(source), Counter()
+    """Heavy hitters of a task: when counters run out, all sink by the same count.
+
+    Stretches between spaces are counted and then split, each with a space before it, as most of them have.
+    """
+    vocab, stretches = vocabulary(source), Counter()
     for piece in pieces(batches, limit=PIECE):
         for text in texts(piece):
-            counts.update(vocab.split(text))
-        if len(counts) > COUNTERS:
-            sink = int(np.partition(np.fromiter(counts.values(), np.int64, len(counts)), -COUNTERS // 2)[-COUNTERS // 2])
-            counts = Counter({word: n - sink for word, n in counts.items() if n > sink})
+            stretches.update(text.split(" "))
+        if len(stretches) > COUNTERS:
+            sink = int(np.partition(np.fromiter(stretches.values(), np.int64, len(stretches)), -COUNTERS // 2)[-COUNTERS // 2])
+            stretches = Counter({word: n - sink for word, n in stretches.items() if n > sink})
+    counts = Counter()
+    for stretch, n in stretches.items():
+        for word in vocab.split(f" {stretch}"):
+            counts[word] += n
     kept = [(word, n) for word, n in counts.items() if len(word.encode()) <= MAX_WORD and word not in vocab.added]
     for at in range(0, len(kept), 10_000):
         words, numbers = zip(*kept[at : at + 10_000], strict=True)
