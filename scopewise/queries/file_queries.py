@@ -179,18 +179,20 @@ def q_manifest_rows(spark, sf_dir):
 
 
 @query(
-    "SELECT 'lang=' || lang || '/part.csv' AS relative_path, sum(octet_length(encode(l)))::BIGINT AS size_bytes, "
-    "sha256(string_agg(l, '' ORDER BY doc_id)) AS sha256 FROM (SELECT lang, doc_id, doc_id || ',' || source || chr(10) AS l "
-    "FROM documents WHERE lang IS NOT NULL) GROUP BY lang"
+    "SELECT 'lang=' || lang || '/bucket=' || bucket || '/part.csv' AS relative_path, "
+    "sum(octet_length(encode(l)))::BIGINT AS size_bytes, sha256(string_agg(l, '' ORDER BY doc_id)) AS sha256 "
+    "FROM (SELECT lang, doc_id, doc_id % 16 AS bucket, doc_id || ',' || source || chr(10) AS l "
+    "FROM documents WHERE lang IS NOT NULL) GROUP BY lang, bucket"
 )
 def q_file_inventory(spark, sf_dir):
-    """Files written per language, listed and hashed from outside."""
-    docs = B.table(spark, sf_dir, "documents").where(F.col("lang").isNotNull())
+    """Files written per language and bucket by parallel tasks, listed and hashed from outside."""
+    docs = B.table(spark, sf_dir, "documents").where(F.col("lang").isNotNull()).withColumn("bucket", F.col("doc_id") % 16)
     line = F.concat_ws(",", F.col("doc_id").cast("string"), "source")
     path = scratch_path(spark, "inventory")
-    docs.select("lang", "doc_id", line.alias("value")).repartition(1).sortWithinPartitions("lang", "doc_id").drop(
-        "doc_id"
-    ).write.partitionBy("lang").text(path)
+    # one task, and so one file, per folder
+    dealt = docs.select("lang", "bucket", "doc_id", line.alias("value")).repartition("lang", "bucket")
+    ordered = dealt.sortWithinPartitions("lang", "bucket", "doc_id").drop("doc_id")
+    ordered.write.partitionBy("lang", "bucket").text(path)
     found = files.inventory(spark, path).where(F.col("relative_path").contains("lang="))
     # a writer chooses the names of its files
     name = F.regexp_replace("relative_path", "part-[^/]*$", "part.csv")
