@@ -1,8 +1,8 @@
 """Data-quality rules.
 
 A row rule is a boolean column that is true on a violation.  A report counts all
-rules of a suite in one scan; a suite with a unique key counts them per key
-first, so that uniqueness needs no scan of its own.  A report lists one line per
+rules of a suite in one scan; a suite with unique keys counts them per key
+first, for all its keys at once, so that uniqueness needs no scan of its own.  A report lists one line per
 check in the order in which the checks apply; ``enforce`` raises for the first
 broken one.
 """
@@ -197,11 +197,11 @@ def basic_checks(
     non_null: Sequence[str] = (),
     key: Sequence[str] = (),
     nonnegative_cols: Sequence[str] = (),
+    further_keys: Sequence[Sequence[str]] = (),
 ) -> list[Check]:
-    """Rows present, no nulls, unique key, numeric and not negative."""
+    """Rows present, no nulls, unique keys, numeric and not negative."""
     checks = [non_empty(), *map(no_nulls, non_null)]
-    if key:
-        checks.append(unique(key))
+    checks += [unique(columns) for columns in (key, *further_keys) if columns]
     for name in nonnegative_cols:
         checks += [numeric(name), nonnegative(name)]
     return checks
@@ -296,35 +296,47 @@ def count_duplicate_rows(df: DataFrame, key: Sequence[str], name: str = "duplica
 def rule_report(df: DataFrame, suite: Suite | Sequence[Check]) -> DataFrame:
     """One row per check: ordinal, rule, subject, violations.
 
-    One scan for all row rules and the first unique key; every further key
-    scans its columns again.
+    One scan and one shuffle of counters for all rules: rows are grouped by
+    every unique key of the suite at once, as grouping sets.
     """
     suite = as_suite(suite)
     numbered = list(enumerate(suite.checks, 1))
     row_rules = [(i, c) for i, c in numbered if c.broken is not None]
-    keyed = [(i, c) for i, c in numbered if c.key]
-    first = keyed[0][1].key if keyed else ()
-    counted = suite.prepare(df).groupBy(*first).agg(
-        F.count("*").alias("rows"), *[violations(c.broken).alias(f"c{i}") for i, c in row_rules]
+    keys = list(dict.fromkeys(tuple(sorted(set(c.key))) for c in suite.checks if c.key)) or [()]
+    prepared = suite.prepare(df)
+    if len(keys) == 1:
+        groups, key_number = prepared.groupBy(*keys[0]), F.lit(0)
+    else:
+        columns = sorted(set().union(*keys))
+        groups = prepared.groupingSets([list(map(F.col, key)) for key in keys], *map(F.col, columns))
+        ids = [sum(1 << i for i, c in enumerate(reversed(columns)) if c not in key) for key in keys]
+        key_number = reduce(
+            lambda rest, n: F.when(F.grouping_id() == ids[n], n).otherwise(rest), range(1, len(keys)), F.lit(0)
+        )
+    counted = groups.agg(
+        key_number.alias("_key"),
+        F.count("*").alias("rows"),
+        *[violations(c.broken).alias(f"c{i}") for i, c in row_rules],
     )
+
+    def summed(value: Column, key: int, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_key") == key, value)), F.lit(0)).alias(name)
+
+    rows = F.col("rows")
     totals = counted.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("rows") > 1, F.col("rows"))), F.lit(0)).alias("shared"),
-        *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i, _ in row_rules],
+        summed(rows, 0, "rows"),
+        *[summed(F.when(rows > 1, rows), n, f"shared{n}") for n in range(len(keys))],
+        *[summed(F.col(f"c{i}"), 0, f"c{i}") for i, _ in row_rules],
     )
 
     def count(i: int, check: Check) -> Column:
         if check.broken is not None:
             return F.col(f"c{i}")
-        return F.col("shared") if check.key else (F.col("rows") == 0).cast("bigint")
-
-    lines = [_line(i, c, count(i, c)) for i, c in numbered if c.key in ((), first)]
-    parts = [totals.select(F.inline(F.array(*lines)))]
-    for i, check in keyed:
-        if check.key != first:
-            duplicates = count_duplicate_rows(df, check.key, "n")
-            parts.append(duplicates.select(F.inline(F.array(_line(i, check, F.col("n"))))))
-    return reduce(DataFrame.unionByName, parts)
+        if check.key:
+            return F.col(f"shared{keys.index(tuple(sorted(set(check.key))))}")
+        return (rows == 0).cast("bigint")
+
+    return totals.select(F.inline(F.array(*[_line(i, c, count(i, c)) for i, c in numbered])))
 
 
 def _line(ordinal: int, check: Check, count: Column) -> Column:

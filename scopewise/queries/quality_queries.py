@@ -84,6 +84,26 @@ def q_basic_checks(spark, sf_dir):
     return Q.rule_report(B.damaged_fact(spark, sf_dir), checks)
 
 
+_SHARED = "(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM t GROUP BY {}) WHERE n > 1)"
+_LINE_KEYS = (("l_orderkey", "l_linenumber"), ("l_orderkey",), ("l_returnflag", "l_linestatus", "l_linenumber"))
+
+
+@query(
+    report_sql(
+        f"WITH {B.LINES}, t AS (SELECT * FROM line)",
+        [
+            _NON_EMPTY,
+            ("no_nulls", "l_linenumber", broken("l_linenumber IS NULL")),
+            *[("unique", ", ".join(key), _SHARED.format(", ".join(key))) for key in _LINE_KEYS],
+        ],
+    )
+)
+def q_unique_keys(spark, sf_dir):
+    """Three keys of the line items, judged in one scan and one shuffle."""
+    checks = Q.basic_checks(["l_linenumber"], _LINE_KEYS[0], further_keys=_LINE_KEYS[1:])
+    return Q.rule_report(B.line_key(spark, sf_dir), checks)
+
+
 def _lenient_sql() -> str:
     source = """WITH t AS (SELECT l_returnflag AS scope_name, l_linestatus AS scope_id,
   CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS entity_name,

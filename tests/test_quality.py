@@ -199,3 +199,22 @@ def test_unknown_fields_are_refused_by_all_measures(small):
             measure(metrics, context=bad)
     with pytest.raises(DataQualityError, match="pan"):
         E.tooltip(metrics, bad)
+
+
+def test_all_keys_in_one_scan(spark, tmp_path):
+    rows = [("A", 1, None), ("A", 2, None), (None, 2, "x"), (None, 2, "y"), ("B", 3, "x"), ("B", 3, "x")]
+    spark.createDataFrame(rows, "a string, b int, c string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    keys = [("a",), ("b", "a"), ("c",), ("a", "b")]
+    checks = [Q.non_empty(), Q.no_nulls("a"), *map(Q.unique, keys), Q.no_nulls("c")]
+    report = Q.rule_report(df, checks)
+    found = [r["violations"] for r in report.orderBy("ordinal").collect()]
+    shared = []
+    for key in keys:
+        values = [tuple(row["abc".index(c)] for c in key) for row in rows]
+        shared.append(sum(values.count(v) for v in set(values) if values.count(v) > 1))
+    assert found == [0, 2, *shared, 2]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    empty = Q.rule_report(df.limit(0), checks).orderBy("ordinal").collect()
+    assert [r["violations"] for r in empty] == [1, 0, 0, 0, 0, 0, 0]
