@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scopewise.operators import contexts as C
 from scopewise.operators import measures as E
 from scopewise.operators import pages as P
 from scopewise.operators.metrics import category_shares, entity_metrics
@@ -201,3 +205,68 @@ def q_drillthrough(spark, sf_dir):
     labels = [label for label in SPEC.dominant_labels if label != "TIE"]
     context = E.FilterContext(outer={"dominant_category": labels})
     return E.drillthrough(entity_metrics(B.entity(spark, sf_dir)), chosen, context)
+
+
+def _page(spark, sf_dir):
+    """Filters of a page: per region a ranking, a category and an entity visual, and one without filters."""
+    places = B.table(spark, sf_dir, "region").select(F.col("r_name").alias("region"), "r_regionkey")
+    nations = B.table(spark, sf_dir, "nation").join(places, F.col("n_regionkey") == F.col("r_regionkey"))
+    first = B.table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.min("c_custkey").alias("code"))
+    codes = nations.join(first, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "region", F.col("code").cast("string").alias("code")
+    )
+
+    def rows(source, visual: str, part: str, column: str, value):
+        name = F.concat(F.lit(f"{visual} "), F.col("region"))
+        return source.select(
+            name.alias("context"), F.lit(part).alias("part"), F.lit(column).alias("column_name"), value.alias("value")
+        )
+
+    labels = F.explode(F.array(F.lit("MICRO"), F.lit("SMALL")))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            rows(places, "ranking", "outer", "scope_name", F.col("region")),
+            rows(places, "ranking", "inner", "top_10_flag", F.lit("true")),
+            rows(places, "category", "outer", "scope_name", F.col("region")),
+            rows(places, "category", "inner", "dominant_category", labels),
+            rows(places, "entity", "outer", "scope_name", F.col("region")),
+            rows(codes, "entity", "inner", "entity_code", F.col("code")),
+            spark.createDataFrame([("all", None, None, None)], C.CONTEXT_SCHEMA),
+        ],
+    )
+
+
+def _page_sql() -> str:
+    """Every context as a row of lists, met with the metrics by plain conditions."""
+    sums = [f"CAST(sum({c}) FILTER (WHERE o AND e) AS BIGINT) AS {c}_registered" for c in SPEC.categories]
+    shares = [
+        f"{B.ratio(f'sum({c}) FILTER (WHERE o AND e)', 'sum(total) FILTER (WHERE o AND e)')} AS {c}_share"
+        for c in SPEC.categories
+    ]
+    entities = "count(DISTINCT entity_code) FILTER (WHERE o AND e)"
+    return f"""{_SINCE}, ctx AS (
+  SELECT 'ranking ' || r_name AS context, r_name AS scope, NULL AS labels, true AS top, NULL AS codes FROM region
+  UNION ALL SELECT 'category ' || r_name, r_name, ['MICRO', 'SMALL'], NULL, NULL FROM region
+  UNION ALL SELECT 'entity ' || r_name, r_name, NULL, NULL, list(code) FROM (SELECT r_name, n_nationkey,
+    CAST(min(c_custkey) AS VARCHAR) AS code FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey GROUP BY r_name, n_nationkey) GROUP BY r_name
+  UNION ALL SELECT 'all', NULL, NULL, NULL, NULL),
+met AS (SELECT *, (labels IS NULL OR list_contains(labels, dominant_category)) AND (top IS NULL OR top_10_flag) AS o,
+  codes IS NULL OR list_contains(codes, entity_code) AS e FROM metrics, ctx WHERE scope IS NULL OR scope = scope_name)
+SELECT context, scope_name, CAST(sum(total) FILTER (WHERE o AND e) AS BIGINT) AS total_registered, {", ".join(sums)},
+  {entities} AS entity_count, {B.ratio("sum(total) FILTER (WHERE o AND e)", entities)} AS average_per_entity,
+  {", ".join(shares)}, CAST(sum(total) FILTER (WHERE o) AS BIGINT) AS whole_total,
+  {B.ratio("sum(total) FILTER (WHERE o AND e)", "sum(total) FILTER (WHERE o)")} AS selected_contribution,
+  first(entity_name ORDER BY total DESC, entity_name) AS highest_entity,
+  first(entity_name ORDER BY total, entity_name) AS lowest_entity,
+  CAST(coalesce(min(rank_total) FILTER (WHERE o AND e), 0) <= 10 AS INTEGER) AS top_10,
+  CAST(coalesce(min(rank_total_ascending) FILTER (WHERE o AND e), 0) <= 10 AS INTEGER) AS bottom_10
+FROM met GROUP BY context, scope_name"""
+
+
+@query(_page_sql())
+def q_page_contexts(spark, sf_dir):
+    """Sixteen filter contexts of one page, read from tables and evaluated over one scan of the metrics."""
+    metrics = entity_metrics(B.entity_since(spark, sf_dir))
+    return C.context_measures(metrics, _page(spark, sf_dir), ["scope_name"])
