@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scopewise.operators.metrics import entity_metrics
@@ -35,13 +35,46 @@ from scopewise.operators.ranking import require_limit
 from scopewise.operators.scoping import canonical_scope, load_fact, validate_then_filter
 from scopewise.operators.views import ranking_view
 from scopewise.plans.publish import staged
-from scopewise.session import materialize, scratch_tables
+from scopewise.session import materialize, scratch_tables, together
 from scopewise.sources.files import inventory
 from scopewise.sources.sinks import write_csv, write_inventory, write_json_rows, write_parquet
 from scopewise.sources.tables import read_metrics
 from scopewise.spec import DEFAULT_SPEC, FactSpec
 
 
+class WrittenFigures:
+    """Row counts and totals, counted by the jobs that write the rows.
+
+    They are observed in the last stage of a write, so the manifest needs no
+    second read. An observation has no groups: totals per snapshot are read
+    back from what was written.
+    """
+
+    def __init__(self, spec: FactSpec = DEFAULT_SPEC):
+        self.spec = spec
+        self.fact, self.rankings = Observation(), Observation()
+
+    def of_fact(self, df: DataFrame) -> DataFrame:
+        sums = [
+            F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(f"{c}_total")
+            for c in (*self.spec.categories, self.spec.total)
+        ]
+        return df.observe(self.fact, F.count(F.lit(1)).alias("row_count"), *sums)
+
+    def of_rankings(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.rankings, F.count(F.lit(1)).alias("n"))
+
+    def totals(self, stored: DataFrame) -> DataFrame:
+        """Like ``release_totals`` of the written fact."""
+        if self.spec.snapshot_cols:
+            return release_totals(stored, self.spec)
+        figures = [F.lit(v).cast("bigint").alias(k) for k, v in self.fact.get.items()]
+        return stored.sparkSession.range(1, numPartitions=1).select(*figures)
+
+    def ranking_rows(self) -> Column:
+        return F.lit(self.rankings.get["n"]).cast("bigint")
+
+
 METRIC_STEPS = ("derived ranks, shares, dominant categories and flags", "checked the derived columns")
 
 
@@ -73,7 +106,11 @@ def data_dictionary(spark: SparkSession, spec: FactSpec = DEFAULT_SPEC) -> DataF
 
 
 def write_metrics(
-    metrics: DataFrame, path: str, spec: FactSpec = DEFAULT_SPEC, fmt: str = "parquet"
+    metrics: DataFrame,
+    path: str,
+    spec: FactSpec = DEFAULT_SPEC,
+    fmt: str = "parquet",
+    written: WrittenFigures | None = None,
 ) -> DataFrame:
     """Write metrics in rank order, and read them back.
 
@@ -82,7 +119,10 @@ def write_metrics(
     ranks in order, however many tasks a large scope takes.
     """
     order = [*spec.scope_keys, "rank_total"]
-    ordered = metrics.select(*spec.output_cols).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = metrics.select(*spec.output_cols).repartitionByRange(*order)
+    if written:
+        ranged = written.of_fact(ranged)  # below the sort, which the writer relies on
+    ordered = ranged.sortWithinPartitions(*order)
     if fmt == "csv":
         write_csv(ordered, path)
     else:
@@ -113,19 +153,29 @@ def write_data_package(
     fact_format: str = "parquet",
     steps: Sequence[str] = (),
     limitations: Sequence[str] = (),
+    written: WrittenFigures | None = None,
 ) -> DataFrame:
     """Write everything below ``out/data``; returns the stored metrics.
 
-    Expects checked metrics.  Views and KPIs read what was written.
+    Expects checked metrics.  Views and KPIs read what was written, at the same
+    time; ``written`` takes the figures of the manifest.
     """
     require_limit(limit)
     spark = metrics.sparkSession
     steps = (*steps, *METRIC_STEPS)
-    stored = write_metrics(metrics, f"{out}/data/fact", spec, fact_format)
-    write_csv(ranking_view(stored, limit, spec), f"{out}/data/rankings")
-    write_json_rows(qualified_summary(stored, source, spec), f"{out}/data/summary")
-    write_json_rows(qualified_provenance(stored, source, "fact", spec, steps, limitations), f"{out}/data/metadata")
-    write_csv(data_dictionary(spark, spec), f"{out}/data/dictionary")
+    stored = write_metrics(metrics, f"{out}/data/fact", spec, fact_format, written)
+    rankings = ranking_view(stored, limit, spec)
+    if written:
+        rankings = written.of_rankings(rankings)
+    summary = qualified_summary(stored, source, spec)
+    record = qualified_provenance(stored, source, "fact", spec, steps, limitations)
+    together(
+        spark,
+        lambda: write_csv(rankings, f"{out}/data/rankings"),
+        lambda: write_json_rows(summary, f"{out}/data/summary"),
+        lambda: write_json_rows(record, f"{out}/data/metadata"),
+        lambda: write_csv(data_dictionary(spark, spec), f"{out}/data/dictionary"),
+    )
     return stored
 
 
@@ -142,18 +192,24 @@ def write_manifest(
     fact_format: str = "parquet",
     limitations: Sequence[str] = (),
     figures: DataFrame | None = None,
+    written: WrittenFigures | None = None,
     **extra: Column,
 ) -> DataFrame:
     """Hash what was written, then publish files and header of the manifest.
 
     The header has one row per snapshot; ``figures`` adds columns to it.
+    Without the figures of the writing jobs, all are read back.
     """
     spark = stored.sparkSession
-    rankings = spark.read.option("header", True).csv(f"{out}/data/rankings")
+    if written:
+        totals, ranking_rows = written.totals(stored), written.ranking_rows()
+    else:
+        rankings = spark.read.option("header", True).csv(f"{out}/data/rankings")
+        totals, ranking_rows = release_totals(stored, spec), rankings.agg(F.count("*")).scalar()
     files = materialize(inventory(spark, out), "inventory")
     write_inventory(files, f"{out}/manifest/files")
     size = files.agg(F.count("*"))
-    totals, added = release_totals(stored, spec), []
+    added = []
     if figures is not None:
         added = [c for c in figures.columns if c not in spec.snapshot_cols]
         if spec.snapshot_cols:
@@ -175,7 +231,7 @@ def write_manifest(
         F.lit(source.retrieval_date).cast("string").alias("retrieval_date"),
         "row_count",
         *[f"{c}_total" for c in (*spec.categories, spec.total)],
-        rankings.agg(F.count("*")).scalar().alias("ranking_row_count"),
+        ranking_rows.alias("ranking_row_count"),
         F.lit(len(spec.output_cols)).alias("dictionary_row_count"),
         size.scalar().alias("file_count"),
         _names(spec.required).alias("base_columns"),
@@ -224,10 +280,11 @@ def write_bundle(
     spark = raw.sparkSession
     with scratch_tables(), staged(spark, out, ("data",)) as stage:
         metrics = checked_metrics(strict_scopes(raw, target, spec), spec)
+        written = WrittenFigures(spec)
         stored = write_data_package(
-            metrics, stage, source, spec, limit, fact_format, strict_steps(target), limitations
+            metrics, stage, source, spec, limit, fact_format, strict_steps(target), limitations, written
         )
-        write_manifest(stored, stage, "Data package", source, spec, fact_format, limitations)
+        write_manifest(stored, stage, "Data package", source, spec, fact_format, limitations, written=written)
     return read_header(spark, out)
 
 

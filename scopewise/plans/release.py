@@ -16,7 +16,7 @@ from scopewise.operators.quality import enforce, enforce_metrics, strict_checks
 from scopewise.operators.ranking import require_limit
 from scopewise.operators.reconcile import verify_manifest
 from scopewise.operators.scoping import load_lenient_fact
-from scopewise.plans.bundle import checked_metrics, read_header, write_data_package, write_manifest
+from scopewise.plans.bundle import WrittenFigures, checked_metrics, read_header, write_data_package, write_manifest
 from scopewise.plans.publish import require_committed, staged
 from scopewise.session import materialize, scratch_tables
 from scopewise.sources.files import inventory
@@ -175,7 +175,8 @@ def write_release(
             "checked that no key conflicts or repeats in the scope",
         )
         metrics = checked_metrics(scoped, spec)
-        stored = write_data_package(metrics, stage, source, spec, limit, fact_format, steps, limitations)
+        written = WrittenFigures(spec)
+        stored = write_data_package(metrics, stage, source, spec, limit, fact_format, steps, limitations, written)
         write_json_rows(records.drop("fields"), f"{stage}/qualification")
         write_json_rows(release_validation(stored, qualification, spec), f"{stage}/validation")
         national_figures = verdicts.select(
@@ -194,6 +195,7 @@ def write_release(
             fact_format,
             limitations,
             national_figures,
+            written,
             release_status=F.lit(CANDIDATE),
             publication_allowed=F.lit(False),
             encodings=F.array(*[F.lit(e) for e in encodings]),

@@ -7,9 +7,12 @@ import uuid
 import weakref
 import zipfile
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 from pathlib import Path
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,6 +48,19 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> None:
+    """Run independent jobs at the same time and wait for all; the first error is raised.
+
+    Short jobs then share the cluster instead of waiting for each other's last task.
+    """
+    if not jobs:
+        return
+    with ThreadPoolExecutor(min(len(jobs), 8)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for job in running:
+        job.result()
+
+
 #: Tables that ``materialize`` wrote and nobody has emptied yet.
 _live: dict[str, SparkSession] = {}
 _path_of: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
@@ -89,8 +105,9 @@ def scratch_tables() -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield keep
     finally:
-        for path in set(_live) - before - kept:
-            _empty(path)
+        paths = set(_live) - before - kept
+        if paths:
+            together(_live[min(paths)], *[partial(_empty, path) for path in paths])
 
 
 _shipped: set[str] = set()

@@ -3,7 +3,7 @@
 Spark's own file sources skip names that start with "_" or "." and load a
 binary file as one cell.  An inventory must have such names and files of any
 size, so folders are listed and files are hashed in tasks, through the file
-system API of Arrow: all folders of a level at once, level by level.
+system API of Arrow: all folders that are known at once, then those below them.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from scopewise.session import materialize, ship_package
 
 CHUNK_BYTES = 1 << 20
+#: A task goes on below a folder until it has seen so many entries there.
+ENTRIES_PER_FOLDER = 200
 
 FILE_SCHEMA = "relative_path string, size_bytes bigint, sha256 string"
 ENTRY_SCHEMA = "relative_path string, is_folder boolean, size_bytes bigint"
@@ -49,14 +51,34 @@ def location(uri: str) -> tuple[fs.FileSystem, str]:
     return filesystem, path.rstrip("/")
 
 
-def list_folders(batches: Iterator[pd.DataFrame], root: str) -> Iterator[pd.DataFrame]:
-    """The entries of every folder, one level deep."""
+def list_folders(batches: Iterator[pd.DataFrame], root: str, include_hidden: bool = True) -> Iterator[pd.DataFrame]:
+    """The files of every folder, and the folders below it that are still to list.
+
+    Small folders are listed as deep as ``ENTRIES_PER_FOLDER`` entries last, so
+    a small tree takes one job; what is left is dealt to tasks again.
+    """
     filesystem, base = location(root)
+
+    def hidden(path: str) -> bool:
+        return not include_hidden and path.rpartition("/")[2].startswith(".")
+
     for batch in batches:
         for folder in batch["relative_path"]:
-            found = filesystem.get_file_info(fs.FileSelector(f"{base}/{folder}" if folder else base))
+            listed, waiting, seen = [], [folder], 0
+            while waiting and seen < ENTRIES_PER_FOLDER:
+                path = waiting.pop()
+                found = filesystem.get_file_info(fs.FileSelector(f"{base}/{path}" if path else base))
+                seen += len(found) + 1
+                for entry in found:
+                    name = entry.path[len(base) + 1 :]
+                    if hidden(name):
+                        continue
+                    if entry.type == fs.FileType.Directory:
+                        waiting.append(name)
+                    else:
+                        listed.append((name, False, entry.size or 0))
             yield pd.DataFrame(
-                [(i.path[len(base) + 1 :], i.type == fs.FileType.Directory, i.size or 0) for i in found],
+                [*listed, *((name, True, 0) for name in waiting)],
                 columns=["relative_path", "is_folder", "size_bytes"],
             ).astype({"is_folder": bool, "size_bytes": "int64"})
 
@@ -84,7 +106,7 @@ def _tasks(spark: SparkSession) -> int:
 def list_files(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
     """Relative path and size of all files below ``root``.
 
-    The driver learns no path: it starts one job per level of folders.
+    The driver learns no path: it starts jobs until no folder is left to list.
     """
     ship_package(spark)
     filesystem, base = location(root)
@@ -95,14 +117,13 @@ def list_files(spark: SparkSession, root: str, include_hidden: bool = False) ->
         name = base.rpartition("/")[2]
         size = filesystem.get_file_info(base).size
         return spark.range(1).select(F.lit(name).alias("relative_path"), F.lit(size).cast("bigint").alias("size_bytes"))
-    visible = F.lit(True) if include_hidden else ~F.element_at(F.split("relative_path", "/"), -1).startswith(".")
     folders = spark.range(1).select(F.lit("").alias("relative_path"))
     levels = []
     while True:
         listed = folders.repartition(_tasks(spark), "relative_path").mapInPandas(
-            lambda batches: list_folders(batches, root), ENTRY_SCHEMA
+            lambda batches: list_folders(batches, root, include_hidden), ENTRY_SCHEMA
         )
-        level = materialize(listed.where(visible), "listing")
+        level = materialize(listed, "listing")
         levels.append(level.where("NOT is_folder").select("relative_path", "size_bytes"))
         folders = level.where("is_folder").select("relative_path")
         if folders.isEmpty():

@@ -410,3 +410,22 @@ def test_files_in_order_of_names_hold_the_ranks_in_order(spark, tmp_path):
     found = written_positions(spark, path)
     assert found.where("written_position <> rank_total").isEmpty() and found.count() == 3000
     assert found.where("scope_name = 'LARGE'").agg(F.max("file_number")).first()[0] > 2
+
+
+@pytest.mark.parametrize("fact_format", ["parquet", "csv"])
+def test_header_figures_are_counted_while_writing(spark, small, tmp_path, monkeypatch, fact_format):
+    """No job reads the fact or the rankings again for the header, and the figures are those of a read."""
+    raw = small.select(*[F.col(c).cast("string").alias(c) for c in small.columns])
+    out = str(tmp_path / "out")
+    expected = release_totals(small).first().asDict()
+
+    def refused(*_):
+        raise AssertionError("The header read the fact again.")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bundle, "release_totals", refused)
+        header = bundle.write_bundle(raw, out, Source("S", "s.csv"), fact_format=fact_format).first()
+    assert {name: header[name] for name in expected} == expected
+    rankings = spark.read.option("header", True).csv(f"{out}/data/rankings").count()
+    assert header["ranking_row_count"] == rankings > 0
+    assert release_totals(bundle.read_metrics(spark, f"{out}/data/fact", fmt=fact_format)).first().asDict() == expected

@@ -1,6 +1,7 @@
 import hashlib
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,3 +277,24 @@ def test_json_rows_are_deterministic(spark, tmp_path):
     sinks.write_json_rows(df, str(tmp_path / "j"))
     text = [p.read_text() for p in (tmp_path / "j").glob("*.json")]
     assert "".join(text) == '{"a":null,"b":2,"s":{"y":2,"z":1}}\n'
+
+
+@pytest.mark.parametrize("entries", [1, 3, 200])
+@pytest.mark.parametrize("include_hidden", [True, False])
+def test_listing_does_not_depend_on_the_depth_of_a_task(tmp_path, monkeypatch, entries, include_hidden):
+    monkeypatch.setattr(files, "ENTRIES_PER_FOLDER", entries)
+    names = ["a.txt", "x/b.txt", "x/y/z/c.txt", "x/.h/d.txt", ".top/e.txt", "w/_f.txt", "w/.g"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    (tmp_path / "empty").mkdir()
+    found, rounds = set(), 0
+    folders = pd.DataFrame({"relative_path": [""]})
+    while len(folders):
+        level = pd.concat(files.list_folders(iter([folders]), str(tmp_path), include_hidden))
+        found |= {(p, s) for p, f, s in level.itertuples(index=False) if not f}
+        folders = level[level["is_folder"]][["relative_path"]]
+        rounds += 1
+    kept = [n for n in names if include_hidden or not any(p.startswith(".") for p in n.split("/"))]
+    assert found == {(n, len(n)) for n in kept}
+    assert (rounds == 1) == (entries == 200)
