@@ -10,6 +10,7 @@ from scopewise.operators import provenance as V
 from scopewise.operators.metrics import entity_metrics
 from scopewise.plans.bundle import write_bundle, write_data_package, write_fact
 from scopewise.plans.release import qualification_of_scopes, reconcile_release
+from scopewise.plans.snapshots import read_provenance, read_snapshots, write_snapshots
 from scopewise.queries import bindings as B
 from scopewise.queries.registry import query
 from scopewise.session import materialize, scratch_path
@@ -243,6 +244,34 @@ def q_release_reconcile(spark, sf_dir):
     return reconcile_release(stored, published, spec)
 
 
+_SNAPSHOTS = """, s AS (SELECT 'first' AS as_of, * FROM entity UNION ALL
+  SELECT 'second', * FROM entity WHERE scope_name <> 'ASIA' AND total > 10)
+SELECT as_of, scope_name, count(*) AS row_count, CAST(sum(total) AS BIGINT) AS total,
+  first(entity_name ORDER BY total DESC, entity_name, entity_code) AS leader, count(*) AS recorded_rows
+FROM s GROUP BY as_of, scope_name"""
+
+
+@query(f"WITH {B.ENTITY}{_SNAPSHOTS}")
+def q_snapshot_table(spark, sf_dir):
+    """Two snapshots in one table, the second written again with fewer scopes and rows; read per snapshot."""
+    spec = FactSpec(snapshot_cols=("as_of",))
+    fact = B.entity(spark, sf_dir)
+    source = V.Source("ORDERS", "orders.parquet")
+    out = scratch_path(spark, "snapshots")
+    both = F.explode(F.array(F.lit("first"), F.lit("second"))).alias("as_of")
+    write_snapshots(fact.select("*", both), out, source, spec)
+    later = fact.where((F.col("scope_name") != "ASIA") & (F.col("total") > 10))
+    write_snapshots(later.withColumn("as_of", F.lit("second")), out, source, spec)
+    parts = [read_snapshots(spark, out, spec, as_of=name) for name in ("first", "second")]
+    figures = parts[0].unionByName(parts[1]).groupBy("as_of", "scope_name").agg(
+        F.count("*").alias("row_count"),
+        F.sum("total").alias("total"),
+        F.max(F.when(F.col("rank_total") == 1, F.col("entity_name"))).alias("leader"),
+    )
+    told = read_provenance(spark, out, spec).select("as_of", "scope_name", F.col("row_count").alias("recorded_rows"))
+    return figures.join(told, ["as_of", "scope_name"], "full_outer")
+
+
 _SUMS = ", ".join(
     f"CAST(sum({c}) AS BIGINT) AS {c}_total" for c in (*SPEC.categories, SPEC.total)
 )
