@@ -124,11 +124,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH words AS (SELECT 'd' AS kind, doc_id AS id, {_words_sql(_LOWER)} AS w FROM documents
                    UNION ALL SELECT 'i', item_id, {_words_sql(_LOWER)} FROM benchmark),
-    shingles AS (SELECT DISTINCT kind, id, {_SHINGLES_SQL} AS shingle FROM words),
-    items AS (SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n_item FROM shingles WHERE kind = 'i')
+    own AS (SELECT DISTINCT id, {_SHINGLES_SQL} AS shingle FROM words WHERE kind = 'i'),
+    items AS (SELECT id, shingle, count(*) OVER (PARTITION BY id) AS n_item FROM own),
+    lengths AS (SELECT 5 AS n UNION SELECT len(w) FROM words WHERE kind = 'i' AND len(w) BETWEEN 1 AND 4),
+    shingles AS (SELECT DISTINCT id, unnest([array_to_string(list_slice(w, i, i + n - 1), ' ')
+                 for i in range(1, len(w) - n + 2)]) AS shingle FROM words, lengths WHERE kind = 'd')
     SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_common, any_value(n_item) AS n_item,
            count(*) / any_value(n_item) AS containment
-    FROM shingles d JOIN items i ON d.kind = 'd' AND d.shingle = i.shingle
+    FROM shingles d JOIN items i ON d.shingle = i.shingle
     GROUP BY d.id, i.id HAVING count(*) / any_value(n_item) >= 0.8
     """
 )

@@ -38,11 +38,12 @@ def near(rows, percent=85):
 
 
 def contained(docs, items, least=0.8):
-    """(doc_id, item_id) -> containment."""
+    """(doc_id, item_id) -> containment; an item of one to four words is one shingle of that many words."""
     sets = [(item_id, shingles(text)) for item_id, text in items]
+    lengths = {len(shingle) for _, item in sets for shingle in item} | {5}
     found = {}
     for doc_id, text in docs:
-        own = shingles(text)
+        own = frozenset(s for n in lengths for s in shingles(text, n) if len(s) == n)
         for item_id, item in sets:
             if item and len(item & own) >= least * len(item):
                 found[doc_id, item_id] = len(item & own) / len(item)
