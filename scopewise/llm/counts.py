@@ -6,8 +6,9 @@ bytes. Distinct pre-tokens are inserted into a trie, whose nodes hold the forwar
 so that a prefix shared by many pre-tokens is computed once. The node where a pre-token ends stores its
 number of tokens. Among segmentations of equal score the one with the longer last piece counts.
 
-The trie belongs to a task and is emptied when it has ``max_nodes`` nodes, which changes no result. Defined
-cases: a null text has no tokens; a null doc_id is passed on; repeated rows each get a row; no other column
+The trie belongs to a task and is emptied when it has ``max_nodes`` nodes, which changes no result. A
+pre-token of more than ``LONG_WORD`` bytes shares little: its forward pass keeps the scores of the last
+prefixes only, as many as the longest piece has bytes, and no node. Defined cases: a null text has no tokens; a null doc_id is passed on; repeated rows each get a row; no other column
 is read.
 """
 
@@ -30,6 +31,8 @@ from scopewise.llm.bpe import PATTERN
 
 #: Nodes of a task's trie.
 MAX_NODES = 1_000_000
+#: Bytes of a pre-token from which on it is kept out of the trie.
+LONG_WORD = 4096
 
 
 def piece_scores(ranks: bytes) -> dict[bytes, float]:
@@ -45,6 +48,7 @@ class SharedTrie:
     def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES):
         self.scores, self.max_nodes = scores, max_nodes
         self.suffixes = {piece[i:] for piece in scores for i in range(1, len(piece))}
+        self.longest = max(map(len, scores), default=1)
         self.clear()
 
     def clear(self) -> None:
@@ -52,6 +56,22 @@ class SharedTrie:
         self.best, self.tokens = [0.0], [0]
         self.terminal: dict[str, int] = {}
 
+    def rolling(self, data: bytes) -> int:
+        """Tokens of a pre-token of any length, in the memory of the longest piece."""
+        width = self.longest + 1
+        best, tokens = [0.0] * width, [0] * width
+        for end in range(1, len(data) + 1):
+            top, count = -math.inf, 0
+            for begin in range(end - 1, -1, -1):
+                piece = data[begin:end]
+                score = self.scores.get(piece)
+                if score is not None and (total := best[begin % width] + score) >= top:
+                    top, count = total, tokens[begin % width] + 1
+                if piece not in self.suffixes:
+                    break
+            best[end % width], tokens[end % width] = top, count
+        return tokens[len(data) % width]
+
     def count(self, word: str) -> int:
         """Tokens of one pre-token."""
         if (known := self.terminal.get(word)) is not None:
@@ -59,6 +79,8 @@ class SharedTrie:
         if len(self.best) > self.max_nodes:
             self.clear()
         data, scores, suffixes = word.encode(), self.scores, self.suffixes
+        if len(data) > LONG_WORD:
+            return self.rolling(data)
         edges, best, tokens = self.edges, self.best, self.tokens
         path = [0]
         for end, byte in enumerate(data, 1):

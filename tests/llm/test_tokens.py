@@ -94,6 +94,18 @@ def best_count(word, scores):
     return len(best[-1][2])
 
 
+def best_count_of_long(word, scores):
+    """The same for words of any length: pieces no longer than the longest, counts instead of pieces."""
+    longest = max(map(len, scores))
+    best = [(0.0, 0, 0)]
+    for end in range(1, len(word) + 1):
+        reachable = range(max(0, end - longest), end)
+        best.append(
+            max((best[b][0] + scores[word[b:end]], end - b, best[b][2] + 1) for b in reachable if word[b:end] in scores)
+        )
+    return best[-1][2]
+
+
 def test_counts_brute_force(odd_docs, documents, texts_of, no_docs):
     with open(RANKS, "rb") as file:
         scores = counts.piece_scores(file.read())
@@ -109,6 +121,44 @@ def test_counts_brute_force(odd_docs, documents, texts_of, no_docs):
     assert counts.token_counts(no_docs, RANKS).collect() == []
 
 
+def test_counts_of_whole_texts(documents, texts_of):
+    """Every row of the table, long texts too, through the query."""
+    from scopewise.llm.queries import RUN
+
+    with open(RANKS, "rb") as file:
+        scores = counts.piece_scores(file.read())
+    known, split = {}, regex.compile(bpe.PATTERN).findall
+
+    def tokens(word):
+        if word not in known:
+            known[word] = best_count_of_long(word.encode(), scores)
+        return known[word]
+
+    expected = sorted((i, len(split(t)), sum(map(tokens, split(t)))) for i, t in texts_of(documents))
+    found = RUN["op5_token_counts"](documents.sparkSession, "/root/testdata/sf0.001").collect()
+    assert sorted(map(tuple, found)) == expected
+    assert documents.where("n_chars >= 1500").count() > 0
+
+
+def test_long_pre_tokens(spark, monkeypatch):
+    """Pre-tokens beyond the bound make no nodes, and count as in the trie."""
+    with open(RANKS, "rb") as file:
+        scores = counts.piece_scores(file.read())
+    rnd = random.Random(9)
+    words = ["a" * 9000, "".join(rnd.choices("abetin", k=8000)), "é" * 3000, " " * 5000, "".join(rnd.choices("theraion", k=300))]
+    trie = counts.SharedTrie(scores)
+    assert [trie.count(word) for word in words] == [best_count_of_long(word.encode(), scores) for word in words]
+    assert len(trie.best) <= 301
+    assert best_count(words[4].encode(), scores) == trie.rolling(words[4].encode())
+    monkeypatch.setattr(counts, "LONG_WORD", 1 << 30)
+    whole = counts.SharedTrie(scores)
+    assert [whole.count(word) for word in words] == [trie.rolling(word.encode()) for word in words]
+    monkeypatch.undo()
+    docs = spark.createDataFrame([(1, "z" * 2_000_000), (2, "\t" * 500_000), (3, " ".join(words))], "doc_id long, text string")
+    found = {r["doc_id"]: r["n_words"] for r in counts.token_counts(docs, RANKS).collect()}
+    assert found[1] == 1 and set(found) == {1, 2, 3}
+
+
 def test_a_prefix_is_computed_once():
     trie = counts.SharedTrie({bytes([b]): -1.0 for b in b"abc"} | {b"ab": -1.5})
     assert [trie.count(w) for w in ("abc", "abca", "ab", "abc")] == [2, 3, 1, 2]
