@@ -14,7 +14,8 @@ that are reachable. Magic inside a payload is never reached.
 Defined cases: a null html is an empty payload; a null url gives a record without target; line ends in a
 url are written as ``%0D`` and ``%0A``; a null page_id is written as an empty id, reads back as null and is
 smaller than any other; equal rows of the response's page_id are all responses; other columns are not
-read. A file must fit Spark's binary reader (2 GB); ``max_records`` per file keeps own archives small.
+read. A file must fit Spark's binary reader (2 GB). Own archives do: records are written in classes of
+their size, and the files of a class hold as many records as ``FILE_BYTES`` of its largest.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scopewise.llm.batches import encoded, map_batches, pieces
@@ -36,8 +37,10 @@ from scopewise.session import materialize, scratch_path
 MAGIC = b"WARC/1.1\r\n"
 #: Bytes of a file that are followed within a task before chains are joined.
 RANGE_BYTES = 2 << 20
-#: Records per archive file.
-MAX_RECORDS = 5_000
+#: Bytes of a record in the first size class, and how many times as large the next class may be.
+CLASS_BYTES, CLASS_STEP = 64 << 10, 16
+#: Bytes of an archive file, if all its records were the largest of their class.
+FILE_BYTES = 320 << 20
 
 
 def base32_sha1(data: bytes) -> str:
@@ -86,7 +89,16 @@ def _header(name: str, value):
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))).otherwise("")
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records: int = MAX_RECORDS) -> None:
+def size_class(class_bytes: int = CLASS_BYTES) -> Column:
+    """0 for pages of up to ``class_bytes``, and one more for every ``CLASS_STEP`` times as much."""
+    size = F.coalesce(F.octet_length("html"), F.lit(0)) + F.coalesce(F.octet_length("url"), F.lit(0))
+    above = [(size > class_bytes * CLASS_STEP**k).cast("int") for k in range(8) if class_bytes * CLASS_STEP**k < 1 << 31]
+    return sum(above, F.lit(0))
+
+
+def write_archives(
+    pages: DataFrame, path: str, min_bytes: int = 0, class_bytes: int = CLASS_BYTES, file_bytes: int = FILE_BYTES
+) -> None:
     """Write one record per page below ``path``.
 
     Of equal payloads of at least ``min_bytes`` the largest page_id is a response, the others revisit it.
@@ -94,11 +106,6 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
     slim = pages.select(F.col("page_id").cast("long"), "url", "html")
     payload = F.coalesce("html", F.lit("")).cast("binary")
     sha1 = F.unhex(F.sha1(payload)).alias("sha1")
-    packed = slim.select("*", sha1).transform(
-        map_batches,
-        lambda batches: _pack(batches, min_bytes),
-        "page_id long, url string, sha1 binary, payload_digest string, payload_bytes long, packed binary",
-    )
     # Stored, so that its size is known: while few payloads repeat, the pages need no shuffle.
     shared = materialize(
         slim.where(F.octet_length(payload) >= min_bytes)
@@ -108,6 +115,23 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
         .select("sha1", "response_id", F.lit(True).alias("is_shared")),
         "shared-payloads",
     )
+    # at most eight classes
+    classes = sorted(r[0] for r in slim.select(size_class(class_bytes).alias("size")).distinct().collect())
+    for number in classes:
+        records = _records(slim.where(size_class(class_bytes) == number).select("*", sha1), shared, min_bytes)
+        limit = max(1, file_bytes // (class_bytes * CLASS_STEP**number))
+        records.write.mode("append").option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", limit).text(path)
+    if not classes:
+        slim.select(F.col("html").alias("value")).write.text(path)
+
+
+def _records(slim: DataFrame, shared: DataFrame, min_bytes: int) -> DataFrame:
+    """(value): the record of every page, without its last two line ends."""
+    packed = slim.transform(
+        map_batches,
+        lambda batches: _pack(batches, min_bytes),
+        "page_id long, url string, sha1 binary, payload_digest string, payload_bytes long, packed binary",
+    )
     decided = packed.join(shared, "sha1", "left").withColumn(
         "revisit", F.coalesce("is_shared", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     )
@@ -145,13 +169,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, max_records:
         F.lit("\r\n"),
         F.col("block"),
     )
-    (
-        records.withColumn("block", block)
-        .select(line.alias("value"))
-        .write.option("lineSep", "\r\n\r\n")
-        .option("maxRecordsPerFile", max_records)
-        .text(path)
-    )
+    return records.withColumn("block", block).select(line.alias("value"))
 
 
 CANDIDATE = (

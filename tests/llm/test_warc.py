@@ -31,7 +31,7 @@ def test_round_trip(spark, range_bytes, least):
     rows = [(i, u, h, "x", 0) for i, u, h in PAGES]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, path string, offset long").coalesce(2)
     folder = scratch_path(spark, "warc")
-    warc.write_archives(pages, folder, least, max_records=5)
+    warc.write_archives(pages, folder, least, class_bytes=40, file_bytes=200)
     found = warc.read_archives(spark, folder, range_bytes, with_payload=True)
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     assert sorted(map(tuple, found.select(columns).collect()), key=str) == expected(PAGES, least)
@@ -53,6 +53,22 @@ def test_long_urls(spark, range_bytes):
     assert sorted(map(tuple, found.select(columns).collect()), key=str) == expected(rows, 0)
 
 
+def test_files_are_bounded_by_bytes(spark):
+    """Many large pages and many small ones: no file holds much more than asked for."""
+    rows = [(i, f"http://a/{i}", f"{i:09d}" * (9_000 if i % 7 == 0 else 3)) for i in range(400)]
+    rows += [(1000, "u" * 90_000, "<p>long url"), (1001, "u", "z" * 1_500_000), (1002, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(pages, folder, class_bytes=1_000, file_bytes=2_000_000)
+    files = spark.read.format("binaryFile").load(folder).select("path", "length").collect()
+    assert sum(r["length"] for r in files) > 6_000_000
+    assert max(r["length"] for r in files) < 2_000_000
+    assert len(files) < 20
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    found = warc.read_archives(spark, folder).select(columns).collect()
+    assert sorted(map(tuple, found), key=str) == expected(rows, 0)
+
+
 def test_headers_are_read_once():
     """Many magics and line ends without a record cost no more than their bytes."""
     content = (warc.MAGIC * 200_000) + b"\r\n\r\n" + warc.MAGIC * 200_000
