@@ -7,18 +7,24 @@ before it: tokens seen there have discounted frequencies, the rest goes to the p
 whose distribution adds a half to every count. So every state is a distribution over all tokens and one
 unknown one.
 
-Contexts and next words need a probability of ``least_share`` to be in the tree, the usual bound of such trees:
-there are at most 1 / ``least_share`` of each length whatever the input, so the tree fits into every task.
-The vocabulary has no such bound:
-
-1. All words of all texts are counted (one shuffle of words with counts). Frequent ones, at most
-   1 / ``least_share``, get numbers.
-2. Texts become arrays of word numbers, stored; other words go beside them, with their counts.
-3. Runs of two, three ... words are counted level by level: a run is counted only where both runs without its
-   first or last word are frequent. A run is its prefix's number and its last word's, so counts are exact.
-4. The tree is fitted from these tables. Every document is scored in one pass without a shuffle; words
-   without numbers lack their root probability, which one join on the word brings. Such words are rare by
-   definition, so no key of the join is large.
+Every run of words that occurs ``least_count`` times in training is in the tree, whatever the size of the input
+(``least_share`` asks for a share of the tokens too; it is 0 unless a caller wants a smaller tree):
+
+1. All words of all texts are counted (one shuffle of words with counts). The most frequent, at most ``_HEAD``,
+   get numbers.
+2. Texts become arrays of word numbers, stored; other words go beside them, with their counts, and bring their
+   part of the base score by a join on the word.
+3. Where the tokens are few enough that no length can have more than ``_HEAD`` runs, runs are counted level by
+   level, the tree is fitted in memory, and every document is scored in one pass without a shuffle.
+4. Otherwise the tree is a table of runs (``fit_tables``): counted by a shuffle per length, fitted by joins of a
+   run with its context and its suffix. The score of a text is a sum over its runs of one to four words, each
+   run bringing one number (``run_values``), so one join on the run and one sum per row score all texts. Every
+   key has a row per text at most there. Filters of a bounded size keep most runs that are not in the tree out
+   of the shuffles; they let some pass and lose none, so they change speed, not results.
+
+Runs of up to three words with numbers have codes made of these, which tell them apart; longer runs and runs with
+other words have codes of 62 hashed bits (words from a cryptographic digest). Runs are counted by the code of
+their context and that of their last word, so four words with numbers are counted exactly too.
 
 Defined cases: null and empty texts have one token, the end; a null doc_id is not held out; repeated rows each
 count and each get a row; without training rows all tokens have the probability of the unknown one; other
@@ -27,6 +33,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -40,13 +47,14 @@ from pyspark.sql import functions as F
 
 from scopewise.llm.batches import encoded, map_batches, pieces
 from scopewise.llm.runs import blocks
-from scopewise.session import materialize, scratch_tables
+from scopewise.llm.shingles import mix
+from scopewise.session import discard, materialize, scratch_tables
 
 #: Words of context at most.
 MAX_CONTEXT = 3
 #: Share of the tokens that a run of words needs to be in the tree.
-LEAST_SHARE = 1e-6
-#: Occurrences that a run of words needs on small inputs.
+LEAST_SHARE = 0.0
+#: Occurrences that a run of words needs to be in the tree.
 LEAST_COUNT = 2
 #: Taken from every count of a next word and given to words not seen in the context.
 DISCOUNT = 0.75
@@ -54,6 +62,13 @@ DISCOUNT = 0.75
 END = ""
 #: Distinct words that a task counts before it gives them on, and runs of words that it sorts at once.
 _COUNTED, _SORTED = 200_000, 1 << 20
+#: Words that get numbers, and runs of a length in a tree in memory, at most.
+_HEAD = 1_000_000
+#: Bits of a filter at most, and bits for each run in it.
+_FILTER, _FILTER_EACH = 1 << 27, 16
+#: Bits of a word's number in the code of a run (more than ``_HEAD`` needs), and what marks other codes.
+_BITS = np.int64(20)
+_HASHED = np.int64(1 << 62)
 _HIGH = np.int64(32)
 _LOW = np.int64((1 << 32) - 1)
 
@@ -106,16 +121,26 @@ def word_counts(docs: DataFrame) -> DataFrame:
 # Texts as word numbers
 
 
-def _encode(batches: Iterable[pa.RecordBatch], number: dict[bytes, int], id_type: pa.DataType):
+def _word_code(word: bytes) -> int:
+    """63 bits for a word without a number, apart from all numbers."""
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "big") >> 2 | 1 << 62
+
+
+def _encode(batches: Iterable[pa.RecordBatch], number: dict[bytes, int], id_type: pa.DataType, coded: bool):
     end = np.array([number[END.encode()]], np.int32)
     for piece in pieces(batches):
-        ids, rest = [], []
+        ids, codes, rest = [], [], []
         for data in encoded(piece):
-            own, others = [], Counter()
+            own, unnumbered, others = [], [], Counter()
             for words in _words(data):
                 found = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
-                others.update(words[i] for i in np.flatnonzero(found < 0).tolist())
+                without = [words[i] for i in np.flatnonzero(found < 0).tolist()]
+                others.update(without)
+                if coded:
+                    unnumbered += without
                 own.append(found)
+            code = {word: _word_code(word) for word in others} if coded else {}
+            codes.append(np.fromiter(map(code.__getitem__, unnumbered), np.int64, len(unnumbered)).tobytes())
             ids.append(np.concatenate([*own, end]).tobytes())
             rest.append([{"word": word.decode(), "n": n} for word, n in others.items()])
         pairs = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
@@ -125,9 +150,10 @@ def _encode(batches: Iterable[pa.RecordBatch], number: dict[bytes, int], id_type
                 piece.column("doc_id").cast(id_type),
                 piece.column("held_out"),
                 pa.array(ids, pa.binary()),
+                pa.array(codes, pa.binary()),
                 pa.array(rest, pairs),
             ],
-            ["row", "doc_id", "held_out", "ids", "others"],
+            ["row", "doc_id", "held_out", "ids", "codes", "others"],
         )
 
 
@@ -211,7 +237,8 @@ def _next_level(texts: DataFrame, levels: list[Level], least: int) -> Level:
         .groupBy("key")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= least)
-        .toPandas()
+        .toArrow()
+        .to_pandas()
         .sort_values("key")
     )
     keys, counts = found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
@@ -273,6 +300,261 @@ def train(texts: DataFrame, counts: np.ndarray, tokens: int, types: int, max_con
     return model
 
 
+# The tree as tables
+
+
+def _codes(piece: pa.RecordBatch, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of a piece, -1 for words that are in no run and behind each text, and where each begins."""
+    ids, begins = _joined(piece)
+    # _joined puts -1 behind each text, so a word without number is a -1 at any other place.
+    inside = np.ones(len(ids), bool)
+    inside[np.r_[begins[1:], len(ids)] - 1] = False
+    codes = np.where((ids >= 0) & known[ids], ids + 1, -1)
+    unnumbered = np.flatnonzero((ids < 0) & inside)
+    codes[unnumbered] = np.frombuffer(b"".join(piece.column("codes").to_pylist()), np.int64)
+    return codes, begins
+
+
+def _joined_codes(prefix: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """Codes of runs of ``length`` words from those of all words but the last and of the last."""
+    left = mix(prefix.astype(np.uint64) + np.uint64(length) * np.uint64(0x9E3779B97F4A7C15))
+    run = mix(left + last.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    hashed = (run >> np.uint64(2)).astype(np.int64) | _HASHED
+    if length > 3:
+        return hashed
+    return np.where((prefix | last) < _HASHED, (prefix << _BITS) | last, hashed)
+
+
+def _suffixes(prefix: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """Codes of runs without their first word where the two parts tell it, or 0."""
+    if length == 2:
+        return last
+    suffix = ((prefix & ((1 << _BITS * (length - 2)) - 1)) << _BITS) | last
+    return np.where((prefix | last) < _HASHED, suffix, 0)
+
+
+def _longer(codes: np.ndarray, words: np.ndarray, length: int) -> np.ndarray:
+    """Codes of the runs of ``length`` words that end at each place from those one word shorter, or -1.
+
+    A run has a code where both its parts have one.
+    """
+    before = np.concatenate([[-1], codes[:-1]])
+    at = np.flatnonzero((before >= 0) & (codes >= 0))
+    found = np.full(len(codes), -1, np.int64)
+    found[at] = _joined_codes(before[at], words[at], length)
+    return found
+
+
+def _places(codes: np.ndarray, n: int) -> np.ndarray:
+    """The bits of codes among ``n``, a power of two."""
+    return (mix(codes.astype(np.uint64)) & np.uint64(n - 1)).astype(np.int64)
+
+
+def _filter_bits(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bit = _places(batch.column("k").to_numpy(), n)
+        bits = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(bit >> 6), pa.array(bits)], ["place", "bits"])
+
+
+def _filter(runs: DataFrame) -> np.ndarray:
+    """A bit for every code of ``runs`` (k) by its hash; codes share bits, more so once the filter has its full size."""
+    n = max(64, min(_FILTER, 1 << (_FILTER_EACH * runs.count()).bit_length()))
+    found = (
+        runs.select("k")
+        .transform(map_batches, lambda batches: _filter_bits(batches, n), "place long, bits long")
+        .groupBy("place")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toArrow()
+    )
+    bits = np.zeros(n >> 6, np.int64)
+    bits[found["place"].to_numpy()] = found["bits"].to_numpy()
+    return bits.view(np.uint64)
+
+
+def _passed(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The codes that the filter has, -1 for others."""
+    at = np.flatnonzero(codes >= 0)
+    bit = _places(codes[at], len(bits) * 64)
+    have = (bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
+    found = np.full(len(codes), -1, np.int64)
+    found[at[have > 0]] = codes[at[have > 0]]
+    return found
+
+
+def _all_runs(words: np.ndarray, filters: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Codes of runs of one, two ... words that the filters of their lengths have, -1 for others."""
+    codes = words
+    yield codes
+    for length, bits in enumerate(filters, 2):
+        codes = _passed(_longer(codes, words, length), bits)
+        yield codes
+
+
+def _count_codes(batches: Iterable[pa.RecordBatch], known: np.ndarray, filters: list[np.ndarray]):
+    """(c, t, s, n): contexts, last words and suffixes of runs one word longer than the filters; see ``_suffixes``."""
+    length = len(filters) + 2
+    for piece in pieces(batches, "ids"):
+        words, _ = _codes(piece, known)
+        *_, shorter = _all_runs(words, filters)
+        codes = _longer(shorter, words, length)
+        at = np.flatnonzero(codes >= 0)
+        _, first, n = np.unique(codes[at], return_index=True, return_counts=True)
+        at = at[first]
+        c, t, s = shorter[at - 1], words[at], shorter[at]
+        s[_suffixes(c, t, length) > 0] = 0
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, (c, t, s, n.astype(np.int64)))), ["c", "t", "s", "n"])
+
+
+def _run_codes(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        c, t, s, n = (batch.column(name).to_numpy() for name in "ctsn")
+        own = np.where(s == 0, _suffixes(c, t, length), s)
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, (_joined_codes(c, t, length), c, own, n))), list("kcsn"))
+
+
+def fit_tables(words: DataFrame, runs: list[DataFrame], discount: float = DISCOUNT) -> list[DataFrame]:
+    """(k, value) of words and of runs of two, three ... words: see ``run_values``.
+
+    ``words`` has (k, n, log_p) with the root's distribution, ``runs`` have (k, c, s, n); stored ones are emptied
+    when they have been used. The rules are those of ``fit``.
+    """
+    fitted, contexts = [words.withColumns({"c": F.lit(None).cast("long"), "s": F.lit(None).cast("long")})], []
+    for found in runs:
+        above = fitted[-1]
+        p, parent = F.exp(F.col("log_p") * math.log(10)), F.exp(F.col("parent_p") * math.log(10))
+        level = materialize(
+            found.join(above.select(F.col("k").alias("c"), F.col("n").alias("n_c")), "c")
+            .join(above.select(F.col("k").alias("s"), F.col("log_p").alias("parent_p")), "s")
+            .select("k", "c", "s", "n", "n_c", F.log10((F.col("n") - discount) / F.col("n_c")).alias("log_p"), "parent_p"),
+            "fitted",
+        )
+        discard(found)
+        sums = level.groupBy("c").agg(
+            F.max("n_c").alias("n_c"),
+            F.greatest(1 - F.sum(p), F.lit(1e-12)).alias("rest"),
+            F.greatest(1 - F.sum(parent), F.lit(1e-12)).alias("parent_rest"),
+            F.sum(p * (F.col("log_p") - F.col("parent_p")) * math.log(10)).alias("gain"),
+            F.count("*").alias("seen"),
+        )
+        ratio = F.col("rest") / F.col("parent_rest")
+        diverges = F.col("n_c") * (F.col("gain") + F.col("rest") * F.log(ratio)) > 0.5 * F.col("seen") * F.log("n_c")
+        contexts.append(
+            materialize(sums.select(F.col("c").alias("k"), F.log10(ratio).alias("log_rest"), diverges.alias("kept")), "rests")
+        )
+        fitted.append(level)
+    # Kept nodes keep the path to the root.
+    kept, longer = [], None
+    for level, own in zip(reversed(fitted[:-1]), reversed(contexts), strict=True):
+        if longer is not None:
+            own = own.join(longer, "k", "left").withColumn("kept", F.col("kept") | F.coalesce("needed", F.lit(False)))
+        own = materialize(own.where("kept").join(level.select("k", "s"), "k").select("k", "s", "log_rest"), "kept")
+        longer = own.select(F.col("s").alias("k")).distinct().withColumn("needed", F.lit(True))
+        kept.insert(0, own.select("k", "log_rest"))
+    return run_values(fitted, kept)
+
+
+def run_values(fitted: list[DataFrame], kept: list[DataFrame]) -> list[DataFrame]:
+    """(k, value): what every occurrence of a run adds to the log10 probability of its text.
+
+    After a kept context the next word's probability is its own there, or the one after the shorter context times
+    the share left. So each kept context adds that share's log, and each run after a kept context the difference
+    of its log probability to its suffix's, less that share's. Every context is followed by one word.
+    """
+    values = [kept[0].withColumnRenamed("log_rest", "value")]
+    for level, above, own in zip(fitted[1:], kept, [*kept[1:], None], strict=True):
+        after = level.join(above.withColumnsRenamed({"k": "c", "log_rest": "rest_c"}), "c").select(
+            "k", (F.col("log_p") - F.col("parent_p") - F.col("rest_c")).alias("value")
+        )
+        both = after if own is None else after.union(own).groupBy("k").agg(F.sum("value").alias("value"))
+        values.append(both)
+    return values
+
+
+def _occurrences(batches: Iterable[pa.RecordBatch], known: np.ndarray, filters: list[np.ndarray]):
+    """(row, k, times): runs of every text, and words without numbers, that may be in the tree."""
+    for piece in pieces(batches, "ids"):
+        words, begins = _codes(piece, known)
+        rows = piece.column("row").to_numpy()
+        text = np.repeat(np.arange(len(rows)), np.diff(np.r_[begins, len(words)]))
+        for length, codes in enumerate(_all_runs(words, filters), 1):
+            at = np.flatnonzero(codes >= (_HASHED if length == 1 else 0))
+            if not len(at):
+                continue
+            k, own = codes[at], text[at]
+            order = np.lexsort((k, own))
+            k, own = k[order], own[order]
+            first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (own[1:] != own[:-1])])
+            times = np.diff(np.r_[first, len(k)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[own[first]]), pa.array(k[first]), pa.array(times)], ["row", "k", "times"]
+            )
+
+
+def _table_codes(batches: Iterable[pa.RecordBatch], number: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    for piece in pieces(batches, "word"):
+        words = encoded(piece, "word")
+        codes = [number[word] + 1 if word in number else _word_code(word) for word in words]
+        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), piece.column("trained")], ["k", "n"])
+
+
+def table_values(
+    texts: DataFrame, words: DataFrame, known: np.ndarray, max_context: int, least: int
+) -> tuple[np.ndarray, DataFrame, list[np.ndarray]]:
+    """What each word with a number adds, (k, value) of all other runs, stored, and the filters of their lengths.
+
+    ``words`` has (k, n, log_p) of those that occur ``least`` times in training; ``known`` tells it by number.
+    """
+    context = texts.sparkSession.sparkContext
+    with scratch_tables() as keep:
+        runs, filters = [], []
+        for _ in range(max_context):
+            shared = context.broadcast((known, list(filters)))
+            found = materialize(
+                texts.where(~F.col("held_out"))
+                .select("ids", "codes")
+                .transform(
+                    map_batches,
+                    lambda batches, shared=shared: _count_codes(batches, *shared.value),
+                    "c long, t long, s long, n long",
+                )
+                .groupBy("c", "t")
+                .agg(F.any_value("s").alias("s"), F.sum("n").alias("n"))
+                .where(F.col("n") >= least)
+                .transform(
+                    map_batches,
+                    lambda batches, length=len(filters) + 2: _run_codes(batches, length),
+                    "k long, c long, s long, n long",
+                ),
+                "runs",
+            )
+            runs.append(found)
+            filters.append(_filter(found))
+        first, *longer = fit_tables(words, runs)
+        head = first.where(F.col("k") < int(_HASHED)).toArrow()
+        values = np.zeros(len(known))
+        values[head["k"].to_numpy() - 1] = head["value"].to_numpy()
+        value = first.where(F.col("k") >= int(_HASHED))
+        for table in longer:
+            value = value.union(table)
+        value = keep(materialize(value, "run-values"))
+    return values, value, filters
+
+
+def table_sums(texts: DataFrame, value: DataFrame, known: np.ndarray, filters: list[np.ndarray]) -> DataFrame:
+    """(row, tree_score): the values of the runs of every text, without those of words with numbers."""
+    shared = texts.sparkSession.sparkContext.broadcast((known, filters))
+    return (
+        texts.select("row", "ids", "codes")
+        .transform(
+            map_batches, lambda batches: _occurrences(batches, *shared.value), "row long, k long, times long"
+        )
+        .join(value, "k")
+        .groupBy("row")
+        .agg(F.sum(F.col("times") * F.col("value")).alias("tree_score"))
+    )
+
+
 # Scores
 
 
@@ -289,11 +571,16 @@ def token_scores(ids: np.ndarray, model: Model) -> np.ndarray:
     return score
 
 
-def _score(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _score(
+    batches: Iterable[pa.RecordBatch], model: Model, values: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Sums of every row over words with numbers; ``values`` are what such words add beyond the model."""
     first = model.levels[0]
     for piece in pieces(batches, "ids"):
         ids, begins = _joined(piece)
         score = token_scores(ids, model)
+        if values is not None:
+            score += np.where(ids >= 0, values[ids], 0.0)
         at_end = np.r_[begins[1:], len(ids)] - 1
         score[at_end] = 0.0
         known = ids >= 0
@@ -322,36 +609,51 @@ def log_probabilities(
         everything, tokens, types = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0)
         ).first()
-        common = (F.col("n") >= max(least_count, math.ceil(least_share * everything))) | (F.col("word") == END)
-        frequent = counts.where(common).toPandas().sort_values(["n", "word"], ascending=[False, True])
+        common = (F.col("n") >= max(least_count, math.ceil(everything / _HEAD))) | (F.col("word") == END)
+        frequent = counts.where(common).toArrow().to_pandas().sort_values(["n", "word"], ascending=[False, True])
         number = {word.encode(): i for i, word in enumerate(frequent["word"])}
         number.setdefault(END.encode(), len(number))
         own_counts = np.zeros(len(number), np.int64)
         own_counts[: len(frequent)] = frequent["trained"]
 
+        least = max(least_count, math.ceil(least_share * tokens))
+        in_memory = everything <= least * _HEAD
+
         shared_numbers = docs.sparkSession.sparkContext.broadcast(number)
         arrow_id = pa.int64() if id_type.simpleString() == "bigint" else pa.int32()
         texts = keep(
             materialize(
                 rows.withColumn("row", F.monotonically_increasing_id()).transform(
                     map_batches,
-                    lambda batches: _encode(batches, shared_numbers.value, arrow_id),
-                    f"row long, doc_id {id_type.simpleString()}, held_out boolean, ids binary, "
+                    lambda batches: _encode(batches, shared_numbers.value, arrow_id, not in_memory),
+                    f"row long, doc_id {id_type.simpleString()}, held_out boolean, ids binary, codes binary, "
                     "others array<struct<word: string, n: long>>",
                 ),
                 "word-numbers",
             )
         )
-        least = max(least_count, math.ceil(least_share * tokens))
-        model = train(texts.where(~F.col("held_out")), own_counts, tokens, types, max_context, least)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+        trained = texts.where(~F.col("held_out"))
+        model = train(trained, own_counts, tokens, types, max_context if in_memory else 0, least)
+        root = F.log10((F.coalesce("trained", F.lit(0)) + 0.5) / F.lit(tokens + 0.5 * (types + 1)))
+        values, sums = None, None
+        if not in_memory:
+            words = (
+                counts.where(F.col("trained") >= least)
+                .select("word", "trained")
+                .transform(map_batches, lambda batches: _table_codes(batches, shared_numbers.value), "k long, n long")
+                .withColumn("trained", F.col("n"))
+                .select("k", "n", root.alias("log_p"))
+            )
+            known = own_counts >= least
+            values, value, filters = table_values(texts, words, known, max_context, least)
+            sums = table_sums(texts, keep(value), known, filters)
+    shared = docs.sparkSession.sparkContext.broadcast((model, values))
     scored = texts.select("row", "doc_id", "held_out", "ids").transform(
         map_batches,
-        lambda batches: _score(batches, shared.value),
+        lambda batches: _score(batches, *shared.value),
         f"row long, doc_id {id_type.simpleString()}, held_out boolean, "
         "n_tokens long, n_known long, base_score double, score double",
     )
-    root = F.log10((F.coalesce("trained", F.lit(0)) + 0.5) / F.lit(tokens + 0.5 * (types + 1)))
     rare = (
         texts.select("row", F.explode("others").alias("other"))
         .select("row", F.col("other.word").alias("word"), F.col("other.n").alias("times"))
@@ -363,6 +665,10 @@ def log_probabilities(
         )
     )
     no_score = F.coalesce("rare_score", F.lit(0.0))
+    if sums is None:
+        scored = scored.withColumn("tree_score", F.lit(0.0))
+    else:
+        scored = scored.join(sums, "row", "left")
     return scored.join(rare, "row", "left").select(
         "doc_id",
         "held_out",
@@ -370,5 +676,5 @@ def log_probabilities(
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + no_score).alias("base_score"),
-        (F.col("score") + no_score).alias("score"),
+        (F.col("score") + F.coalesce("tree_score", F.lit(0.0)) + no_score).alias("score"),
     )

@@ -139,3 +139,33 @@ def test_numbers_of_runs():
     pairs = suffix_tree.Level(np.array([1, (1 << 32) + 2]), *[np.zeros(2)] * 5)
     ids = np.array([0, 1, 2, -1, 1, 2, 0])
     assert suffix_tree.run_numbers(ids, [first, pairs])[1].tolist() == [-1, 0, 1, -1, -1, 1, -1]
+
+
+@pytest.mark.parametrize("head", [300, 1])
+def test_a_tree_beyond_memory_is_whole(monkeypatch, spark, odd_docs, documents, head):
+    """As many runs as occur twice, whatever share of the tokens that is."""
+    rows = [tuple(r) for r in documents.select("doc_id", "text").limit(150).collect()]
+    rows += [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_tree, "_HEAD", head, raising=False)
+    model = Brute(rows)
+    expected = ordered(model.row(*row) for row in rows)
+    assert ordered(suffix_tree.log_probabilities(docs).collect()) == expected
+    # A filter that lets most runs pass changes nothing.
+    monkeypatch.setattr(suffix_tree, "_FILTER", 64, raising=False)
+    assert ordered(suffix_tree.log_probabilities(docs).collect()) == expected
+
+
+def test_no_share_of_the_tokens_is_needed(spark):
+    """Runs that occur twice among more than two million tokens are in the tree."""
+    rows = [(i, "a b c d e f g h i j " * 12_000) for i in range(25)]
+    ids = range(25, 100)
+    learned = [i for i in ids if not is_held_out(i)][:2]
+    rare = {*learned, next(i for i in ids if is_held_out(i))}
+    rows += [(i, "one rare phrase of five words") for i in rare]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = Brute(rows)
+    assert model.n > 2_000_000
+    found = suffix_tree.log_probabilities(docs).where("doc_id >= 25").collect()
+    assert ordered(found) == ordered(model.row(*row) for row in rows if row[0] in rare)
+    assert all(r["score"] > r["base_score"] + 10 for r in found)
