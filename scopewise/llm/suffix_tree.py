@@ -38,6 +38,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -413,24 +414,24 @@ def _run_codes(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays(list(map(pa.array, (_joined_codes(c, t, length), c, own, n))), list("kcsn"))
 
 
-def fit_tables(words: DataFrame, runs: list[DataFrame], discount: float = DISCOUNT) -> list[DataFrame]:
-    """(k, value) of words and of runs of two, three ... words: see ``run_values``.
+def fit_tables(words: DataFrame, runs: list[DataFrame], discount: float = DISCOUNT) -> DataFrame:
+    """(k, value) of all words and runs that add to scores: see ``run_values``.
 
     ``words`` has (k, n, log_p) with the root's distribution, ``runs`` have (k, c, s, n); stored ones are emptied
     when they have been used. The rules are those of ``fit``.
     """
-    fitted, contexts = [words.withColumns({"c": F.lit(None).cast("long"), "s": F.lit(None).cast("long")})], []
+    above, fitted = words.withColumn("s", F.lit(None).cast("long")), []
     for found in runs:
-        above = fitted[-1]
         p, parent = F.exp(F.col("log_p") * math.log(10)), F.exp(F.col("parent_p") * math.log(10))
         level = materialize(
-            found.join(above.select(F.col("k").alias("c"), F.col("n").alias("n_c")), "c")
-            .join(above.select(F.col("k").alias("s"), F.col("log_p").alias("parent_p")), "s")
-            .select("k", "c", "s", "n", "n_c", F.log10((F.col("n") - discount) / F.col("n_c")).alias("log_p"), "parent_p"),
+            found.join(above.select(F.col("k").alias("s"), F.col("log_p").alias("parent_p")), "s")
+            .join(above.select(F.col("k").alias("c"), F.col("s").alias("s_c"), F.col("n").alias("n_c")), "c")
+            .select("k", "c", "s", "s_c", "n", "n_c", F.log10((F.col("n") - discount) / F.col("n_c")).alias("log_p"), "parent_p"),
             "fitted",
         )
         discard(found)
         sums = level.groupBy("c").agg(
+            F.max("s_c").alias("s_c"),
             F.max("n_c").alias("n_c"),
             F.greatest(1 - F.sum(p), F.lit(1e-12)).alias("rest"),
             F.greatest(1 - F.sum(parent), F.lit(1e-12)).alias("parent_rest"),
@@ -439,36 +440,33 @@ def fit_tables(words: DataFrame, runs: list[DataFrame], discount: float = DISCOU
         )
         ratio = F.col("rest") / F.col("parent_rest")
         diverges = F.col("n_c") * (F.col("gain") + F.col("rest") * F.log(ratio)) > 0.5 * F.col("seen") * F.log("n_c")
-        contexts.append(
-            materialize(sums.select(F.col("c").alias("k"), F.log10(ratio).alias("log_rest"), diverges.alias("kept")), "rests")
-        )
-        fitted.append(level)
+        fitted.append((level, sums.select("c", "s_c", F.log10(ratio).alias("log_rest"), diverges.alias("kept"))))
+        above = level
     # Kept nodes keep the path to the root.
-    kept, longer = [], None
-    for level, own in zip(reversed(fitted[:-1]), reversed(contexts), strict=True):
-        if longer is not None:
-            own = own.join(longer, "k", "left").withColumn("kept", F.col("kept") | F.coalesce("needed", F.lit(False)))
-        own = materialize(own.where("kept").join(level.select("k", "s"), "k").select("k", "s", "log_rest"), "kept")
-        longer = own.select(F.col("s").alias("k")).distinct().withColumn("needed", F.lit(True))
-        kept.insert(0, own.select("k", "log_rest"))
-    return run_values(fitted, kept)
+    contexts, needed = [], None
+    for _, own in reversed(fitted):
+        if needed is not None:
+            own = own.join(needed, "c", "left").withColumn("kept", F.col("kept") | F.coalesce("needed", F.lit(False)))
+        own = materialize(own.where("kept").select("c", "s_c", "log_rest"), "contexts")
+        needed = own.select(F.col("s_c").alias("c")).distinct().withColumn("needed", F.lit(True))
+        contexts.insert(0, own)
+    return run_values([level for level, _ in fitted], contexts)
 
 
-def run_values(fitted: list[DataFrame], kept: list[DataFrame]) -> list[DataFrame]:
+def run_values(levels: list[DataFrame], contexts: list[DataFrame]) -> DataFrame:
     """(k, value): what every occurrence of a run adds to the log10 probability of its text.
 
     After a kept context the next word's probability is its own there, or the one after the shorter context times
     the share left. So each kept context adds that share's log, and each run after a kept context the difference
     of its log probability to its suffix's, less that share's. Every context is followed by one word.
     """
-    values = [kept[0].withColumnRenamed("log_rest", "value")]
-    for level, above, own in zip(fitted[1:], kept, [*kept[1:], None], strict=True):
-        after = level.join(above.withColumnsRenamed({"k": "c", "log_rest": "rest_c"}), "c").select(
-            "k", (F.col("log_p") - F.col("parent_p") - F.col("rest_c")).alias("value")
-        )
-        both = after if own is None else after.union(own).groupBy("k").agg(F.sum("value").alias("value"))
-        values.append(both)
-    return values
+    parts = []
+    for level, own in zip(levels, contexts, strict=True):
+        own = own.select("c", "log_rest")
+        parts.append(own.select(F.col("c").alias("k"), F.col("log_rest").alias("value")))
+        after = (F.col("log_p") - F.col("parent_p") - F.col("log_rest")).alias("value")
+        parts.append(level.select("k", "c", "log_p", "parent_p").join(own, "c").select("k", after))
+    return reduce(DataFrame.union, parts).groupBy("k").agg(F.sum("value").alias("value"))
 
 
 def _occurrences(batches: Iterable[pa.RecordBatch], known: np.ndarray, filters: list[np.ndarray]):
@@ -501,7 +499,7 @@ def _table_codes(batches: Iterable[pa.RecordBatch], number: dict[bytes, int]) ->
 def table_values(
     texts: DataFrame, words: DataFrame, known: np.ndarray, max_context: int, least: int
 ) -> tuple[np.ndarray, DataFrame, list[np.ndarray]]:
-    """What each word with a number adds, (k, value) of all other runs, stored, and the filters of their lengths.
+    """What each word with a number adds, (k, value) of all runs, stored, and the filters of their lengths.
 
     ``words`` has (k, n, log_p) of those that occur ``least`` times in training; ``known`` tells it by number.
     """
@@ -530,14 +528,10 @@ def table_values(
             )
             runs.append(found)
             filters.append(_filter(found))
-        first, *longer = fit_tables(words, runs)
-        head = first.where(F.col("k") < int(_HASHED)).toArrow()
+        value = keep(materialize(fit_tables(words, runs), "run-values"))
+        head = value.where(F.col("k") <= len(known)).toArrow()
         values = np.zeros(len(known))
         values[head["k"].to_numpy() - 1] = head["value"].to_numpy()
-        value = first.where(F.col("k") >= int(_HASHED))
-        for table in longer:
-            value = value.union(table)
-        value = keep(materialize(value, "run-values"))
     return values, value, filters
 
 
@@ -617,7 +611,7 @@ def log_probabilities(
         own_counts[: len(frequent)] = frequent["trained"]
 
         least = max(least_count, math.ceil(least_share * tokens))
-        in_memory = everything <= least * _HEAD
+        in_memory = not max_context or everything <= least * _HEAD
 
         shared_numbers = docs.sparkSession.sparkContext.broadcast(number)
         arrow_id = pa.int64() if id_type.simpleString() == "bigint" else pa.int32()
