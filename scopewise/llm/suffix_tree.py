@@ -318,7 +318,7 @@ def _codes(piece: pa.RecordBatch, known: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _joined_codes(prefix: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
     """Codes of runs of ``length`` words from those of all words but the last and of the last."""
-    left = mix(prefix.astype(np.uint64) + np.uint64(length) * np.uint64(0x9E3779B97F4A7C15))
+    left = mix(prefix.astype(np.uint64) + np.uint64(length * 0x9E3779B97F4A7C15 % (1 << 64)))
     run = mix(left + last.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     hashed = (run >> np.uint64(2)).astype(np.int64) | _HASHED
     if length > 3:
@@ -426,7 +426,8 @@ def fit_tables(words: DataFrame, runs: list[DataFrame], discount: float = DISCOU
         level = materialize(
             found.join(above.select(F.col("k").alias("s"), F.col("log_p").alias("parent_p")), "s")
             .join(above.select(F.col("k").alias("c"), F.col("s").alias("s_c"), F.col("n").alias("n_c")), "c")
-            .select("k", "c", "s", "s_c", "n", "n_c", F.log10((F.col("n") - discount) / F.col("n_c")).alias("log_p"), "parent_p"),
+            .withColumn("log_p", F.log10((F.col("n") - discount) / F.col("n_c")))
+            .select("k", "c", "s", "s_c", "n", "n_c", "log_p", "parent_p"),
             "fitted",
         )
         discard(found)
