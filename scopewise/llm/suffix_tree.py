@@ -36,17 +36,17 @@ from __future__ import annotations
 import hashlib
 import math
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scopewise.llm.batches import encoded, map_batches, pieces
+from scopewise.llm.batches import encoded, give_back, map_batches, pieces
 from scopewise.llm.runs import blocks
 from scopewise.llm.shingles import mix
 from scopewise.session import discard, materialize, scratch_tables
@@ -65,11 +65,17 @@ END = ""
 _COUNTED, _SORTED = 200_000, 1 << 20
 #: Words that get numbers, and runs of a length in a tree in memory, at most.
 _HEAD = 1_000_000
-#: Bits of a filter at most, and bits for each run in it.
+#: Bits of a filter at most, and bits for each word in it.
 _FILTER, _FILTER_EACH = 1 << 27, 16
-#: Bits of a word's number in the code of a run (more than ``_HEAD`` needs), and what marks other codes.
-_BITS = np.int64(20)
+#: Words that may follow a context before it is dealt to several bins; a bin has about half as many places.
+_GROUP = 1 << 20
+#: Bins at least.
+_BINS = 32
+#: Bits of the numbers of rows whose scores are added up together.
+_BLOCK = 12
+#: What marks codes of words without numbers, among all words and among those of a bin.
 _HASHED = np.int64(1 << 62)
+_FAR = np.int64(1 << 30)
 _HIGH = np.int64(32)
 _LOW = np.int64((1 << 32) - 1)
 
@@ -127,24 +133,59 @@ def _word_code(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "big") >> 2 | 1 << 62
 
 
-def _encode(batches: Iterable[pa.RecordBatch], number: dict[bytes, int], id_type: pa.DataType, coded: bool):
+def _filter_bits(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        codes = [_word_code(word) for word in encoded(batch, "word")]
+        bit = _places(np.array(codes, np.int64), n)
+        bits = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(bit >> 6), pa.array(bits)], ["place", "bits"])
+
+
+def _filter(words: DataFrame) -> np.ndarray:
+    """A bit for every one of ``words`` (word) by its hash; words share bits, more so once the filter has its full size."""
+    n = max(64, min(_FILTER, 1 << (_FILTER_EACH * words.count()).bit_length()))
+    found = (
+        words.select("word")
+        .transform(map_batches, lambda batches: _filter_bits(batches, n), "place long, bits long")
+        .groupBy("place")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toArrow()
+    )
+    bits = np.zeros(n >> 6, np.int64)
+    bits[found["place"].to_numpy()] = found["bits"].to_numpy()
+    return bits.view(np.uint64)
+
+
+def _passed(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the filter has each code."""
+    bit = _places(codes, len(bits) * 64)
+    return (bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
+def _encode(
+    batches: Iterable[pa.RecordBatch], number: dict[bytes, int], bits: np.ndarray | None, id_type: pa.DataType
+) -> Iterator[pa.RecordBatch]:
+    """Numbers of the words of every text; -1 for words without one, -2 if the filter tells that they occur once."""
     end = np.array([number[END.encode()]], np.int32)
     for piece in pieces(batches):
         ids, codes, rest = [], [], []
         for data in encoded(piece):
             own, unnumbered, others = [], [], Counter()
             for words in _words(data):
-                found = np.fromiter(map(number.get, words, repeat(-1)), np.int32, len(words))
-                without = [words[i] for i in np.flatnonzero(found < 0).tolist()]
-                others.update(without)
-                if coded:
-                    unnumbered += without
+                found = np.fromiter(map(number.get, words, repeat(-2)), np.int32, len(words))
+                if bits is not None:
+                    at = np.flatnonzero(found < 0)
+                    code = np.fromiter((_word_code(words[i]) for i in at.tolist()), np.int64, len(at))
+                    passed = _passed(code, bits)
+                    at, code = at[passed], code[passed]
+                    found[at] = -1
+                    unnumbered.append(code)
+                    others.update(zip((words[i] for i in at.tolist()), code.tolist(), strict=True))
                 own.append(found)
-            code = {word: _word_code(word) for word in others} if coded else {}
-            codes.append(np.fromiter(map(code.__getitem__, unnumbered), np.int64, len(unnumbered)).tobytes())
+            codes.append(b"".join(code.tobytes() for code in unnumbered))
             ids.append(np.concatenate([*own, end]).tobytes())
-            rest.append([{"word": word.decode(), "n": n} for word, n in others.items()])
-        pairs = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+            rest.append([{"word": word.decode(), "code": code, "n": n} for (word, code), n in others.items()])
+        others = pa.list_(pa.struct([("word", pa.string()), ("code", pa.int64()), ("n", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [
                 piece.column("row"),
@@ -152,21 +193,23 @@ def _encode(batches: Iterable[pa.RecordBatch], number: dict[bytes, int], id_type
                 piece.column("held_out"),
                 pa.array(ids, pa.binary()),
                 pa.array(codes, pa.binary()),
-                pa.array(rest, pairs),
+                pa.array(rest, others),
             ],
             ["row", "doc_id", "held_out", "ids", "codes", "others"],
         )
 
 
-def _joined(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of all texts of a piece, a -1 behind each text, and where each begins."""
+def _joined(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers of all texts of a piece, a -1 behind each text and for words without one, where each text begins,
+    and which words occur once.
+    """
     ids = [np.frombuffer(own, np.int32) for own in piece.column("ids").to_pylist()]
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
     begins = np.cumsum(lengths + 1) - lengths - 1
     joined = np.full(int(lengths.sum()) + len(ids), -1, np.int64)
     for begin, own in zip(begins.tolist(), ids, strict=True):
         joined[begin : begin + len(own)] = own
-    return joined, begins
+    return np.maximum(joined, -1), begins, joined == -2
 
 
 # The tree
@@ -215,7 +258,7 @@ def _count_runs(batches: Iterable[pa.RecordBatch], levels: list[Level]) -> Itera
         return keys, np.bincount(place, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
 
     for piece in pieces(batches, "ids"):
-        ids, _ = _joined(piece)
+        ids, _, _ = _joined(piece)
         ends = run_numbers(ids, levels)[-1]
         at = np.flatnonzero((ends[1:] >= 0) & (ends[:-1] >= 0)) + 1
         if len(at):
@@ -301,258 +344,509 @@ def train(texts: DataFrame, counts: np.ndarray, tokens: int, types: int, max_con
     return model
 
 
-# The tree as tables
+# The tree in bins
 
 
-def _codes(piece: pa.RecordBatch, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all words of a piece, -1 for words that are in no run and behind each text, and where each begins."""
-    ids, begins = _joined(piece)
+def _codes(piece: pa.RecordBatch, known: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
+    """Codes of all words of a piece, 0 for words that are in no run and behind each text, where each text begins,
+    and the training counts of words without numbers that may be in runs.
+    """
+    ids, begins, single = _joined(piece)
     # _joined puts -1 behind each text, so a word without number is a -1 at any other place.
-    inside = np.ones(len(ids), bool)
+    inside = ~single
     inside[np.r_[begins[1:], len(ids)] - 1] = False
-    codes = np.where((ids >= 0) & known[ids], ids + 1, -1)
-    unnumbered = np.flatnonzero((ids < 0) & inside)
-    codes[unnumbered] = np.frombuffer(b"".join(piece.column("codes").to_pylist()), np.int64)
-    return codes, begins
+    codes = np.where((ids >= 0) & known[ids], ids + 1, 0)
+    trained: dict[int, int] = {}
+    if "rare" in piece.schema.names:
+        own = np.frombuffer(b"".join(piece.column("codes").to_pylist()), np.int64)
+        rare = piece.column("rare").flatten()
+        code, n = (rare.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        trained = dict(zip(code[n >= least].tolist(), n[n >= least].tolist(), strict=True))
+        if trained:
+            codes[(ids < 0) & inside] = np.where(np.isin(own, np.fromiter(trained, np.int64)), own, 0)
+    return codes, begins, trained
 
 
-def _joined_codes(prefix: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
-    """Codes of runs of ``length`` words from those of all words but the last and of the last."""
-    left = mix(prefix.astype(np.uint64) + np.uint64(length * 0x9E3779B97F4A7C15 % (1 << 64)))
-    run = mix(left + last.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    hashed = (run >> np.uint64(2)).astype(np.int64) | _HASHED
-    if length > 3:
-        return hashed
-    return np.where((prefix | last) < _HASHED, (prefix << _BITS) | last, hashed)
-
-
-def _suffixes(prefix: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
-    """Codes of runs without their first word where the two parts tell it, or 0."""
-    if length == 2:
-        return last
-    suffix = ((prefix & ((1 << _BITS * (length - 2)) - 1)) << _BITS) | last
-    return np.where((prefix | last) < _HASHED, suffix, 0)
-
+@dataclass
+class Deal:
+    """How contexts are dealt to bins.
 
-def _longer(codes: np.ndarray, words: np.ndarray, length: int) -> np.ndarray:
-    """Codes of the runs of ``length`` words that end at each place from those one word shorter, or -1.
+    A context that more than ``_GROUP`` words follow is heavy. All its words are heavy words, which have numbers.
+    Heavy contexts of one word are numbered first, then those of two words, then three.
+    """
 
-    A run has a code where both its parts have one.
+    #: Bins of words that are not heavy.
+    light: int
+    #: Codes of heavy words, sorted.
+    words: np.ndarray
+    #: For two and three words: number of the context without its first word, times the heavy words, plus the
+    #: first word's place among them; sorted.
+    keys: list[np.ndarray]
+    #: Training occurrences and all, of every heavy context.
+    trained: np.ndarray
+    total: np.ndarray
+
+    def first(self, level: int) -> int:
+        """Number of the first heavy context of so many words."""
+        return 0 if level == 1 else len(self.words) + sum(map(len, self.keys[: level - 2]))
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Places of codes among the heavy words, or -1."""
+        if not len(self.words):
+            return np.full(len(words), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, at, -1)
+
+    def heavy(self, contexts: list[np.ndarray]) -> list[np.ndarray]:
+        """For every length the number of the heavy context at each place, or -1; the nearest word comes first."""
+        found = [self.places(contexts[0])]
+        for level, keys in enumerate(self.keys, 2):
+            above, place = found[-1], self.places(contexts[level - 1])
+            key = above * len(self.words) + place
+            if not len(keys):
+                found.append(np.full(len(key), -1, np.int64))
+                continue
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            found.append(np.where((above >= 0) & (place >= 0) & (keys[at] == key), at + self.first(level), -1))
+        return found
+
+    @property
+    def parents(self) -> np.ndarray:
+        """Number of the context without its first word, -1 for single words."""
+        return np.concatenate([np.full(len(self.words), -1, np.int64), *[k // len(self.words) for k in self.keys]])
+
+    @property
+    def spread(self) -> np.ndarray:
+        """Bins over which the words after a heavy context are dealt."""
+        return self.total // (_GROUP // 2 or 1) + 1
+
+    @property
+    def begins(self) -> np.ndarray:
+        """First bin of every heavy context."""
+        return self.light + np.cumsum(self.spread) - self.spread
+
+    @property
+    def bins(self) -> int:
+        return self.light + int(self.spread.sum())
+
+    def members(self) -> list[tuple[int, ...]]:
+        """The words of every heavy context, nearest first."""
+        found = [(int(word),) for word in self.words]
+        for keys in self.keys:
+            found += [(*found[k // len(self.words)], int(self.words[k % len(self.words)])) for k in keys.tolist()]
+        return found
+
+    def needed(self) -> list[np.ndarray]:
+        """Bins that need the counts of every heavy context: its own and those of contexts that it ends."""
+        own = [np.arange(b, b + n) for b, n in zip(self.begins.tolist(), self.spread.tolist(), strict=True)]
+        for at, parent in reversed(list(enumerate(self.parents.tolist()))):
+            if parent >= 0:
+                own[parent] = np.r_[own[parent], own[at]]
+        return own
+
+
+def _windows(
+    piece: pa.RecordBatch, known: np.ndarray, least: int, end: int, max_context: int
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, dict[int, int]]:
+    """All places after a word that may be in a run: the words before, nearest first, the word, and its text.
+
+    A 0 is a word that is in no run or none; none before it is given.
     """
-    before = np.concatenate([[-1], codes[:-1]])
-    at = np.flatnonzero((before >= 0) & (codes >= 0))
-    found = np.full(len(codes), -1, np.int64)
-    found[at] = _joined_codes(before[at], words[at], length)
-    return found
+    words, begins, trained = _codes(piece, known, least)
+    text = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(words)]))
+    before = np.r_[0, words[:-1]]
+    at = np.flatnonzero((before > 0) & (before != end))
+    contexts = [before[at]]
+    for level in range(2, max_context + 1):
+        # A text has a 0 behind it, so no word of another text is reached.
+        contexts.append(np.where((at >= level) & (contexts[-1] > 0), words[np.maximum(at - level, 0)], 0))
+    return contexts, words[at], text[at], trained
+
+
+def _count_heavy(batches: Iterable[pa.RecordBatch], shared, level: int) -> Iterator[pa.RecordBatch]:
+    """(key, n, trained): contexts of ``level`` words that may be heavy."""
+    deal, *how = shared
+    for piece in pieces(batches, "ids"):
+        contexts, _, text, _ = _windows(piece, *how)
+        above, place = deal.heavy(contexts)[-1], deal.places(contexts[level - 1])
+        at = np.flatnonzero((above >= 0) & (place >= 0))
+        learned = ~piece.column("held_out").to_numpy(zero_copy_only=False)[text[at]]
+        key, index = np.unique((above * len(deal.words) + place)[at], return_inverse=True)
+        n = [np.bincount(index, weights, len(key)).astype(np.int64) for weights in (None, learned)]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, (key, *n))), ["key", "n", "trained"])
+
+
+def _count_after_heavy(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """(h, w, n, n_w): words after heavy contexts in training, and their own training counts if they have no number."""
+    deal, *how = shared
+    for piece in pieces(batches, "ids"):
+        contexts, words, _, trained = _windows(piece, *how)
+        for heavy in deal.heavy(contexts):
+            at = np.flatnonzero((heavy >= 0) & (words > 0))
+            code, index = np.unique(words[at], return_inverse=True)
+            key, n = np.unique(heavy[at] * (len(code) + 1) + index, return_counts=True)
+            h, w = key // (len(code) + 1), code[key % (len(code) + 1)] if len(code) else key
+            own = np.fromiter((trained.get(c, 0) for c in w.tolist()), np.int64, len(w))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, (h, w, n, own))), ["h", "w", "n", "n_w"])
 
 
-def _places(codes: np.ndarray, n: int) -> np.ndarray:
-    """The bits of codes among ``n``, a power of two."""
-    return (mix(codes.astype(np.uint64)) & np.uint64(n - 1)).astype(np.int64)
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed planes of bytes."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def _filter_bits(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bit = _places(batch.column("k").to_numpy(), n)
-        bits = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(bit >> 6), pa.array(bits)], ["place", "bits"])
+def _unpacked(data: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).reshape(n)
 
 
-def _filter(runs: DataFrame) -> np.ndarray:
-    """A bit for every code of ``runs`` (k) by its hash; codes share bits, more so once the filter has its full size."""
-    n = max(64, min(_FILTER, 1 << (_FILTER_EACH * runs.count()).bit_length()))
-    found = (
-        runs.select("k")
-        .transform(map_batches, lambda batches: _filter_bits(batches, n), "place long, bits long")
-        .groupBy("place")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(n >> 6, np.int64)
-    bits[found["place"].to_numpy()] = found["bits"].to_numpy()
-    return bits.view(np.uint64)
+_DEALT = "bin long, h long, n long, places binary, m long, rows binary, f long, far binary, far_n binary"
+_DEALT_NAMES = [part.split()[0] for part in _DEALT.split(", ")]
 
 
-def _passed(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """The codes that the filter has, -1 for others."""
-    at = np.flatnonzero(codes >= 0)
-    bit = _places(codes[at], len(bits) * 64)
-    have = (bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
-    found = np.full(len(codes), -1, np.int64)
-    found[at[have > 0]] = codes[at[have > 0]]
-    return found
-
-
-def _all_runs(words: np.ndarray, filters: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """Codes of runs of one, two ... words that the filters of their lengths have, -1 for others."""
-    codes = words
-    yield codes
-    for length, bits in enumerate(filters, 2):
-        codes = _passed(_longer(codes, words, length), bits)
-        yield codes
-
-
-def _count_codes(batches: Iterable[pa.RecordBatch], known: np.ndarray, filters: list[np.ndarray]):
-    """(c, t, s, n): contexts, last words and suffixes of runs one word longer than the filters; see ``_suffixes``."""
-    length = len(filters) + 2
-    for piece in pieces(batches, "ids"):
-        words, _ = _codes(piece, known)
-        *_, shorter = _all_runs(words, filters)
-        codes = _longer(shorter, words, length)
-        at = np.flatnonzero(codes >= 0)
-        _, first, n = np.unique(codes[at], return_index=True, return_counts=True)
-        at = at[first]
-        c, t, s = shorter[at - 1], words[at], shorter[at]
-        s[_suffixes(c, t, length) > 0] = 0
-        yield pa.RecordBatch.from_arrays(list(map(pa.array, (c, t, s, n.astype(np.int64)))), ["c", "t", "s", "n"])
-
-
-def _run_codes(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        c, t, s, n = (batch.column(name).to_numpy() for name in "ctsn")
-        own = np.where(s == 0, _suffixes(c, t, length), s)
-        yield pa.RecordBatch.from_arrays(list(map(pa.array, (_joined_codes(c, t, length), c, own, n))), list("kcsn"))
+def _blob(bin_, h, columns: list[np.ndarray], rows: np.ndarray, trained: dict[int, int]) -> tuple:
+    """A row of ``_DEALT``: columns of codes, then one of other numbers, in 32 bits each.
 
+    Codes without numbers are replaced by places among ``far``.
+    """
+    codes = np.stack(columns[:-1])
+    at = codes >= _HASHED
+    far = np.unique(codes[at])
+    codes[at] = _FAR + np.searchsorted(far, codes[at])
+    n = np.fromiter((trained.get(c, 0) for c in far.tolist()), np.int64, len(far))
+    numbers = np.concatenate([codes.ravel(), columns[-1]]).astype(np.int32)
+    return (bin_, h, len(columns[0]), _packed(numbers), len(rows), _packed(np.diff(rows, prepend=0)), len(far), far.tobytes(), n.tobytes())
 
-def fit_tables(words: DataFrame, runs: list[DataFrame], discount: float = DISCOUNT) -> DataFrame:
-    """(k, value) of all words and runs that add to scores: see ``run_values``.
 
-    ``words`` has (k, n, log_p) with the root's distribution, ``runs`` have (k, c, s, n); stored ones are emptied
-    when they have been used. The rules are those of ``fit``.
-    """
-    above, fitted = words.withColumn("s", F.lit(None).cast("long")), []
-    for found in runs:
-        p, parent = F.exp(F.col("log_p") * math.log(10)), F.exp(F.col("parent_p") * math.log(10))
-        level = materialize(
-            found.join(above.select(F.col("k").alias("s"), F.col("log_p").alias("parent_p")), "s")
-            .join(above.select(F.col("k").alias("c"), F.col("s").alias("s_c"), F.col("n").alias("n_c")), "c")
-            .withColumn("log_p", F.log10((F.col("n") - discount) / F.col("n_c")))
-            .select("k", "c", "s", "s_c", "n", "n_c", "log_p", "parent_p"),
-            "fitted",
-        )
-        discard(found)
-        sums = level.groupBy("c").agg(
-            F.max("s_c").alias("s_c"),
-            F.max("n_c").alias("n_c"),
-            F.greatest(1 - F.sum(p), F.lit(1e-12)).alias("rest"),
-            F.greatest(1 - F.sum(parent), F.lit(1e-12)).alias("parent_rest"),
-            F.sum(p * (F.col("log_p") - F.col("parent_p")) * math.log(10)).alias("gain"),
-            F.count("*").alias("seen"),
-        )
-        ratio = F.col("rest") / F.col("parent_rest")
-        diverges = F.col("n_c") * (F.col("gain") + F.col("rest") * F.log(ratio)) > 0.5 * F.col("seen") * F.log("n_c")
-        fitted.append((level, sums.select("c", "s_c", F.log10(ratio).alias("log_rest"), diverges.alias("kept"))))
-        above = level
-    # Kept nodes keep the path to the root.
-    contexts, needed = [], None
-    for _, own in reversed(fitted):
-        if needed is not None:
-            own = own.join(needed, "c", "left").withColumn("kept", F.col("kept") | F.coalesce("needed", F.lit(False)))
-        own = materialize(own.where("kept").select("c", "s_c", "log_rest"), "contexts")
-        needed = own.select(F.col("s_c").alias("c")).distinct().withColumn("needed", F.lit(True))
-        contexts.insert(0, own)
-    return run_values([level for level, _ in fitted], contexts)
-
-
-def run_values(levels: list[DataFrame], contexts: list[DataFrame]) -> DataFrame:
-    """(k, value): what every occurrence of a run adds to the log10 probability of its text.
-
-    After a kept context the next word's probability is its own there, or the one after the shorter context times
-    the share left. So each kept context adds that share's log, and each run after a kept context the difference
-    of its log probability to its suffix's, less that share's. Every context is followed by one word.
-    """
-    parts = []
-    for level, own in zip(levels, contexts, strict=True):
-        own = own.select("c", "log_rest")
-        parts.append(own.select(F.col("c").alias("k"), F.col("log_rest").alias("value")))
-        after = (F.col("log_p") - F.col("parent_p") - F.col("log_rest")).alias("value")
-        parts.append(level.select("k", "c", "log_p", "parent_p").join(own, "c").select("k", after))
-    return reduce(DataFrame.union, parts).groupBy("k").agg(F.sum("value").alias("value"))
+def _dealt(found: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.binary() if name in ("places", "rows", "far", "far_n") else pa.int64() for name in _DEALT_NAMES]
+    columns = zip(*found, strict=True) if found else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _DEALT_NAMES)
 
 
-def _occurrences(batches: Iterable[pa.RecordBatch], known: np.ndarray, filters: list[np.ndarray]):
-    """(row, k, times): runs of every text, and words without numbers, that may be in the tree."""
+def _deal(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Every place of every text, with the words before it, to the bin of the word before it."""
+    deal, *how = shared
     for piece in pieces(batches, "ids"):
-        words, begins = _codes(piece, known)
+        contexts, words, text, trained = _windows(piece, *how)
+        bins = _places(contexts[0], deal.light)
+        for level, heavy in enumerate(deal.heavy(contexts), 1):
+            at = np.flatnonzero(heavy >= 0)
+            h = heavy[at]
+            # Places without a further word are in no longer context; they may be in any of the bins.
+            further = contexts[level][at] if level < len(contexts) else np.zeros(len(at), np.int64)
+            further = np.where(further > 0, further, -1 - at)
+            bins[at] = deal.begins[h] + _places(further, deal.spread[h])
+        order = np.argsort((bins << _HIGH) + (contexts[0] & _LOW))
+        bins, text = bins[order], text[order]
+        contexts, words = [c[order] for c in contexts], words[order]
         rows = piece.column("row").to_numpy()
-        text = np.repeat(np.arange(len(rows)), np.diff(np.r_[begins, len(words)]))
-        for length, codes in enumerate(_all_runs(words, filters), 1):
-            at = np.flatnonzero(codes >= (_HASHED if length == 1 else 0))
-            if not len(at):
+        held = piece.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
+        edges = np.r_[0, np.flatnonzero(np.diff(bins)) + 1, len(bins)]
+        found = []
+        for begin, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if begin == stop:
                 continue
-            k, own = codes[at], text[at]
-            order = np.lexsort((k, own))
-            k, own = k[order], own[order]
-            first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (own[1:] != own[:-1])])
-            times = np.diff(np.r_[first, len(k)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[own[first]]), pa.array(k[first]), pa.array(times)], ["row", "k", "times"]
-            )
-
-
-def _table_codes(batches: Iterable[pa.RecordBatch], number: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches, "word"):
-        words = encoded(piece, "word")
-        codes = [number[word] + 1 if word in number else _word_code(word) for word in words]
-        yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), piece.column("trained")], ["k", "n"])
+            part = slice(begin, stop)
+            own, index = np.unique(text[part], return_inverse=True)
+            columns = [*(c[part] for c in contexts), words[part], index << 1 | held[text[part]]]
+            found.append(_blob(int(bins[begin]), -1, columns, rows[own], trained))
+        yield _dealt(found)
 
 
-def table_values(
-    texts: DataFrame, words: DataFrame, known: np.ndarray, max_context: int, least: int
-) -> tuple[np.ndarray, DataFrame, list[np.ndarray]]:
-    """What each word with a number adds, (k, value) of all runs, stored, and the filters of their lengths.
-
-    ``words`` has (k, n, log_p) of those that occur ``least`` times in training; ``known`` tells it by number.
+def _deal_heavy(batches: Iterable[pa.RecordBatch], deal: Deal, max_context: int) -> Iterator[pa.RecordBatch]:
+    """The words after every heavy context, with their counts, to all bins that need them."""
+    members, needed = deal.members(), deal.needed()
+    for batch in batches:
+        h, w, n, own = (batch.column(i).to_numpy() for i in range(4))
+        trained = dict(zip(w.tolist(), own.tolist(), strict=True))
+        for one in np.unique(h).tolist():
+            at = np.flatnonzero(h == one)
+            context = [*members[one], *[0] * max_context][:max_context]
+            columns = [*(np.full(len(at), c) for c in context), w[at], np.zeros(len(at), np.int64)]
+            _, *rest = _blob(0, one, columns, n[at], trained)
+            yield _dealt([(int(bin_), *rest) for bin_ in needed[one]])
+
+
+def _places(codes: np.ndarray, n) -> np.ndarray:
+    """Hashes of codes below ``n``."""
+    return (mix(codes.astype(np.uint64)) % np.asarray(n, np.uint64)).astype(np.int64)
+
+
+def _dense(numbers: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """Ranks of numbers below ``size`` among those that occur and 0, and how many bits they need."""
+    present = np.zeros(size, bool)
+    present[numbers] = True
+    present[0] = True
+    rank = np.cumsum(present) - 1
+    return rank[numbers], int(rank[-1]).bit_length()
+
+
+def _key(columns: list[tuple[np.ndarray, int]]) -> np.ndarray:
+    """One number per row, in the order of the columns (numbers, bits)."""
+    key, bits = columns[0]
+    for numbers, more in columns[1:]:
+        if bits + more > 63:
+            distinct, key = np.unique(key, return_inverse=True)
+            bits = len(distinct).bit_length()
+        key, bits = (key << more) | numbers, bits + more
+    return key
+
+
+def _read_bin(table: pa.Table, columns: int, head: int) -> tuple[np.ndarray, ...]:
+    """Of all rows of a bin: the columns of codes, numbers of rows and of heavy contexts (-1), whether held out,
+    counts of heavy contexts; then the rows, and the training counts of words without numbers. Those follow the
+    head in the numbering.
+    """
+    parts, owns, hs, held, counts, rows, n_rows = [], [], [], [], [], [], 0
+    blobs = table.to_pylist()
+    far = np.concatenate([np.frombuffer(blob["far"], np.int64) for blob in blobs])
+    far_n = np.concatenate([np.frombuffer(blob["far_n"], np.int64) for blob in blobs])
+    far, place = np.unique(far, return_inverse=True)
+    trained = np.zeros(len(far), np.int64)
+    np.maximum.at(trained, place, far_n)
+    f = 0
+    for blob in blobs:
+        n, h = blob["n"], blob["h"]
+        numbers = _unpacked(blob["places"], n * (columns + 1), np.int32).astype(np.int64).reshape(columns + 1, n)
+        codes, last = numbers[:-1], numbers[-1]
+        if blob["f"]:
+            at = codes >= _FAR
+            codes[at] = head + 1 + place[f + codes[at] - _FAR]
+            f += blob["f"]
+        own = np.cumsum(_unpacked(blob["rows"], blob["m"], np.int64))
+        parts.append(codes)
+        hs.append(np.full(n, h))
+        if h < 0:
+            owns.append(n_rows + (last >> 1))
+            held.append((last & 1).astype(bool))
+            counts.append(np.zeros(n, np.int64))
+            rows.append(own)
+            n_rows += len(own)
+        else:
+            owns.append(np.full(n, -1))
+            held.append(np.ones(n, bool))
+            counts.append(own)
+    joined = [np.concatenate(part) for part in (owns, hs, held, counts)]
+    return np.concatenate(parts, axis=1), *joined, np.concatenate([np.zeros(0, np.int64), *rows]), trained
+
+
+def _score_bin(table: pa.Table, shared) -> pa.Table:
+    """(block, h, rows, sums): what the contexts of a bin add to the scores of rows.
+
+    The rules are those of ``fit`` and ``token_scores``. A bin has all places after its contexts, or, of heavy ones,
+    some of the places and all counts. Whether a heavy context is kept can depend on longer ones in other
+    bins: what it adds if it is has its number as ``h``, and a row without sums tells that it is kept.
     """
+    deal, own_counts, model, max_context, least, discount = shared
+    codes, own, h, held, counts, rows, far_counts = _read_bin(table, max_context + 1, len(own_counts))
+    word_counts = np.r_[0, own_counts, far_counts]
+    dense = [_dense(column, len(word_counts)) for column in codes]
+    key = _key(dense)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    gram = np.cumsum(np.r_[True, key[1:] != key[:-1]]) - 1
+    grams = codes[:, order[first]]
+    words, n = grams[-1], np.add.reduceat((~held[order]).astype(np.int64), first)
+    size = len(first)
+    # Counts of heavy contexts, and their numbers, are at the runs that brought them.
+    given, number = np.zeros(size, np.int64), np.full(size, -1)
+    brought = h[order] >= 0
+    given[gram[brought]] = counts[order][brought]
+    number[gram[brought]] = h[order][brought]
+    lengths = 1 + np.searchsorted([deal.first(level) for level in range(2, max_context + 1)], number, "right")
+
+    root = model.root(word_counts[words])
+    above_log, levels = root, []
+    new = np.arange(size) == 0
+    for level in range(1, max_context + 1):
+        word = grams[level - 1]
+        new = new | np.r_[True, word[1:] != word[:-1]]
+        context = np.cumsum(new) - 1
+        n_contexts = int(context[-1]) + 1
+        valid = word > 0
+        _, run = np.unique((context << _HIGH) + dense[-1][0][order[first]], return_inverse=True)
+        n_runs = int(run.max()) + 1
+        at_heavy = (number >= 0) & (lengths == level)
+        heavy = np.full(n_contexts, -1)
+        heavy[context[at_heavy]] = number[at_heavy]
+        is_heavy = heavy >= 0
+        weight = np.where(is_heavy[context], np.where(at_heavy, given, 0), n)
+        n_context = np.bincount(context, weight, n_contexts)
+        n_context[is_heavy] = deal.trained[heavy[is_heavy]]
+        n_run = np.bincount(run, weight, n_runs)
+        some = np.zeros(n_runs, np.int64)
+        some[run] = np.arange(size)
+        in_tree = (n_run >= least) & (valid & (words > 0))[some]
+        some, of = some[in_tree], context[some[in_tree]]
+        p, parent = (n_run[in_tree] - discount) / n_context[of], 10.0 ** above_log[some]
+        rest = np.maximum(1.0 - np.bincount(of, p, n_contexts), 1e-12)
+        ratio = rest / np.maximum(1.0 - np.bincount(of, parent, n_contexts), 1e-12)
+        seen = np.bincount(of, minlength=n_contexts)
+        divergence = np.bincount(of, p * np.log(p / parent), n_contexts) + rest * np.log(ratio)
+        total = np.maximum(n_context, 1)
+        kept = (seen > 0) & (total * divergence > 0.5 * seen * np.log(total))
+        log_run = np.zeros(n_runs)
+        log_run[in_tree] = np.log10(p)
+        above_log = log_run[run]
+        levels.append((context, valid, heavy, kept, in_tree[run], above_log - root, np.log10(ratio)))
+    # Kept nodes keep the path to the root.
+    for shorter, longer in zip(reversed(levels[:-1]), reversed(levels[1:]), strict=True):
+        context, valid, _, kept, *_ = longer
+        shorter[3][shorter[0][valid & kept[context]]] = True
+
+    score, if_kept, found = np.zeros(size), np.zeros(size), []
+    for context, valid, heavy, kept, seen, after, log_rest in levels:
+        on = valid & kept[context]
+        perhaps = valid & ~on & (heavy[context] >= 0)
+        score = np.where(on, np.where(seen, after, score + log_rest[context]), score)
+        more = np.where(seen, after, if_kept + log_rest[context])
+        for one in np.unique(heavy[context[perhaps]]).tolist():
+            found.append((one, np.where(perhaps & (heavy[context] == one), more - if_kept, 0.0)))
+        if_kept = np.where(on | perhaps, more, if_kept)
+        found += [(one, None) for one in np.unique(heavy[kept & (heavy >= 0)]).tolist()]
+    own = own[order]
+    gram, own = gram[own >= 0], own[own >= 0]
+    out = []
+    for one, value in [(-1, score), *found]:
+        if value is None:
+            out.append((-1, one, b"", b""))
+            continue
+        sums = np.bincount(own, value[gram], len(rows))
+        at = np.flatnonzero(sums)
+        at = at[np.argsort(rows[at])]
+        for part in np.split(at, np.flatnonzero(np.diff(rows[at] >> _BLOCK)) + 1):
+            if not len(part):
+                continue
+            block = int(rows[part[0]] >> _BLOCK)
+            out.append((block, one, (rows[part] & ((1 << _BLOCK) - 1)).astype(np.int32).tobytes(), sums[part].tobytes()))
+    columns = zip(*out, strict=True) if out else [[]] * 4
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["block", "h", "rows", "sums"])
+
+
+def _add_blocks(table: pa.Table) -> pa.Table:
+    """(row, tree_score) of a block of rows."""
+    sums = np.zeros(1 << _BLOCK)
+    for rows, values in zip(table.column("rows").to_pylist(), table.column("sums").to_pylist(), strict=True):
+        sums[np.frombuffer(rows, np.int32)] += np.frombuffer(values)
+    at = np.flatnonzero(sums)
+    block = table.column("block")[0].as_py()
+    return pa.Table.from_arrays([pa.array(at + (block << _BLOCK)), pa.array(sums[at])], ["row", "tree_score"])
+
+
+def _grouped(df: DataFrame, n: int, column: str, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return function(table)
+        finally:
+            give_back()
+
+    return df.repartition(n, column).groupBy(column).applyInArrow(run, schema)
+
+
+def heavy_contexts(texts: DataFrame, frequent: np.ndarray, trained: np.ndarray, tokens: int, how: tuple) -> Deal:
+    """Contexts that more than ``_GROUP`` words follow; ``frequent`` are the counts of words by number."""
+    _, _, end, max_context = how
+    words = np.flatnonzero(frequent > _GROUP) + 1
+    words = words[words != end]
+    light = max(_BINS, tokens // (_GROUP // 2 or 1) + 1)
+    deal = Deal(light, words, [], trained[words - 1], frequent[words - 1])
     context = texts.sparkSession.sparkContext
-    with scratch_tables() as keep:
-        runs, filters = [], []
-        for _ in range(max_context):
-            shared = context.broadcast((known, list(filters)))
-            found = materialize(
-                texts.where(~F.col("held_out"))
-                .select("ids", "codes")
-                .transform(
+    for level in range(2, max_context + 1):
+        keys = np.zeros(0, np.int64)
+        if deal.first(level - 1) < len(deal.total):
+            shared = context.broadcast((deal, *how))
+            found = (
+                texts.transform(
                     map_batches,
-                    lambda batches, shared=shared: _count_codes(batches, *shared.value),
-                    "c long, t long, s long, n long",
+                    lambda batches, shared=shared, level=level: _count_heavy(batches, shared.value, level),
+                    "key long, n long, trained long",
                 )
-                .groupBy("c", "t")
-                .agg(F.any_value("s").alias("s"), F.sum("n").alias("n"))
-                .where(F.col("n") >= least)
-                .transform(
-                    map_batches,
-                    lambda batches, length=len(filters) + 2: _run_codes(batches, length),
-                    "k long, c long, s long, n long",
-                ),
-                "runs",
+                .groupBy("key")
+                .agg(F.sum("n").alias("n"), F.sum("trained").alias("trained"))
+                .where(F.col("n") > _GROUP)
+                .toArrow()
+                .sort_by("key")
             )
-            runs.append(found)
-            filters.append(_filter(found))
-        value = keep(materialize(fit_tables(words, runs), "run-values"))
-        head = value.where(F.col("k") <= len(known)).toArrow()
-        values = np.zeros(len(known))
-        values[head["k"].to_numpy() - 1] = head["value"].to_numpy()
-    return values, value, filters
-
-
-def table_sums(texts: DataFrame, value: DataFrame, known: np.ndarray, filters: list[np.ndarray]) -> DataFrame:
-    """(row, tree_score): the values of the runs of every text, without those of words with numbers."""
-    shared = texts.sparkSession.sparkContext.broadcast((known, filters))
-    return (
-        texts.select("row", "ids", "codes")
-        .transform(
-            map_batches, lambda batches: _occurrences(batches, *shared.value), "row long, k long, times long"
+            keys = found["key"].to_numpy()
+            deal.trained = np.r_[deal.trained, found["trained"].to_numpy()]
+            deal.total = np.r_[deal.total, found["n"].to_numpy()]
+        deal.keys.append(keys)
+    return deal
+
+
+def binned_sums(
+    texts: DataFrame,
+    frequent: np.ndarray,
+    trained: np.ndarray,
+    model: Model,
+    end: int,
+    max_context: int,
+    least: int,
+    discount: float = DISCOUNT,
+) -> DataFrame:
+    """(row, tree_score): what the tree adds to the base score of every text, stored.
+
+    ``frequent`` and ``trained`` are the counts of words by number, in all texts and in training.
+    """
+    columns = [c for c in texts.columns if c in ("row", "held_out", "ids", "codes", "rare")]
+    texts = texts.select(*columns)
+    context = texts.sparkSession.sparkContext
+    how = (trained >= least, least, end + 1, max_context)
+    deal = heavy_contexts(texts, frequent, trained, int(frequent.sum()), how)
+    shared = context.broadcast((deal, *how))
+    dealt = texts.transform(map_batches, lambda batches: _deal(batches, shared.value), _DEALT)
+    if len(deal.total):
+        after = (
+            texts.where(~F.col("held_out"))
+            .transform(
+                map_batches,
+                lambda batches: _count_after_heavy(batches, shared.value),
+                "h long, w long, n long, n_w long",
+            )
+            .groupBy("h", "w")
+            .agg(F.sum("n").alias("n"), F.max("n_w").alias("n_w"))
+            .where(F.col("n") >= least)
+        )
+        dealt = dealt.union(
+            after.transform(map_batches, lambda batches: _deal_heavy(batches, shared.value[0], max_context), _DEALT)
         )
-        .join(value, "k")
-        .groupBy("row")
-        .agg(F.sum(F.col("times") * F.col("value")).alias("tree_score"))
+    fixed = context.broadcast((deal, trained, Model([], model.tokens, model.types), max_context, least, discount))
+    found = _grouped(
+        dealt, deal.bins, "bin", lambda table: _score_bin(table, fixed.value), "block long, h long, rows binary, sums binary"
     )
+    with scratch_tables() as keep:
+        found = materialize(found, "bin-sums")
+        sums = found.where("block >= 0 and h < 0")
+        if len(deal.total):
+            kept = found.where("block < 0").select("h").distinct()
+            sums = sums.union(found.where("block >= 0 and h >= 0").join(kept, "h", "left_semi").select(*sums.columns))
+        parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return keep(materialize(_grouped(sums, parts, "block", _add_blocks, "row long, tree_score double"), "tree-sums"))
 
 
 # Scores
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Let Spark remove the shuffle files of a query when it ends, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def token_scores(ids: np.ndarray, model: Model) -> np.ndarray:
     """log10 probability of the token at every place; without the root's share where the number is -1."""
     ends = run_numbers(ids, model.levels)
@@ -566,24 +860,24 @@ def token_scores(ids: np.ndarray, model: Model) -> np.ndarray:
     return score
 
 
-def _score(
-    batches: Iterable[pa.RecordBatch], model: Model, values: np.ndarray | None = None
-) -> Iterator[pa.RecordBatch]:
-    """Sums of every row over words with numbers; ``values`` are what such words add beyond the model."""
+def _score(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Sums of every row over words with numbers and those that occur once."""
     first = model.levels[0]
     for piece in pieces(batches, "ids"):
-        ids, begins = _joined(piece)
+        ids, begins, single = _joined(piece)
         score = token_scores(ids, model)
-        if values is not None:
-            score += np.where(ids >= 0, values[ids], 0.0)
         at_end = np.r_[begins[1:], len(ids)] - 1
         score[at_end] = 0.0
         known = ids >= 0
+        # A word that occurs once was learned if its own text was.
+        learned = ~piece.column("held_out").to_numpy(zero_copy_only=False)
+        singles = np.add.reduceat(single.astype(np.int64), begins)
+        of_singles = singles * np.where(learned, model.root(1), model.root(0))
         sums = [
             at_end - begins,
-            np.add.reduceat(np.where(known, first.counts[ids] > 0, False).astype(np.int64), begins),
-            np.add.reduceat(np.where(known, first.log_p[ids], 0.0), begins),
-            np.add.reduceat(score, begins),
+            np.add.reduceat(np.where(known, first.counts[ids] > 0, False).astype(np.int64), begins) + singles * learned,
+            np.add.reduceat(np.where(known, first.log_p[ids], 0.0), begins) + of_singles,
+            np.add.reduceat(score, begins) + of_singles,
         ]
         yield pa.RecordBatch.from_arrays(
             [piece.column("row"), piece.column("doc_id"), piece.column("held_out"), *map(pa.array, sums)],
@@ -599,77 +893,93 @@ def log_probabilities(
     """
     id_type = docs.schema["doc_id"].dataType
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))
-    with scratch_tables() as keep:
+    with scratch_tables() as keep, _shuffles_removed(docs.sparkSession):
         counts = keep(materialize(word_counts(rows), "word-counts"))
         everything, tokens, types = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0)
         ).first()
-        common = (F.col("n") >= max(least_count, math.ceil(everything / _HEAD))) | (F.col("word") == END)
-        frequent = counts.where(common).toArrow().to_pandas().sort_values(["n", "word"], ascending=[False, True])
+        # The least count that gives at most ``_HEAD`` words a number.
+        most = max(least_count, math.ceil(everything / _HEAD))
+        by_count = dict(
+            counts.where(F.col("n") >= least_count).groupBy(F.least("n", F.lit(most)).alias("n")).count().collect()
+        )
+        common = most
+        while common > least_count and sum(n for count, n in by_count.items() if count >= common - 1) <= _HEAD:
+            common -= 1
+        numbered = (F.col("n") >= common) | (F.col("word") == END)
+        frequent = counts.where(numbered).toArrow().to_pandas().sort_values(["n", "word"], ascending=[False, True])
         number = {word.encode(): i for i, word in enumerate(frequent["word"])}
         number.setdefault(END.encode(), len(number))
-        own_counts = np.zeros(len(number), np.int64)
+        all_counts, own_counts = np.zeros((2, len(number)), np.int64)
+        all_counts[: len(frequent)] = frequent["n"]
         own_counts[: len(frequent)] = frequent["trained"]
+        repeated = counts.where(~numbered & (F.col("n") > 1))
+        bits = _filter(repeated) if common > 2 else None
 
         least = max(least_count, math.ceil(least_share * tokens))
         in_memory = not max_context or everything <= least * _HEAD
 
-        shared_numbers = docs.sparkSession.sparkContext.broadcast(number)
+        shared_numbers = docs.sparkSession.sparkContext.broadcast((number, bits))
         arrow_id = pa.int64() if id_type.simpleString() == "bigint" else pa.int32()
         texts = keep(
             materialize(
                 rows.withColumn("row", F.monotonically_increasing_id()).transform(
                     map_batches,
-                    lambda batches: _encode(batches, shared_numbers.value, arrow_id, not in_memory),
+                    lambda batches: _encode(batches, *shared_numbers.value, arrow_id),
                     f"row long, doc_id {id_type.simpleString()}, held_out boolean, ids binary, codes binary, "
-                    "others array<struct<word: string, n: long>>",
+                    "others array<struct<word: string, code: long, n: long>>",
                 ),
                 "word-numbers",
             )
         )
         trained = texts.where(~F.col("held_out"))
         model = train(trained, own_counts, tokens, types, max_context if in_memory else 0, least)
-        root = F.log10((F.coalesce("trained", F.lit(0)) + 0.5) / F.lit(tokens + 0.5 * (types + 1)))
-        values, sums = None, None
-        if not in_memory:
-            words = (
-                counts.where(F.col("trained") >= least)
-                .select("word", "trained")
-                .transform(map_batches, lambda batches: _table_codes(batches, shared_numbers.value), "k long, n long")
-                .withColumn("trained", F.col("n"))
-                .select("k", "n", root.alias("log_p"))
+        rare = None
+        if bits is not None:
+            root = F.log10((F.coalesce("trained", F.lit(0)) + 0.5) / F.lit(tokens + 0.5 * (types + 1)))
+            rare = keep(
+                materialize(
+                    texts.select("row", F.explode("others").alias("other"))
+                    .select("row", "other.*")
+                    .withColumnRenamed("n", "times")
+                    .join(counts.where(~numbered).select("word", "trained"), "word", "left")
+                    .groupBy("row")
+                    .agg(
+                        F.sum(F.when(F.col("trained") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+                        F.sum(root * F.col("times")).alias("rare_score"),
+                        F.collect_list(
+                            F.when(F.col("trained") >= least, F.struct("code", F.col("trained").alias("n")))
+                        ).alias("rare"),
+                    ),
+                    "rare-words",
+                )
             )
-            known = own_counts >= least
-            values, value, filters = table_values(texts, words, known, max_context, least)
-            sums = table_sums(texts, keep(value), known, filters)
-    shared = docs.sparkSession.sparkContext.broadcast((model, values))
+        sums = None
+        if not in_memory:
+            if rare is not None:
+                joined = texts.drop("others").join(rare.select("row", "rare"), "row", "left")
+                texts, before = keep(materialize(joined, "texts-with-rare")), texts
+                discard(before)
+            end = number[END.encode()]
+            sums = keep(binned_sums(texts, all_counts, own_counts, model, end, max_context, least))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = texts.select("row", "doc_id", "held_out", "ids").transform(
         map_batches,
-        lambda batches: _score(batches, *shared.value),
+        lambda batches: _score(batches, shared.value),
         f"row long, doc_id {id_type.simpleString()}, held_out boolean, "
         "n_tokens long, n_known long, base_score double, score double",
     )
-    rare = (
-        texts.select("row", F.explode("others").alias("other"))
-        .select("row", F.col("other.word").alias("word"), F.col("other.n").alias("times"))
-        .join(counts.where(~common).select("word", "trained"), "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("trained") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-            F.sum(root * F.col("times")).alias("rare_score"),
-        )
-    )
-    no_score = F.coalesce("rare_score", F.lit(0.0))
-    if sums is None:
-        scored = scored.withColumn("tree_score", F.lit(0.0))
-    else:
-        scored = scored.join(sums, "row", "left")
-    return scored.join(rare, "row", "left").select(
+    more = {"tree_score": F.lit(0.0), "rare_known": F.lit(0), "rare_score": F.lit(0.0)}
+    for table in (sums, rare and rare.drop("rare")):
+        if table is not None:
+            scored = scored.join(table, "row", "left")
+            more |= {name: F.coalesce(name, F.lit(0)) for name in table.columns if name != "row"}
+    return scored.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("n_known") + more["rare_known"]).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + no_score).alias("base_score"),
-        (F.col("score") + F.coalesce("tree_score", F.lit(0.0)) + no_score).alias("score"),
+        (F.col("base_score") + more["rare_score"]).alias("base_score"),
+        (F.col("score") + more["tree_score"] + more["rare_score"]).alias("score"),
     )

@@ -166,3 +166,22 @@ def test_no_share_of_the_tokens_is_needed(spark):
     found = suffix_tree.log_probabilities(docs).where("doc_id >= 25").collect()
     assert ordered(found) == ordered(model.row(*row) for row in rows if row[0] in rare)
     assert all(r["score"] > r["base_score"] + 10 for r in found)
+
+
+@pytest.mark.parametrize(("head", "group"), [(600, 40), (200, 100)])
+def test_contexts_with_many_words_are_dealt_to_many_bins(monkeypatch, spark, odd_docs, documents, head, group):
+    """Heavy words, pairs and triples; texts that are equal, and words that are often together."""
+    rows = [tuple(r) for r in documents.select("doc_id", "text").limit(20).collect()]
+    rows += [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    rows += [(5000 + i, "one and the same text, again and again and again and again") for i in range(45)]
+    rows += [(6000 + i, f"x{i % 7} x{i % 5} common x{i % 11} x{i % 3}") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffix_tree, "_HEAD", head)
+    monkeypatch.setattr(suffix_tree, "_GROUP", group)
+    seen, heavy_contexts = [], suffix_tree.heavy_contexts
+    monkeypatch.setattr(suffix_tree, "heavy_contexts", lambda *given: seen.append(heavy_contexts(*given)) or seen[-1])
+    model = Brute(rows)
+    assert ordered(suffix_tree.log_probabilities(docs).collect()) == ordered(model.row(*row) for row in rows)
+    assert len(seen[0].words) > 1
+    if group < 100:
+        assert all(len(keys) for keys in seen[0].keys)
