@@ -39,6 +39,7 @@ from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -168,24 +169,20 @@ def _encode(
     """Numbers of the words of every text; -1 for words without one, -2 if the filter tells that they occur once."""
     end = np.array([number[END.encode()]], np.int32)
     for piece in pieces(batches):
-        ids, codes, rest = [], [], []
+        ids, codes = [], []
         for data in encoded(piece):
-            own, unnumbered, others = [], [], Counter()
+            own, unnumbered = [], []
             for words in _words(data):
                 found = np.fromiter(map(number.get, words, repeat(-2)), np.int32, len(words))
                 if bits is not None:
                     at = np.flatnonzero(found < 0)
                     code = np.fromiter((_word_code(words[i]) for i in at.tolist()), np.int64, len(at))
                     passed = _passed(code, bits)
-                    at, code = at[passed], code[passed]
-                    found[at] = -1
-                    unnumbered.append(code)
-                    others.update(zip((words[i] for i in at.tolist()), code.tolist(), strict=True))
+                    found[at[passed]] = -1
+                    unnumbered.append(code[passed])
                 own.append(found)
             codes.append(b"".join(code.tobytes() for code in unnumbered))
             ids.append(np.concatenate([*own, end]).tobytes())
-            rest.append([{"word": word.decode(), "code": code, "n": n} for (word, code), n in others.items()])
-        others = pa.list_(pa.struct([("word", pa.string()), ("code", pa.int64()), ("n", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
             [
                 piece.column("row"),
@@ -193,9 +190,8 @@ def _encode(
                 piece.column("held_out"),
                 pa.array(ids, pa.binary()),
                 pa.array(codes, pa.binary()),
-                pa.array(rest, others),
             ],
-            ["row", "doc_id", "held_out", "ids", "codes", "others"],
+            ["row", "doc_id", "held_out", "ids", "codes"],
         )
 
 
@@ -347,24 +343,15 @@ def train(texts: DataFrame, counts: np.ndarray, tokens: int, types: int, max_con
 # The tree in bins
 
 
-def _codes(piece: pa.RecordBatch, known: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
-    """Codes of all words of a piece, 0 for words that are in no run and behind each text, where each text begins,
-    and the training counts of words without numbers that may be in runs.
-    """
+def _codes(piece: pa.RecordBatch, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all words of a piece, 0 for words that are in no run and behind each text, and where each begins."""
     ids, begins, single = _joined(piece)
     # _joined puts -1 behind each text, so a word without number is a -1 at any other place.
     inside = ~single
     inside[np.r_[begins[1:], len(ids)] - 1] = False
     codes = np.where((ids >= 0) & known[ids], ids + 1, 0)
-    trained: dict[int, int] = {}
-    if "rare" in piece.schema.names:
-        own = np.frombuffer(b"".join(piece.column("codes").to_pylist()), np.int64)
-        rare = piece.column("rare").flatten()
-        code, n = (rare.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-        trained = dict(zip(code[n >= least].tolist(), n[n >= least].tolist(), strict=True))
-        if trained:
-            codes[(ids < 0) & inside] = np.where(np.isin(own, np.fromiter(trained, np.int64)), own, 0)
-    return codes, begins, trained
+    codes[(ids < 0) & inside] = np.frombuffer(b"".join(piece.column("codes").to_pylist()), np.int64)
+    return codes, begins
 
 
 @dataclass
@@ -445,32 +432,64 @@ class Deal:
         return own
 
 
-def _windows(
-    piece: pa.RecordBatch, known: np.ndarray, least: int, end: int, max_context: int
-) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, dict[int, int]]:
-    """All places after a word that may be in a run: the words before, nearest first, the word, and its text.
+@dataclass
+class Windows:
+    """Places of texts: the words before, nearest first, the word, and the text, as a place in ``rows``.
 
-    A 0 is a word that is in no run or none; none before it is given.
+    A 0 is a word that is in no run or none. Training counts of words without numbers are given where they are known.
     """
-    words, begins, trained = _codes(piece, known, least)
-    text = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(words)]))
-    before = np.r_[0, words[:-1]]
-    at = np.flatnonzero((before > 0) & (before != end))
-    contexts = [before[at]]
-    for level in range(2, max_context + 1):
-        # A text has a 0 behind it, so no word of another text is reached.
-        contexts.append(np.where((at >= level) & (contexts[-1] > 0), words[np.maximum(at - level, 0)], 0))
-    return contexts, words[at], text[at], trained
+
+    contexts: list[np.ndarray]
+    words: np.ndarray
+    text: np.ndarray
+    rows: np.ndarray
+    held: np.ndarray
+    trained: dict[int, int]
+
+    def blob(self, bin_: int, at: np.ndarray) -> tuple:
+        """Some of the places as a row of ``_DEALT``."""
+        own, index = np.unique(self.text[at], return_inverse=True)
+        columns = [*(c[at] for c in self.contexts), self.words[at], index << 1 | self.held[self.text[at]]]
+        return _blob(bin_, -1, columns, self.rows[own], self.trained)
+
+
+def _windows(
+    batches: Iterable[pa.RecordBatch], known: np.ndarray, end: int, max_context: int, rare: bool = False
+) -> Iterator[Windows]:
+    """All places of texts after a word that may be in a run and with a word that has a number, or, with ``rare``,
+    all places whose word has none but does not occur once. Or places that are stored already.
+    """
+    for batch in batches:
+        if "ids" not in batch.schema.names:
+            for blob in batch.to_pylist():
+                codes, last, rows = _unblob(blob, max_context + 1)
+                held = np.zeros(len(rows), np.int64)
+                held[last >> 1] = last & 1
+                far = np.frombuffer(blob["far"], np.int64).tolist()
+                trained = dict(zip(far, np.frombuffer(blob["far_n"], np.int64).tolist(), strict=True))
+                yield Windows(list(codes[:-1]), codes[-1], last >> 1, rows, held, trained)
+            continue
+        for piece in pieces([batch], "ids"):
+            words, begins = _codes(piece, known)
+            text = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(words)]))
+            before = np.r_[0, words[:-1]]
+            before[before == end] = 0
+            at = np.flatnonzero(words >= _HASHED if rare else (before > 0) & (words < _HASHED))
+            contexts = [before[at]]
+            for level in range(2, max_context + 1):
+                # A text has a 0 behind it, so no word of another text is reached.
+                contexts.append(np.where((at >= level) & (contexts[-1] > 0), words[np.maximum(at - level, 0)], 0))
+            held = piece.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
+            yield Windows(contexts, words[at], text[at], piece.column("row").to_numpy(), held, {})
 
 
 def _count_heavy(batches: Iterable[pa.RecordBatch], shared, level: int) -> Iterator[pa.RecordBatch]:
     """(key, n, trained): contexts of ``level`` words that may be heavy."""
     deal, *how = shared
-    for piece in pieces(batches, "ids"):
-        contexts, _, text, _ = _windows(piece, *how)
-        above, place = deal.heavy(contexts)[-1], deal.places(contexts[level - 1])
+    for found in _windows(batches, *how):
+        above, place = deal.heavy(found.contexts)[-1], deal.places(found.contexts[level - 1])
         at = np.flatnonzero((above >= 0) & (place >= 0))
-        learned = ~piece.column("held_out").to_numpy(zero_copy_only=False)[text[at]]
+        learned = 1 - found.held[found.text[at]]
         key, index = np.unique((above * len(deal.words) + place)[at], return_inverse=True)
         n = [np.bincount(index, weights, len(key)).astype(np.int64) for weights in (None, learned)]
         yield pa.RecordBatch.from_arrays(list(map(pa.array, (key, *n))), ["key", "n", "trained"])
@@ -479,14 +498,14 @@ def _count_heavy(batches: Iterable[pa.RecordBatch], shared, level: int) -> Itera
 def _count_after_heavy(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """(h, w, n, n_w): words after heavy contexts in training, and their own training counts if they have no number."""
     deal, *how = shared
-    for piece in pieces(batches, "ids"):
-        contexts, words, _, trained = _windows(piece, *how)
-        for heavy in deal.heavy(contexts):
-            at = np.flatnonzero((heavy >= 0) & (words > 0))
-            code, index = np.unique(words[at], return_inverse=True)
+    for found in _windows(batches, *how):
+        learned = (found.held[found.text] == 0) & (found.words > 0)
+        for heavy in deal.heavy(found.contexts):
+            at = np.flatnonzero((heavy >= 0) & learned)
+            code, index = np.unique(found.words[at], return_inverse=True)
             key, n = np.unique(heavy[at] * (len(code) + 1) + index, return_counts=True)
             h, w = key // (len(code) + 1), code[key % (len(code) + 1)] if len(code) else key
-            own = np.fromiter((trained.get(c, 0) for c in w.tolist()), np.int64, len(w))
+            own = np.fromiter((found.trained.get(c, 0) for c in w.tolist()), np.int64, len(w))
             yield pa.RecordBatch.from_arrays(list(map(pa.array, (h, w, n, own))), ["h", "w", "n", "n_w"])
 
 
@@ -520,40 +539,89 @@ def _blob(bin_, h, columns: list[np.ndarray], rows: np.ndarray, trained: dict[in
     return (bin_, h, len(columns[0]), _packed(numbers), len(rows), _packed(np.diff(rows, prepend=0)), len(far), far.tobytes(), n.tobytes())
 
 
+def _unblob(blob: dict, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The columns of codes, the other numbers, and the rows of a row of ``_DEALT``."""
+    n = blob["n"]
+    numbers = _unpacked(blob["places"], n * (columns + 1), np.int32).astype(np.int64).reshape(columns + 1, n)
+    codes = numbers[:-1]
+    if blob["f"]:
+        at = codes >= _FAR
+        codes[at] = np.frombuffer(blob["far"], np.int64)[codes[at] - _FAR]
+    return codes, numbers[-1], np.cumsum(_unpacked(blob["rows"], blob["m"], np.int64))
+
+
 def _dealt(found: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.binary() if name in ("places", "rows", "far", "far_n") else pa.int64() for name in _DEALT_NAMES]
     columns = zip(*found, strict=True) if found else [[]] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _DEALT_NAMES)
 
 
+def _blobs(found: Windows, bins: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = np.argsort((bins << _HIGH) + (found.contexts[0] & _LOW))
+    parts = np.split(order, np.flatnonzero(np.diff(bins[order])) + 1)
+    yield _dealt([found.blob(int(bins[at[0]]), at) for at in parts if len(at)])
+
+
+def _deal_rare(batches: Iterable[pa.RecordBatch], how: tuple, bins: int) -> Iterator[pa.RecordBatch]:
+    """Every place with a word without number to the bin of that word."""
+    for found in _windows(batches, *how, rare=True):
+        yield from _blobs(found, _places(found.words, bins))
+
+
+def _count_rare(table: pa.Table, model: Model, least: int, max_context: int) -> pa.Table:
+    """The places of a bin with the training counts of their words, and, with -2 as ``h``, what these words add to rows."""
+    contexts, words, text, rows, held, n_rows = [], [], [], [], [], 0
+    for blob in table.to_pylist():
+        codes, last, own = _unblob(blob, max_context + 1)
+        contexts.append(codes[:-1])
+        words.append(codes[-1])
+        text.append(n_rows + (last >> 1))
+        held.append(np.zeros(len(own), np.int64))
+        held[-1][last >> 1] = last & 1
+        rows.append(own)
+        n_rows += len(own)
+    contexts = np.concatenate(contexts, axis=1)
+    words, text, rows, held = map(np.concatenate, (words, text, rows, held))
+    codes, place = np.unique(words, return_inverse=True)
+    n = np.bincount(place, 1 - held[text], len(codes)).astype(np.int64)
+    trained = dict(zip(codes.tolist(), n.tolist(), strict=True))
+    out = []
+    at = np.flatnonzero(contexts[0] > 0)
+    if len(at):
+        in_runs = np.where(n[place] >= least, words, 0)
+        out.append(Windows(list(contexts), in_runs, text, rows, held, trained).blob(0, at))
+    known = np.bincount(text, n[place] > 0, len(rows)).astype(np.int64)
+    base = np.bincount(text, model.root(n[place]), len(rows))
+    for part in _by_block(rows):
+        block = int(rows[part[0]] >> _BLOCK)
+        out.append((block, -2, 0, b"", 0, _in_block(rows[part]), 0, base[part].tobytes(), known[part].tobytes()))
+    return pa.Table.from_batches([_dealt(out)])
+
+
+def _by_block(rows: np.ndarray) -> list[np.ndarray]:
+    """Places of rows, by their blocks."""
+    order = np.argsort(rows)
+    parts = np.split(order, np.flatnonzero(np.diff(rows[order] >> _BLOCK)) + 1)
+    return [part for part in parts if len(part)]
+
+
+def _in_block(rows: np.ndarray) -> bytes:
+    return (rows & ((1 << _BLOCK) - 1)).astype(np.int32).tobytes()
+
+
 def _deal(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Every place of every text, with the words before it, to the bin of the word before it."""
     deal, *how = shared
-    for piece in pieces(batches, "ids"):
-        contexts, words, text, trained = _windows(piece, *how)
-        bins = _places(contexts[0], deal.light)
-        for level, heavy in enumerate(deal.heavy(contexts), 1):
+    for found in _windows(batches, *how):
+        bins = _places(found.contexts[0], deal.light)
+        for level, heavy in enumerate(deal.heavy(found.contexts), 1):
             at = np.flatnonzero(heavy >= 0)
             h = heavy[at]
             # Places without a further word are in no longer context; they may be in any of the bins.
-            further = contexts[level][at] if level < len(contexts) else np.zeros(len(at), np.int64)
+            further = found.contexts[level][at] if level < len(found.contexts) else np.zeros(len(at), np.int64)
             further = np.where(further > 0, further, -1 - at)
             bins[at] = deal.begins[h] + _places(further, deal.spread[h])
-        order = np.argsort((bins << _HIGH) + (contexts[0] & _LOW))
-        bins, text = bins[order], text[order]
-        contexts, words = [c[order] for c in contexts], words[order]
-        rows = piece.column("row").to_numpy()
-        held = piece.column("held_out").to_numpy(zero_copy_only=False).astype(np.int64)
-        edges = np.r_[0, np.flatnonzero(np.diff(bins)) + 1, len(bins)]
-        found = []
-        for begin, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            if begin == stop:
-                continue
-            part = slice(begin, stop)
-            own, index = np.unique(text[part], return_inverse=True)
-            columns = [*(c[part] for c in contexts), words[part], index << 1 | held[text[part]]]
-            found.append(_blob(int(bins[begin]), -1, columns, rows[own], trained))
-        yield _dealt(found)
+        yield from _blobs(found, bins)
 
 
 def _deal_heavy(batches: Iterable[pa.RecordBatch], deal: Deal, max_context: int) -> Iterator[pa.RecordBatch]:
@@ -602,21 +670,17 @@ def _read_bin(table: pa.Table, columns: int, head: int) -> tuple[np.ndarray, ...
     """
     parts, owns, hs, held, counts, rows, n_rows = [], [], [], [], [], [], 0
     blobs = table.to_pylist()
-    far = np.concatenate([np.frombuffer(blob["far"], np.int64) for blob in blobs])
-    far_n = np.concatenate([np.frombuffer(blob["far_n"], np.int64) for blob in blobs])
-    far, place = np.unique(far, return_inverse=True)
+    far, place = np.unique(
+        np.concatenate([np.frombuffer(blob["far"], np.int64) for blob in blobs]), return_inverse=True
+    )
     trained = np.zeros(len(far), np.int64)
-    np.maximum.at(trained, place, far_n)
-    f = 0
+    np.maximum.at(trained, place, np.concatenate([np.frombuffer(blob["far_n"], np.int64) for blob in blobs]))
     for blob in blobs:
         n, h = blob["n"], blob["h"]
-        numbers = _unpacked(blob["places"], n * (columns + 1), np.int32).astype(np.int64).reshape(columns + 1, n)
-        codes, last = numbers[:-1], numbers[-1]
+        codes, last, own = _unblob(blob, columns)
         if blob["f"]:
-            at = codes >= _FAR
-            codes[at] = head + 1 + place[f + codes[at] - _FAR]
-            f += blob["f"]
-        own = np.cumsum(_unpacked(blob["rows"], blob["m"], np.int64))
+            at = codes >= _HASHED
+            codes[at] = head + 1 + np.searchsorted(far, codes[at])
         parts.append(codes)
         hs.append(np.full(n, h))
         if h < 0:
@@ -708,34 +772,36 @@ def _score_bin(table: pa.Table, shared) -> pa.Table:
             found.append((one, np.where(perhaps & (heavy[context] == one), more - if_kept, 0.0)))
         if_kept = np.where(on | perhaps, more, if_kept)
         found += [(one, None) for one in np.unique(heavy[kept & (heavy >= 0)]).tolist()]
+    # A row may have come several times.
+    rows, place = np.unique(rows, return_inverse=True)
     own = own[order]
-    gram, own = gram[own >= 0], own[own >= 0]
+    gram, own = gram[own >= 0], place[own[own >= 0]]
     out = []
     for one, value in [(-1, score), *found]:
         if value is None:
             out.append((-1, one, b"", b""))
             continue
         sums = np.bincount(own, value[gram], len(rows))
-        at = np.flatnonzero(sums)
-        at = at[np.argsort(rows[at])]
-        for part in np.split(at, np.flatnonzero(np.diff(rows[at] >> _BLOCK)) + 1):
-            if not len(part):
-                continue
-            block = int(rows[part[0]] >> _BLOCK)
-            out.append((block, one, (rows[part] & ((1 << _BLOCK) - 1)).astype(np.int32).tobytes(), sums[part].tobytes()))
+        some = np.flatnonzero(sums)
+        for part in _by_block(rows[some]):
+            part = some[part]
+            out.append((int(rows[part[0]] >> _BLOCK), one, _in_block(rows[part]), sums[part].tobytes()))
     columns = zip(*out, strict=True) if out else [[]] * 4
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["block", "h", "rows", "sums"])
 
 
 def _add_blocks(table: pa.Table) -> pa.Table:
-    """(row, tree_score) of a block of rows."""
-    sums = np.zeros(1 << _BLOCK)
-    for rows, values in zip(table.column("rows").to_pylist(), table.column("sums").to_pylist(), strict=True):
-        sums[np.frombuffer(rows, np.int32)] += np.frombuffer(values)
-    at = np.flatnonzero(sums)
-    block = table.column("block")[0].as_py()
-    return pa.Table.from_arrays([pa.array(at + (block << _BLOCK)), pa.array(sums[at])], ["row", "tree_score"])
+    """(row, tree_score, rare_score, rare_known) of a block of rows."""
+    sums = np.zeros((3, 1 << _BLOCK))
+    for blob in table.to_pylist():
+        rows = np.frombuffer(blob["rows"], np.int32)
+        for own, name, kind in zip(sums, ("sums", "base", "known"), (float, float, np.int64), strict=True):
+            if blob[name]:
+                own[rows] += np.frombuffer(blob[name], kind)
+    at = np.flatnonzero(sums.any(axis=0))
+    found = [at + (table.column("block")[0].as_py() << _BLOCK), sums[0, at], sums[1, at], sums[2, at].astype(np.int64)]
+    return pa.Table.from_arrays(list(map(pa.array, found)), ["row", "tree_score", "rare_score", "rare_known"])
 
 
 def _grouped(df: DataFrame, n: int, column: str, function: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
@@ -750,7 +816,7 @@ def _grouped(df: DataFrame, n: int, column: str, function: Callable[[pa.Table],
 
 def heavy_contexts(texts: DataFrame, frequent: np.ndarray, trained: np.ndarray, tokens: int, how: tuple) -> Deal:
     """Contexts that more than ``_GROUP`` words follow; ``frequent`` are the counts of words by number."""
-    _, _, end, max_context = how
+    _, end, max_context = how
     words = np.flatnonzero(frequent > _GROUP) + 1
     words = words[words != end]
     light = max(_BINS, tokens // (_GROUP // 2 or 1) + 1)
@@ -779,35 +845,45 @@ def heavy_contexts(texts: DataFrame, frequent: np.ndarray, trained: np.ndarray,
     return deal
 
 
+def rare_places(texts: DataFrame, rare: int, model: Model, how: tuple, least: int) -> DataFrame:
+    """Places of about ``rare`` words without numbers, with their training counts, and what these words add to rows,
+    stored; see ``_count_rare``.
+    """
+    max_context, bins = how[-1], max(_BINS, rare // (_GROUP // 2 or 1) + 1)
+    shared = texts.sparkSession.sparkContext.broadcast(how)
+    dealt = texts.transform(map_batches, lambda batches: _deal_rare(batches, shared.value, bins), _DEALT)
+    slim = Model([], model.tokens, model.types)
+    return materialize(
+        _grouped(dealt, bins, "bin", lambda table: _count_rare(table, slim, least, max_context), _DEALT), "rare-places"
+    )
+
+
 def binned_sums(
     texts: DataFrame,
+    rare: DataFrame | None,
     frequent: np.ndarray,
     trained: np.ndarray,
     model: Model,
-    end: int,
-    max_context: int,
+    how: tuple,
     least: int,
     discount: float = DISCOUNT,
 ) -> DataFrame:
-    """(row, tree_score): what the tree adds to the base score of every text, stored.
+    """(block, rows, sums): what the tree adds to the base scores of texts, stored; see ``_score_bin``.
 
     ``frequent`` and ``trained`` are the counts of words by number, in all texts and in training.
     """
-    columns = [c for c in texts.columns if c in ("row", "held_out", "ids", "codes", "rare")]
-    texts = texts.select(*columns)
-    context = texts.sparkSession.sparkContext
-    how = (trained >= least, least, end + 1, max_context)
+    context, max_context = texts.sparkSession.sparkContext, how[-1]
     deal = heavy_contexts(texts, frequent, trained, int(frequent.sum()), how)
     shared = context.broadcast((deal, *how))
-    dealt = texts.transform(map_batches, lambda batches: _deal(batches, shared.value), _DEALT)
+    places = [texts, *([rare.where("h = -1")] if rare is not None else [])]
+
+    def all_places(function: Callable, schema: str) -> DataFrame:
+        return reduce(DataFrame.union, [place.transform(map_batches, function, schema) for place in places])
+
+    dealt = all_places(lambda batches: _deal(batches, shared.value), _DEALT)
     if len(deal.total):
         after = (
-            texts.where(~F.col("held_out"))
-            .transform(
-                map_batches,
-                lambda batches: _count_after_heavy(batches, shared.value),
-                "h long, w long, n long, n_w long",
-            )
+            all_places(lambda batches: _count_after_heavy(batches, shared.value), "h long, w long, n long, n_w long")
             .groupBy("h", "w")
             .agg(F.sum("n").alias("n"), F.max("n_w").alias("n_w"))
             .where(F.col("n") >= least)
@@ -816,17 +892,13 @@ def binned_sums(
             after.transform(map_batches, lambda batches: _deal_heavy(batches, shared.value[0], max_context), _DEALT)
         )
     fixed = context.broadcast((deal, trained, Model([], model.tokens, model.types), max_context, least, discount))
-    found = _grouped(
-        dealt, deal.bins, "bin", lambda table: _score_bin(table, fixed.value), "block long, h long, rows binary, sums binary"
-    )
-    with scratch_tables() as keep:
-        found = materialize(found, "bin-sums")
-        sums = found.where("block >= 0 and h < 0")
-        if len(deal.total):
-            kept = found.where("block < 0").select("h").distinct()
-            sums = sums.union(found.where("block >= 0 and h >= 0").join(kept, "h", "left_semi").select(*sums.columns))
-        parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return keep(materialize(_grouped(sums, parts, "block", _add_blocks, "row long, tree_score double"), "tree-sums"))
+    schema = "block long, h long, rows binary, sums binary"
+    found = materialize(_grouped(dealt, deal.bins, "bin", lambda table: _score_bin(table, fixed.value), schema), "bin-sums")
+    sums = found.where("block >= 0 and h < 0").drop("h")
+    if len(deal.total):
+        kept = found.where("block < 0").select("h").distinct()
+        sums = sums.union(found.where("block >= 0 and h >= 0").join(kept, "h", "left_semi").drop("h"))
+    return sums
 
 
 # Scores
@@ -926,42 +998,30 @@ def log_probabilities(
                 rows.withColumn("row", F.monotonically_increasing_id()).transform(
                     map_batches,
                     lambda batches: _encode(batches, *shared_numbers.value, arrow_id),
-                    f"row long, doc_id {id_type.simpleString()}, held_out boolean, ids binary, codes binary, "
-                    "others array<struct<word: string, code: long, n: long>>",
+                    f"row long, doc_id {id_type.simpleString()}, held_out boolean, ids binary, codes binary",
                 ),
                 "word-numbers",
             )
         )
         trained = texts.where(~F.col("held_out"))
         model = train(trained, own_counts, tokens, types, max_context if in_memory else 0, least)
-        rare = None
+        places = texts.select("row", "held_out", "ids", "codes")
+        how = (own_counts >= least, number[END.encode()] + 1, max(1, max_context))
+        rare, parts = None, []
         if bits is not None:
-            root = F.log10((F.coalesce("trained", F.lit(0)) + 0.5) / F.lit(tokens + 0.5 * (types + 1)))
-            rare = keep(
-                materialize(
-                    texts.select("row", F.explode("others").alias("other"))
-                    .select("row", "other.*")
-                    .withColumnRenamed("n", "times")
-                    .join(counts.where(~numbered).select("word", "trained"), "word", "left")
-                    .groupBy("row")
-                    .agg(
-                        F.sum(F.when(F.col("trained") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-                        F.sum(root * F.col("times")).alias("rare_score"),
-                        F.collect_list(
-                            F.when(F.col("trained") >= least, F.struct("code", F.col("trained").alias("n")))
-                        ).alias("rare"),
-                    ),
-                    "rare-words",
-                )
+            rare = rare_places(places, everything - int(all_counts.sum()), model, how, least)
+            base = F.col("far").alias("base"), F.col("far_n").alias("known")
+            parts.append(
+                rare.where("h = -2").select(F.col("bin").alias("block"), "rows", F.lit(b"").alias("sums"), *base)
             )
-        sums = None
         if not in_memory:
-            if rare is not None:
-                joined = texts.drop("others").join(rare.select("row", "rare"), "row", "left")
-                texts, before = keep(materialize(joined, "texts-with-rare")), texts
-                discard(before)
-            end = number[END.encode()]
-            sums = keep(binned_sums(texts, all_counts, own_counts, model, end, max_context, least))
+            tree = binned_sums(places, rare, all_counts, own_counts, model, how, least)
+            parts.append(tree.withColumn("base", F.lit(b"")).withColumn("known", F.lit(b"")))
+        sums = None
+        if parts:
+            n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            schema = "row long, tree_score double, rare_score double, rare_known long"
+            sums = keep(materialize(_grouped(reduce(DataFrame.union, parts), n, "block", _add_blocks, schema), "sums"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = texts.select("row", "doc_id", "held_out", "ids").transform(
         map_batches,
@@ -969,11 +1029,12 @@ def log_probabilities(
         f"row long, doc_id {id_type.simpleString()}, held_out boolean, "
         "n_tokens long, n_known long, base_score double, score double",
     )
-    more = {"tree_score": F.lit(0.0), "rare_known": F.lit(0), "rare_score": F.lit(0.0)}
-    for table in (sums, rare and rare.drop("rare")):
-        if table is not None:
-            scored = scored.join(table, "row", "left")
-            more |= {name: F.coalesce(name, F.lit(0)) for name in table.columns if name != "row"}
+    names = ("tree_score", "rare_score", "rare_known")
+    if sums is None:
+        more = {name: F.lit(0) for name in names}
+    else:
+        scored = scored.join(sums, "row", "left")
+        more = {name: F.coalesce(name, F.lit(0)) for name in names}
     return scored.select(
         "doc_id",
         "held_out",
