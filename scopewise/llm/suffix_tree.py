@@ -12,19 +12,18 @@ Every run of words that occurs ``least_count`` times in training is in the tree,
 
 1. All words of all texts are counted (one shuffle of words with counts). The most frequent, at most ``_HEAD``,
    get numbers.
-2. Texts become arrays of word numbers, stored; other words go beside them, with their counts, and bring their
-   part of the base score by a join on the word.
+2. Texts become arrays of word numbers, stored. A filter of a bounded size tells of other words whether they may
+   occur twice; those have codes of 62 bits of a cryptographic digest.
 3. Where the tokens are few enough that no length can have more than ``_HEAD`` runs, runs are counted level by
    level, the tree is fitted in memory, and every document is scored in one pass without a shuffle.
-4. Otherwise the tree is a table of runs (``fit_tables``): counted by a shuffle per length, fitted by joins of a
-   run with its context and its suffix. The score of a text is a sum over its runs of one to four words, each
-   run bringing one number (``run_values``), so one join on the run and one sum per row score all texts. Every
-   key has a row per text at most there. Filters of a bounded size keep most runs that are not in the tree out
-   of the shuffles; they let some pass and lose none, so they change speed, not results.
-
-Runs of up to three words with numbers have codes made of these, which tell them apart; longer runs and runs with
-other words have codes of 62 hashed bits (words from a cryptographic digest). Runs are counted by the code of
-their context and that of their last word, so four words with numbers are counted exactly too.
+4. Otherwise every place of every text goes, with the three words before it, to the bin of the word before it (one
+   shuffle). All contexts that end with a word are in its bin, and so is what comes after them: the bin counts runs,
+   fits its part of the tree and scores its places. Sums per text go back by blocks of rows.
+5. Contexts that more than ``_GROUP`` words follow are heavy. Their counts are made by a shuffle beforehand and given
+   to several bins, over which places are dealt by the next word before, down to single places. Whether a heavy
+   context is kept for the sake of a longer one is known when all bins are done, so what it adds is given apart.
+6. Places with a repeated word without number pass the bin of that word first, which counts it and brings its part
+   of the base score.
 
 Defined cases: null and empty texts have one token, the end; a null doc_id is not held out; repeated rows each
 count and each get a row; without training rows all tokens have the probability of the unknown one; other
@@ -33,11 +32,11 @@ columns are not read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from itertools import repeat
@@ -63,13 +62,13 @@ DISCOUNT = 0.75
 #: The end of a text as a token; no word is empty.
 END = ""
 #: Distinct words that a task counts before it gives them on, and runs of words that it sorts at once.
-_COUNTED, _SORTED = 200_000, 1 << 20
+_COUNTED, _SORTED = 500_000, 1 << 20
 #: Words that get numbers, and runs of a length in a tree in memory, at most.
 _HEAD = 1_000_000
 #: Bits of a filter at most, and bits for each word in it.
 _FILTER, _FILTER_EACH = 1 << 27, 16
-#: Words that may follow a context before it is dealt to several bins; a bin has about half as many places.
-_GROUP = 1 << 20
+#: Words that may follow a context before it is dealt to several bins; other bins have about a fourth as many.
+_GROUP = 1 << 21
 #: Bins at least.
 _BINS = 32
 #: Bits of the numbers of rows whose scores are added up together.
@@ -79,6 +78,7 @@ _HASHED = np.int64(1 << 62)
 _FAR = np.int64(1 << 30)
 _HIGH = np.int64(32)
 _LOW = np.int64((1 << 32) - 1)
+_LAST = np.int64((1 << 22) - 1)
 
 
 def held_out() -> Column:
@@ -405,7 +405,7 @@ class Deal:
     @property
     def spread(self) -> np.ndarray:
         """Bins over which the words after a heavy context are dealt."""
-        return self.total // (_GROUP // 2 or 1) + 1
+        return self.total // (_GROUP // 2) + 1
 
     @property
     def begins(self) -> np.ndarray:
@@ -557,7 +557,8 @@ def _dealt(found: list[tuple]) -> pa.RecordBatch:
 
 
 def _blobs(found: Windows, bins: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.argsort((bins << _HIGH) + (found.contexts[0] & _LOW))
+    # The order within a bin makes the columns small.
+    order = np.argsort((bins << 44) + ((found.contexts[0] & _LAST) << 22) + (found.words & _LAST))
     parts = np.split(order, np.flatnonzero(np.diff(bins[order])) + 1)
     yield _dealt([found.blob(int(bins[at[0]]), at) for at in parts if len(at)])
 
@@ -819,7 +820,7 @@ def heavy_contexts(texts: DataFrame, frequent: np.ndarray, trained: np.ndarray,
     _, end, max_context = how
     words = np.flatnonzero(frequent > _GROUP) + 1
     words = words[words != end]
-    light = max(_BINS, tokens // (_GROUP // 2 or 1) + 1)
+    light = max(_BINS, tokens // (_GROUP // 4) + 1)
     deal = Deal(light, words, [], trained[words - 1], frequent[words - 1])
     context = texts.sparkSession.sparkContext
     for level in range(2, max_context + 1):
@@ -849,7 +850,7 @@ def rare_places(texts: DataFrame, rare: int, model: Model, how: tuple, least: in
     """Places of about ``rare`` words without numbers, with their training counts, and what these words add to rows,
     stored; see ``_count_rare``.
     """
-    max_context, bins = how[-1], max(_BINS, rare // (_GROUP // 2 or 1) + 1)
+    max_context, bins = how[-1], max(_BINS, rare // (_GROUP // 4) + 1)
     shared = texts.sparkSession.sparkContext.broadcast(how)
     dealt = texts.transform(map_batches, lambda batches: _deal_rare(batches, shared.value, bins), _DEALT)
     slim = Model([], model.tokens, model.types)
@@ -893,7 +894,11 @@ def binned_sums(
         )
     fixed = context.broadcast((deal, trained, Model([], model.tokens, model.types), max_context, least, discount))
     schema = "block long, h long, rows binary, sums binary"
-    found = materialize(_grouped(dealt, deal.bins, "bin", lambda table: _score_bin(table, fixed.value), schema), "bin-sums")
+    _release(texts.sparkSession)
+    dealt = _grouped(dealt, deal.bins, "bin", lambda table: _score_bin(table, fixed.value), schema)
+    found = materialize(dealt, "bin-sums")
+    del dealt
+    _release(texts.sparkSession)
     sums = found.where("block >= 0 and h < 0").drop("h")
     if len(deal.total):
         kept = found.where("block < 0").select("h").distinct()
@@ -904,19 +909,10 @@ def binned_sums(
 # Scores
 
 
-@contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Let Spark remove the shuffle files of a query when it ends, not when the driver collects garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def _release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of tables that are stored by now: it waits for collected garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def token_scores(ids: np.ndarray, model: Model) -> np.ndarray:
@@ -965,11 +961,12 @@ def log_probabilities(
     """
     id_type = docs.schema["doc_id"].dataType
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))
-    with scratch_tables() as keep, _shuffles_removed(docs.sparkSession):
+    with scratch_tables() as keep:
         counts = keep(materialize(word_counts(rows), "word-counts"))
         everything, tokens, types = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0)
         ).first()
+        _release(docs.sparkSession)
         # The least count that gives at most ``_HEAD`` words a number.
         most = max(least_count, math.ceil(everything / _HEAD))
         by_count = dict(
