@@ -32,11 +32,11 @@ columns are not read.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from itertools import repeat
@@ -67,8 +67,8 @@ _COUNTED, _SORTED = 500_000, 1 << 20
 _HEAD = 1_000_000
 #: Bits of a filter at most, and bits for each word in it.
 _FILTER, _FILTER_EACH = 1 << 27, 16
-#: Words that may follow a context before it is dealt to several bins; other bins have about a fourth as many.
-_GROUP = 1 << 21
+#: Words that may follow a context before it is dealt to several bins; other bins have about a third as many.
+_GROUP = 3 << 19
 #: Bins at least.
 _BINS = 32
 #: Bits of the numbers of rows whose scores are added up together.
@@ -820,7 +820,7 @@ def heavy_contexts(texts: DataFrame, frequent: np.ndarray, trained: np.ndarray,
     _, end, max_context = how
     words = np.flatnonzero(frequent > _GROUP) + 1
     words = words[words != end]
-    light = max(_BINS, tokens // (_GROUP // 4) + 1)
+    light = max(_BINS, tokens // (_GROUP // 3) + 1)
     deal = Deal(light, words, [], trained[words - 1], frequent[words - 1])
     context = texts.sparkSession.sparkContext
     for level in range(2, max_context + 1):
@@ -850,7 +850,7 @@ def rare_places(texts: DataFrame, rare: int, model: Model, how: tuple, least: in
     """Places of about ``rare`` words without numbers, with their training counts, and what these words add to rows,
     stored; see ``_count_rare``.
     """
-    max_context, bins = how[-1], max(_BINS, rare // (_GROUP // 4) + 1)
+    max_context, bins = how[-1], max(_BINS, rare // (_GROUP // 3) + 1)
     shared = texts.sparkSession.sparkContext.broadcast(how)
     dealt = texts.transform(map_batches, lambda batches: _deal_rare(batches, shared.value, bins), _DEALT)
     slim = Model([], model.tokens, model.types)
@@ -894,11 +894,7 @@ def binned_sums(
         )
     fixed = context.broadcast((deal, trained, Model([], model.tokens, model.types), max_context, least, discount))
     schema = "block long, h long, rows binary, sums binary"
-    _release(texts.sparkSession)
-    dealt = _grouped(dealt, deal.bins, "bin", lambda table: _score_bin(table, fixed.value), schema)
-    found = materialize(dealt, "bin-sums")
-    del dealt
-    _release(texts.sparkSession)
+    found = materialize(_grouped(dealt, deal.bins, "bin", lambda table: _score_bin(table, fixed.value), schema), "bin-sums")
     sums = found.where("block >= 0 and h < 0").drop("h")
     if len(deal.total):
         kept = found.where("block < 0").select("h").distinct()
@@ -909,10 +905,19 @@ def binned_sums(
 # Scores
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of tables that are stored by now: it waits for collected garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Let Spark remove the shuffle files of a query when it ends, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def token_scores(ids: np.ndarray, model: Model) -> np.ndarray:
@@ -961,12 +966,11 @@ def log_probabilities(
     """
     id_type = docs.schema["doc_id"].dataType
     rows = docs.select("doc_id", "text", held_out().alias("held_out"))
-    with scratch_tables() as keep:
+    with scratch_tables() as keep, _shuffles_removed(docs.sparkSession):
         counts = keep(materialize(word_counts(rows), "word-counts"))
         everything, tokens, types = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0)
         ).first()
-        _release(docs.sparkSession)
         # The least count that gives at most ``_HEAD`` words a number.
         most = max(least_count, math.ceil(everything / _HEAD))
         by_count = dict(
